@@ -298,3 +298,374 @@ SELECT 'Returns (negative qty)' AS issue_type, count(*) AS row_count,
 FROM stg_orders WHERE is_return""", "stg_orders"))
 def q_kpi_returns_audit(spark, sf_dir):
     return kpis.kpi_returns_audit(_p(spark, sf_dir).stg_orders)
+
+
+# ---------------------------------------------------------------------------
+# B: single cleaning operators
+# ---------------------------------------------------------------------------
+
+from tallyspark.functions.parse import to_bool_exact, to_date_lenient, to_int_lenient, to_money  # noqa: E402
+from tallyspark.functions.text import strip_ws, title_case  # noqa: E402
+from tallyspark.operators import cleaning, measures as M, quality, rules  # noqa: E402
+from tallyspark.operators.dedupe import keep_first  # noqa: E402
+from tallyspark.operators.stats import exact_median  # noqa: E402
+from tallyspark.sources.raw import ORDER_COLUMNS  # noqa: E402
+
+
+@register("dedupe_first", O.with_ctes(f"SELECT {', '.join(ORDER_COLUMNS)} FROM ord_first", "ord_first"))
+def q_dedupe_first(spark, sf_dir):
+    return keep_first(_p(spark, sf_dir).raw_orders, "order_id").select(*ORDER_COLUMNS)
+
+
+@register("impute_constant", O.with_ctes("""
+SELECT c.customer_id, coalesce(c.country, 'Unknown') AS country, coalesce(c.segment, 'Unknown') AS segment
+FROM cust_first c""", "cust_first"))
+def q_impute_constant(spark, sf_dir):
+    first = keep_first(_p(spark, sf_dir).raw_customers, "customer_id")
+    return first.select("customer_id", cleaning.impute_constant("country", cleaning.UNKNOWN).alias("country"),
+                        cleaning.impute_constant("segment", cleaning.UNKNOWN).alias("segment"))
+
+
+@register("coerce_date", O.with_ctes(f"""
+SELECT order_id, order_date AS order_date_raw, {O.to_date('order_date')} AS order_date FROM ord_first""",
+                                     "ord_first"))
+def q_coerce_date(spark, sf_dir):
+    first = keep_first(_p(spark, sf_dir).raw_orders, "order_id")
+    return first.select("order_id", F.col("order_date").alias("order_date_raw"),
+                        to_date_lenient("order_date").alias("order_date"))
+
+
+@register("coerce_number", O.with_ctes(f"""
+SELECT order_id, quantity AS quantity_raw, {O.to_int('quantity')} AS quantity, unit_price AS unit_price_raw,
+  CAST({O.to_money('unit_price')} AS DOUBLE) AS unit_price FROM ord_first""", "ord_first"))
+def q_coerce_number(spark, sf_dir):
+    first = keep_first(_p(spark, sf_dir).raw_orders, "order_id")
+    return present(first.select("order_id", F.col("quantity").alias("quantity_raw"),
+                                to_int_lenient("quantity").alias("quantity"),
+                                F.col("unit_price").alias("unit_price_raw"),
+                                to_money("unit_price").alias("unit_price")))
+
+
+@register("title_case", O.with_ctes(f"""
+SELECT DISTINCT 'country' AS attribute, country AS raw_value,
+  {O.title(O.strip("coalesce(country, 'Unknown')"))} AS clean_value FROM cust_first
+UNION
+SELECT DISTINCT 'segment', segment, {O.title(O.strip("coalesce(segment, 'Unknown')"))} FROM cust_first""",
+                                    "cust_first"))
+def q_title_case(spark, sf_dir):
+    first = keep_first(_p(spark, sf_dir).raw_customers, "customer_id")
+    parts = [first.select(F.lit(a).alias("attribute"), F.col(a).alias("raw_value"),
+                          cleaning.clean_label(a, cleaning.UNKNOWN).alias("clean_value"))
+             for a in ("country", "segment")]
+    return parts[0].unionByName(parts[1]).distinct()
+
+
+@register("normalize_channel", O.with_ctes(f"""
+SELECT channel AS channel_raw, lower({O.strip('channel')}) AS channel, count(*) AS rows
+FROM ord_first GROUP BY 1, 2""", "ord_first"))
+def q_normalize_channel(spark, sf_dir):
+    first = keep_first(_p(spark, sf_dir).raw_orders, "order_id")
+    return (first.groupBy(F.col("channel").alias("channel_raw"), cleaning.normalize_channel().alias("channel"))
+                 .agg(F.count(F.lit(1)).alias("rows")))
+
+
+@register("abs_cost", O.with_ctes(f"""
+SELECT sku, CAST({O.to_money('cost')} AS DOUBLE) AS cost_parsed, CAST(abs({O.to_money('cost')}) AS DOUBLE) AS cost
+FROM prod_first""", "prod_first"))
+def q_abs_cost(spark, sf_dir):
+    first = keep_first(_p(spark, sf_dir).raw_products, "sku")
+    return present(first.select("sku", to_money("cost").alias("cost_parsed"), F.abs(to_money("cost")).alias("cost")))
+
+
+@register("impute_median", O.with_ctes("""
+SELECT CAST(m.med AS DOUBLE) AS median_cost, (SELECT count(*) FROM prod_typed WHERE cost IS NULL) AS imputed_rows
+FROM prod_median m""", "prod_median"))
+def q_impute_median(spark, sf_dir):
+    typed = cleaning._typed_products(_p(spark, sf_dir).raw_products)
+    med = exact_median(typed, "cost", out="median_cost").select(F.col("median_cost").cast("decimal(18,2)").cast("double")
+                                                                 .alias("median_cost"))
+    n = typed.agg(F.count_if(F.col("cost").isNull()).alias("imputed_rows"))
+    return med.crossJoin(n)
+
+
+@register("map_boolean", O.with_ctes("""
+SELECT active AS active_raw, CASE WHEN active = 'True' THEN true WHEN active = 'False' THEN false END AS active,
+  count(*) AS rows FROM prod_first GROUP BY 1, 2""", "prod_first"))
+def q_map_boolean(spark, sf_dir):
+    first = keep_first(_p(spark, sf_dir).raw_products, "sku")
+    return (first.groupBy(F.col("active").alias("active_raw"), to_bool_exact("active").alias("active"))
+                 .agg(F.count(F.lit(1)).alias("rows")))
+
+
+@register("flag_returns", O.with_ctes("SELECT is_return, count(*) AS rows FROM stg_orders0 GROUP BY is_return",
+                                      "stg_orders0"))
+def q_flag_returns(spark, sf_dir):
+    return _p(spark, sf_dir).stg_orders_unflagged.groupBy("is_return").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---------------------------------------------------------------------------
+# D: rule flags
+# ---------------------------------------------------------------------------
+
+@register("flag_pre_signup", O.with_ctes("""
+SELECT order_id, customer_id, order_date, created_at, is_pre_signup FROM flagged""", "flagged"))
+def q_flag_pre_signup(spark, sf_dir):
+    return _p(spark, sf_dir).flagged_orders.select("order_id", "customer_id", "order_date", "created_at",
+                                                   "is_pre_signup")
+
+
+@register("flag_product_rules", O.with_ctes("""
+SELECT order_id, sku, CAST(unit_price AS DOUBLE) AS unit_price, active, CAST(cost AS DOUBLE) AS cost,
+  is_inactive_sale, is_below_cost FROM flagged""", "flagged"))
+def q_flag_product_rules(spark, sf_dir):
+    return present(_p(spark, sf_dir).flagged_orders.select("order_id", "sku", "unit_price", "active", "cost",
+                                                           "is_inactive_sale", "is_below_cost"))
+
+
+_FLAGGED_COLS = ["order_id", "customer_id", "sku", "quantity", "unit_price", "order_date", "channel", "is_return",
+                 "revenue", "created_at", "active", "cost", "is_pre_signup", "is_inactive_sale", "is_below_cost"]
+
+
+@register("flagged_orders", O.with_ctes(
+    f"SELECT {_dbl(_FLAGGED_COLS, {'unit_price', 'revenue', 'cost'})} FROM flagged", "flagged"))
+def q_flagged_orders(spark, sf_dir):
+    return present(_p(spark, sf_dir).flagged_orders)
+
+
+# ---------------------------------------------------------------------------
+# C: data quality
+# ---------------------------------------------------------------------------
+
+@register("dq_customers", O.with_ctes(f"""
+SELECT r.*, a.* FROM
+ (SELECT count(*) AS raw_rows, {O.dup_count_sql('customer_id', 'raw_customers')} AS duplicate_customer_id
+  FROM raw_customers) r,
+ (SELECT count(*) FILTER (WHERE country IS NULL) AS null_country,
+         count(*) FILTER (WHERE segment IS NULL) AS null_segment,
+         count(*) FILTER (WHERE {O.to_date('created_at')} IS NULL) AS invalid_created_at,
+         count(*) AS staged_rows FROM cust_first) a""", "raw_customers", "cust_first"))
+def q_dq_customers(spark, sf_dir):
+    return quality.dq_customers(_p(spark, sf_dir).raw_customers)
+
+
+@register("dq_products", O.with_ctes(f"""
+SELECT r.*, a.* FROM
+ (SELECT count(*) AS raw_rows, {O.dup_count_sql('sku', 'raw_products')} AS duplicate_sku FROM raw_products) r,
+ (SELECT count(*) FILTER (WHERE category IS NULL) AS null_category,
+         count(*) FILTER (WHERE {O.to_money('cost')} < 0) AS negative_cost,
+         count(*) FILTER (WHERE {O.to_money('cost')} IS NULL) AS null_cost,
+         count(*) AS staged_rows FROM prod_first) a""", "raw_products", "prod_first"))
+def q_dq_products(spark, sf_dir):
+    return quality.dq_products(_p(spark, sf_dir).raw_products)
+
+
+_DQ_ORDERS_SQL = f"""
+SELECT r.*, a.* FROM
+ (SELECT count(*) AS raw_rows, {O.dup_count_sql('order_id', 'raw_orders')} AS duplicate_order_id FROM raw_orders) r,
+ (SELECT count(*) FILTER (WHERE order_date IS NULL) AS invalid_order_date,
+         count(*) FILTER (WHERE order_date IS NOT NULL AND quantity < 0) AS negative_quantity,
+         count(*) FILTER (WHERE order_date IS NOT NULL AND unit_price IS NULL) AS null_unit_price,
+         count(*) FILTER (WHERE order_date IS NOT NULL AND unit_price IS NOT NULL) AS staged_rows
+  FROM ord_typed) a"""
+
+
+@register("dq_orders", O.with_ctes(_DQ_ORDERS_SQL, "raw_orders", "ord_typed"))
+def q_dq_orders(spark, sf_dir):
+    return quality.dq_orders(_p(spark, sf_dir).raw_orders)
+
+
+@register("dq_semantic", O.with_ctes("""
+SELECT 'stg_orders' AS scope, count(*) AS rows, count(*) FILTER (WHERE is_pre_signup) AS pre_signup,
+  count(*) FILTER (WHERE is_inactive_sale) AS inactive_sale, count(*) FILTER (WHERE is_below_cost) AS below_cost
+FROM stg_orders
+UNION ALL
+SELECT 'fact_sales', count(*), count(*) FILTER (WHERE is_pre_signup), count(*) FILTER (WHERE is_inactive_sale),
+  count(*) FILTER (WHERE is_below_cost) FROM fact""", "stg_orders", "fact"))
+def q_dq_semantic(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return quality.dq_semantic(p.stg_orders, p.fact_sales)
+
+
+def _waterfall_sql() -> str:
+    rows = [
+        (1, "raw_orders", "raw_rows", None), (2, "duplicate_order_id", "-duplicate_order_id", None),
+        (3, "invalid_order_date", "-invalid_order_date", None), (4, "null_unit_price", "-null_unit_price", None),
+        (5, "stg_orders", "stg_rows", None), (6, "returns", "-returns", None), (7, "fact_sales", "fact_rows", None),
+        (8, "is_pre_signup", "f_pre", "f_pre"), (9, "is_inactive_sale", "f_inactive", "f_inactive"),
+        (10, "is_below_cost", "f_below", "f_below"), (11, "orders_quarantine", "quarantined", None),
+    ]
+    sel = "\nUNION ALL\n".join(
+        f"SELECT {n} AS step_no, {O.q(s)} AS step, CAST({v} AS BIGINT) AS rows, "
+        f"{O.pct(share, 'fact_rows', 1) if share else 'CAST(NULL AS DOUBLE)'} AS pct_of_fact FROM w"
+        for n, s, v, share in rows)
+    return f"""
+SELECT * FROM (
+  WITH w AS (SELECT * FROM ({_DQ_ORDERS_SQL}) d,
+     (SELECT count(*) AS stg_rows, count(*) FILTER (WHERE is_return) AS returns,
+             count(*) FILTER (WHERE is_pre_signup) AS quarantined FROM stg_orders) s,
+     (SELECT count(*) AS fact_rows, count(*) FILTER (WHERE is_pre_signup) AS f_pre,
+             count(*) FILTER (WHERE is_inactive_sale) AS f_inactive,
+             count(*) FILTER (WHERE is_below_cost) AS f_below FROM fact) f)
+  {sel})"""
+
+
+@register("dq_waterfall", O.with_ctes(_waterfall_sql(), "raw_orders", "ord_typed", "stg_orders", "fact"))
+def q_dq_waterfall(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return quality.dq_waterfall(p.raw_orders, p.stg_orders, p.fact_sales)
+
+
+_LAYER_SQL = "\nUNION ALL\n".join(f"SELECT {O.q(name)} AS table_name, count(*) AS rows FROM {cte}" for name, cte in [
+    ("raw_customers", "raw_customers"), ("raw_products", "raw_products"), ("raw_orders", "raw_orders"),
+    ("stg_customers", "stg_customers"), ("stg_products", "stg_products"), ("stg_orders", "stg_orders"),
+    ("orders_quarantine", "orders_quarantine"), ("dim_customer", "dim_customer"), ("dim_product", "dim_product"),
+    ("dim_date", "dim_date"), ("fact_sales", "fact"), ("mart_monthly_summary", "mart_daily"),
+    ("mart_customer_lifetime", "mart_clv"), ("mart_product_performance", "mart_prod")])
+
+
+@register("layer_counts", O.with_ctes(_LAYER_SQL, "raw_customers", "raw_products", "raw_orders", "stg_orders",
+                                      "orders_quarantine", "dim_date", "mart_daily", "mart_clv", "mart_prod"))
+def q_layer_counts(spark, sf_dir):
+    return quality.layer_counts(_p(spark, sf_dir).tables())
+
+
+@register("ref_integrity", O.with_ctes(f"""
+SELECT 'fact_customer_orphans' AS check_name, count(*) AS violations FROM fact f
+  WHERE NOT EXISTS (SELECT 1 FROM dim_customer d WHERE d.customer_id = f.customer_id)
+UNION ALL SELECT 'fact_sku_orphans', count(*) FROM fact f
+  WHERE NOT EXISTS (SELECT 1 FROM dim_product d WHERE d.sku = f.sku)
+UNION ALL SELECT 'fact_date_orphans', count(*) FROM fact f
+  WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_id = f.date_id)
+UNION ALL SELECT 'fact_order_id_duplicates', {O.dup_count_sql('order_id', 'fact')} FROM fact
+UNION ALL SELECT 'dim_customer_key_duplicates', {O.dup_count_sql('customer_id', 'dim_customer')} FROM dim_customer
+UNION ALL SELECT 'dim_product_key_duplicates', {O.dup_count_sql('sku', 'dim_product')} FROM dim_product
+UNION ALL SELECT 'dim_date_key_duplicates', {O.dup_count_sql('date_id', 'dim_date')} FROM dim_date""",
+                                       "fact", "dim_customer", "dim_product", "dim_date"))
+def q_ref_integrity(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return quality.ref_integrity(p.fact_sales, p.dim_customer, p.dim_product, p.dim_date)
+
+
+# ---------------------------------------------------------------------------
+# H: measures
+# ---------------------------------------------------------------------------
+
+@register("measures_by_slice", O.with_ctes(f"""
+SELECT CAST(year(order_date) AS INTEGER) AS year, channel, {O.measures_sql()} FROM fact GROUP BY 1, 2""", "fact"))
+def q_measures_by_slice(spark, sf_dir):
+    return M.measures(_p(spark, sf_dir).fact_sales, [F.year("order_date").alias("year"), F.col("channel")])
+
+
+@register("measure_revenue_clean", O.with_ctes("""
+SELECT channel, CAST(sum(revenue) FILTER (WHERE NOT is_below_cost AND NOT is_pre_signup) AS DOUBLE) AS revenue_clean,
+  CAST(sum(revenue) AS DOUBLE) AS total_revenue FROM fact GROUP BY channel""", "fact"))
+def q_measure_revenue_clean(spark, sf_dir):
+    return (_p(spark, sf_dir).fact_sales.groupBy("channel")
+            .agg(M.revenue_clean().alias("revenue_clean"), F.sum("revenue").cast("double").alias("total_revenue")))
+
+
+@register("measure_below_cost_pct", O.with_ctes(f"""
+SELECT channel, {O.ratio('count(*) FILTER (WHERE is_below_cost)', 'count(DISTINCT order_id)')} AS below_cost_pct
+FROM fact GROUP BY channel""", "fact"))
+def q_measure_below_cost_pct(spark, sf_dir):
+    return _p(spark, sf_dir).fact_sales.groupBy("channel").agg(M.below_cost_pct().alias("below_cost_pct"))
+
+
+@register("measure_calendar_mom", O.with_ctes(f"""
+SELECT a.month_start, CAST(a.rev AS DOUBLE) AS revenue, CAST(b.rev AS DOUBLE) AS prev_revenue,
+  {O.ratio('a.rev - b.rev', 'b.rev')} AS revenue_mom_pct
+FROM (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month_start, sum(revenue) AS rev
+      FROM fact WHERE order_date IS NOT NULL GROUP BY 1) a
+LEFT JOIN (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month_start, sum(revenue) AS rev
+      FROM fact WHERE order_date IS NOT NULL GROUP BY 1) b
+  ON b.month_start = CAST(a.month_start - INTERVAL 1 MONTH AS DATE)""", "fact"))
+def q_measure_calendar_mom(spark, sf_dir):
+    return M.calendar_mom(_p(spark, sf_dir).fact_sales)
+
+
+# ---------------------------------------------------------------------------
+# I: dashboard result sets
+# ---------------------------------------------------------------------------
+
+@register("dash_cards", O.with_ctes(f"""
+SELECT CAST(sum(revenue) AS DOUBLE) AS total_revenue, CAST(sum(gross_margin) AS DOUBLE) AS total_margin,
+  {O.ratio('sum(revenue)', 'count(DISTINCT order_id)')} AS avg_ticket, count(DISTINCT order_id) AS total_orders
+FROM fact""", "fact"))
+def q_dash_cards(spark, sf_dir):
+    return M.measures(_p(spark, sf_dir).fact_sales).select("total_revenue", "total_margin", "avg_ticket",
+                                                           "total_orders")
+
+
+# Fixed slicer settings of the three dashboard pages.
+PAGE1 = dict(date_from="1996-01-01", date_to="1998-12-31", channels=["1-urgent", "2-high"],
+             categories=["PROMO", "STANDARD"])
+PAGE2 = dict(segments=["Machinery", "Building", "E-Commerce"],
+             countries=[f"Nation_{i}" for i in range(10)])
+PAGE3 = dict(categories=["ECONOMY", "LARGE", "Uncategorized"], active=[False])
+
+
+@register("dash_sliced_p1", O.with_ctes(f"""
+SELECT CAST(year(f.order_date) AS INTEGER) AS year, CAST(month(f.order_date) AS INTEGER) AS month, f.channel,
+  {O.measures_sql('f.')}
+FROM fact f JOIN dim_product p ON f.sku = p.sku
+WHERE f.order_date >= DATE '{PAGE1['date_from']}' AND f.order_date <= DATE '{PAGE1['date_to']}'
+  AND f.channel IN {O.in_list(PAGE1['channels'])} AND p.category IN {O.in_list(PAGE1['categories'])}
+GROUP BY 1, 2, 3""", "fact", "dim_product"))
+def q_dash_sliced_p1(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    s = M.slice_sales(p.fact_sales, dim_product=p.dim_product, **PAGE1)
+    return M.measures(s, [F.year("order_date").alias("year"), F.month("order_date").alias("month"), F.col("channel")])
+
+
+@register("dash_sliced_p2", O.with_ctes(f"""
+SELECT c.segment, c.country, {O.measures_sql('f.')}
+FROM fact f JOIN dim_customer c ON f.customer_id = c.customer_id
+WHERE c.segment IN {O.in_list(PAGE2['segments'])} AND c.country IN {O.in_list(PAGE2['countries'])}
+GROUP BY 1, 2""", "fact", "dim_customer"))
+def q_dash_sliced_p2(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    s = M.slice_sales(p.fact_sales, dim_customer=p.dim_customer, **PAGE2)
+    return M.measures(s, ["segment", "country"])
+
+
+@register("dash_sliced_p3", O.with_ctes(f"""
+SELECT p.category, p.active, {O.measures_sql('f.')}
+FROM fact f JOIN dim_product p ON f.sku = p.sku
+WHERE p.category IN {O.in_list(PAGE3['categories'])} AND p.active IN {O.in_list(PAGE3['active'])}
+GROUP BY 1, 2""", "fact", "dim_product"))
+def q_dash_sliced_p3(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    s = M.slice_sales(p.fact_sales, dim_product=p.dim_product, **PAGE3)
+    return M.measures(s, ["category", "active"])
+
+
+@register("below_cost_audit", O.with_ctes("""
+SELECT f.order_id, f.order_date, f.channel, f.customer_id, c.name, f.sku, p.category, f.quantity,
+  CAST(f.unit_price AS DOUBLE) AS unit_price, CAST(p.cost AS DOUBLE) AS unit_cost,
+  CAST((p.cost - f.unit_price) * f.quantity AS DOUBLE) AS shortfall
+FROM fact f LEFT JOIN dim_product p ON f.sku = p.sku LEFT JOIN dim_customer c ON f.customer_id = c.customer_id
+WHERE f.is_below_cost""", "fact", "dim_product", "dim_customer"))
+def q_below_cost_audit(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return M.below_cost_audit(p.fact_sales, p.dim_customer, p.dim_product)
+
+
+@register("highlights", O.with_ctes(f"""
+SELECT highlight, label, value FROM (
+  SELECT 'top_channel_revenue' AS highlight, CAST(channel AS VARCHAR) AS label, CAST(v AS DOUBLE) AS value,
+    row_number() OVER (ORDER BY v DESC NULLS LAST, channel ASC NULLS FIRST) AS r
+  FROM (SELECT channel, sum(revenue) AS v FROM fact GROUP BY channel)
+  UNION ALL
+  SELECT 'top_category_margin_pct', category, v,
+    row_number() OVER (ORDER BY v DESC NULLS LAST, category ASC NULLS FIRST)
+  FROM (SELECT p.category, {O.ratio('sum(f.gross_margin)', 'sum(f.revenue)')} AS v
+        FROM fact f JOIN dim_product p ON f.sku = p.sku GROUP BY p.category)
+  UNION ALL
+  SELECT 'top_customer_revenue', customer_id, CAST(v AS DOUBLE),
+    row_number() OVER (ORDER BY v DESC NULLS LAST, customer_id ASC NULLS FIRST)
+  FROM (SELECT f.customer_id, sum(f.revenue) AS v FROM fact f
+        WHERE EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_id = f.customer_id) GROUP BY f.customer_id)
+) WHERE r = 1""", "fact", "dim_product", "dim_customer"))
+def q_highlights(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    return M.highlights(p.fact_sales, p.dim_customer, p.dim_product)

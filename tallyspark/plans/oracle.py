@@ -231,3 +231,40 @@ def with_ctes(body: str, *needed: str) -> str:
         visit(n)
     parts = [f"{n} AS ({CTES[n][1].strip()})" for n in order]
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+
+
+cte("orders_quarantine", ["flagged"], "SELECT * FROM flagged WHERE is_pre_signup")
+
+cte("mart_daily", ["fact"], """
+SELECT date_id, channel, count(DISTINCT order_id) AS orders, coalesce(sum(revenue), 0) AS revenue,
+  coalesce(sum(gross_margin), 0) AS margin, coalesce(sum(quantity), 0) AS units
+FROM fact WHERE date_id IS NOT NULL AND channel IS NOT NULL GROUP BY date_id, channel""")
+
+cte("mart_clv", ["fact", "dim_customer"], """
+SELECT a.*, d.name, d.country, d.segment FROM (
+  SELECT customer_id, count(DISTINCT order_id) AS total_orders, coalesce(sum(revenue), 0) AS total_revenue
+  FROM fact WHERE customer_id IS NOT NULL GROUP BY customer_id) a
+LEFT JOIN dim_customer d ON a.customer_id = d.customer_id""")
+
+cte("mart_prod", ["fact", "dim_product"], """
+SELECT a.*, d.category FROM (
+  SELECT sku, count(DISTINCT order_id) AS total_orders FROM fact WHERE sku IS NOT NULL GROUP BY sku) a
+LEFT JOIN dim_product d ON a.sku = d.sku""")
+
+
+def dup_count_sql(key: str, table: str) -> str:
+    """Rows beyond the first per key, NULL keys forming one group."""
+    return (f"CAST(count(*) - count(DISTINCT {key}) - "
+            f"(CASE WHEN count(*) FILTER (WHERE {key} IS NULL) > 0 THEN 1 ELSE 0 END) AS BIGINT)")
+
+
+def measures_sql(prefix: str = "") -> str:
+    p = prefix
+    return (f"CAST(sum({p}revenue) AS DOUBLE) AS total_revenue, CAST(sum({p}gross_margin) AS DOUBLE) AS total_margin, "
+            f"{ratio(f'sum({p}gross_margin)', f'sum({p}revenue)')} AS margin_pct, "
+            f"{ratio(f'sum({p}revenue)', f'count(DISTINCT {p}order_id)')} AS avg_ticket, "
+            f"count(DISTINCT {p}order_id) AS total_orders")
+
+
+def in_list(values) -> str:
+    return "(" + ", ".join(q(v) if isinstance(v, str) else str(v).lower() for v in values) + ")"
