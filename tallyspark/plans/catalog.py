@@ -669,3 +669,111 @@ SELECT highlight, label, value FROM (
 def q_highlights(spark, sf_dir):
     p = _p(spark, sf_dir)
     return M.highlights(p.fact_sales, p.dim_customer, p.dim_product)
+
+
+# ---------------------------------------------------------------------------
+# J: order intake (batch and stream)
+# ---------------------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from tallyspark.sources import adapter  # noqa: E402
+from tallyspark.streaming import intake as J  # noqa: E402
+
+# Fixture parameters: id patterns of the derived customer/product keys and
+# a fixed "today" so results are reproducible.
+INTAKE_RULES = J.IntakeRules(customer_pattern=O.INTAKE_CUSTOMER_RE, sku_pattern=O.INTAKE_SKU_RE,
+                             as_of=_dt.date.fromisoformat(O.INTAKE_AS_OF))
+_STORE_COLS = ["id", "order_id", "customer_id", "sku", "quantity", "unit_price", "revenue", "order_date", "channel"]
+
+
+def _validated(spark, sf_dir):
+    return J.validate(adapter.intake_candidates(spark, sf_dir), INTAKE_RULES)
+
+
+def _store(spark, sf_dir):
+    accepted, _ = J.accept(_validated(spark, sf_dir))
+    return J.insert(accepted, J.empty_store(spark), _dt.datetime(1970, 1, 1))
+
+
+@register("intake_validate", O.with_ctes("""
+SELECT order_id, customer_id, sku, quantity, CAST(unit_price AS DOUBLE) AS unit_price, order_date, channel,
+  n_errors, is_valid FROM intake_norm""", "intake_norm"))
+def q_intake_validate(spark, sf_dir):
+    v = _validated(spark, sf_dir)
+    return present(v.select("order_id", "customer_id", "sku", "quantity", "unit_price", "order_date", "channel",
+                            F.size("errors").alias("n_errors"), "is_valid"))
+
+
+def _errors_sql() -> str:
+    fields = ["order_id", "customer_id", "sku", "quantity", "unit_price", "order_date", "channel", "revenue"]
+    union = "\n  UNION ALL ".join(f"SELECT '{f}' AS field, e_{f} AS code FROM cand_valid WHERE e_{f} IS NOT NULL"
+                                  for f in fields)
+    msgs = ", ".join(f"({O.q(k)}, {O.q(v)})" for k, v in J.MESSAGES.items())
+    return f"""
+SELECT e.field, e.code, count(*) AS failures, m.message
+FROM ({union}) e JOIN (VALUES {msgs}) m(code, message) ON e.code = m.code
+GROUP BY e.field, e.code, m.message"""
+
+
+@register("intake_errors", O.with_ctes(_errors_sql(), "cand_valid"))
+def q_intake_errors(spark, sf_dir):
+    return J.error_report(_validated(spark, sf_dir))
+
+
+@register("intake_dedupe", O.with_ctes("""
+SELECT order_id, customer_id, sku, quantity, CAST(unit_price AS DOUBLE) AS unit_price, order_date, channel
+FROM intake_accepted""", "intake_accepted"))
+def q_intake_dedupe(spark, sf_dir):
+    accepted, _ = J.accept(_validated(spark, sf_dir))
+    return present(accepted.select("order_id", "customer_id", "sku", "quantity", "unit_price", "order_date",
+                                   "channel"))
+
+
+@register("intake_insert", O.with_ctes(f"SELECT {O.STORE_OUT} FROM intake_store", "intake_store"))
+def q_intake_insert(spark, sf_dir):
+    return J.response(_store(spark, sf_dir)).select(*_STORE_COLS)
+
+
+@register("orders_page", O.with_ctes(
+    f"SELECT {O.STORE_OUT} FROM intake_store WHERE channel = 'retail' ORDER BY id DESC LIMIT 50 OFFSET 10",
+    "intake_store"))
+def q_orders_page(spark, sf_dir):
+    return J.list_orders(_store(spark, sf_dir), limit=50, offset=10, channel="retail").select(*_STORE_COLS)
+
+
+_LOOKUP_KEYS_SQL = "SELECT upper(lower(order_id)) AS k FROM cand WHERE channel = 'export'"
+
+
+def _lookup_keys(spark, sf_dir):
+    c = adapter.intake_candidates(spark, sf_dir)
+    return c.filter(F.col("channel") == "export").select(F.lower("order_id").alias("order_id"))
+
+
+@register("order_lookup", O.with_ctes(
+    f"SELECT {O.STORE_OUT} FROM intake_store s WHERE EXISTS ({_LOOKUP_KEYS_SQL} AND upper(lower(order_id)) = s.order_id)",
+    "intake_store", "cand"))
+def q_order_lookup(spark, sf_dir):
+    return J.get_orders(_store(spark, sf_dir), _lookup_keys(spark, sf_dir)).select(*_STORE_COLS)
+
+
+@register("orders_delete", O.with_ctes(
+    f"SELECT {O.STORE_OUT} FROM intake_store s "
+    f"WHERE NOT EXISTS ({_LOOKUP_KEYS_SQL} AND upper(lower(order_id)) = s.order_id)",
+    "intake_store", "cand"))
+def q_orders_delete(spark, sf_dir):
+    remaining, _ = J.delete_orders(_store(spark, sf_dir), _lookup_keys(spark, sf_dir))
+    return J.response(remaining).select(*_STORE_COLS)
+
+
+@register("intake_stream", O.with_ctes(f"SELECT {O.STORE_OUT} FROM intake_store", "intake_store"))
+def q_intake_stream(spark, sf_dir):
+    """Candidates are dropped as JSON files into a shared folder and consumed
+    by the streaming job; the stored table must equal the batch insert."""
+    from tallyspark.session import scratch_path
+    from tallyspark.streaming.stream import read_store, run_intake_stream
+    base = scratch_path(spark, "intake-stream")
+    src = base + "/incoming"
+    adapter.intake_candidates(spark, sf_dir).write.mode("overwrite").json(src)
+    paths = run_intake_stream(spark, src, base + "/out", INTAKE_RULES, _dt.datetime(1970, 1, 1))
+    return J.response(read_store(spark, paths["store"])).select(*_STORE_COLS)

@@ -268,3 +268,90 @@ def measures_sql(prefix: str = "") -> str:
 
 def in_list(values) -> str:
     return "(" + ", ".join(q(v) if isinstance(v, str) else str(v).lower() for v in values) + ")"
+
+
+# -- order intake ------------------------------------------------------------
+
+INTAKE_CUSTOMER_RE = r"^C[0-9]{7}$"
+INTAKE_SKU_RE = r"^SKU[0-9]{7}$"
+INTAKE_AS_OF = "2026-01-01"
+
+cte("cand", [], f"""
+SELECT
+  CASE WHEN o_orderkey % 53 = 0 THEN '   '
+       WHEN o_orderkey % 59 = 0 THEN 'web-order-too-long-' || CAST(o_orderkey AS VARCHAR)
+       ELSE ' w' || CAST(o_orderkey AS VARCHAR) || ' ' END AS order_id,
+  CASE WHEN o_orderkey % 37 = 0 THEN 'X1' ELSE 'c' || {pad('o_custkey')} END AS customer_id,
+  CASE WHEN o_orderkey % 41 = 0 THEN '' ELSE 'sku' || {pad('o_orderkey % 2000')} END AS sku,
+  CASE WHEN o_orderkey % 13 = 0 THEN '0' WHEN o_orderkey % 17 = 0 THEN 'abc' WHEN o_orderkey % 43 = 0 THEN '9999'
+       ELSE CAST(o_orderkey % 50 + 1 AS VARCHAR) END AS quantity,
+  CASE WHEN o_orderkey % 19 = 0 THEN '100001' WHEN o_orderkey % 43 = 0 THEN '999.99'
+       ELSE CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS VARCHAR) END AS unit_price,
+  CASE WHEN o_orderkey % 23 = 0 THEN '2999-01-01' WHEN o_orderkey % 29 = 0 THEN '1999/01/01'
+       ELSE substr(CAST(o_orderdate AS VARCHAR), 1, 10) END AS order_date,
+  CASE WHEN o_orderkey % 31 = 0 THEN 'fax' WHEN o_orderkey % 2 = 0 THEN ' Retail' ELSE 'ECOMMERCE' END AS channel,
+  1 AS s1, o_orderkey AS s2
+FROM orders
+UNION ALL
+SELECT 'W' || CAST(o_orderkey AS VARCHAR), 'C0000001', 'SKU0000001', '1', '1.00', '1999-01-01', 'export', 2, o_orderkey
+FROM orders WHERE o_orderkey % 47 = 0""")
+
+_QD = f"TRY_CAST({strip('quantity')} AS DECIMAL(38,0))"
+_PD = f"TRY_CAST({strip('unit_price')} AS DECIMAL(38,6))"
+_DD = "CAST(try_strptime(order_date, '%Y-%m-%d') AS DATE)"
+
+cte("cand_codes", ["cand"], f"""
+SELECT *,
+  CASE WHEN order_id IS NULL THEN 'missing'
+       WHEN length(order_id) < 1 OR {strip('order_id')} = '' THEN 'string_too_short'
+       WHEN length(order_id) > 20 THEN 'string_too_long' END AS e_order_id,
+  CASE WHEN customer_id IS NULL THEN 'missing'
+       WHEN NOT regexp_matches(upper({strip('customer_id')}), {q(INTAKE_CUSTOMER_RE)}) THEN 'pattern' END AS e_customer_id,
+  CASE WHEN sku IS NULL THEN 'missing'
+       WHEN NOT regexp_matches(upper({strip('sku')}), {q(INTAKE_SKU_RE)}) THEN 'pattern' END AS e_sku,
+  CASE WHEN quantity IS NULL THEN 'missing'
+       WHEN NOT regexp_matches({strip('quantity')}, '^[-+]?[0-9]+$') OR {_QD} IS NULL THEN 'int_parsing'
+       WHEN {_QD} <= 0 THEN 'greater_than' WHEN {_QD} > 10000 THEN 'less_than_equal' END AS e_quantity,
+  CASE WHEN unit_price IS NULL THEN 'missing'
+       WHEN NOT regexp_matches(unit_price, {q(NUMBER_RE)}) OR {_PD} IS NULL THEN 'float_parsing'
+       WHEN {_PD} <= 0 THEN 'greater_than' WHEN {_PD} > 100000 THEN 'less_than_equal' END AS e_unit_price,
+  CASE WHEN order_date IS NULL OR {strip('order_date')} = '' THEN 'missing'
+       WHEN NOT regexp_matches(order_date, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') OR {_DD} IS NULL THEN 'date_parsing'
+       WHEN {_DD} > DATE '{INTAKE_AS_OF}' THEN 'date_future' END AS e_order_date,
+  CASE WHEN channel IS NULL THEN 'missing'
+       WHEN lower({strip('channel')}) NOT IN ('ecommerce', 'wholesale', 'retail', 'export') THEN 'invalid_choice'
+       END AS e_channel,
+  {_QD} AS q, {_PD} AS p, {_DD} AS d
+FROM cand""")
+
+_FIELD_OK = " AND ".join(f"e_{f} IS NULL" for f in
+                         ["order_id", "customer_id", "sku", "quantity", "unit_price", "order_date", "channel"])
+
+cte("cand_valid", ["cand_codes"], f"""
+SELECT *, (e_revenue IS NULL AND {_FIELD_OK}) AS is_valid,
+  (CASE WHEN e_revenue IS NULL THEN 0 ELSE 1 END
+   + {' + '.join(f'(CASE WHEN e_{f} IS NULL THEN 0 ELSE 1 END)' for f in
+                 ['order_id', 'customer_id', 'sku', 'quantity', 'unit_price', 'order_date', 'channel'])}) AS n_errors
+FROM (SELECT *, CASE WHEN (CASE WHEN {_FIELD_OK} THEN q * p END) > 1000000 THEN 'revenue_anomaly' END AS e_revenue
+      FROM cand_codes)""")
+
+cte("intake_norm", ["cand_valid"], f"""
+SELECT upper({strip('order_id')}) AS order_id, upper({strip('customer_id')}) AS customer_id,
+  upper({strip('sku')}) AS sku,
+  CASE WHEN is_valid THEN CAST(q AS INTEGER) END AS quantity,
+  CASE WHEN is_valid THEN CAST(p AS DECIMAL(18,2)) END AS unit_price,
+  CASE WHEN is_valid THEN d END AS order_date,
+  lower({strip('channel')}) AS channel, n_errors, is_valid, s1, s2
+FROM cand_valid""")
+
+cte("intake_accepted", ["intake_norm"], """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY s1, s2) AS rn FROM intake_norm WHERE is_valid)
+WHERE rn = 1""")
+
+cte("intake_store", ["intake_accepted"], """
+SELECT row_number() OVER (ORDER BY s1, s2) AS id, order_id, customer_id, sku, quantity, unit_price, order_date,
+  channel FROM intake_accepted""")
+
+STORE_OUT = ("id, order_id, customer_id, sku, quantity, CAST(unit_price AS DOUBLE) AS unit_price, "
+             "CAST(quantity * unit_price AS DOUBLE) AS revenue, order_date, channel")
