@@ -777,3 +777,132 @@ def q_intake_stream(spark, sf_dir):
     adapter.intake_candidates(spark, sf_dir).write.mode("overwrite").json(src)
     paths = run_intake_stream(spark, src, base + "/out", INTAKE_RULES, _dt.datetime(1970, 1, 1))
     return J.response(read_store(spark, paths["store"])).select(*_STORE_COLS)
+
+
+# ---------------------------------------------------------------------------
+# A: scans, lineage, publish, refresh, incremental, web merge
+# ---------------------------------------------------------------------------
+
+from tallyspark.functions.hashing import row_hash  # noqa: E402
+from tallyspark.plans import refresh as R  # noqa: E402
+from tallyspark.session import scratch_path  # noqa: E402
+from tallyspark.sources import store as S  # noqa: E402
+from tallyspark.sources.raw import CUSTOMER_COLUMNS, PRODUCT_COLUMNS, scan_csv, to_raw  # noqa: E402
+
+_EPOCH = _dt.datetime(1970, 1, 1)
+
+
+def _adapter_sources(spark, sf_dir):
+    return {"orders": adapter.raw_orders(spark, sf_dir), "customers": adapter.raw_customers(spark, sf_dir),
+            "products": adapter.raw_products(spark, sf_dir)}
+
+
+def _landed_raw(spark, sf_dir, purpose):
+    """Adapter output written as CSV files (the landing zone) and scanned back."""
+    paths = S.land_inputs(_adapter_sources(spark, sf_dir), scratch_path(spark, purpose))
+    return S.scan_landing(spark, paths, _EPOCH)
+
+
+@register("raw_scan", O.with_ctes(f"SELECT {', '.join(ORDER_COLUMNS)} FROM raw_orders", "raw_orders"))
+def q_raw_scan(spark, sf_dir):
+    return _landed_raw(spark, sf_dir, "raw-scan")["orders"].select(*ORDER_COLUMNS)
+
+
+def _lineage_sql() -> str:
+    parts = []
+    for table, cte_name, src, cols in (("raw_orders", "raw_orders", "lineitem.parquet", ORDER_COLUMNS),
+                                       ("raw_customers", "raw_customers", "customer.parquet", CUSTOMER_COLUMNS),
+                                       ("raw_products", "raw_products", "part.parquet", PRODUCT_COLUMNS)):
+        parts.append(f"SELECT '{table}' AS table_name, '{src}' AS _source_file, count(*) AS rows, "
+                     f"count(DISTINCT {O._hash(cols)}) AS distinct_hashes FROM {cte_name}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("raw_lineage", O.with_ctes(_lineage_sql(), "raw_orders", "raw_customers", "raw_products"))
+def q_raw_lineage(spark, sf_dir):
+    p = _p(spark, sf_dir)
+    out = None
+    for name, df in (("raw_orders", p.raw_orders), ("raw_customers", p.raw_customers),
+                     ("raw_products", p.raw_products)):
+        g = df.groupBy("_source_file").agg(F.count(F.lit(1)).alias("rows"),
+                                           F.count_distinct("_row_hash").alias("distinct_hashes"))
+        g = g.select(F.lit(name).alias("table_name"), "_source_file", "rows", "distinct_hashes")
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
+@register("row_hash", O.with_ctes(f"SELECT order_id, {O._hash(ORDER_COLUMNS)} AS _row_hash FROM raw_orders",
+                                  "raw_orders"))
+def q_row_hash(spark, sf_dir):
+    return _p(spark, sf_dir).raw_orders.select("order_id", "_row_hash")
+
+
+@register("publish_roundtrip", ORACLE["fact_sales"])
+def q_publish_roundtrip(spark, sf_dir):
+    raw = _landed_raw(spark, sf_dir, "publish-landing")
+    root = scratch_path(spark, "publish")
+    R.refresh(spark, raw, root, "v1")
+    return present(R.read_published(spark, root, "fact_sales"))
+
+
+@register("refresh_idempotent", O.with_ctes(_LAYER_SQL.replace("AS rows FROM", "AS rows, CAST(0 AS BIGINT) AS diff_rows FROM"),
+                                            "raw_customers", "raw_products", "raw_orders", "stg_orders",
+                                            "orders_quarantine", "dim_date", "mart_daily", "mart_clv", "mart_prod"))
+def q_refresh_idempotent(spark, sf_dir):
+    raw = _landed_raw(spark, sf_dir, "idem-landing")
+    root = scratch_path(spark, "idempotent")
+    R.refresh(spark, raw, root, "run1")
+    R.refresh(spark, raw, root, "run2")
+    out = None
+    for name in R.PUBLISHED:
+        a = R.read_published(spark, root, name, "run1")
+        b = R.read_published(spark, root, name, "run2")
+        row = (a.agg(F.count(F.lit(1)).alias("rows"))
+                .crossJoin(S.table_diff(a, b))
+                .select(F.lit(name).alias("table_name"), "rows", "diff_rows"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+_WEB_EXPORT_SQL = ("SELECT order_id, customer_id, sku, CAST(quantity AS VARCHAR) AS quantity, "
+                   "CAST(unit_price AS VARCHAR) AS unit_price, CAST(order_date AS VARCHAR) AS order_date, channel, "
+                   "id FROM intake_store")
+
+
+@register("web_export", O.with_ctes(
+    f"SELECT {', '.join(ORDER_COLUMNS)} FROM ({_WEB_EXPORT_SQL})", "intake_store"))
+def q_web_export(spark, sf_dir):
+    path = scratch_path(spark, "web-export")
+    S.write_csv(S.web_export(_store(spark, sf_dir)), path)
+    return spark.read.schema(", ".join(f"{c} string" for c in ORDER_COLUMNS)).option("header", True).csv(path)
+
+
+def _web_raw(spark, sf_dir):
+    return S.web_orders_as_raw(spark, _store(spark, sf_dir), scratch_path(spark, "web-landing"), _EPOCH)
+
+
+@register("incremental_append", O.with_ctes(f"""
+SELECT {', '.join(ORDER_COLUMNS)}, h AS _row_hash FROM (
+  SELECT *, row_number() OVER (PARTITION BY h ORDER BY id) AS rn FROM (
+    SELECT *, {O._hash(ORDER_COLUMNS)} AS h FROM ({_WEB_EXPORT_SQL})) w
+  WHERE NOT EXISTS (SELECT 1 FROM raw_orders r WHERE {O._hash(['r.' + c for c in ORDER_COLUMNS])} = w.h))
+WHERE rn = 1""", "intake_store", "raw_orders"))
+def q_incremental_append(spark, sf_dir):
+    hist = _p(spark, sf_dir).raw_orders
+    incoming = S.union_in_order([hist, _web_raw(spark, sf_dir)])
+    return S.incremental_append(hist, incoming).select(*ORDER_COLUMNS, "_row_hash")
+
+
+_STG0_COLS = ["order_id", "customer_id", "sku", "quantity", "unit_price", "order_date", "channel", "is_return",
+              "revenue"]
+
+
+@register("web_merge", O.with_ctes(f"""
+SELECT {_dbl(_STG0_COLS, {'unit_price', 'revenue'})} FROM (
+  SELECT {', '.join(_STG0_COLS)} FROM stg_orders0
+  UNION ALL
+  SELECT order_id, customer_id, sku, quantity, unit_price, order_date, channel, coalesce(quantity < 0, false),
+    quantity * unit_price FROM intake_store)""", "stg_orders0", "intake_store"))
+def q_web_merge(spark, sf_dir):
+    merged = S.union_in_order([_p(spark, sf_dir).raw_orders, _web_raw(spark, sf_dir)])
+    return present(cleaning.stage_orders(merged))

@@ -45,6 +45,20 @@ class Pipeline:
                     run_ts: _dt.datetime = EPOCH) -> "Pipeline":
         return cls(raw_orders, raw_customers, raw_products, run_ts)
 
+    def override(self, **frames: DataFrame) -> "Pipeline":
+        """A copy whose named layers are replaced, e.g. by tables read back
+        from storage, so later layers start from written data."""
+        p = Pipeline(self.raw_orders, self.raw_customers, self.raw_products, self.run_ts)
+        for k, v in self.__dict__.items():
+            if k not in ("raw_orders", "raw_customers", "raw_products", "run_ts"):
+                p.__dict__[k] = v
+        for name, df in frames.items():
+            if name in ("raw_orders", "raw_customers", "raw_products"):
+                setattr(p, name, df)
+            else:
+                p.__dict__[name] = df
+        return p
+
     # -- staging ------------------------------------------------------------
     @cached_property
     def stg_customers(self) -> DataFrame:
