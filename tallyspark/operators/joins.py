@@ -3,22 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def null_safe_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``left ⟕ right`` on ``key`` where NULL matches NULL (pandas merge).
 
-    ``right`` must be unique on ``key`` (a deduped dimension).  The NULL-key
-    rows are joined apart: in a shuffled join every NULL key would meet in
-    one task, and a NULL key can be a large share of the facts.  The right
-    side's NULL-key part holds at most one row (unique key), so it is
-    broadcast.  Non-NULL keys use a plain equi-join that AQE turns into a
-    broadcast join when the dimension is small and splits when a key is hot.
+    ``right`` must be unique on ``key`` (a deduped dimension), so no left row
+    is multiplied.  Catalyst plans ``<=>`` as an equi-join on
+    (coalesce(key), isnull(key)): a broadcast hash join when the dimension is
+    small (AQE measures it at run time), otherwise a sort-merge join.  In the
+    sort-merge case every NULL key lands in one partition; AQE's skew-join
+    rule splits that partition of the left (streamed) side across tasks and
+    replicates the matching right rows, which for the NULL key is at most one
+    row.  One join instead of a NULL / non-NULL split keeps the left input
+    computed once.
     """
-    k = F.col(key)
     right_cols = [c for c in right.columns if c != key]
-    nonnull = left.filter(k.isNotNull()).join(right.filter(k.isNotNull()), on=key, how="left")
-    right_null = right.filter(k.isNull()).select(*right_cols)
-    nulls = left.filter(k.isNull()).join(F.broadcast(right_null), on=F.lit(True), how="left")
-    return nonnull.unionByName(nulls.select(*nonnull.columns))
+    r = right.withColumnRenamed(key, "_rk")
+    joined = left.join(r, left[key].eqNullSafe(r["_rk"]), "left")
+    return joined.select(*left.columns, *right_cols)

@@ -13,14 +13,13 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.functions.numeric import money
 from tallyspark.functions.parse import NUMBER_RE
 from tallyspark.functions.text import strip_ws
-from tallyspark.operators.dedupe import keep_first
 from tallyspark.operators.sequence import with_sequence
 
 # Accepted sales channels and field limits of the order form.
@@ -74,38 +73,48 @@ class IntakeRules:
     channels: tuple[str, ...] = tuple(VALID_CHANNELS)
 
 
+def _normalise(candidates: DataFrame) -> DataFrame:
+    """Trimmed / case-folded / typed values next to the raw strings."""
+    return candidates.select(
+        "*",
+        F.upper(strip_ws(F.col("order_id"))).alias("_order_id"),
+        F.upper(strip_ws(F.col("customer_id"))).alias("_customer_id"),
+        F.upper(strip_ws(F.col("sku"))).alias("_sku"),
+        strip_ws(F.col("quantity")).alias("_qs"),
+        strip_ws(F.col("unit_price")).alias("_ps"),
+        F.lower(strip_ws(F.col("channel"))).alias("_channel"),
+    ).select(
+        "*",
+        F.col("_qs").try_cast("decimal(38,0)").alias("_q"),
+        F.col("_ps").try_cast("decimal(38,6)").alias("_p"),
+        F.when(F.col("order_date").rlike(ISO_DATE_RE), F.try_to_date(F.col("order_date"), "yyyy-MM-dd")).alias("_d"),
+    )
+
+
 def _codes(rules: IntakeRules) -> dict[str, Column]:
-    """One error code (or NULL) per field."""
-    oid = F.col("order_id")
-    cid = F.upper(strip_ws(F.col("customer_id")))
-    sku = F.upper(strip_ws(F.col("sku")))
-    qs = strip_ws(F.col("quantity"))
-    qd = qs.try_cast("decimal(38,0)")
-    ps = strip_ws(F.col("unit_price"))
-    pd_ = ps.try_cast("decimal(38,6)")
-    ds = F.col("order_date")
-    dd = F.try_to_date(ds, "yyyy-MM-dd")
-    ch = F.lower(strip_ws(F.col("channel")))
+    """One error code (or NULL) per field, over the normalised columns."""
+    oid, ds = F.col("order_id"), F.col("order_date")
+    q, p, d = F.col("_q"), F.col("_p"), F.col("_d")
     return {
         "order_id": (F.when(oid.isNull(), "missing")
-                     .when((F.length(oid) < 1) | (strip_ws(oid) == ""), "string_too_short")
+                     .when((F.length(oid) < 1) | (F.col("_order_id") == ""), "string_too_short")
                      .when(F.length(oid) > ORDER_ID_MAX_LEN, "string_too_long")),
-        "customer_id": F.when(F.col("customer_id").isNull(), "missing").when(~cid.rlike(rules.customer_pattern),
-                                                                               "pattern"),
-        "sku": F.when(F.col("sku").isNull(), "missing").when(~sku.rlike(rules.sku_pattern), "pattern"),
+        "customer_id": F.when(F.col("customer_id").isNull(), "missing")
+                        .when(~F.col("_customer_id").rlike(rules.customer_pattern), "pattern"),
+        "sku": F.when(F.col("sku").isNull(), "missing").when(~F.col("_sku").rlike(rules.sku_pattern), "pattern"),
         "quantity": (F.when(F.col("quantity").isNull(), "missing")
-                     .when(~qs.rlike(INT_RE) | qd.isNull(), "int_parsing")
-                     .when(qd <= 0, "greater_than")
-                     .when(qd > QUANTITY_MAX, "less_than_equal")),
+                     .when(~F.col("_qs").rlike(INT_RE) | q.isNull(), "int_parsing")
+                     .when(q <= 0, "greater_than")
+                     .when(q > QUANTITY_MAX, "less_than_equal")),
         "unit_price": (F.when(F.col("unit_price").isNull(), "missing")
-                       .when(~ps.rlike(NUMBER_RE) | pd_.isNull(), "float_parsing")
-                       .when(pd_ <= 0, "greater_than")
-                       .when(pd_ > UNIT_PRICE_MAX, "less_than_equal")),
+                       .when(~F.col("_ps").rlike(NUMBER_RE) | p.isNull(), "float_parsing")
+                       .when(p <= 0, "greater_than")
+                       .when(p > UNIT_PRICE_MAX, "less_than_equal")),
         "order_date": (F.when(ds.isNull() | (strip_ws(ds) == ""), "missing")
-                       .when(~ds.rlike(ISO_DATE_RE) | dd.isNull(), "date_parsing")
-                       .when(dd > F.lit(rules.as_of), "date_future")),
-        "channel": F.when(F.col("channel").isNull(), "missing").when(~ch.isin(list(rules.channels)),
-                                                                      "invalid_choice"),
+                       .when(d.isNull(), "date_parsing")
+                       .when(d > F.lit(rules.as_of), "date_future")),
+        "channel": F.when(F.col("channel").isNull(), "missing")
+                    .when(~F.col("_channel").isin(list(rules.channels)), "invalid_choice"),
     }
 
 
@@ -113,20 +122,11 @@ def validate(candidates: DataFrame, rules: IntakeRules) -> DataFrame:
     """Normalised fields, ``errors`` and ``is_valid`` for every candidate.
 
     The revenue guard (quantity × price ≤ 1,000,000) runs only when every
-    field is valid, as a model-level check does.
+    field is valid, as a model-level check does.  Built as successive
+    projections so each check is evaluated once per row.
     """
     codes = _codes(rules)
-    staged = candidates.select(
-        "*",
-        *[codes[f].alias(f"_e_{f}") for f in FIELDS],
-        F.upper(strip_ws(F.col("order_id"))).alias("_order_id"),
-        F.upper(strip_ws(F.col("customer_id"))).alias("_customer_id"),
-        F.upper(strip_ws(F.col("sku"))).alias("_sku"),
-        strip_ws(F.col("quantity")).try_cast("decimal(38,0)").alias("_q"),
-        strip_ws(F.col("unit_price")).try_cast("decimal(38,6)").alias("_p"),
-        F.try_to_date(F.col("order_date"), "yyyy-MM-dd").alias("_d"),
-        F.lower(strip_ws(F.col("channel"))).alias("_channel"),
-    )
+    coded = _normalise(candidates).select("*", *[codes[f].alias(f"_e_{f}") for f in FIELDS])
     fields_ok = F.lit(True)
     for f in FIELDS:
         fields_ok = fields_ok & F.col(f"_e_{f}").isNull()
@@ -135,10 +135,11 @@ def validate(candidates: DataFrame, rules: IntakeRules) -> DataFrame:
     errs = [F.when(F.col(f"_e_{f}").isNotNull(), F.struct(F.lit(f).alias("field"), F.col(f"_e_{f}").alias("code")))
             for f in FIELDS]
     errs.append(F.when(revenue_code.isNotNull(), F.struct(F.lit("revenue").alias("field"), revenue_code.alias("code"))))
-    errors = F.array_compact(F.array(*errs))
-    ok = F.size(errors) == 0
+    with_errors = coded.select("*", F.array_compact(F.array(*errs)).alias("_errors"))
+    checked = with_errors.select("*", (F.size("_errors") == 0).alias("_ok"))
+    ok = F.col("_ok")
     extra = [c for c in candidates.columns if c.startswith("_")]
-    return staged.select(
+    return checked.select(
         F.col("_order_id").alias("order_id"),
         F.col("_customer_id").alias("customer_id"),
         F.col("_sku").alias("sku"),
@@ -146,7 +147,7 @@ def validate(candidates: DataFrame, rules: IntakeRules) -> DataFrame:
         F.when(ok, F.col("_p").cast("decimal(18,2)")).alias("unit_price"),
         F.when(ok, F.col("_d")).alias("order_date"),
         F.col("_channel").alias("channel"),
-        errors.alias("errors"),
+        F.col("_errors").alias("errors"),
         ok.alias("is_valid"),
         *extra,
     )
@@ -163,17 +164,22 @@ def accept(validated: DataFrame, store: DataFrame | None = None, order: str = "_
     """(accepted, conflicts): the first valid submission of each order id
     that is not already stored; later or already-stored ones are conflicts.
 
-    Uniqueness is an anti-join against the stored ids (not stream state), so
-    the key set may grow without bound.
+    Valid rows are ranked first inside each id, so ``is_valid`` is tested
+    above the window: a plain ``filter(is_valid)`` would be pushed below the
+    projections and evaluate the whole error expression twice.  Uniqueness
+    is an anti-join against the stored ids (not stream state), so the key
+    set may grow without bound.
     """
-    valid = validated.filter("is_valid")
-    first = keep_first(valid, "order_id", order)
+    w = Window.partitionBy("order_id").orderBy(F.col("is_valid").desc(), F.col(order).asc())
+    ranked = validated.withColumn("_rn", F.row_number().over(w))
+    first = ranked.filter(F.col("is_valid") & (F.col("_rn") == 1)).drop("_rn")
+    later = ranked.filter(F.col("is_valid") & (F.col("_rn") > 1)).drop("_rn")
     if store is not None:
         known = store.select("order_id")
         accepted = first.join(known, "order_id", "left_anti")
+        conflicts = later.unionByName(first.join(known, "order_id", "left_semi"))
     else:
-        accepted = first
-    conflicts = valid.join(accepted.select("order_id", order), ["order_id", order], "left_anti")
+        accepted, conflicts = first, later
     conflicts = conflicts.withColumn("errors", F.array(F.struct(F.lit("order_id").alias("field"),
                                                                 F.lit("duplicate").alias("code"))))
     return accepted, conflicts
