@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators.cleaning import ORDER_STAGE_COLUMNS
@@ -24,11 +24,17 @@ from tallyspark.plans.pipeline import EPOCH, Pipeline
 POINTER = "_current"
 
 
-def _stage(spark: SparkSession, df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
-    w = df.write.mode("overwrite")
+def _stage(spark: SparkSession, df: DataFrame, path: str, partition_by: str | None = None,
+           counts: dict | None = None, name: str | None = None) -> DataFrame:
+    """Write ``df`` and read it back.  The row count is observed while the
+    write runs (no second pass over the data)."""
+    obs = Observation(name or path)
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
+    if counts is not None and name and not name.startswith("_"):
+        counts[name] = obs.get["rows"]
     return spark.read.parquet(path)
 
 
@@ -37,11 +43,13 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
 
 
 def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version: str,
-            run_ts: _dt.datetime = EPOCH) -> str:
+            run_ts: _dt.datetime = EPOCH) -> dict[str, int]:
     """Write all layers of ``raw`` (keys orders/customers/products) into
-    ``root/version`` and publish that version.  Returns the version folder."""
+    ``root/version`` and publish that version.  Returns the row count of
+    every published table, observed during the writes (the run log)."""
     vdir = f"{root}/{version}"
-    st = lambda name, df, part=None: _stage(spark, df, f"{vdir}/{name}", part)
+    counts: dict[str, int] = {}
+    st = lambda name, df, part=None: _stage(spark, df, f"{vdir}/{name}", part, counts, name)
 
     p = Pipeline(st("raw_orders", raw["orders"]), st("raw_customers", raw["customers"]),
                  st("raw_products", raw["products"]), run_ts)
@@ -66,7 +74,7 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version:
 
     (spark.createDataFrame([(version,)], "version string").coalesce(1)
           .write.mode("overwrite").text(f"{root}/{POINTER}"))
-    return vdir
+    return counts
 
 
 PUBLISHED = ["raw_customers", "raw_products", "raw_orders", "stg_customers", "stg_products", "stg_orders",

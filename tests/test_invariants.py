@@ -52,8 +52,10 @@ def test_refresh_is_idempotent_and_published_kpis_match(spark):
     p = Pipeline.from_tables(spark, SF_SMALL)
     raw = {"orders": p.raw_orders, "customers": p.raw_customers, "products": p.raw_products}
     root = scratch_path(spark, "test-refresh")
-    R.refresh(spark, raw, root, "a")
+    counts = R.refresh(spark, raw, root, "a")
     R.refresh(spark, raw, root, "b")
+    assert set(counts) == set(R.PUBLISHED)
+    assert counts["fact_sales"] == p.fact_sales.count() and counts["raw_orders"] == p.raw_orders.count()
     assert R.current_version(spark, root) == "b"
     for name in R.PUBLISHED:
         a = R.read_published(spark, root, name, "a")
