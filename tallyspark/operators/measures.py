@@ -121,8 +121,9 @@ def highlights(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFrame)
     """Leading channel by revenue, best category by margin %, best
     customer by revenue."""
     ch = fact.groupBy("channel").agg(total_revenue().alias("_v"))
-    cat = (fact.join(dim_product.select("sku", "category"), "sku", "inner")
-               .groupBy("category").agg(ratio(total_margin(), total_revenue()).alias("_v")))
+    per_sku = fact.groupBy("sku").agg(total_revenue().alias("_r"), total_margin().alias("_m"))
+    cat = (per_sku.join(dim_product.select("sku", "category"), "sku", "inner")
+                  .groupBy("category").agg(ratio(F.sum("_m"), F.sum("_r")).alias("_v")))
     cu = (fact.groupBy("customer_id").agg(total_revenue().alias("_v"))
               .join(dim_customer.select("customer_id"), "customer_id", "inner"))
     return (_best(ch, "channel", "_v", "top_channel_revenue")

@@ -91,10 +91,22 @@ def kpi_channel(fact: DataFrame) -> DataFrame:
 
 
 # G4
+def _per_key(fact: DataFrame, key: str, *extra) -> DataFrame:
+    """Partial result per dimension key, before the dimension join.
+
+    Dimension keys are unique, so joining per-key partials and summing them
+    per attribute equals joining the fact rows first; the fact is reduced
+    map-side instead of being shuffled row by row into the join.  The inner
+    join still drops NULL and orphan keys exactly as the row-level join does.
+    """
+    return fact.groupBy(key).agg(*_sales_aggs(), *extra)
+
+
 def kpi_category(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
-    j = fact.join(dim_product.select("sku", "category"), "sku", "inner")
-    g = j.groupBy("category").agg(*_sales_aggs(), F.sum("unit_price").alias("_ps"),
-                                  F.count("unit_price").alias("_pn"))
+    per = _per_key(fact, "sku", F.sum("unit_price").alias("_ps"), F.count("unit_price").alias("_pn"))
+    j = per.join(dim_product.select("sku", "category"), "sku", "inner")
+    g = j.groupBy("category").agg(F.sum("orders").alias("orders"), F.sum("_rev").alias("_rev"),
+                                  F.sum("_mar").alias("_mar"), F.sum("_ps").alias("_ps"), F.sum("_pn").alias("_pn"))
     return g.select(
         "category", "orders",
         money("_rev").alias("revenue"), money("_mar").alias("margin"),
@@ -135,9 +147,16 @@ def kpi_top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> Da
 
 
 # G7
+def _by_customer_attribute(fact: DataFrame, dim_customer: DataFrame, attr: str) -> DataFrame:
+    per = _per_key(fact, "customer_id")
+    j = per.join(dim_customer.select("customer_id", attr), "customer_id", "inner")
+    # one row per customer after the join: counting rows counts distinct customers
+    return j.groupBy(attr).agg(F.sum("orders").alias("orders"), F.count("customer_id").alias("customers"),
+                               F.sum("_rev").alias("_rev"), F.sum("_mar").alias("_mar"))
+
+
 def kpi_country(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    j = fact.join(dim_customer.select("customer_id", "country"), "customer_id", "inner")
-    g = j.groupBy("country").agg(*_sales_aggs(), F.count_distinct("customer_id").alias("customers"))
+    g = _by_customer_attribute(fact, dim_customer, "country")
     return g.select(
         "country", "orders", "customers",
         money("_rev").alias("revenue"), money("_mar").alias("margin"),
@@ -146,8 +165,7 @@ def kpi_country(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
 
 # G8
 def kpi_segment(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    j = fact.join(dim_customer.select("customer_id", "segment"), "customer_id", "inner")
-    g = j.groupBy("segment").agg(*_sales_aggs(), F.count_distinct("customer_id").alias("customers"))
+    g = _by_customer_attribute(fact, dim_customer, "segment")
     return g.select(
         "segment", "customers", "orders",
         money("_rev").alias("revenue"), money("_mar").alias("margin"),
@@ -178,10 +196,11 @@ def kpi_quarterly(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 def kpi_active_status(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Grouped by the stored flag, labelled afterwards: NULL and false are
     two separate 'Inactive' rows, as in the reference."""
-    j = fact.join(dim_product.select("sku", "active"), "sku", "inner")
+    per = _per_key(fact, "sku")
+    j = per.join(dim_product.select("sku", "active"), "sku", "inner")
     g = j.groupBy("active").agg(
-        F.count_distinct("sku").alias("skus"), order_count().alias("orders"),
-        F.sum("revenue").alias("_rev"), F.sum("gross_margin").alias("_mar"))
+        F.count("sku").alias("skus"), F.sum("orders").alias("orders"),
+        F.sum("_rev").alias("_rev"), F.sum("_mar").alias("_mar"))
     return g.select(
         F.when(F.col("active"), F.lit("Active")).otherwise(F.lit("Inactive")).alias("product_status"),
         "skus", "orders", money("_rev").alias("revenue"), money("_mar").alias("margin"))

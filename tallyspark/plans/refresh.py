@@ -104,3 +104,12 @@ def published_pipeline(spark: SparkSession, root: str, version: str | None = Non
                       fact_sales=rd("fact_sales"), mart_daily_channel=rd("mart_monthly_summary"),
                       mart_customer_lifetime=rd("mart_customer_lifetime"),
                       mart_product_performance=rd("mart_product_performance"))
+
+
+def register_views(spark: SparkSession, root: str, version: str | None = None) -> list[str]:
+    """Expose the published tables as temporary views for ``spark.sql``
+    (the BI/SQL client path).  Returns the view names."""
+    v = version or current_version(spark, root)
+    for name in PUBLISHED:
+        read_published(spark, root, name, v).createOrReplaceTempView(name)
+    return list(PUBLISHED)

@@ -47,11 +47,19 @@ def incremental_append(existing_raw: DataFrame, incoming_raw: DataFrame) -> Data
     """Rows of ``incoming_raw`` whose business fingerprint is not loaded yet,
     first occurrence per fingerprint within the batch (for ``mode=append``).
 
+    The loaded history grows with every load, the batch does not.  So the
+    history is first cut down to the batch's fingerprints with a semi-join
+    (a broadcast of the batch's distinct hashes when AQE finds them small,
+    filtering the history scan map-side), and only that remainder meets the
+    batch in the anti-join; the whole history is never shuffled.
+
     The fingerprint covers business columns only; the reference's also
     covers the load time, which changes every run and so never matches.
     """
     from tallyspark.operators.dedupe import keep_first
-    new = incoming_raw.join(existing_raw.select("_row_hash").distinct(), "_row_hash", "left_anti")
+    batch_hashes = incoming_raw.select("_row_hash").distinct()
+    seen = existing_raw.select("_row_hash").join(batch_hashes, "_row_hash", "left_semi")
+    new = incoming_raw.join(seen, "_row_hash", "left_anti")
     return keep_first(new, "_row_hash")
 
 
