@@ -64,11 +64,8 @@ def _typed_products(raw: DataFrame) -> DataFrame:
 def stage_products(raw: DataFrame) -> DataFrame:
     """Dedupe, fill category, cost to number, |cost|, NULL cost -> exact median."""
     typed = _typed_products(raw)
-    med = exact_median(typed, "cost", out="_median").select(F.col("_median").cast(MONEY).alias("_median"))
-    return (typed.crossJoin(F.broadcast(med))
-                 .select("sku", "category",
-                         F.coalesce(F.col("cost"), F.col("_median")).cast(MONEY).alias("cost"),
-                         "active"))
+    med = exact_median(typed, "cost", out="_median").select(F.col("_median").cast(MONEY)).scalar()
+    return typed.select("sku", "category", F.coalesce(F.col("cost"), med).cast(MONEY).alias("cost"), "active")
 
 
 # -- orders (B18) ----------------------------------------------------------------

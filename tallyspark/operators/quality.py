@@ -17,10 +17,14 @@ from tallyspark.operators.cleaning import typed_orders
 from tallyspark.operators.dedupe import duplicate_count, keep_first
 
 
-def _raw_counts(raw: DataFrame, key: str, dup_name: str) -> DataFrame:
-    rows = raw.agg(F.count(F.lit(1)).alias("raw_rows"))
-    dups = duplicate_count(raw, key).withColumnRenamed("duplicates", dup_name)
-    return rows.crossJoin(dups)
+def _with_raw_counts(after: DataFrame, raw: DataFrame, key: str, dup_name: str) -> DataFrame:
+    """Prefix ``after`` (one row) with raw_rows and duplicates, taken from one
+    keyed aggregate of the raw table evaluated as a scalar subquery."""
+    per_key = raw.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    s = per_key.agg(F.struct(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("r"),
+                             F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("d"))).scalar()
+    return (after.select("*", s.alias("_rc"))
+                 .select(F.col("_rc.r").alias("raw_rows"), F.col("_rc.d").alias(dup_name), *after.columns))
 
 
 def dq_customers(raw_customers: DataFrame) -> DataFrame:
@@ -30,7 +34,7 @@ def dq_customers(raw_customers: DataFrame) -> DataFrame:
         F.count_if(F.col("segment").isNull()).alias("null_segment"),
         F.count_if(to_date_lenient("created_at").isNull()).alias("invalid_created_at"),
         F.count(F.lit(1)).alias("staged_rows"))
-    return _raw_counts(raw_customers, "customer_id", "duplicate_customer_id").crossJoin(after)
+    return _with_raw_counts(after, raw_customers, "customer_id", "duplicate_customer_id")
 
 
 def dq_products(raw_products: DataFrame) -> DataFrame:
@@ -41,7 +45,7 @@ def dq_products(raw_products: DataFrame) -> DataFrame:
         F.count_if(cost < 0).alias("negative_cost"),
         F.count_if(cost.isNull()).alias("null_cost"),
         F.count(F.lit(1)).alias("staged_rows"))
-    return _raw_counts(raw_products, "sku", "duplicate_sku").crossJoin(after)
+    return _with_raw_counts(after, raw_products, "sku", "duplicate_sku")
 
 
 def dq_orders(raw_orders: DataFrame) -> DataFrame:
@@ -54,7 +58,7 @@ def dq_orders(raw_orders: DataFrame) -> DataFrame:
         F.count_if(dated & (F.col("quantity") < 0)).alias("negative_quantity"),
         F.count_if(dated & F.col("unit_price").isNull()).alias("null_unit_price"),
         F.count_if(dated & F.col("unit_price").isNotNull()).alias("staged_rows"))
-    return _raw_counts(raw_orders, "order_id", "duplicate_order_id").crossJoin(after)
+    return _with_raw_counts(after, raw_orders, "order_id", "duplicate_order_id")
 
 
 def _flag_counts(df: DataFrame, scope: str) -> DataFrame:
@@ -76,11 +80,13 @@ def dq_waterfall(raw_orders: DataFrame, stg_orders: DataFrame, fact: DataFrame)
     """raw − duplicates − bad dates − no price = staging − returns = fact,
     then the flag shares of the fact, as one long table."""
     d = dq_orders(raw_orders).select("raw_rows", "duplicate_order_id", "invalid_order_date", "null_unit_price")
-    s = stg_orders.agg(F.count(F.lit(1)).alias("stg_rows"), F.count_if("is_return").alias("returns"),
-                       F.count_if("is_pre_signup").alias("quarantined"))
-    f = fact.agg(F.count(F.lit(1)).alias("fact_rows"), F.count_if("is_pre_signup").alias("f_pre"),
-                 F.count_if("is_inactive_sale").alias("f_inactive"), F.count_if("is_below_cost").alias("f_below"))
-    wide = d.crossJoin(s).crossJoin(f)
+    s = stg_orders.agg(F.struct(F.count(F.lit(1)).alias("stg_rows"), F.count_if("is_return").alias("returns"),
+                                F.count_if("is_pre_signup").alias("quarantined"))).scalar()
+    f = fact.agg(F.struct(F.count(F.lit(1)).alias("fact_rows"), F.count_if("is_pre_signup").alias("f_pre"),
+                          F.count_if("is_inactive_sale").alias("f_inactive"),
+                          F.count_if("is_below_cost").alias("f_below"))).scalar()
+    wide = (d.select("*", s.alias("_s"), f.alias("_f"))
+             .select(*d.columns, "_s.*", "_f.*"))
     steps = [
         (1, "raw_orders", F.col("raw_rows"), None),
         (2, "duplicate_order_id", -F.col("duplicate_order_id"), None),

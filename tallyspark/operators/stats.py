@@ -16,9 +16,10 @@ def exact_median(df: DataFrame, col: str, out: str = "median",
     ``(a + b) * 0.5`` in the column's own type, so DECIMAL input stays exact.
 
     Plan, all distributed:
-      1. one aggregate: n and approximate quantiles at 0.5 ± band/accuracy
-         (GK sketch, rank error <= n/accuracy, so the band is 10x wider than
-         the error and always holds the two middle ranks);
+      1. one aggregate, used as a scalar subquery: n and approximate
+         quantiles at 0.5 ± band/accuracy (GK sketch, rank error <=
+         n/accuracy, so the band is 10x wider than the error and always holds
+         the two middle ranks);
       2. one keyed aggregate: rows below the band, rows above it, and the
          distinct values inside it with their counts;
       3. a running count over that small result finds the values at ranks
@@ -33,11 +34,12 @@ def exact_median(df: DataFrame, col: str, out: str = "median",
     stats = vals.agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", [max(0.5 - d, 0.0), min(0.5 + d, 1.0)], accuracy).alias("_q"),
-    ).select("_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
-
-    tagged = vals.crossJoin(F.broadcast(stats))
-    zone = F.when(v < F.col("_lo"), F.lit(0)).when(v > F.col("_hi"), F.lit(2)).otherwise(F.lit(1))
-    hist = (tagged.groupBy(zone.alias("_zone"), F.when(zone == 1, v).alias("_bv"), "_n")
+    ).select(F.struct("_n", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))).scalar()
+    # the scalar is projected once; its fields are read from that column
+    tagged = vals.select("_v", stats.alias("_s"))
+    lo, hi = F.col("_s._lo"), F.col("_s._hi")
+    zone = F.when(v < lo, F.lit(0)).when(v > hi, F.lit(2)).otherwise(F.lit(1))
+    hist = (tagged.groupBy(zone.alias("_zone"), F.when(zone == 1, v).alias("_bv"), F.col("_s._n").alias("_n"))
                   .agg(F.count(F.lit(1)).alias("_c")))
     w = Window.orderBy("_zone", "_bv").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = hist.withColumn("_end", F.sum("_c").over(w)).withColumn("_start", F.col("_end") - F.col("_c"))

@@ -384,8 +384,7 @@ def q_impute_median(spark, sf_dir):
     typed = cleaning._typed_products(_p(spark, sf_dir).raw_products)
     med = exact_median(typed, "cost", out="median_cost").select(F.col("median_cost").cast("decimal(18,2)").cast("double")
                                                                  .alias("median_cost"))
-    n = typed.agg(F.count_if(F.col("cost").isNull()).alias("imputed_rows"))
-    return med.crossJoin(n)
+    return med.withColumn("imputed_rows", typed.agg(F.count_if(F.col("cost").isNull())).scalar())
 
 
 @register("map_boolean", O.with_ctes("""
@@ -857,9 +856,8 @@ def q_refresh_idempotent(spark, sf_dir):
     for name in R.PUBLISHED:
         a = R.read_published(spark, root, name, "run1")
         b = R.read_published(spark, root, name, "run2")
-        row = (a.agg(F.count(F.lit(1)).alias("rows"))
-                .crossJoin(S.table_diff(a, b))
-                .select(F.lit(name).alias("table_name"), "rows", "diff_rows"))
+        row = S.table_diff(a, b).select(F.lit(name).alias("table_name"),
+                                        a.agg(F.count(F.lit(1))).scalar().alias("rows"), "diff_rows")
         out = row if out is None else out.unionByName(row)
     return out
 

@@ -3,7 +3,7 @@
 Each takes the fact (and the dimensions it joins) and returns the result
 set.  Money is summed exactly in DECIMAL and returned as DOUBLE; ratios are
 DOUBLE, rounded half away from zero.  Grand totals used for shares are a
-one-row aggregate joined back by broadcast (never ``SUM() OVER ()``, which
+scalar subquery over the grouped result (never ``SUM() OVER ()``, which
 moves every group into one task), and top-k ranks are filtered straight
 after the ``rank()`` so Spark plans a partial WindowGroupLimit.
 """
@@ -26,8 +26,10 @@ def _sales_aggs(prefix_orders: str = "orders"):
 
 
 def _with_share(df: DataFrame, digits: int, out: str = "revenue_share_pct") -> DataFrame:
-    total = df.agg(F.sum("_rev").alias("_total"))
-    return df.crossJoin(F.broadcast(total)).withColumn(out, pct("_rev", "_total", digits)).drop("_total")
+    """Share of the grand total; the total is a scalar subquery (one
+    aggregate, evaluated once), not a window over all groups."""
+    total = df.agg(F.sum("_rev")).scalar()
+    return df.withColumn(out, pct("_rev", total, digits))
 
 
 # G1
@@ -125,8 +127,8 @@ def kpi_top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = 10) ->
     per = fact.groupBy("customer_id").agg(*_sales_aggs())
     dims = dim_customer.select("customer_id", "name", "country", "segment")
     g = per.join(dims, "customer_id", "inner")
-    total = g.agg(F.sum("_rev").alias("_total"))
-    top = _top_by_revenue(g, k).crossJoin(F.broadcast(total))
+    total = g.agg(F.sum("_rev")).scalar()
+    top = _top_by_revenue(g, k).withColumn("_total", total)
     return top.select(
         "customer_id", "name", "country", "segment", "orders",
         money("_rev").alias("revenue"), money("_mar").alias("margin"),

@@ -191,7 +191,7 @@ def insert(accepted: DataFrame, store: DataFrame | None, created_at: _dt.datetim
     order; ``created_at`` is the batch time (one value per run)."""
     start = None
     if store is not None:
-        start = store.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint").alias("_start"))
+        start = store.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()
     rows = with_sequence(accepted, [order], "id", start)
     return rows.select("id", "order_id", "customer_id", "sku", "quantity", "unit_price", "order_date", "channel",
                        F.lit(created_at).cast("timestamp").alias("created_at"))
