@@ -22,12 +22,33 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a large cluster (hundreds of TB, ~1000 executors): many shuffle
+# partitions that AQE coalesces to ~256 MB each, 512 MB input splits, skew
+# splitting from 512 MB, broadcasts only of dimensions AQE measured under
+# 64 MB.  Passed with ``get_spark(profile="cluster")``; a cluster's own
+# settings (``spark-defaults``) win where they are set.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+}
+
+
 def get_spark(master: str | None = None, app: str = "tallyspark",
-              shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, extra: dict | None = None,
+              profile: str | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

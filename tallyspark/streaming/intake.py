@@ -175,7 +175,8 @@ def accept(validated: DataFrame, store: DataFrame | None = None, order: str = "_
     first = ranked.filter(F.col("is_valid") & (F.col("_rn") == 1)).drop("_rn")
     later = ranked.filter(F.col("is_valid") & (F.col("_rn") > 1)).drop("_rn")
     if store is not None:
-        known = store.select("order_id")
+        # the stored table only grows: cut it to this batch's ids first
+        known = store.select("order_id").join(first.select("order_id"), "order_id", "left_semi")
         accepted = first.join(known, "order_id", "left_anti")
         conflicts = later.unionByName(first.join(known, "order_id", "left_semi"))
     else:
