@@ -64,8 +64,9 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version:
     p = p.override(dim_customer=st("dim_customer", p.dim_customer), dim_product=st("dim_product", p.dim_product))
     st("dim_date", p.dim_date)
     # Range-sorted on the date first so each write task covers few years and
-    # the year folders get few files; date slices then prune folders.
-    fact = p.fact_sales.withColumn("year", F.year("order_date")).repartitionByRange("order_date")
+    # the year folders get few files; date slices then prune folders.  The
+    # order id as a second range key lets a hot date span several tasks.
+    fact = p.fact_sales.withColumn("year", F.year("order_date")).repartitionByRange("order_date", "order_id")
     st("fact_sales", fact, "year")
     p = p.override(fact_sales=read_fact(spark, f"{vdir}/fact_sales"))
     st("mart_monthly_summary", p.mart_daily_channel)
