@@ -107,31 +107,31 @@ FROM raw_orders_src""")
 
 cte("raw_customers_src", [], f"""
 SELECT 'C' || {pad('c_custkey')} AS customer_id,
-  ' ' || c_name || ' ' AS name,
-  CASE WHEN c_custkey % 40 = 3 THEN NULL WHEN c_custkey % 3 = 0 THEN lower(n_name) ELSE ' ' || n_name END AS country,
-  CASE WHEN c_custkey % 41 = 5 THEN NULL WHEN c_mktsegment = 'FURNITURE' THEN 'e-commerce' ELSE c_mktsegment END AS segment,
-  CASE WHEN c_custkey % 97 = 11 THEN 'not-a-date'
+  CASE WHEN cp = 2 THEN c_name || ' (dup)' ELSE ' ' || c_name || ' ' END AS name,
+  CASE WHEN cp = 2 THEN 'Late' WHEN c_custkey % 40 = 3 THEN NULL WHEN c_custkey % 3 = 0 THEN lower(n_name)
+       ELSE ' ' || n_name END AS country,
+  CASE WHEN cp = 2 THEN 'Late' WHEN c_custkey % 41 = 5 THEN NULL WHEN c_mktsegment = 'FURNITURE' THEN 'e-commerce'
+       ELSE c_mktsegment END AS segment,
+  CASE WHEN cp = 2 THEN '2001-01-01' WHEN c_custkey % 97 = 11 THEN 'not-a-date'
        ELSE CAST(DATE '1994-06-01' + CAST(c_custkey % 1200 AS INTEGER) AS VARCHAR) END AS created_at,
-  1 AS s1, c_custkey AS s2
-FROM customer JOIN nation ON c_nationkey = n_nationkey
-UNION ALL
-SELECT 'C' || {pad('c_custkey')}, c_name || ' (dup)', 'Late', 'Late', '2001-01-01', 2, c_custkey
-FROM customer WHERE c_custkey % 50 = 0""")
+  cp AS s1, c_custkey AS s2
+FROM (SELECT *, unnest(CASE WHEN c_custkey % 50 = 0 THEN [1, 2] ELSE [1] END) AS cp
+      FROM customer JOIN nation ON c_nationkey = n_nationkey)""")
 
 cte("raw_customers", ["raw_customers_src"], f"""
 SELECT {', '.join(nt(c) + ' AS ' + c for c in _CUST_COLS)}, s1, s2 FROM raw_customers_src""")
 
 cte("raw_products_src", [], f"""
 SELECT 'SKU' || {pad('p_partkey')} AS sku,
-  CASE WHEN p_partkey % 30 = 7 THEN NULL ELSE p_type END AS category,
-  CASE WHEN p_partkey % 67 = 9 THEN 'n/a'
+  CASE WHEN cp = 2 THEN 'Late' WHEN p_partkey % 30 = 7 THEN NULL ELSE p_type END AS category,
+  CASE WHEN cp = 2 THEN '1.00'
+       WHEN p_partkey % 67 = 9 THEN 'n/a'
        WHEN p_partkey % 20 = 1 THEN CAST(-CAST(CAST(p_retailprice AS DECIMAL(18,2)) * 12 AS DECIMAL(18,2)) AS VARCHAR)
        ELSE CAST(CAST(CAST(p_retailprice AS DECIMAL(18,2)) * 12 AS DECIMAL(18,2)) AS VARCHAR) END AS cost,
-  CASE WHEN p_partkey % 333 = 5 THEN 'yes' WHEN p_partkey % 10 = 0 THEN 'False' ELSE 'True' END AS active,
-  1 AS s1, p_partkey AS s2
-FROM part
-UNION ALL
-SELECT 'SKU' || {pad('p_partkey')}, 'Late', '1.00', 'True', 2, p_partkey FROM part WHERE p_partkey % 50 = 0""")
+  CASE WHEN cp = 2 THEN 'True' WHEN p_partkey % 333 = 5 THEN 'yes' WHEN p_partkey % 10 = 0 THEN 'False'
+       ELSE 'True' END AS active,
+  cp AS s1, p_partkey AS s2
+FROM (SELECT *, unnest(CASE WHEN p_partkey % 50 = 0 THEN [1, 2] ELSE [1] END) AS cp FROM part)""")
 
 cte("raw_products", ["raw_products_src"], f"""
 SELECT {', '.join(nt(c) + ' AS ' + c for c in _PROD_COLS)}, s1, s2 FROM raw_products_src""")
@@ -278,23 +278,22 @@ INTAKE_AS_OF = "2026-01-01"
 
 cte("cand", [], f"""
 SELECT
-  CASE WHEN o_orderkey % 53 = 0 THEN '   '
+  CASE WHEN cp = 2 THEN 'W' || CAST(o_orderkey AS VARCHAR)
+       WHEN o_orderkey % 53 = 0 THEN '   '
        WHEN o_orderkey % 59 = 0 THEN 'web-order-too-long-' || CAST(o_orderkey AS VARCHAR)
        ELSE ' w' || CAST(o_orderkey AS VARCHAR) || ' ' END AS order_id,
-  CASE WHEN o_orderkey % 37 = 0 THEN 'X1' ELSE 'c' || {pad('o_custkey')} END AS customer_id,
-  CASE WHEN o_orderkey % 41 = 0 THEN '' ELSE 'sku' || {pad('o_orderkey % 2000')} END AS sku,
-  CASE WHEN o_orderkey % 13 = 0 THEN '0' WHEN o_orderkey % 17 = 0 THEN 'abc' WHEN o_orderkey % 43 = 0 THEN '9999'
-       ELSE CAST(o_orderkey % 50 + 1 AS VARCHAR) END AS quantity,
-  CASE WHEN o_orderkey % 19 = 0 THEN '100001' WHEN o_orderkey % 43 = 0 THEN '999.99'
+  CASE WHEN cp = 2 THEN 'C0000001' WHEN o_orderkey % 37 = 0 THEN 'X1' ELSE 'c' || {pad('o_custkey')} END AS customer_id,
+  CASE WHEN cp = 2 THEN 'SKU0000001' WHEN o_orderkey % 41 = 0 THEN '' ELSE 'sku' || {pad('o_orderkey % 2000')} END AS sku,
+  CASE WHEN cp = 2 THEN '1' WHEN o_orderkey % 13 = 0 THEN '0' WHEN o_orderkey % 17 = 0 THEN 'abc'
+       WHEN o_orderkey % 43 = 0 THEN '9999' ELSE CAST(o_orderkey % 50 + 1 AS VARCHAR) END AS quantity,
+  CASE WHEN cp = 2 THEN '1.00' WHEN o_orderkey % 19 = 0 THEN '100001' WHEN o_orderkey % 43 = 0 THEN '999.99'
        ELSE CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) AS VARCHAR) END AS unit_price,
-  CASE WHEN o_orderkey % 23 = 0 THEN '2999-01-01' WHEN o_orderkey % 29 = 0 THEN '1999/01/01'
-       ELSE substr(CAST(o_orderdate AS VARCHAR), 1, 10) END AS order_date,
-  CASE WHEN o_orderkey % 31 = 0 THEN 'fax' WHEN o_orderkey % 2 = 0 THEN ' Retail' ELSE 'ECOMMERCE' END AS channel,
-  1 AS s1, o_orderkey AS s2
-FROM orders
-UNION ALL
-SELECT 'W' || CAST(o_orderkey AS VARCHAR), 'C0000001', 'SKU0000001', '1', '1.00', '1999-01-01', 'export', 2, o_orderkey
-FROM orders WHERE o_orderkey % 47 = 0""")
+  CASE WHEN cp = 2 THEN '1999-01-01' WHEN o_orderkey % 23 = 0 THEN '2999-01-01'
+       WHEN o_orderkey % 29 = 0 THEN '1999/01/01' ELSE substr(CAST(o_orderdate AS VARCHAR), 1, 10) END AS order_date,
+  CASE WHEN cp = 2 THEN 'export' WHEN o_orderkey % 31 = 0 THEN 'fax' WHEN o_orderkey % 2 = 0 THEN ' Retail'
+       ELSE 'ECOMMERCE' END AS channel,
+  cp AS s1, o_orderkey AS s2
+FROM (SELECT *, unnest(CASE WHEN o_orderkey % 47 = 0 THEN [1, 2] ELSE [1] END) AS cp FROM orders)""")
 
 _QD = f"TRY_CAST({strip('quantity')} AS DECIMAL(38,0))"
 _PD = f"TRY_CAST({strip('unit_price')} AS DECIMAL(38,6))"

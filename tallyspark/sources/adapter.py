@@ -12,7 +12,7 @@ ordered in the source file.  Keep-first dedupe sorts by it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.sources.tables import read_table
@@ -59,38 +59,39 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _copies(resent: Column) -> Column:
+    """1 for every row, plus a 2 for rows that are sent again later in the
+    file: ``explode`` turns one scan into both copies (no second scan)."""
+    return F.explode(F.when(resent, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment",
         F.col("_metadata.file_name").alias("_source_file"))
     na = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("c_custkey")
-    base = cu.join(na, cu.c_nationkey == na.n_nationkey, "inner").select(
+    rows = cu.join(na, cu.c_nationkey == na.n_nationkey, "inner").select("*", _copies(k % 50 == 0).alias("_copy"))
+    late = F.col("_copy") == 2
+    return rows.select(
         F.concat(F.lit("C"), _pad(k)).alias("customer_id"),
-        F.concat(F.lit(" "), F.col("c_name"), F.lit(" ")).alias("name"),
-        F.when(k % 40 == 3, F.lit(None).cast("string"))
+        F.when(late, F.concat(F.col("c_name"), F.lit(" (dup)")))
+         .otherwise(F.concat(F.lit(" "), F.col("c_name"), F.lit(" "))).alias("name"),
+        F.when(late, F.lit("Late"))
+         .when(k % 40 == 3, F.lit(None).cast("string"))
          .when(k % 3 == 0, F.lower("n_name"))
          .otherwise(F.concat(F.lit(" "), F.col("n_name"))).alias("country"),
-        F.when(k % 41 == 5, F.lit(None).cast("string"))
+        F.when(late, F.lit("Late"))
+         .when(k % 41 == 5, F.lit(None).cast("string"))
          .when(F.col("c_mktsegment") == "FURNITURE", F.lit("e-commerce"))
          .otherwise(F.col("c_mktsegment")).alias("segment"),
-        F.when(k % 97 == 11, F.lit("not-a-date"))
+        F.when(late, F.lit("2001-01-01"))
+         .when(k % 97 == 11, F.lit("not-a-date"))
          .otherwise(F.date_add(F.lit("1994-06-01").cast("date"), (k % 1200).cast("int")).cast("string"))
          .alias("created_at"),
-        F.struct(F.lit(1).alias("src"), k.alias("key")).alias("_ord"),
-        "_source_file",
-    )
-    # Late re-sent rows for some ids: same key, later in the file.
-    late = cu.filter(k % 50 == 0).select(
-        F.concat(F.lit("C"), _pad(k)).alias("customer_id"),
-        F.concat(F.col("c_name"), F.lit(" (dup)")).alias("name"),
-        F.lit("Late").alias("country"),
-        F.lit("Late").alias("segment"),
-        F.lit("2001-01-01").alias("created_at"),
-        F.struct(F.lit(2).alias("src"), k.alias("key")).alias("_ord"),
+        F.struct(F.col("_copy").alias("src"), k.alias("key")).alias("_ord"),
         "_source_file",
     )
-    return base.unionByName(late)
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,65 +100,60 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_metadata.file_name").alias("_source_file"))
     k = F.col("p_partkey")
     m = (F.col("p_retailprice").cast("decimal(18,2)") * 12).cast("decimal(18,2)")
-    base = pa.select(
+    rows = pa.select("*", _copies(k % 50 == 0).alias("_copy"))
+    late = F.col("_copy") == 2
+    return rows.select(
         F.concat(F.lit("SKU"), _pad(k)).alias("sku"),
-        F.when(k % 30 == 7, F.lit(None).cast("string")).otherwise(F.col("p_type")).alias("category"),
-        F.when(k % 67 == 9, F.lit("n/a"))
+        F.when(late, F.lit("Late"))
+         .when(k % 30 == 7, F.lit(None).cast("string")).otherwise(F.col("p_type")).alias("category"),
+        F.when(late, F.lit("1.00"))
+         .when(k % 67 == 9, F.lit("n/a"))
          .when(k % 20 == 1, (-m).cast("string"))
          .otherwise(m.cast("string")).alias("cost"),
-        F.when(k % 333 == 5, F.lit("yes"))
+        F.when(late, F.lit("True"))
+         .when(k % 333 == 5, F.lit("yes"))
          .when(k % 10 == 0, F.lit("False"))
          .otherwise(F.lit("True")).alias("active"),
-        F.struct(F.lit(1).alias("src"), k.alias("key")).alias("_ord"),
+        F.struct(F.col("_copy").alias("src"), k.alias("key")).alias("_ord"),
         "_source_file",
     )
-    late = pa.filter(k % 50 == 0).select(
-        F.concat(F.lit("SKU"), _pad(k)).alias("sku"),
-        F.lit("Late").alias("category"),
-        F.lit("1.00").alias("cost"),
-        F.lit("True").alias("active"),
-        F.struct(F.lit(2).alias("src"), k.alias("key")).alias("_ord"),
-        "_source_file",
-    )
-    return base.unionByName(late)
 
 
 def intake_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Web-order submissions (all strings) derived from ``orders``."""
+    """Web-order submissions (all strings) derived from ``orders``; some are
+    submitted a second time later (a repeat with a conflicting id)."""
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     k = F.col("o_orderkey")
-    base = od.select(
-        F.when(k % 53 == 0, F.lit("   "))
+    rows = od.select("*", _copies(k % 47 == 0).alias("_copy"))
+    rep = F.col("_copy") == 2
+    return rows.select(
+        F.when(rep, F.concat(F.lit("W"), k.cast("string")))
+         .when(k % 53 == 0, F.lit("   "))
          .when(k % 59 == 0, F.concat(F.lit("web-order-too-long-"), k.cast("string")))
          .otherwise(F.concat(F.lit(" w"), k.cast("string"), F.lit(" "))).alias("order_id"),
-        F.when(k % 37 == 0, F.lit("X1"))
+        F.when(rep, F.lit("C0000001"))
+         .when(k % 37 == 0, F.lit("X1"))
          .otherwise(F.concat(F.lit("c"), _pad(F.col("o_custkey")))).alias("customer_id"),
-        F.when(k % 41 == 0, F.lit(""))
+        F.when(rep, F.lit("SKU0000001"))
+         .when(k % 41 == 0, F.lit(""))
          .otherwise(F.concat(F.lit("sku"), _pad(k % 2000))).alias("sku"),
-        F.when(k % 13 == 0, F.lit("0"))
+        F.when(rep, F.lit("1"))
+         .when(k % 13 == 0, F.lit("0"))
          .when(k % 17 == 0, F.lit("abc"))
          .when(k % 43 == 0, F.lit("9999"))
          .otherwise((k % 50 + 1).cast("string")).alias("quantity"),
-        F.when(k % 19 == 0, F.lit("100001"))
+        F.when(rep, F.lit("1.00"))
+         .when(k % 19 == 0, F.lit("100001"))
          .when(k % 43 == 0, F.lit("999.99"))
          .otherwise(F.floor(F.col("o_totalprice") / 1000).cast("string")).alias("unit_price"),
-        F.when(k % 23 == 0, F.lit("2999-01-01"))
+        F.when(rep, F.lit("1999-01-01"))
+         .when(k % 23 == 0, F.lit("2999-01-01"))
          .when(k % 29 == 0, F.lit("1999/01/01"))
          .otherwise(F.substring(F.col("o_orderdate").cast("string"), 1, 10)).alias("order_date"),
-        F.when(k % 31 == 0, F.lit("fax"))
+        F.when(rep, F.lit("export"))
+         .when(k % 31 == 0, F.lit("fax"))
          .when(k % 2 == 0, F.lit(" Retail"))
          .otherwise(F.lit("ECOMMERCE")).alias("channel"),
-        F.struct(F.lit(1).alias("src"), k.alias("key")).alias("_ord"),
-    )
-    repeats = od.filter(k % 47 == 0).select(
-        F.concat(F.lit("W"), k.cast("string")).alias("order_id"),
-        F.lit("C0000001").alias("customer_id"),
-        F.lit("SKU0000001").alias("sku"),
-        F.lit("1").alias("quantity"),
-        F.lit("1.00").alias("unit_price"),
-        F.lit("1999-01-01").alias("order_date"),
-        F.lit("export").alias("channel"),
-        F.struct(F.lit(2).alias("src"), k.alias("key")).alias("_ord"),
+        F.struct(F.col("_copy").alias("src"), k.alias("key")).alias("_ord"),
     )
-    return base.unionByName(repeats)
