@@ -54,21 +54,27 @@ def make_batch_writer(store_path: str, rejected_path: str, rules: intake.IntakeR
 
 
 def run_intake_stream(spark: SparkSession, source_dir: str, out_dir: str, rules: intake.IntakeRules,
-                      created_at: _dt.datetime, max_files_per_trigger: int | None = None) -> dict[str, str]:
-    """Process every file present in ``source_dir`` (availableNow) and stop.
+                      created_at: _dt.datetime, max_files_per_trigger: int | None = None,
+                      processing_time: str | None = None):
+    """Consume order files from ``source_dir``.
 
-    Returns the paths of the store, the rejected table and the checkpoint.
-    Rerunning with the same checkpoint processes only new files.
+    By default every file present is processed (``availableNow``) and the
+    call returns the paths of the store, the rejected table and the
+    checkpoint; rerunning with the same checkpoint processes only new files.
+    With ``processing_time`` (e.g. ``"1 minute"``) the query keeps running
+    on that trigger and the started ``StreamingQuery`` is returned with the
+    paths as ``(query, paths)``.
     """
     paths = {k: os.path.join(out_dir, k) for k in ("store", "rejected", "checkpoint")}
     reader = spark.readStream.schema(CANDIDATE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(source_dir)
-    query = (stream.writeStream
-             .foreachBatch(make_batch_writer(paths["store"], paths["rejected"], rules, created_at))
-             .option("checkpointLocation", paths["checkpoint"])
-             .trigger(availableNow=True)
-             .start())
+    writer = (stream.writeStream
+              .foreachBatch(make_batch_writer(paths["store"], paths["rejected"], rules, created_at))
+              .option("checkpointLocation", paths["checkpoint"]))
+    if processing_time:
+        return writer.trigger(processingTime=processing_time).start(), paths
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return paths

@@ -211,3 +211,17 @@ def test_flags_and_quarantine(spark):
     fact = p.fact_sales.collect()
     assert len(fact) == 1 and fact[0]["cost_total"] == Decimal("100.00") and fact[0]["gross_margin"] == Decimal("-60.00")
     assert fact[0]["margin_pct"] == -1.5 and fact[0]["date_id"] == 20210101
+
+
+def test_a3_load_time_is_the_run_parameter(spark):
+    from tallyspark.plans.pipeline import Pipeline
+    from tests.helpers import customers, orders, products
+    from tallyspark.sources.raw import ORDER_COLUMNS, to_raw
+    run = dt.datetime(2026, 3, 1, 2, 0, 0)
+    src = orders(spark, [("O1", "C1", "S1", "1", "10.00", "2021-01-01", "web")]).select(*ORDER_COLUMNS, "_ord",
+                                                                                         "_source_file")
+    raw = to_raw(src, ORDER_COLUMNS, run)
+    assert [r["_loaded_at"] for r in raw.collect()] == [run]
+    cust = customers(spark, [("C1", "Ann", "Peru", "Retail", "2022-01-01")])
+    p = Pipeline.from_frames(raw, cust, products(spark, PROD), run_ts=run)
+    assert [r["_quarantined_at"] for r in p.orders_quarantine.collect()] == [run]
