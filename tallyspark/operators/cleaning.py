@@ -51,7 +51,7 @@ def stage_customers(raw: DataFrame) -> DataFrame:
 
 # -- products (B17) --------------------------------------------------------------
 
-def _typed_products(raw: DataFrame) -> DataFrame:
+def typed_products(raw: DataFrame) -> DataFrame:
     first = keep_first(raw, "sku")
     return first.select(
         "sku",
@@ -63,7 +63,7 @@ def _typed_products(raw: DataFrame) -> DataFrame:
 
 def stage_products(raw: DataFrame) -> DataFrame:
     """Dedupe, fill category, cost to number, |cost|, NULL cost -> exact median."""
-    typed = _typed_products(raw)
+    typed = typed_products(raw)
     med = exact_median(typed, "cost", out="_median").select(F.col("_median").cast(MONEY)).scalar()
     return typed.select("sku", "category", F.coalesce(F.col("cost"), med).cast(MONEY).alias("cost"), "active")
 

@@ -7,15 +7,26 @@ the same result, written independently in ``oracle.py`` style.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.functions.parse import to_bool_exact, to_date_lenient, to_int_lenient, to_money
+from tallyspark.operators import cleaning, measures as M, quality
+from tallyspark.operators.dedupe import keep_first
+from tallyspark.operators.stats import exact_median
 from tallyspark.plans import kpis
 from tallyspark.plans import oracle as O
+from tallyspark.plans import refresh as R
 from tallyspark.plans.pipeline import Pipeline
+from tallyspark.session import scratch_path
+from tallyspark.sources import adapter
+from tallyspark.sources import store as S
+from tallyspark.sources.raw import CUSTOMER_COLUMNS, ORDER_COLUMNS, PRODUCT_COLUMNS
+from tallyspark.streaming import intake as J
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -304,13 +315,6 @@ def q_kpi_returns_audit(spark, sf_dir):
 # B: single cleaning operators
 # ---------------------------------------------------------------------------
 
-from tallyspark.functions.parse import to_bool_exact, to_date_lenient, to_int_lenient, to_money  # noqa: E402
-from tallyspark.functions.text import strip_ws, title_case  # noqa: E402
-from tallyspark.operators import cleaning, measures as M, quality, rules  # noqa: E402
-from tallyspark.operators.dedupe import keep_first  # noqa: E402
-from tallyspark.operators.stats import exact_median  # noqa: E402
-from tallyspark.sources.raw import ORDER_COLUMNS  # noqa: E402
-
 
 @register("dedupe_first", O.with_ctes(f"SELECT {', '.join(ORDER_COLUMNS)} FROM ord_first", "ord_first"))
 def q_dedupe_first(spark, sf_dir):
@@ -381,7 +385,7 @@ def q_abs_cost(spark, sf_dir):
 SELECT CAST(m.med AS DOUBLE) AS median_cost, (SELECT count(*) FROM prod_typed WHERE cost IS NULL) AS imputed_rows
 FROM prod_median m""", "prod_median"))
 def q_impute_median(spark, sf_dir):
-    typed = cleaning._typed_products(_p(spark, sf_dir).raw_products)
+    typed = cleaning.typed_products(_p(spark, sf_dir).raw_products)
     med = exact_median(typed, "cost", out="median_cost").select(F.col("median_cost").cast("decimal(18,2)").cast("double")
                                                                  .alias("median_cost"))
     return med.withColumn("imputed_rows", typed.agg(F.count_if(F.col("cost").isNull())).scalar())
@@ -674,10 +678,6 @@ def q_highlights(spark, sf_dir):
 # J: order intake (batch and stream)
 # ---------------------------------------------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from tallyspark.sources import adapter  # noqa: E402
-from tallyspark.streaming import intake as J  # noqa: E402
 
 # Fixture parameters: id patterns of the derived customer/product keys and
 # a fixed "today" so results are reproducible.
@@ -769,7 +769,6 @@ def q_orders_delete(spark, sf_dir):
 def q_intake_stream(spark, sf_dir):
     """Candidates are dropped as JSON files into a shared folder and consumed
     by the streaming job; the stored table must equal the batch insert."""
-    from tallyspark.session import scratch_path
     from tallyspark.streaming.stream import read_store, run_intake_stream
     base = scratch_path(spark, "intake-stream")
     src = base + "/incoming"
@@ -782,11 +781,6 @@ def q_intake_stream(spark, sf_dir):
 # A: scans, lineage, publish, refresh, incremental, web merge
 # ---------------------------------------------------------------------------
 
-from tallyspark.functions.hashing import row_hash  # noqa: E402
-from tallyspark.plans import refresh as R  # noqa: E402
-from tallyspark.session import scratch_path  # noqa: E402
-from tallyspark.sources import store as S  # noqa: E402
-from tallyspark.sources.raw import CUSTOMER_COLUMNS, PRODUCT_COLUMNS, scan_csv, to_raw  # noqa: E402
 
 _EPOCH = _dt.datetime(1970, 1, 1)
 
