@@ -4,8 +4,10 @@ Each layer is written as Parquet into a new version folder and read back
 before the next layer is built.  A written layer is a lineage cut: a lost
 executor recomputes from the last written table rather than from the raw
 files, and later layers never recompute dedupes or joins.  The version is
-published only after every table is written, by rewriting a one-line
-pointer, so readers never see a half-built set.  Running the refresh again
+published only after every table is written, by appending one line to a
+publish log (a new file, committed atomically by the file commit protocol;
+nothing is overwritten), so readers never see a half-built set or a missing
+pointer.  The current version is the latest log entry.  Running the refresh again
 on the same input gives equal tables (``run_ts`` is a parameter, not the
 clock).
 """
@@ -21,7 +23,7 @@ from tallyspark.operators.cleaning import ORDER_STAGE_COLUMNS
 from tallyspark.operators.star import FACT_COLUMNS
 from tallyspark.plans.pipeline import EPOCH, Pipeline
 
-POINTER = "_current"
+PUBLISH_LOG = "_published"
 
 
 def _stage(spark: SparkSession, df: DataFrame, path: str, partition_by: str | None = None,
@@ -73,8 +75,9 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version:
     st("mart_customer_lifetime", p.mart_customer_lifetime)
     st("mart_product_performance", p.mart_product_performance)
 
-    (spark.createDataFrame([(version,)], "version string").coalesce(1)
-          .write.mode("overwrite").text(f"{root}/{POINTER}"))
+    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
+    (spark.createDataFrame([(f"{stamp} {version}",)], "value string").coalesce(1)
+          .write.mode("append").text(f"{root}/{PUBLISH_LOG}"))
     return counts
 
 
@@ -84,7 +87,9 @@ PUBLISHED = ["raw_customers", "raw_products", "raw_orders", "stg_customers", "st
 
 
 def current_version(spark: SparkSession, root: str) -> str:
-    return spark.read.text(f"{root}/{POINTER}").first()[0]
+    """Latest entry of the publish log (one short line per publish)."""
+    latest = spark.read.text(f"{root}/{PUBLISH_LOG}").agg(F.max("value")).first()[0]
+    return latest.split(" ", 1)[1]
 
 
 def read_published(spark: SparkSession, root: str, name: str, version: str | None = None) -> DataFrame:

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from tallyspark.sources.raw import RAW_COLUMNS, scan_csv, to_raw
 
-POINTER = "_current"
-
-
 def write_csv(df: DataFrame, path: str, order: str | None = "_ord") -> None:
     """Write text columns as CSV with a header, keeping whitespace as is.
 

@@ -40,6 +40,8 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 def make_batch_writer(store_path: str, rejected_path: str, rules: intake.IntakeRules,
                       created_at: _dt.datetime):
     def process(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():
+            return
         spark = batch.sparkSession
         store = read_store(spark, store_path)
         validated = intake.validate(batch, rules)
