@@ -68,6 +68,9 @@ def run_intake_stream(spark: SparkSession, source_dir: str, out_dir: str, rules:
     paths as ``(query, paths)``.
     """
     paths = {k: os.path.join(out_dir, k) for k in ("store", "rejected", "checkpoint")}
+    # Appending no rows creates the store on the first run and changes
+    # nothing on later runs, so every micro-batch can read it.
+    intake.empty_store(spark).write.mode("append").parquet(paths["store"])
     reader = spark.readStream.schema(CANDIDATE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
