@@ -53,3 +53,14 @@ def test_published_fact_slice_prunes_year_folders_and_pushes_filters(spark):
     txt = s._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in txt
     assert "PushedFilters" in txt and "order_date" in txt and "channel" in txt
+
+
+def test_intake_keep_first_is_group_limited_and_scalars_are_subqueries(spark):
+    from tallyspark.plans.catalog import INTAKE_RULES
+    from tallyspark.sources import adapter
+    from tallyspark.streaming import intake as J
+    accepted, _ = J.accept(J.validate(adapter.intake_candidates(spark, SF_SMALL), INTAKE_RULES))
+    assert "WindowGroupLimit" in optimized(accepted)
+    p = Pipeline.from_tables(spark, SF_SMALL)
+    txt = optimized(kpis.kpi_channel(p.fact_sales))
+    assert "scalar-subquery" in txt and "Cross" not in txt
