@@ -75,6 +75,11 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version:
     st("mart_customer_lifetime", p.mart_customer_lifetime)
     st("mart_product_performance", p.mart_product_performance)
 
+    # The run log: observed row count per published table (a handful of
+    # rows built on the driver from the observations), kept with the version.
+    (spark.createDataFrame([(k, int(v)) for k, v in counts.items()], "table_name string, rows long")
+          .withColumn("run_ts", F.lit(run_ts)).withColumn("version", F.lit(version))
+          .coalesce(1).write.mode("overwrite").parquet(f"{vdir}/_run_log"))
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
     (spark.createDataFrame([(f"{stamp} {version}",)], "value string").coalesce(1)
           .write.mode("append").text(f"{root}/{PUBLISH_LOG}"))

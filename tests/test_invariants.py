@@ -56,6 +56,8 @@ def test_refresh_is_idempotent_and_published_kpis_match(spark):
     R.refresh(spark, raw, root, "b")
     assert set(counts) == set(R.PUBLISHED)
     assert counts["fact_sales"] == p.fact_sales.count() and counts["raw_orders"] == p.raw_orders.count()
+    log = {r["table_name"]: r["rows"] for r in spark.read.parquet(f"{root}/a/_run_log").collect()}
+    assert log == counts
     assert R.current_version(spark, root) == "b"
     for name in R.PUBLISHED:
         a = R.read_published(spark, root, name, "a")
