@@ -1,8 +1,10 @@
 """Queries of this package by name, with DuckDB SQL where SQL can express them."""
 
-from tallyspark.llm import chat, mixing, quality, urls
+from tallyspark.llm import chat, mixing, quality, runindex, substring, urls
 
 QUERIES = {
+    "op1_substring_dedup": substring.query,
+    "op7_suffix_array_dedup": runindex.query,
     "op2_chat_formatting": chat.query,
     "op4_quality_rules": quality.query,
     "op8_mixing": mixing.query,
@@ -10,6 +12,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_substring_dedup": substring.SQL,
     "op2_chat_formatting": chat.SQL,
     "op4_quality_rules": quality.SQL,
     "op8_mixing": mixing.SQL,

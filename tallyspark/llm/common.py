@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyspark.session import ensure_checkpoint_dir
@@ -33,3 +36,7 @@ def cut(df: DataFrame) -> DataFrame:
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """Bytes of all texts; sizes the partitions of what follows."""
     return docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+
+
+# The functions of this package travel to the executors by value, so workers need no copy of it on their path.
+cloudpickle.register_pickle_by_value(sys.modules["tallyspark.llm"])
