@@ -1,8 +1,9 @@
 """Queries of this package by name, with DuckDB SQL where SQL can express them."""
 
-from tallyspark.llm import chat, mixing, quality, runindex, substring, urls
+from tallyspark.llm import chat, jaccard, mixing, quality, runindex, substring, urls
 
 QUERIES = {
+    "op10_ngram_jaccard_join": jaccard.query,
     "op1_substring_dedup": substring.query,
     "op7_suffix_array_dedup": runindex.query,
     "op2_chat_formatting": chat.query,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op10_ngram_jaccard_join": jaccard.SQL,
     "op1_substring_dedup": substring.SQL,
     "op2_chat_formatting": chat.SQL,
     "op4_quality_rules": quality.SQL,
