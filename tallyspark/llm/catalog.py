@@ -1,8 +1,11 @@
 """Queries of this package by name, with DuckDB SQL where SQL can express them."""
 
-from tallyspark.llm import chat, jaccard, mixing, quality, runindex, substring, urls
+from tallyspark.llm import chat, decontaminate, jaccard, mixing, pii, quality, runindex, substring, toxicity, urls
 
 QUERIES = {
+    "op3_benchmark_decontamination": decontaminate.query,
+    "op5_pii": pii.query,
+    "op6_toxicity": toxicity.query,
     "op10_ngram_jaccard_join": jaccard.query,
     "op1_substring_dedup": substring.query,
     "op7_suffix_array_dedup": runindex.query,
