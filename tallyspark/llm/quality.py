@@ -126,9 +126,9 @@ def verdict(ranked: list[Rule], text: Column, words: Column) -> Column:
 def keep_quality(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text") -> DataFrame:
     """Documents that every rule lets pass, with their own columns."""
     ranked = rules or rank_rules(docs, text=text)
-    held = docs.withColumn("__q_text", F.coalesce(F.col(text), F.lit(""))).withColumn("__q_words", words_of(F.col("__q_text")))
-    kept = held.where(verdict(ranked, F.col("__q_text"), F.col("__q_words")).isNull())
-    return kept.select(*[docs[c] for c in docs.columns])
+    # one expression binds the words, so that pushing the filter down cannot repeat their extraction
+    t = F.coalesce(F.col(text), F.lit(""))
+    return docs.where(let(words_of(t), lambda w: verdict(ranked, t, w)).isNull())
 
 
 def quality_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
