@@ -12,9 +12,10 @@ Counts, prefixes, candidates and verification are passes over texts dealt once
 by document id (see ``anchors``); between them travel arrays of hashes.  Equal
 sets are one class, of which the smallest id takes part.  A list of up to
 ``SMALL`` documents is verified pair by pair; a longer one first against a
-leader, and then only between documents that are still in different
-components, so groups of copies are not expanded into all pairs and no link
-between components is lost.
+leader.  Long lists whose documents are then still in different components
+are joined once more: lists that share documents form clusters, their sets
+meet in blocks, and overlaps are counted from postings.  So groups of copies
+are not expanded into all pairs, and no link between components is lost.
 
 Edge cases: NULL and empty texts have no set and link with nothing; with fewer
 words than a shingle the whole sequence is the one shingle; rows with a NULL
@@ -36,6 +37,7 @@ SHINGLE = 5
 PERCENT = 75
 FREQUENT = 4096
 SMALL = 8
+BLOCK = 2048  # documents of a cluster that meet in one task
 COUNT, CLASS, MEMBER, ENTRY, ASK, SHIP, WANT, SET, LIST, LINK = range(10)
 
 
@@ -237,27 +239,35 @@ class JaccardJoin:
             out.append(row(part, 0, LINK, links[:, 0], links[:, 1]))
         return as_table(out)
 
-    # What is left: pairs of long lists that are in different components -------------------------
+    # What is left: documents of one cluster of long lists that are in different components -----------
 
     def across(self, table: pa.Table) -> pa.Table:
-        """Pairs (a, b) of one list in different components whose sizes fit."""
-        t = table.sort_by([("size", "ascending"), ("doc", "ascending")])
-        docs, sizes, comps = (t[c].to_numpy() for c in ("doc", "size", "component"))
+        """Links between components among the documents of one pair of blocks; overlaps are counted from postings, pairs are never listed."""
+        docs, comps, sides = (table[c].to_numpy() for c in ("doc", "component", "side"))
+        sets = [np.frombuffer(b, np.uint64) for b in table["body"].to_pylist()]
+        size = np.array([len(s) for s in sets], np.int64)
+        owner = np.repeat(np.arange(len(sets)), size)
+        _, token = np.unique(np.concatenate(sets), return_inverse=True)
+        order = np.argsort(token, kind="stable")
+        posting, first = owner[order], np.searchsorted(token[order], np.arange(token.max() + 2))
+        two_sided = len(np.unique(sides)) > 1
+        _, root = np.unique(comps, return_inverse=True)
         a, b = [], []
-        if len(np.unique(comps)) > 1:
-            for i in range(len(docs) - 1):
-                stop = int(np.searchsorted(sizes * self.percent, 100 * int(sizes[i]), side="right"))
-                j = np.arange(i + 1, max(stop, i + 1))
-                j = j[comps[j] != comps[i]]
-                a.append(np.full(len(j), docs[i]))
-                b.append(docs[j])
-        join = lambda v: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64())
-        return pa.table({"a": join(a), "b": join(b)})
-
-    def check_pairs(self, batches):
-        for batch in batches:
-            keep = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), self.percent) for x, y in zip(batch["set_a"].to_pylist(), batch["set_b"].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        edge = np.concatenate(([0], np.cumsum(size)))
+        for i in range(len(sets)):
+            if two_sided and sides[i]:
+                continue
+            mine = token[edge[i]:edge[i + 1]]
+            both = np.bincount(np.concatenate([posting[first[t]:first[t + 1]] for t in mine]), minlength=len(sets))
+            hit = (100 * both >= self.percent * (size[i] + size - both)) & (root != root[i])
+            if two_sided:
+                hit &= sides > 0
+            for j in np.flatnonzero(hit):
+                if root[j] != root[i]:
+                    a.append(docs[i])
+                    b.append(docs[j])
+                    root[root == root[j]] = root[i]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def opened(kind: int, names: tuple[str, ...], types: tuple):
@@ -272,7 +282,7 @@ def opened(kind: int, names: tuple[str, ...], types: tuple):
 
 def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, frequent: int = FREQUENT, small: int = SMALL,
                  part_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(members, links): doc_id, n_shingles, class_id, component_id per distinct document; verified links (a, b) between classes."""
+    """(members, links): doc_id, n_shingles, class_id, component_id per distinct document, and the verified links (a, b) that make the components."""
     total = text_bytes(docs, text)
     size = part_bytes or min(64 << 20, max(2 << 20, int(total**0.5) * 128))
     join = JaccardJoin(max(1, total // size), max(1, total // (4 * size)), percent, frequent, small)
@@ -295,30 +305,28 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pe
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(d), r["list"], np.int64)), pa.array(d), pa.array(n.astype(np.int64))], ["list", "doc", "size"])
     entries = lists.mapInArrow(spelled, "list long, doc long, size long")
     entries = entries.join(joined.select(F.col("node").alias("doc"), "component"), "doc", "left").select("list", "doc", "size", F.coalesce("component", "doc").alias("component"))
-    mixed_lists = entries.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("list")
-    open_pairs = cut(entries.join(mixed_lists, "list").groupBy("list").applyInArrow(lambda t: join.across(t), "a long, b long").distinct())
-    if open_pairs.head(1):
-        sets = found.where(F.col("kind") == SET).select(F.hex("x").alias("k"), "y").dropDuplicates(["k"])
-        def spell_sets(batches):
+    divided = entries.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("doc").alias("head")).where("lo <> hi").select("list", "head")
+    spokes = cut(entries.join(divided, "list").select("head", "doc", "component"))
+    if spokes.head(1):
+        # lists that share documents form a cluster; its documents are dealt into blocks, and every two blocks meet once
+        cluster = components(spokes.where("head <> doc").select(F.col("head").alias("a"), F.col("doc").alias("b")))
+        held = spokes.select("doc", "component").distinct().join(cluster.select(F.col("node").alias("doc"), F.col("component").alias("cluster")), "doc")
+        blocks = held.groupBy("cluster").agg((F.floor(F.count(F.lit(1)) / BLOCK) + 1).cast("int").alias("blocks"))
+        held = held.join(blocks, "cluster").withColumn("mine", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+        def read_sets(batches):
             for batch in batches:
-                ids = [int(np.frombuffer(bytes.fromhex(k), np.int64)[0]) for k in batch["k"].to_pylist()]
+                ids = [int(np.frombuffer(x, np.int64)[0]) for x in batch["x"].to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), batch["y"]], ["doc", "body"])
-        held = sets.mapInArrow(spell_sets, "doc long, body binary")
-        asked = open_pairs.join(held.select(F.col("doc").alias("a"), F.col("body").alias("set_a")), "a").join(held.select(F.col("doc").alias("b"), F.col("body").alias("set_b")), "b")
-        more = asked.select("a", "b", "set_a", "set_b").mapInArrow(join.check_pairs, "a long, b long")
+        sets = found.where(F.col("kind") == SET).select("x", "y").mapInArrow(read_sets, "doc long, body binary").dropDuplicates(["doc"])
+        meet = held.join(sets, "doc").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        meet = meet.select("cluster", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "doc", "component", "body")
+        more = meet.groupBy("cluster", "i", "j").applyInArrow(lambda t: join.across(t), "a long, b long")
         links = cut(links.unionAll(more))
         joined = components(links)
     named = members.join(joined.select(F.col("node").alias("class"), "component"), "class", "left")
     return named.select(F.col("doc").alias("doc_id"), F.col("size").alias("n_shingles"), F.col("class").alias("class_id"), F.coalesce("component", "class").alias("component_id")), links
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """doc_id, n_shingles, class_id, component_id, n_links (verified links of the class) per distinct document."""
-    members, links = jaccard_join(docs, doc_id, text, **options)
-    n = links.select("a").unionAll(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("class_id")).agg(F.count(F.lit(1)).alias("n_links"))
-    return members.join(n, "class_id", "left").select("doc_id", "n_shingles", "class_id", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))[0].select("doc_id", "n_shingles", "component_id")
 
