@@ -31,8 +31,8 @@ WINDOW = 50
 
 
 def ranked(key: np.ndarray) -> np.ndarray:
-    """Dense rank of each entry."""
-    order = np.argsort(key, kind="stable")
+    """Dense rank of each entry; equal entries share one, so the sort need not be stable."""
+    order = np.argsort(key)
     k = key[order]
     rank = np.empty(len(k), np.int64)
     rank[order] = np.cumsum(np.concatenate(([0], k[1:] != k[:-1])))
@@ -120,7 +120,8 @@ def repeated_windows(texts: list[bytes], docs: np.ndarray, window: int = WINDOW)
 
 
 class ByteRepeats(Repeats):
-    tokens, window, gram = Bytes, WINDOW, 16
+    # a long gram: short ones repeat by chance as a corpus grows
+    tokens, window, gram = Bytes, WINDOW, 28
 
     def cut_out(self, body: bytes, b: Blocks, i: int) -> bytes:
         return body[int(b.first[i]):int(b.stop[i]) + self.window - 1]
