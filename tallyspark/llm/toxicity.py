@@ -100,8 +100,8 @@ class Network:
         live = (ids >= 0).astype(np.float32)
         states, traces = [], []
         for d in (0, 1):
-            h = np.zeros((n, HIDDEN), np.float32)
-            out = np.zeros((n, length, HIDDEN), np.float32)
+            h = np.zeros((n, HIDDEN), gates[d].dtype)
+            out = np.zeros((n, length, HIDDEN), gates[d].dtype)
             trace = {}
             for t in range(length) if d == 0 else range(length - 1, -1, -1):
                 g = gates[d][ids[:, t]]
@@ -130,8 +130,8 @@ class Network:
         gates = self.gates(x)
         logit, both, view, weight, pooled, traces = self.run(gates, ids, keep=True)
         n = len(y)
-        d_logit = ((sigmoid(logit) - y) / n).astype(np.float32)
-        g = {"u": pooled.T @ d_logit, "b": np.array([d_logit.sum()], np.float32)}
+        d_logit = ((sigmoid(logit) - y) / n).astype(x.dtype)
+        g = {"u": pooled.T @ d_logit, "b": np.array([d_logit.sum()])}
         d_pooled = d_logit[:, None] * self.p["u"]
         d_both = weight[:, :, None] * d_pooled[:, None, :]
         d_weight = (both @ d_pooled[:, :, None])[:, :, 0]
@@ -144,7 +144,7 @@ class Network:
         for d in (0, 1):
             u = self.p[f"U{d}"]
             d_at, d_u = np.zeros((n, ids.shape[1], 3 * HIDDEN), x.dtype), np.zeros_like(u)
-            dh = np.zeros((n, HIDDEN), np.float32)
+            dh = np.zeros((n, HIDDEN), x.dtype)
             length = ids.shape[1]
             for t in range(length - 1, -1, -1) if d == 0 else range(length):
                 h, z, r, c, ghn, m = traces[d][t]
