@@ -37,6 +37,13 @@ def _kpi(name: str, p):
     return table[name]()
 
 
+def _show(df) -> None:
+    """Print every row."""
+    df = df.persist()
+    df.show(max(1, df.count()), truncate=False)
+    df.unpersist()
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="tallyspark")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -58,9 +65,11 @@ def main(argv: list[str] | None = None) -> None:
     i.add_argument("--as-of", default=None)
     i.add_argument("--customer-pattern", default=r"^C[0-9]{4}$")
     i.add_argument("--sku-pattern", default=r"^SKU[0-9]{4}$")
+    for p in sub.choices.values():
+        p.add_argument("--profile", choices=["cluster"], default=None, help="settings for a large cluster, where the cluster sets none")
     a = ap.parse_args(argv)
 
-    spark = get_spark()
+    spark = get_spark(profile=a.profile)
     if a.cmd == "refresh":
         from tallyspark.plans import refresh as R
         from tallyspark.sources import store as S
@@ -71,18 +80,17 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps({"version": version, "rows": counts}))
     elif a.cmd == "kpi":
         from tallyspark.plans import refresh as R
-        _kpi(a.name, R.published_pipeline(spark, a.root)).show(1000, truncate=False)
+        _show(_kpi(a.name, R.published_pipeline(spark, a.root)))
     elif a.cmd == "sql":
         from tallyspark.plans import refresh as R
         R.register_views(spark, a.root)
-        spark.sql(a.query).show(1000, truncate=False)
+        _show(spark.sql(a.query))
     elif a.cmd == "intake":
         from tallyspark.streaming import intake as J
         from tallyspark.streaming.stream import run_intake_stream
         rules = J.IntakeRules(customer_pattern=a.customer_pattern, sku_pattern=a.sku_pattern,
-                              as_of=dt.date.fromisoformat(a.as_of) if a.as_of else dt.date.today())
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-        print(json.dumps(run_intake_stream(spark, a.input, a.out, rules, now)))
+                              as_of=dt.date.fromisoformat(a.as_of) if a.as_of else None)
+        print(json.dumps(run_intake_stream(spark, a.input, a.out, rules)))
 
 
 if __name__ == "__main__":

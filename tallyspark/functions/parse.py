@@ -12,6 +12,8 @@ NUMBER_RE = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
 # y-M-d with 1-2 digit month/day and nothing around it.
 DATE_RE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
+# First and last whole day of a 64-bit nanosecond timestamp.
+FIRST_DATE, LAST_DATE = "1677-09-22", "2262-04-11"
 MONEY_TYPE = "decimal(18,2)"
 INT_MAX = 2147483647
 
@@ -34,9 +36,11 @@ def to_int_lenient(c: Column | str) -> Column:
 
 
 def to_date_lenient(c: Column | str) -> Column:
-    """String -> DATE for y-M-d text; invalid calendar dates -> NULL."""
+    """String -> DATE for y-M-d text; invalid calendar dates, and dates that a
+    nanosecond timestamp cannot hold, -> NULL."""
     c = _c(c)
-    return F.when(c.rlike(DATE_RE), F.try_to_date(c, "yyyy-M-d"))
+    d = F.when(c.rlike(DATE_RE), F.try_to_date(c, "yyyy-M-d"))
+    return F.when(d.between(F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")), d)
 
 
 def to_bool_exact(c: Column | str) -> Column:

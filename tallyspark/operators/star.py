@@ -50,7 +50,7 @@ def fact_sales(flagged: DataFrame) -> DataFrame:
         cost_total.alias("cost_total"),
         (F.col("revenue") - cost_total).alias("gross_margin"),
         round_half_away(ratio(F.col("revenue") - cost_total, F.col("revenue")), 4).alias("margin_pct"),
-        *[F.coalesce(F.col(f), F.lit(False)).alias(f) for f in FLAGS],
+        *[(F.coalesce(F.col(f), F.lit(False)) if f in flagged.columns else F.lit(False)).alias(f) for f in FLAGS],
     )
 
 

@@ -772,7 +772,8 @@ def q_intake_stream(spark, sf_dir):
     from tallyspark.streaming.stream import read_store, run_intake_stream
     base = scratch_path(spark, "intake-stream")
     src = base + "/incoming"
-    adapter.intake_candidates(spark, sf_dir).write.mode("overwrite").json(src)
+    # the seven fields of the form, in files whose names follow the order of submission
+    adapter.intake_candidates(spark, sf_dir).orderBy("_ord").drop("_ord").write.mode("overwrite").json(src)
     paths = run_intake_stream(spark, src, base + "/out", INTAKE_RULES, _dt.datetime(1970, 1, 1))
     return J.response(read_store(spark, paths["store"])).select(*_STORE_COLS)
 

@@ -50,6 +50,9 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version:
     ``root/version`` and publish that version.  Returns the row count of
     every published table, observed during the writes (the run log)."""
     vdir = f"{root}/{version}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(vdir)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        raise FileExistsError(f"version {version} exists in {root}; a version is written once")
     counts: dict[str, int] = {}
     st = lambda name, df, part=None: _stage(spark, df, f"{vdir}/{name}", part, counts, name)
 

@@ -25,8 +25,9 @@ DEFAULT_CONF = {
 # Sizing for a large cluster (hundreds of TB, ~1000 executors): many shuffle
 # partitions that AQE coalesces to ~256 MB each, 512 MB input splits, skew
 # splitting from 512 MB, broadcasts only of dimensions AQE measured under
-# 64 MB.  Passed with ``get_spark(profile="cluster")``; a cluster's own
-# settings (``spark-defaults``) win where they are set.
+# 64 MB.  Passed with ``get_spark(profile="cluster")``; applied after the
+# session starts and only to keys that ``spark-defaults`` leaves unset.  The
+# semantics in DEFAULT_CONF (ANSI, UTC) always hold.
 CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
@@ -47,14 +48,18 @@ def get_spark(master: str | None = None, app: str = "tallyspark",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    if profile == "cluster":
-        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if profile == "cluster":
+        # only what neither the cluster nor the caller has set
+        given = spark.sparkContext.getConf()
+        for k, v in CLUSTER_CONF.items():
+            if k not in conf and not given.contains(k):
+                spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -70,6 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)

@@ -32,15 +32,21 @@ def string_schema(columns: list[str]) -> T.StructType:
 def scan_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Read CSV files with a header as all-string columns (never inferSchema).
 
-    ``_ord`` = (file name, split start, position within the split): the row
+    Columns are taken by header name, whatever their order; a missing one is
+    an error, and so is a file whose header differs from the first one's.
+    Doubled quotes inside quoted cells are unescaped.
+
+    ``_ord`` = (file path, split start, position within the split): the row
     order of the files, stable on recomputation.
     """
-    df = (spark.read.schema(string_schema(columns))
-          .option("header", True).option("mode", "PERMISSIVE")
-          .csv(path))
+    df = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+          .option("enforceSchema", False).option("escape", '"').csv(path))
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
     return df.select(
         *columns,
-        F.struct(F.col("_metadata.file_name").alias("file"),
+        F.struct(F.col("_metadata.file_path").alias("file"),
                  F.col("_metadata.file_block_start").alias("block"),
                  F.monotonically_increasing_id().alias("pos")).alias("_ord"),
         F.col("_metadata.file_name").alias("_source_file"),

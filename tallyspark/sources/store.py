@@ -19,7 +19,7 @@ def write_csv(df: DataFrame, path: str, order: str | None = "_ord") -> None:
     """
     if order:
         df = df.orderBy(order).drop(order)
-    (df.write.mode("overwrite").option("header", True)
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))
 

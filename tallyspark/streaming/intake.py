@@ -29,7 +29,7 @@ QUANTITY_MAX = 10_000
 UNIT_PRICE_MAX = 100_000
 REVENUE_MAX = 1_000_000
 
-INT_RE = r"^[-+]?[0-9]+$"
+INT_RE = r"^[-+]?[0-9]+([.]0*)?$"
 ISO_DATE_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 # Error code -> user message.
@@ -69,7 +69,7 @@ STORE_SCHEMA = T.StructType([
 class IntakeRules:
     customer_pattern: str = r"^C[0-9]{4}$"
     sku_pattern: str = r"^SKU[0-9]{4}$"
-    as_of: _dt.date = field(default_factory=_dt.date.today)
+    as_of: _dt.date | None = field(default_factory=_dt.date.today)
     channels: tuple[str, ...] = tuple(VALID_CHANNELS)
 
 
@@ -177,8 +177,9 @@ def accept(validated: DataFrame, store: DataFrame | None = None, order: str = "_
     # id.  Joined on (id, position) rather than read off the window, so an id
     # submitted by a large share of the batch is spread over many tasks; the
     # test mixes both sides so Catalyst keeps it above the join.
-    winners = first.select("order_id", order, F.lit(True).alias("_first"))
-    later = (validated.join(winners, ["order_id", order], "left")
+    winners = first.select(F.col("order_id").alias("_w_id"), F.col(order).alias("_w_ord"), F.lit(True).alias("_first"))
+    same = validated["order_id"].eqNullSafe(winners["_w_id"]) & validated[order].eqNullSafe(winners["_w_ord"])
+    later = (validated.join(winners, same, "left").drop("_w_id", "_w_ord")
                       .filter(F.when(F.col("_first").isNull(), F.col("is_valid")).otherwise(F.lit(False)))
                       .drop("_first"))
     if store is not None:

@@ -5,58 +5,85 @@ which runs the batch intake for every micro-batch: validate, keep the first
 submission per id, anti-join against the stored orders, assign ids after the
 stored maximum and append.  Rejected rows go to their own table.
 
+The JSON holds the seven form fields only; the order of submissions is
+stamped at the scan (file path, position in the file) before any shuffle.
+
 Uniqueness lives in the stored table, not in streaming state, so the key set
-can grow without bound and a replayed micro-batch (after a failure) finds
-its ids already stored and adds nothing: the sink is idempotent.  One
-writer (this query) decides ids, which keeps them dense and ordered.
+can grow without bound.  Every micro-batch writes a folder of its own in the
+store and in the rejected table, named by the query's id and the epoch, and
+overwrites it; when it is replayed after a failure it reads the store without
+that folder, so both tables end up as after one run.  One writer (this query)
+decides ids, which keeps them dense and ordered.  Rejected rows keep every
+submitted value as it came.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import os
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from tallyspark.streaming import intake
 
 CANDIDATE_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType()) for c in intake.CANDIDATE_COLUMNS]
-    + [T.StructField("_ord", T.StructType([T.StructField("src", T.IntegerType()),
-                                           T.StructField("key", T.LongType())]))])
+    [T.StructField(c, T.StringType()) for c in intake.CANDIDATE_COLUMNS])
+BATCH = "batch_id"
+
+
+def read_store(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
+    """The stored orders (of all batches but ``without``).  The store is created before the stream starts,
+    so a path that cannot be read is an error, never an empty store."""
+    rows = spark.read.schema(T.StructType([*intake.STORE_SCHEMA.fields, T.StructField(BATCH, T.StringType())])).parquet(path)
+    if without is not None:
+        rows = rows.where(F.col(BATCH) != without)
+    return rows.select(*intake.STORE_SCHEMA.names)
+
+
+def scanned(rows: DataFrame) -> DataFrame:
+    """Submitted fields with the file and split they come from."""
+    return rows.select(*intake.CANDIDATE_COLUMNS, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+
+
+def stamped(batch: DataFrame) -> DataFrame:
+    """Candidates with ``_ord``, their place among the files, and ``_raw``, the values as submitted."""
+    place = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"), F.monotonically_increasing_id().alias("pos"))
+    return batch.select(*intake.CANDIDATE_COLUMNS, place.alias("_ord"), F.struct(*intake.CANDIDATE_COLUMNS).alias("_raw"))
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """The stored orders, or an empty store before the first append."""
-    try:
-        return spark.read.schema(intake.STORE_SCHEMA).parquet(path)
-    except AnalysisException:
-        return intake.empty_store(spark)
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id that the checkpoint gives its query; another checkpoint has another one."""
+    return json.loads("".join(r.value for r in spark.read.text(f"{checkpoint}/metadata").collect()))["id"]
 
 
-def make_batch_writer(store_path: str, rejected_path: str, rules: intake.IntakeRules,
-                      created_at: _dt.datetime):
+def make_batch_writer(store_path: str, rejected_path: str, checkpoint: str, rules: intake.IntakeRules,
+                      created_at: _dt.datetime | None = None):
+    """``rules.as_of`` and ``created_at`` are fixed where given; otherwise each micro-batch takes its own day and time."""
     def process(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        store = read_store(spark, store_path)
-        validated = intake.validate(batch, rules)
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+        folder = f"{query_id(spark, checkpoint)}-{epoch_id}"
+        store = read_store(spark, store_path, without=folder)
+        validated = intake.validate(stamped(batch), rules if rules.as_of else replace(rules, as_of=now.date())).persist()
         accepted, conflicts = intake.accept(validated, store)
-        new_rows = intake.insert(accepted, store, created_at)
-        new_rows.write.mode("append").parquet(store_path)
+        new_rows = intake.insert(accepted, store, created_at or now)
+        new_rows.write.mode("overwrite").parquet(f"{store_path}/{BATCH}={folder}")
         rejected = (validated.filter(~F.col("is_valid")).unionByName(conflicts)
-                    .select("order_id", "customer_id", "sku", "channel", "errors",
+                    .select(*[F.col(f"_raw.{c}").alias(c) for c in intake.CANDIDATE_COLUMNS], "errors",
                             F.lit(epoch_id).cast("bigint").alias("epoch_id")))
-        rejected.write.mode("append").parquet(rejected_path)
+        rejected.write.mode("overwrite").parquet(f"{rejected_path}/{BATCH}={folder}")
+        validated.unpersist()
     return process
 
 
 def run_intake_stream(spark: SparkSession, source_dir: str, out_dir: str, rules: intake.IntakeRules,
-                      created_at: _dt.datetime, max_files_per_trigger: int | None = None,
+                      created_at: _dt.datetime | None = None, max_files_per_trigger: int | None = None,
                       processing_time: str | None = None):
     """Consume order files from ``source_dir``.
 
@@ -68,15 +95,15 @@ def run_intake_stream(spark: SparkSession, source_dir: str, out_dir: str, rules:
     paths as ``(query, paths)``.
     """
     paths = {k: os.path.join(out_dir, k) for k in ("store", "rejected", "checkpoint")}
-    # Appending no rows creates the store on the first run and changes
+    # An empty batch of its own creates the store on the first run and changes
     # nothing on later runs, so every micro-batch can read it.
-    intake.empty_store(spark).write.mode("append").parquet(paths["store"])
+    intake.empty_store(spark).write.mode("ignore").parquet(f"{paths['store']}/{BATCH}=none")
     reader = spark.readStream.schema(CANDIDATE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(source_dir)
+    stream = scanned(reader.json(source_dir))
     writer = (stream.writeStream
-              .foreachBatch(make_batch_writer(paths["store"], paths["rejected"], rules, created_at))
+              .foreachBatch(make_batch_writer(paths["store"], paths["rejected"], paths["checkpoint"], rules, created_at))
               .option("checkpointLocation", paths["checkpoint"]))
     if processing_time:
         return writer.trigger(processingTime=processing_time).start(), paths
