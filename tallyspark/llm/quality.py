@@ -29,7 +29,7 @@ SYMBOL_PERCENT = 50     # symbols per 100 words
 LINE_PERCENT = 30       # repeated lines per 100 lines
 UPPER_PERCENT = 60      # capitals per 100 letters
 MEAN_WORD = (2, 20)     # characters
-SAMPLE_ROWS = 2000      # bound of the sample that orders the rules
+SAMPLE_ROWS = 2000      # expected size of the sample that orders the rules
 
 
 def n_symbols(text: Column) -> Column:
@@ -98,8 +98,10 @@ RULES = [
 
 
 def rank_rules(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text", rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules by rejection per second of work on a sample of at most ``rows`` documents."""
-    sample = docs.select(F.coalesce(text, F.lit("")).alias("__q_text")).sample(0.2, seed=17).limit(rows)
+    """Rules by rejection per second of work on a sample of about ``rows`` documents."""
+    # a fraction, not a limit: a limit would bring up to ``rows`` texts of every task into one
+    share = min(1.0, rows / max(docs.count(), 1))
+    sample = docs.select(F.coalesce(text, F.lit("")).alias("__q_text")).sample(share, seed=17)
     sample = sample.withColumn("__q_words", words_of(F.col("__q_text"))).persist()
     try:
         n = sample.count()
