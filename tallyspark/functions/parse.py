@@ -14,25 +14,19 @@ DATE_RE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
 # First and last whole day of a 64-bit nanosecond timestamp.
 FIRST_DATE, LAST_DATE = "1677-09-22", "2262-04-11"
-MONEY_TYPE = "decimal(18,2)"
-INT_MAX = 2147483647
+# Parsed numbers keep 20 digits before and 8 behind the point; nothing is cut to
+# cents or whole units.
+NUMBER_TYPE = "decimal(28,8)"
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def to_money(c: Column | str) -> Column:
-    """String -> DECIMAL(18,2); anything that is not a number -> NULL."""
+def to_number(c: Column | str) -> Column:
+    """String -> DECIMAL(28,8), fractions included; what is not a number -> NULL."""
     c = _c(c)
-    return F.when(c.rlike(NUMBER_RE), c.try_cast(MONEY_TYPE))
-
-
-def to_int_lenient(c: Column | str) -> Column:
-    """String -> INT for integral numbers ("5", " 5 ", "5.0", "1e3"); else NULL."""
-    c = _c(c)
-    d = F.when(c.rlike(NUMBER_RE), c.try_cast("decimal(38,6)"))
-    return F.when((d == F.floor(d)) & (F.abs(d) <= INT_MAX), d.cast("int"))
+    return F.when(c.rlike(NUMBER_RE), c.try_cast(NUMBER_TYPE))
 
 
 def to_date_lenient(c: Column | str) -> Column:

@@ -14,7 +14,8 @@ NULL_TOKENS = [
     "nan", "null",
 ]
 
-_WS_EDGES = r"^\s+|\s+$"
+# Blanks of Unicode and the four separator controls, as Python's str.strip.
+_WS_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 # A run of letters or a run of non-letters; title case capitalises the first
 # letter of every letter run, as Python's str.title() does.
 _LETTER_RUNS = r"(\p{L}+|\P{L}+)"

@@ -11,14 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.parse import to_bool_exact, to_date_lenient, to_int_lenient, to_money
+from tallyspark.functions.parse import NUMBER_TYPE, to_bool_exact, to_date_lenient, to_number
 from tallyspark.functions.text import strip_ws, title_case
 from tallyspark.operators.dedupe import keep_first
 from tallyspark.operators.stats import exact_median
 
 UNKNOWN = "Unknown"
 UNCATEGORIZED = "Uncategorized"
-MONEY = "decimal(18,2)"
 
 
 # -- single-column operators (B2-B10) -----------------------------------------
@@ -56,7 +55,7 @@ def typed_products(raw: DataFrame) -> DataFrame:
     return first.select(
         "sku",
         impute_constant("category", UNCATEGORIZED).alias("category"),
-        F.abs(to_money("cost")).alias("cost"),
+        F.abs(to_number("cost")).alias("cost"),
         to_bool_exact("active").alias("active"),
     )
 
@@ -64,8 +63,8 @@ def typed_products(raw: DataFrame) -> DataFrame:
 def stage_products(raw: DataFrame) -> DataFrame:
     """Dedupe, fill category, cost to number, |cost|, NULL cost -> exact median."""
     typed = typed_products(raw)
-    med = exact_median(typed, "cost", out="_median").select(F.col("_median").cast(MONEY)).scalar()
-    return typed.select("sku", "category", F.coalesce(F.col("cost"), med).cast(MONEY).alias("cost"), "active")
+    med = exact_median(typed, "cost", out="_median").select(F.col("_median").cast(NUMBER_TYPE)).scalar()
+    return typed.select("sku", "category", F.coalesce(F.col("cost"), med).cast(NUMBER_TYPE).alias("cost"), "active")
 
 
 # -- orders (B18) ----------------------------------------------------------------
@@ -79,8 +78,8 @@ def typed_orders(raw: DataFrame) -> DataFrame:
     first = keep_first(raw, "order_id")
     return first.select(
         "order_id", "customer_id", "sku",
-        to_int_lenient("quantity").alias("quantity"),
-        to_money("unit_price").alias("unit_price"),
+        to_number("quantity").alias("quantity"),
+        to_number("unit_price").alias("unit_price"),
         to_date_lenient("order_date").alias("order_date"),
         "channel",
     )
@@ -94,5 +93,5 @@ def stage_orders(raw: DataFrame) -> DataFrame:
                  "order_id", "customer_id", "sku", "quantity", "unit_price", "order_date",
                  normalize_channel("channel").alias("channel"),
                  F.coalesce(F.col("quantity") < 0, F.lit(False)).alias("is_return"),
-                 (F.col("quantity") * F.col("unit_price")).alias("revenue"),
+                 F.try_multiply("quantity", "unit_price").alias("revenue"),
              ))

@@ -25,7 +25,7 @@ def mart_daily_channel(fact: DataFrame) -> DataFrame:
                 .agg(order_count().alias("orders"),
                      _zero_sum("revenue").alias("revenue"),
                      _zero_sum("gross_margin").alias("margin"),
-                     _zero_sum("quantity").cast("bigint").alias("units")))
+                     _zero_sum("quantity").alias("units")))
 
 
 def mart_monthly_channel(fact: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def mart_monthly_channel(fact: DataFrame) -> DataFrame:
                 .agg(order_count().alias("orders"),
                      _zero_sum("revenue").alias("revenue"),
                      _zero_sum("gross_margin").alias("margin"),
-                     _zero_sum("quantity").cast("bigint").alias("units")))
+                     _zero_sum("quantity").alias("units")))
 
 
 def mart_customer_lifetime(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def mart_product_performance(fact: DataFrame, dim_product: DataFrame) -> DataFra
     agg = (fact.filter(F.col("sku").isNotNull())
                .groupBy("sku")
                .agg(order_count().alias("total_orders"),
-                    _zero_sum("quantity").cast("bigint").alias("total_units"),
+                    _zero_sum("quantity").alias("total_units"),
                     _zero_sum("revenue").alias("total_revenue"),
                     _zero_sum("gross_margin").alias("total_margin")))
     dims = dim_product.filter(F.col("sku").isNotNull())

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.numeric import pct
-from tallyspark.functions.parse import to_date_lenient, to_money
+from tallyspark.functions.parse import to_date_lenient, to_number
 from tallyspark.operators.cleaning import typed_orders
 from tallyspark.operators.dedupe import duplicate_count, keep_first
 
@@ -39,7 +39,7 @@ def dq_customers(raw_customers: DataFrame) -> DataFrame:
 
 def dq_products(raw_products: DataFrame) -> DataFrame:
     first = keep_first(raw_products, "sku")
-    cost = to_money("cost")
+    cost = to_number("cost")
     after = first.agg(
         F.count_if(F.col("category").isNull()).alias("null_category"),
         F.count_if(cost < 0).alias("negative_cost"),
@@ -123,8 +123,13 @@ def ref_integrity(fact: DataFrame, dim_customer: DataFrame, dim_product: DataFra
     and the KPI joins do.
     """
     def orphans(key: str, dim: DataFrame, name: str) -> DataFrame:
-        return (fact.select(key).join(dim.select(key), key, "left_anti")
-                    .agg(F.lit(name).alias("check_name"), F.count(F.lit(1)).alias("violations")))
+        # counted per key first, so that no fact row (and no hot or NULL key) crosses the join row by row
+        per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        # (an anti-join would be pushed below the counting)
+        known = dim.select(key, F.lit(True).alias("_known"))
+        return (per_key.join(known, key, "left")
+                       .agg(F.lit(name).alias("check_name"),
+                            F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0)).alias("violations")))
 
     def dups(df: DataFrame, key: str, name: str) -> DataFrame:
         return duplicate_count(df.select(key), key).select(F.lit(name).alias("check_name"),

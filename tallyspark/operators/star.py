@@ -9,6 +9,7 @@ from tallyspark.functions.calendar import calendar_columns, date_id
 from tallyspark.functions.numeric import ratio, round_half_away
 from tallyspark.operators.rules import FLAGS
 
+# The output schema of the fact.
 FACT_COLUMNS = [
     "order_id", "customer_id", "sku", "channel", "date_id", "order_date",
     "quantity", "unit_price", "revenue", "cost_total", "gross_margin", "margin_pct",
@@ -42,7 +43,7 @@ def fact_sales(flagged: DataFrame) -> DataFrame:
     """Sales without returns; cost from the product lookup already done by the
     rules step (no second join).  A missing cost gives a NULL margin."""
     sales = flagged.filter(~F.col("is_return"))
-    cost_total = F.col("quantity") * F.col("cost")
+    cost_total = F.try_multiply("quantity", "cost")
     return sales.select(
         "order_id", "customer_id", "sku", "channel",
         date_id("order_date").alias("date_id"), "order_date",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.functions.parse import to_bool_exact, to_date_lenient, to_int_lenient, to_money
+from tallyspark.functions.parse import NUMBER_TYPE, to_bool_exact, to_date_lenient, to_number
 from tallyspark.operators import cleaning, measures as M, quality
 from tallyspark.operators.dedupe import keep_first
 from tallyspark.operators.stats import exact_median
@@ -76,7 +76,7 @@ _STG_COLS = ["order_id", "customer_id", "sku", "quantity", "unit_price", "order_
              "is_return", "revenue", "is_pre_signup", "is_inactive_sale", "is_below_cost"]
 
 
-@register("stg_orders", O.with_ctes(f"SELECT {_dbl(_STG_COLS, {'unit_price', 'revenue'})} FROM stg_orders",
+@register("stg_orders", O.with_ctes(f"SELECT {_dbl(_STG_COLS, {'quantity', 'unit_price', 'revenue'})} FROM stg_orders",
                                     "stg_orders"))
 def q_stg_orders(spark, sf_dir):
     return present(_p(spark, sf_dir).stg_orders)
@@ -91,7 +91,7 @@ _Q_COLS = ["order_id", "customer_id", "sku", "quantity", "unit_price", "order_da
 
 
 @register("quarantine", O.with_ctes(
-    f"SELECT {_dbl(_Q_COLS[:-1], {'unit_price', 'revenue'})}, "
+    f"SELECT {_dbl(_Q_COLS[:-1], {'quantity', 'unit_price', 'revenue'})}, "
     f"'order_date < customer created_at' AS _quarantine_reason FROM flagged WHERE is_pre_signup", "flagged"))
 def q_quarantine(spark, sf_dir):
     return present(_p(spark, sf_dir).orders_quarantine.select(*_Q_COLS))
@@ -120,7 +120,7 @@ def q_dim_date(spark, sf_dir):
 _FACT_COLS = ["order_id", "customer_id", "sku", "channel", "date_id", "order_date", "quantity", "unit_price",
               "revenue", "cost_total", "gross_margin", "margin_pct", "is_pre_signup", "is_inactive_sale",
               "is_below_cost"]
-_FACT_MONEY = {"unit_price", "revenue", "cost_total", "gross_margin"}
+_FACT_MONEY = {"quantity", "unit_price", "revenue", "cost_total", "gross_margin"}
 
 
 @register("fact_sales", O.with_ctes(f"SELECT {_dbl(_FACT_COLS, _FACT_MONEY)} FROM fact", "fact"))
@@ -136,7 +136,7 @@ def q_fact_sales(spark, sf_dir):
 SELECT date_id, channel, count(DISTINCT order_id) AS orders,
   CAST(coalesce(sum(revenue), 0) AS DOUBLE) AS revenue,
   CAST(coalesce(sum(gross_margin), 0) AS DOUBLE) AS margin,
-  CAST(coalesce(sum(quantity), 0) AS BIGINT) AS units
+  CAST(coalesce(sum(quantity), 0) AS DOUBLE) AS units
 FROM fact WHERE date_id IS NOT NULL AND channel IS NOT NULL GROUP BY date_id, channel""", "fact"))
 def q_mart_daily_channel(spark, sf_dir):
     return present(_p(spark, sf_dir).mart_daily_channel)
@@ -147,7 +147,7 @@ SELECT CAST(year(order_date) AS INTEGER) AS year, CAST(month(order_date) AS INTE
   count(DISTINCT order_id) AS orders,
   CAST(coalesce(sum(revenue), 0) AS DOUBLE) AS revenue,
   CAST(coalesce(sum(gross_margin), 0) AS DOUBLE) AS margin,
-  CAST(coalesce(sum(quantity), 0) AS BIGINT) AS units
+  CAST(coalesce(sum(quantity), 0) AS DOUBLE) AS units
 FROM fact WHERE order_date IS NOT NULL AND channel IS NOT NULL GROUP BY 1, 2, 3""", "fact"))
 def q_mart_monthly_channel(spark, sf_dir):
     return present(_p(spark, sf_dir).mart_monthly_channel)
@@ -169,7 +169,7 @@ def q_mart_customer_lifetime(spark, sf_dir):
 @register("mart_product_performance", O.with_ctes("""
 SELECT a.*, d.category, CAST(d.cost AS DOUBLE) AS cost, d.active FROM (
   SELECT sku, count(DISTINCT order_id) AS total_orders,
-    CAST(coalesce(sum(quantity), 0) AS BIGINT) AS total_units,
+    CAST(coalesce(sum(quantity), 0) AS DOUBLE) AS total_units,
     CAST(coalesce(sum(revenue), 0) AS DOUBLE) AS total_revenue,
     CAST(coalesce(sum(gross_margin), 0) AS DOUBLE) AS total_margin
   FROM fact WHERE sku IS NOT NULL GROUP BY sku) a
@@ -187,7 +187,7 @@ SELECT CAST(sum(revenue) AS DOUBLE) AS total_revenue, CAST(sum(gross_margin) AS
   count(DISTINCT order_id) AS total_orders,
   {O.rha(O.ratio('sum(revenue)', 'count(DISTINCT order_id)'), 2)} AS avg_ticket,
   {O.pct('sum(gross_margin)', 'sum(revenue)', 1)} AS margin_pct,
-  CAST(sum(quantity) AS BIGINT) AS total_units_sold
+  CAST(sum(quantity) AS DOUBLE) AS total_units_sold
 FROM fact""", "fact"))
 def q_kpi_scorecard(spark, sf_dir):
     return kpis.kpi_scorecard(_p(spark, sf_dir).fact_sales)
@@ -210,7 +210,7 @@ def q_kpi_monthly_trend(spark, sf_dir):
 
 
 @register("kpi_channel", O.with_ctes(f"""
-SELECT channel, count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
+SELECT channel, count(DISTINCT order_id) AS orders, CAST(sum(quantity) AS DOUBLE) AS units,
   CAST(sum(revenue) AS DOUBLE) AS revenue, CAST(sum(gross_margin) AS DOUBLE) AS margin,
   {O.pct('sum(gross_margin)', 'sum(revenue)', 1)} AS margin_pct,
   {O.rha(O.ratio('sum(revenue)', 'count(DISTINCT order_id)'), 2)} AS avg_ticket,
@@ -247,7 +247,7 @@ def q_kpi_top_customers(spark, sf_dir):
 
 @register("kpi_top_products", O.with_ctes(f"""
 SELECT * FROM (
-  SELECT f.sku, p.category, count(DISTINCT f.order_id) AS orders, CAST(sum(f.quantity) AS BIGINT) AS units_sold,
+  SELECT f.sku, p.category, count(DISTINCT f.order_id) AS orders, CAST(sum(f.quantity) AS DOUBLE) AS units_sold,
     CAST(sum(f.revenue) AS DOUBLE) AS revenue, CAST(sum(f.gross_margin) AS DOUBLE) AS margin,
     {O.pct('sum(f.gross_margin)', 'sum(f.revenue)', 1)} AS margin_pct,
     CAST(rank() OVER (ORDER BY sum(f.revenue) DESC) AS INTEGER) AS revenue_rank
@@ -305,7 +305,7 @@ def q_kpi_active_status(spark, sf_dir):
 
 @register("kpi_returns_audit", O.with_ctes("""
 SELECT 'Returns (negative qty)' AS issue_type, count(*) AS row_count,
-  CAST(sum(abs(quantity) * unit_price) AS DOUBLE) AS implied_revenue_impact
+  CAST(sum(abs(revenue)) AS DOUBLE) AS implied_revenue_impact
 FROM stg_orders WHERE is_return""", "stg_orders"))
 def q_kpi_returns_audit(spark, sf_dir):
     return kpis.kpi_returns_audit(_p(spark, sf_dir).stg_orders)
@@ -340,14 +340,14 @@ def q_coerce_date(spark, sf_dir):
 
 
 @register("coerce_number", O.with_ctes(f"""
-SELECT order_id, quantity AS quantity_raw, {O.to_int('quantity')} AS quantity, unit_price AS unit_price_raw,
-  CAST({O.to_money('unit_price')} AS DOUBLE) AS unit_price FROM ord_first""", "ord_first"))
+SELECT order_id, quantity AS quantity_raw, CAST({O.to_number('quantity')} AS DOUBLE) AS quantity, unit_price AS unit_price_raw,
+  CAST({O.to_number('unit_price')} AS DOUBLE) AS unit_price FROM ord_first""", "ord_first"))
 def q_coerce_number(spark, sf_dir):
     first = keep_first(_p(spark, sf_dir).raw_orders, "order_id")
     return present(first.select("order_id", F.col("quantity").alias("quantity_raw"),
-                                to_int_lenient("quantity").alias("quantity"),
+                                to_number("quantity").alias("quantity"),
                                 F.col("unit_price").alias("unit_price_raw"),
-                                to_money("unit_price").alias("unit_price")))
+                                to_number("unit_price").alias("unit_price")))
 
 
 @register("title_case", O.with_ctes(f"""
@@ -374,11 +374,11 @@ def q_normalize_channel(spark, sf_dir):
 
 
 @register("abs_cost", O.with_ctes(f"""
-SELECT sku, CAST({O.to_money('cost')} AS DOUBLE) AS cost_parsed, CAST(abs({O.to_money('cost')}) AS DOUBLE) AS cost
+SELECT sku, CAST({O.to_number('cost')} AS DOUBLE) AS cost_parsed, CAST(abs({O.to_number('cost')}) AS DOUBLE) AS cost
 FROM prod_first""", "prod_first"))
 def q_abs_cost(spark, sf_dir):
     first = keep_first(_p(spark, sf_dir).raw_products, "sku")
-    return present(first.select("sku", to_money("cost").alias("cost_parsed"), F.abs(to_money("cost")).alias("cost")))
+    return present(first.select("sku", to_number("cost").alias("cost_parsed"), F.abs(to_number("cost")).alias("cost")))
 
 
 @register("impute_median", O.with_ctes("""
@@ -386,7 +386,7 @@ SELECT CAST(m.med AS DOUBLE) AS median_cost, (SELECT count(*) FROM prod_typed WH
 FROM prod_median m""", "prod_median"))
 def q_impute_median(spark, sf_dir):
     typed = cleaning.typed_products(_p(spark, sf_dir).raw_products)
-    med = exact_median(typed, "cost", out="median_cost").select(F.col("median_cost").cast("decimal(18,2)").cast("double")
+    med = exact_median(typed, "cost", out="median_cost").select(F.col("median_cost").cast(NUMBER_TYPE).cast("double")
                                                                  .alias("median_cost"))
     return med.withColumn("imputed_rows", typed.agg(F.count_if(F.col("cost").isNull())).scalar())
 
@@ -430,7 +430,7 @@ _FLAGGED_COLS = ["order_id", "customer_id", "sku", "quantity", "unit_price", "or
 
 
 @register("flagged_orders", O.with_ctes(
-    f"SELECT {_dbl(_FLAGGED_COLS, {'unit_price', 'revenue', 'cost'})} FROM flagged", "flagged"))
+    f"SELECT {_dbl(_FLAGGED_COLS, {'quantity', 'unit_price', 'revenue', 'cost'})} FROM flagged", "flagged"))
 def q_flagged_orders(spark, sf_dir):
     return present(_p(spark, sf_dir).flagged_orders)
 
@@ -455,8 +455,8 @@ def q_dq_customers(spark, sf_dir):
 SELECT r.*, a.* FROM
  (SELECT count(*) AS raw_rows, {O.dup_count_sql('sku', 'raw_products')} AS duplicate_sku FROM raw_products) r,
  (SELECT count(*) FILTER (WHERE category IS NULL) AS null_category,
-         count(*) FILTER (WHERE {O.to_money('cost')} < 0) AS negative_cost,
-         count(*) FILTER (WHERE {O.to_money('cost')} IS NULL) AS null_cost,
+         count(*) FILTER (WHERE {O.to_number('cost')} < 0) AS negative_cost,
+         count(*) FILTER (WHERE {O.to_number('cost')} IS NULL) AS null_cost,
          count(*) AS staged_rows FROM prod_first) a""", "raw_products", "prod_first"))
 def q_dq_products(spark, sf_dir):
     return quality.dq_products(_p(spark, sf_dir).raw_products)
@@ -523,11 +523,11 @@ _LAYER_SQL = "\nUNION ALL\n".join(f"SELECT {O.q(name)} AS table_name, count(*) A
     ("stg_customers", "stg_customers"), ("stg_products", "stg_products"), ("stg_orders", "stg_orders"),
     ("orders_quarantine", "orders_quarantine"), ("dim_customer", "dim_customer"), ("dim_product", "dim_product"),
     ("dim_date", "dim_date"), ("fact_sales", "fact"), ("mart_monthly_summary", "mart_daily"),
-    ("mart_customer_lifetime", "mart_clv"), ("mart_product_performance", "mart_prod")])
+    ("mart_monthly_channel", "mart_month"), ("mart_customer_lifetime", "mart_clv"), ("mart_product_performance", "mart_prod")])
 
 
 @register("layer_counts", O.with_ctes(_LAYER_SQL, "raw_customers", "raw_products", "raw_orders", "stg_orders",
-                                      "orders_quarantine", "dim_date", "mart_daily", "mart_clv", "mart_prod"))
+                                      "orders_quarantine", "dim_date", "mart_daily", "mart_month", "mart_clv", "mart_prod"))
 def q_layer_counts(spark, sf_dir):
     return quality.layer_counts(_p(spark, sf_dir).tables())
 
@@ -643,9 +643,9 @@ def q_dash_sliced_p3(spark, sf_dir):
 
 
 @register("below_cost_audit", O.with_ctes("""
-SELECT f.order_id, f.order_date, f.channel, f.customer_id, c.name, f.sku, p.category, f.quantity,
+SELECT f.order_id, f.order_date, f.channel, f.customer_id, c.name, f.sku, p.category, CAST(f.quantity AS DOUBLE) AS quantity,
   CAST(f.unit_price AS DOUBLE) AS unit_price, CAST(p.cost AS DOUBLE) AS unit_cost,
-  CAST((p.cost - f.unit_price) * f.quantity AS DOUBLE) AS shortfall
+  CAST(CAST((p.cost - f.unit_price) * f.quantity AS DECIMAL(38,4)) AS DOUBLE) AS shortfall
 FROM fact f LEFT JOIN dim_product p ON f.sku = p.sku LEFT JOIN dim_customer c ON f.customer_id = c.customer_id
 WHERE f.is_below_cost""", "fact", "dim_product", "dim_customer"))
 def q_below_cost_audit(spark, sf_dir):
@@ -836,12 +836,12 @@ def q_publish_roundtrip(spark, sf_dir):
     raw = _landed_raw(spark, sf_dir, "publish-landing")
     root = scratch_path(spark, "publish")
     R.refresh(spark, raw, root, "v1")
-    return present(R.read_published(spark, root, "fact_sales"))
+    return present(R.read_published(spark, root, "fact_sales").drop("year"))
 
 
 @register("refresh_idempotent", O.with_ctes(_LAYER_SQL.replace("AS rows FROM", "AS rows, CAST(0 AS BIGINT) AS diff_rows FROM"),
                                             "raw_customers", "raw_products", "raw_orders", "stg_orders",
-                                            "orders_quarantine", "dim_date", "mart_daily", "mart_clv", "mart_prod"))
+                                            "orders_quarantine", "dim_date", "mart_daily", "mart_month", "mart_clv", "mart_prod"))
 def q_refresh_idempotent(spark, sf_dir):
     raw = _landed_raw(spark, sf_dir, "idem-landing")
     root = scratch_path(spark, "idempotent")
@@ -858,7 +858,7 @@ def q_refresh_idempotent(spark, sf_dir):
 
 
 _WEB_EXPORT_SQL = ("SELECT order_id, customer_id, sku, CAST(quantity AS VARCHAR) AS quantity, "
-                   "CAST(unit_price AS VARCHAR) AS unit_price, CAST(order_date AS VARCHAR) AS order_date, channel, "
+                   "CAST(CAST(unit_price AS DECIMAL(18,10)) AS VARCHAR) AS unit_price, CAST(order_date AS VARCHAR) AS order_date, channel, "
                    "id FROM intake_store")
 
 
@@ -891,7 +891,7 @@ _STG0_COLS = ["order_id", "customer_id", "sku", "quantity", "unit_price", "order
 
 
 @register("web_merge", O.with_ctes(f"""
-SELECT {_dbl(_STG0_COLS, {'unit_price', 'revenue'})} FROM (
+SELECT {_dbl(_STG0_COLS, {'quantity', 'unit_price', 'revenue'})} FROM (
   SELECT {', '.join(_STG0_COLS)} FROM stg_orders0
   UNION ALL
   SELECT order_id, customer_id, sku, quantity, unit_price, order_date, channel, coalesce(quantity < 0, false),

@@ -4,13 +4,15 @@ Each takes the fact (and the dimensions it joins) and returns the result
 set.  Money is summed exactly in DECIMAL and returned as DOUBLE; ratios are
 DOUBLE, rounded half away from zero.  Grand totals used for shares are a
 scalar subquery over the grouped result (never ``SUM() OVER ()``, which
-moves every group into one task), and top-k ranks are filtered straight
-after the ``rank()`` so Spark plans a partial WindowGroupLimit.
+moves every group into one task).  It sums every column of the groups, so its
+exchange equals the main branch's and the fact is read and shuffled once.
+Top-k ranks are filtered straight after the ``rank()`` so Spark plans a
+partial WindowGroupLimit.  Results come in the order a reader expects.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.numeric import money, pct, ratio, round_half_away
@@ -25,11 +27,14 @@ def _sales_aggs(prefix_orders: str = "orders"):
     ]
 
 
+def _total_revenue(groups: DataFrame, sums: list[str]) -> Column:
+    """Sum of ``_rev`` over ``groups`` as a scalar; ``sums`` are all their aggregates."""
+    return groups.agg(F.struct(*[F.sum(c).alias(c) for c in sums]).alias("t")).scalar()["_rev"]
+
+
 def _with_share(df: DataFrame, digits: int, out: str = "revenue_share_pct") -> DataFrame:
-    """Share of the grand total; the total is a scalar subquery (one
-    aggregate, evaluated once), not a window over all groups."""
-    total = df.agg(F.sum("_rev")).scalar()
-    return df.withColumn(out, pct("_rev", total, digits))
+    """Share of the grand total."""
+    return df.withColumn(out, pct("_rev", _total_revenue(df, df.columns[1:]), digits))
 
 
 # G1
@@ -37,7 +42,7 @@ def kpi_scorecard(fact: DataFrame) -> DataFrame:
     a = fact.agg(
         F.sum("revenue").alias("_rev"), F.sum("gross_margin").alias("_mar"),
         order_count().alias("total_orders"),
-        F.sum("quantity").alias("total_units_sold"))
+        F.sum("quantity").cast("double").alias("total_units_sold"))
     return a.select(
         money("_rev").alias("total_revenue"),
         money("_mar").alias("total_margin"),
@@ -77,19 +82,20 @@ def kpi_monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
                          money(F.sum("_mar")).alias("margin"),
                          F.sum("_orders").alias("orders")))
     return _previous_growth(monthly, "revenue", ["year", "month"], "mom_revenue_growth_pct") \
-        .select("year", "month", "month_name", "revenue", "margin", "orders", "mom_revenue_growth_pct")
+        .select("year", "month", "month_name", "revenue", "margin", "orders", "mom_revenue_growth_pct") \
+        .orderBy("year", "month")
 
 
 # G3
 def kpi_channel(fact: DataFrame) -> DataFrame:
-    g = fact.groupBy("channel").agg(*_sales_aggs(), F.sum("quantity").alias("units"))
+    g = fact.groupBy("channel").agg(*_sales_aggs(), F.sum("quantity").cast("double").alias("units"))
     g = _with_share(g, 1)
     return g.select(
         "channel", "orders", "units",
         money("_rev").alias("revenue"), money("_mar").alias("margin"),
         pct("_mar", "_rev", 1).alias("margin_pct"),
         round_half_away(ratio("_rev", "orders"), 2).alias("avg_ticket"),
-        "revenue_share_pct")
+        "revenue_share_pct").orderBy(F.desc("revenue"), "channel")
 
 
 # G4
@@ -113,7 +119,7 @@ def kpi_category(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
         "category", "orders",
         money("_rev").alias("revenue"), money("_mar").alias("margin"),
         pct("_mar", "_rev", 1).alias("margin_pct"),
-        round_half_away(ratio("_ps", "_pn"), 2).alias("avg_unit_price"))
+        round_half_away(ratio("_ps", "_pn"), 2).alias("avg_unit_price")).orderBy(F.desc("margin"), "category")
 
 
 def _top_by_revenue(g: DataFrame, k: int) -> DataFrame:
@@ -127,25 +133,25 @@ def kpi_top_customers(fact: DataFrame, dim_customer: DataFrame, k: int = 10) ->
     per = fact.groupBy("customer_id").agg(*_sales_aggs())
     dims = dim_customer.select("customer_id", "name", "country", "segment")
     g = per.join(dims, "customer_id", "inner")
-    total = g.agg(F.sum("_rev")).scalar()
+    total = _total_revenue(per.join(dims.select("customer_id"), "customer_id", "inner"), ["orders", "_rev", "_mar"])
     top = _top_by_revenue(g, k).withColumn("_total", total)
     return top.select(
         "customer_id", "name", "country", "segment", "orders",
         money("_rev").alias("revenue"), money("_mar").alias("margin"),
         round_half_away(ratio("_rev", "orders"), 2).alias("avg_ticket"),
         pct("_rev", "_total", 2).alias("revenue_share_pct"),
-        "revenue_rank")
+        "revenue_rank").orderBy("revenue_rank", "customer_id")
 
 
 # G6
 def kpi_top_products(fact: DataFrame, dim_product: DataFrame, k: int = 10) -> DataFrame:
-    per = fact.groupBy("sku").agg(*_sales_aggs(), F.sum("quantity").alias("units_sold"))
+    per = fact.groupBy("sku").agg(*_sales_aggs(), F.sum("quantity").cast("double").alias("units_sold"))
     g = per.join(dim_product.select("sku", "category"), "sku", "inner")
     return _top_by_revenue(g, k).select(
         "sku", "category", "orders", "units_sold",
         money("_rev").alias("revenue"), money("_mar").alias("margin"),
         pct("_mar", "_rev", 1).alias("margin_pct"),
-        "revenue_rank")
+        "revenue_rank").orderBy("revenue_rank", "sku")
 
 
 # G7
@@ -162,7 +168,7 @@ def kpi_country(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     return g.select(
         "country", "orders", "customers",
         money("_rev").alias("revenue"), money("_mar").alias("margin"),
-        round_half_away(ratio("_rev", "orders"), 2).alias("avg_ticket"))
+        round_half_away(ratio("_rev", "orders"), 2).alias("avg_ticket")).orderBy(F.desc("revenue"), "country")
 
 
 # G8
@@ -172,7 +178,7 @@ def kpi_segment(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
         "segment", "customers", "orders",
         money("_rev").alias("revenue"), money("_mar").alias("margin"),
         round_half_away(ratio("_rev", "orders"), 2).alias("avg_ticket"),
-        round_half_away(ratio("_rev", "customers"), 2).alias("revenue_per_customer"))
+        round_half_away(ratio("_rev", "customers"), 2).alias("revenue_per_customer")).orderBy(F.desc("revenue"), "segment")
 
 
 # G9
@@ -191,7 +197,7 @@ def kpi_quarterly(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         "year", "quarter",
         money("_rev").alias("revenue"), money("_mar").alias("margin"), "orders",
         round_half_away(ratio("_rev", "orders"), 2).alias("avg_ticket"),
-        "qoq_growth_pct")
+        "qoq_growth_pct").orderBy("year", "quarter")
 
 
 # G10
@@ -214,4 +220,4 @@ def kpi_returns_audit(stg_orders: DataFrame) -> DataFrame:
     return r.agg(
         F.lit("Returns (negative qty)").alias("issue_type"),
         F.count(F.lit(1)).alias("row_count"),
-        money(F.sum(F.abs("quantity") * F.col("unit_price"))).alias("implied_revenue_impact"))
+        money(F.sum(F.abs("revenue"))).alias("implied_revenue_impact"))

@@ -8,8 +8,16 @@ helpers below generate the DuckDB spelling of the shared cleaning rules.
 
 from __future__ import annotations
 
-from tallyspark.functions.parse import DATE_RE, NUMBER_RE
-from tallyspark.functions.text import NULL_TOKENS
+# The rules below are spelled here on their own and share nothing with the engine.
+
+# Tokens that a pandas CSV reader takes for a missing value.
+NULL_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+    "nan", "null",
+]
+NUMBER = r"[ \t\r\n]*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?[ \t\r\n]*"
+BLANK = r"[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def q(s: str) -> str:
@@ -21,7 +29,7 @@ def nt(x: str) -> str:
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"regexp_replace({x}, '^{BLANK}+|{BLANK}+$', '', 'g')"
 
 
 def title(x: str) -> str:
@@ -29,17 +37,19 @@ def title(x: str) -> str:
             f"lambda w: upper(w[1]) || w[2:]), '')")
 
 
-def to_money(x: str) -> str:
-    return f"(CASE WHEN regexp_matches({x}, {q(NUMBER_RE)}) THEN TRY_CAST({x} AS DECIMAL(18,2)) END)"
+def to_number(x: str) -> str:
+    return f"(CASE WHEN regexp_full_match({x}, {q(NUMBER)}) THEN TRY_CAST({x} AS DECIMAL(18,4)) END)"
 
 
-def to_int(x: str) -> str:
-    d = f"(CASE WHEN regexp_matches({x}, {q(NUMBER_RE)}) THEN TRY_CAST({x} AS DECIMAL(38,6)) END)"
-    return f"(CASE WHEN {d} = floor({d}) AND abs({d}) <= 2147483647 THEN CAST({d} AS INTEGER) END)"
+def to_date(x: str) -> str:
+    d = f"CAST(try_strptime({x}, '%Y-%m-%d') AS DATE)"
+    return (f"(CASE WHEN regexp_full_match({x}, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') "
+            f"AND {d} BETWEEN DATE '1677-09-22' AND DATE '2262-04-11' THEN {d} END)")
 
 
-def to_date(x: str) -> str:
-    return f"(CASE WHEN regexp_matches({x}, {q(DATE_RE)}) THEN CAST(try_strptime({x}, '%Y-%m-%d') AS DATE) END)"
+def product(a: str, b: str) -> str:
+    """The exact product; the inputs have at most four decimals together."""
+    return f"CAST({a} * {b} AS DECIMAL(38,4))"
 
 
 def rha(x: str, n: int) -> str:
@@ -83,8 +93,10 @@ SELECT
   CASE WHEN l.l_returnflag = 'R' AND l.l_linenumber = 7 THEN CAST(-CAST(l.l_quantity AS INTEGER) AS VARCHAR)
        WHEN l.l_orderkey % 701 = 5 THEN 'n/d'
        WHEN l.l_orderkey % 601 = 5 THEN '0'
+       WHEN l.l_orderkey % 409 = 5 THEN '2.5'
        ELSE CAST(CAST(l.l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
   CASE WHEN l.l_orderkey % 151 = 0 THEN NULL
+       WHEN l.l_orderkey % 313 = 7 THEN '1.005'
        ELSE CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS unit_price,
   CASE WHEN l.l_orderkey % 251 = 0 THEN '2025-13-40'
        ELSE substr(CAST(o.o_orderdate AS VARCHAR), 1, 10) END AS order_date,
@@ -154,18 +166,18 @@ SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY sku ORDER BY s1, s2) AS rn FROM raw_products) WHERE rn = 1""")
 
 cte("prod_typed", ["prod_first"], f"""
-SELECT sku, coalesce(category, 'Uncategorized') AS category, abs({to_money('cost')}) AS cost,
+SELECT sku, coalesce(category, 'Uncategorized') AS category, abs({to_number('cost')}) AS cost,
   CASE WHEN active = 'True' THEN true WHEN active = 'False' THEN false END AS active
 FROM prod_first""")
 
 cte("prod_median", ["prod_typed"], """
 SELECT CAST((max(cost) FILTER (WHERE rn = (n - 1) // 2) + max(cost) FILTER (WHERE rn = n // 2)) * 0.5
-            AS DECIMAL(18,2)) AS med
+            AS DECIMAL(18,4)) AS med
 FROM (SELECT cost, row_number() OVER (ORDER BY cost) - 1 AS rn, count(*) OVER () AS n
       FROM prod_typed WHERE cost IS NOT NULL)""")
 
 cte("stg_products", ["prod_typed", "prod_median"], """
-SELECT sku, category, CAST(coalesce(cost, med) AS DECIMAL(18,2)) AS cost, active
+SELECT sku, category, CAST(coalesce(cost, med) AS DECIMAL(18,4)) AS cost, active
 FROM prod_typed CROSS JOIN prod_median""")
 
 cte("ord_first", ["raw_orders"], """
@@ -174,7 +186,7 @@ SELECT * EXCLUDE (rn) FROM (
 WHERE rn = 1""")
 
 cte("ord_typed", ["ord_first"], f"""
-SELECT order_id, customer_id, sku, {to_int('quantity')} AS quantity, {to_money('unit_price')} AS unit_price,
+SELECT order_id, customer_id, sku, {to_number('quantity')} AS quantity, {to_number('unit_price')} AS unit_price,
   {to_date('order_date')} AS order_date, channel
 FROM ord_first""")
 
@@ -182,7 +194,7 @@ cte("stg_orders0", ["ord_typed"], f"""
 SELECT order_id, customer_id, sku, quantity, unit_price, order_date,
   lower({strip('channel')}) AS channel,
   coalesce(quantity < 0, false) AS is_return,
-  quantity * unit_price AS revenue
+  {product('quantity', 'unit_price')} AS revenue
 FROM ord_typed WHERE order_date IS NOT NULL AND unit_price IS NOT NULL""")
 
 cte("flagged", ["stg_orders0", "stg_customers", "stg_products"], """
@@ -201,8 +213,8 @@ FROM flagged""")
 
 cte("fact", ["flagged"], f"""
 SELECT order_id, customer_id, sku, channel, {date_id('order_date')} AS date_id, order_date,
-  quantity, unit_price, revenue, quantity * cost AS cost_total, revenue - quantity * cost AS gross_margin,
-  {rha(ratio('revenue - quantity * cost', 'revenue'), 4)} AS margin_pct,
+  quantity, unit_price, revenue, {product('quantity', 'cost')} AS cost_total, revenue - {product('quantity', 'cost')} AS gross_margin,
+  {rha(ratio('revenue - ' + product('quantity', 'cost'), 'revenue'), 4)} AS margin_pct,
   is_pre_signup, is_inactive_sale, is_below_cost
 FROM flagged WHERE NOT is_return""")
 
@@ -240,6 +252,10 @@ SELECT date_id, channel, count(DISTINCT order_id) AS orders, coalesce(sum(revenu
   coalesce(sum(gross_margin), 0) AS margin, coalesce(sum(quantity), 0) AS units
 FROM fact WHERE date_id IS NOT NULL AND channel IS NOT NULL GROUP BY date_id, channel""")
 
+cte("mart_month", ["fact"], """
+SELECT DISTINCT date_trunc('month', order_date) AS m, channel FROM fact
+WHERE order_date IS NOT NULL AND channel IS NOT NULL""")
+
 cte("mart_clv", ["fact", "dim_customer"], """
 SELECT a.*, d.name, d.country, d.segment FROM (
   SELECT customer_id, count(DISTINCT order_id) AS total_orders, coalesce(sum(revenue), 0) AS total_revenue
@@ -296,7 +312,7 @@ SELECT
 FROM (SELECT *, unnest(CASE WHEN o_orderkey % 47 = 0 THEN [1, 2] ELSE [1] END) AS cp FROM orders)""")
 
 _QD = f"TRY_CAST({strip('quantity')} AS DECIMAL(38,0))"
-_PD = f"TRY_CAST({strip('unit_price')} AS DECIMAL(38,6))"
+_PD = f"TRY_CAST({strip('unit_price')} AS DECIMAL(28,10))"
 _DD = "CAST(try_strptime(order_date, '%Y-%m-%d') AS DATE)"
 
 cte("cand_codes", ["cand"], f"""
@@ -312,7 +328,7 @@ SELECT *,
        WHEN NOT regexp_matches({strip('quantity')}, '^[-+]?[0-9]+$') OR {_QD} IS NULL THEN 'int_parsing'
        WHEN {_QD} <= 0 THEN 'greater_than' WHEN {_QD} > 10000 THEN 'less_than_equal' END AS e_quantity,
   CASE WHEN unit_price IS NULL THEN 'missing'
-       WHEN NOT regexp_matches(unit_price, {q(NUMBER_RE)}) OR {_PD} IS NULL THEN 'float_parsing'
+       WHEN NOT regexp_full_match(unit_price, {q(NUMBER)}) OR {_PD} IS NULL THEN 'float_parsing'
        WHEN {_PD} <= 0 THEN 'greater_than' WHEN {_PD} > 100000 THEN 'less_than_equal' END AS e_unit_price,
   CASE WHEN order_date IS NULL OR {strip('order_date')} = '' THEN 'missing'
        WHEN NOT regexp_matches(order_date, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') OR {_DD} IS NULL THEN 'date_parsing'

@@ -135,6 +135,7 @@ class Pipeline:
             "dim_date": self.dim_date,
             "fact_sales": self.fact_sales,
             "mart_monthly_summary": self.mart_daily_channel,
+            "mart_monthly_channel": self.mart_monthly_channel,
             "mart_customer_lifetime": self.mart_customer_lifetime,
             "mart_product_performance": self.mart_product_performance,
         }

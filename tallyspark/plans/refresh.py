@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.operators.cleaning import ORDER_STAGE_COLUMNS
+from tallyspark.operators.quality import ref_integrity
 from tallyspark.operators.star import FACT_COLUMNS
 from tallyspark.plans.pipeline import EPOCH, Pipeline
 
@@ -41,7 +42,16 @@ def _stage(spark: SparkSession, df: DataFrame, path: str, partition_by: str | No
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*FACT_COLUMNS)
+    """The fact and its folder column ``year``, which date slices prune by."""
+    return spark.read.parquet(path).select(*FACT_COLUMNS, "year")
+
+
+def check_keys(p: Pipeline) -> None:
+    """Refuse a set whose keys are not unique: counts of orders, customers and products rely on them."""
+    broken = ref_integrity(p.fact_sales, p.dim_customer, p.dim_product, p.dim_date).where(
+        F.col("check_name").endswith("_duplicates") & (F.col("violations") > 0)).collect()
+    if broken:
+        raise ValueError("keys are not unique: " + ", ".join(f"{r.check_name}={r.violations}" for r in broken))
 
 
 def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version: str,
@@ -58,23 +68,26 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version:
 
     p = Pipeline(st("raw_orders", raw["orders"]), st("raw_customers", raw["customers"]),
                  st("raw_products", raw["products"]), run_ts)
-    p = p.override(stg_customers=st("stg_customers", p.stg_customers),
-                   stg_products=st("stg_products", p.stg_products))
+    loaded = lambda df: df.withColumn("_stg_loaded_at", F.lit(run_ts))
+    p = p.override(stg_customers=st("stg_customers", loaded(p.stg_customers)),
+                   stg_products=st("stg_products", loaded(p.stg_products)))
     # Staged orders + flags + looked-up columns, written once; stg_orders,
     # the quarantine, the calendar and the fact all read it.
     flagged = st("_work/flagged_orders", p.flagged_orders)
     p = p.override(flagged_orders=flagged, stg_orders_unflagged=flagged.select(*ORDER_STAGE_COLUMNS))
-    st("stg_orders", p.stg_orders)
+    st("stg_orders", loaded(p.stg_orders))
     st("orders_quarantine", p.orders_quarantine)
     p = p.override(dim_customer=st("dim_customer", p.dim_customer), dim_product=st("dim_product", p.dim_product))
-    st("dim_date", p.dim_date)
+    p = p.override(dim_date=st("dim_date", p.dim_date))
     # Range-sorted on the date first so each write task covers few years and
     # the year folders get few files; date slices then prune folders.  The
     # order id as a second range key lets a hot date span several tasks.
     fact = p.fact_sales.withColumn("year", F.year("order_date")).repartitionByRange("order_date", "order_id")
     st("fact_sales", fact, "year")
     p = p.override(fact_sales=read_fact(spark, f"{vdir}/fact_sales"))
+    check_keys(p)
     st("mart_monthly_summary", p.mart_daily_channel)
+    st("mart_monthly_channel", p.mart_monthly_channel)
     st("mart_customer_lifetime", p.mart_customer_lifetime)
     st("mart_product_performance", p.mart_product_performance)
 
@@ -83,15 +96,19 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version:
     (spark.createDataFrame([(k, int(v)) for k, v in counts.items()], "table_name string, rows long")
           .withColumn("run_ts", F.lit(run_ts)).withColumn("version", F.lit(version))
           .coalesce(1).write.mode("overwrite").parquet(f"{vdir}/_run_log"))
-    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
-    (spark.createDataFrame([(f"{stamp} {version}",)], "value string").coalesce(1)
+    # a sequence number, not the clock, orders the versions
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{PUBLISH_LOG}")
+    last = 0
+    if log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
+        last = spark.read.text(f"{root}/{PUBLISH_LOG}").agg(F.max(F.substring_index("value", " ", 1).cast("long"))).first()[0] or 0
+    (spark.createDataFrame([(f"{last + 1:012d} {version}",)], "value string").coalesce(1)
           .write.mode("append").text(f"{root}/{PUBLISH_LOG}"))
     return counts
 
 
 PUBLISHED = ["raw_customers", "raw_products", "raw_orders", "stg_customers", "stg_products", "stg_orders",
              "orders_quarantine", "dim_customer", "dim_product", "dim_date", "fact_sales",
-             "mart_monthly_summary", "mart_customer_lifetime", "mart_product_performance"]
+             "mart_monthly_summary", "mart_monthly_channel", "mart_customer_lifetime", "mart_product_performance"]
 
 
 def current_version(spark: SparkSession, root: str) -> str:
@@ -116,6 +133,7 @@ def published_pipeline(spark: SparkSession, root: str, version: str | None = Non
                       stg_orders=rd("stg_orders"), orders_quarantine=rd("orders_quarantine"),
                       dim_customer=rd("dim_customer"), dim_product=rd("dim_product"), dim_date=rd("dim_date"),
                       fact_sales=rd("fact_sales"), mart_daily_channel=rd("mart_monthly_summary"),
+                      mart_monthly_channel=rd("mart_monthly_channel"),
                       mart_customer_lifetime=rd("mart_customer_lifetime"),
                       mart_product_performance=rd("mart_product_performance"))
 

@@ -45,8 +45,10 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("l_returnflag") == "R") & (ln == 7), (-qty).cast("string"))
          .when(k % 701 == 5, F.lit("n/d"))
          .when(k % 601 == 5, F.lit("0"))
+         .when(k % 409 == 5, F.lit("2.5"))
          .otherwise(qty.cast("string")).alias("quantity"),
         F.when(k % 151 == 0, F.lit(None).cast("string"))
+         .when(k % 313 == 7, F.lit("1.005"))
          .otherwise(F.col("l_extendedprice").cast("decimal(18,2)").cast("string")).alias("unit_price"),
         F.when(k % 251 == 0, F.lit("2025-13-40"))
          .otherwise(F.substring(F.col("o_orderdate").cast("string"), 1, 10)).alias("order_date"),

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tallyspark.functions.hashing import row_hash
 from tallyspark.functions.text import nullify_tokens
 
-# Business columns of the three raw inputs, in file order.
+# Business columns of the three raw inputs, in file order.
 ORDER_COLUMNS = ["order_id", "customer_id", "sku", "quantity", "unit_price", "order_date", "channel"]
 CUSTOMER_COLUMNS = ["customer_id", "name", "country", "segment", "created_at"]
 PRODUCT_COLUMNS = ["sku", "category", "cost", "active"]

@@ -58,7 +58,7 @@ STORE_SCHEMA = T.StructType([
     T.StructField("customer_id", T.StringType()),
     T.StructField("sku", T.StringType()),
     T.StructField("quantity", T.IntegerType()),
-    T.StructField("unit_price", T.DecimalType(18, 2)),
+    T.StructField("unit_price", T.DecimalType(18, 10)),
     T.StructField("order_date", T.DateType()),
     T.StructField("channel", T.StringType()),
     T.StructField("created_at", T.TimestampType()),
@@ -86,7 +86,7 @@ def _normalise(candidates: DataFrame) -> DataFrame:
     ).select(
         "*",
         F.col("_qs").try_cast("decimal(38,0)").alias("_q"),
-        F.col("_ps").try_cast("decimal(38,6)").alias("_p"),
+        F.col("_ps").try_cast("decimal(38,10)").alias("_p"),
         F.when(F.col("order_date").rlike(ISO_DATE_RE), F.try_to_date(F.col("order_date"), "yyyy-MM-dd")).alias("_d"),
     )
 
@@ -144,7 +144,7 @@ def validate(candidates: DataFrame, rules: IntakeRules) -> DataFrame:
         F.col("_customer_id").alias("customer_id"),
         F.col("_sku").alias("sku"),
         F.when(ok, F.col("_q").cast("int")).alias("quantity"),
-        F.when(ok, F.col("_p").cast("decimal(18,2)")).alias("unit_price"),
+        F.when(ok, F.col("_p").cast("decimal(18,10)")).alias("unit_price"),
         F.when(ok, F.col("_d")).alias("order_date"),
         F.col("_channel").alias("channel"),
         F.col("_errors").alias("errors"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.hashing import row_hash
 from tallyspark.functions.numeric import pct, round_half_away
-from tallyspark.functions.parse import to_bool_exact, to_date_lenient, to_int_lenient, to_money
+from tallyspark.functions.parse import to_bool_exact, to_date_lenient, to_number
 from tallyspark.functions.text import strip_ws, title_case
 from tallyspark.operators.stats import exact_median
 from tallyspark.plans import kpis
@@ -84,11 +84,9 @@ def test_n11_dates(spark):
 
 
 def test_n12_numbers(spark):
-    df = spark.createDataFrame([("12d",), (" 12 ",), ("1e3",), ("1,000",), ("abc",), ("2.5",)], "x string")
-    money = [r[0] for r in df.select(to_money("x")).collect()]
-    assert money == [None, Decimal("12.00"), Decimal("1000.00"), None, None, Decimal("2.50")]
-    ints = [r[0] for r in df.select(to_int_lenient("x")).collect()]
-    assert ints == [None, 12, 1000, None, None, None]
+    text = ["12d", " 12 ", "1e3", "1,000", "abc", "2.5", "3000000000", "1.005", "0.004", "-99999999999999999.99"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in text], "x string").select(to_number("x")).collect()]
+    assert got == [None, 12, 1000, None, None, Decimal("2.5"), 3000000000, Decimal("1.005"), Decimal("0.004"), Decimal("-99999999999999999.99")]
 
 
 def test_n13_zero_revenue_gives_null_margin_pct(spark):

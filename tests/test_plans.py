@@ -1,8 +1,6 @@
 """Physical-plan shape: the properties the design relies on at scale."""
 
-from pyspark.sql import functions as F
-
-from tallyspark.operators import measures as M
+from tallyspark.operators import measures as M, quality
 from tallyspark.operators.dedupe import keep_first
 from tallyspark.plans import kpis
 from tallyspark.plans import refresh as R
@@ -46,13 +44,20 @@ def test_published_fact_slice_prunes_year_folders_and_pushes_filters(spark):
     p = Pipeline.from_tables(spark, SF_SMALL)
     root = scratch_path(spark, "test-plan-publish")
     R.refresh(spark, {"orders": p.raw_orders, "customers": p.raw_customers, "products": p.raw_products}, root, "v")
-    vdir = f"{root}/v"
-    fact = spark.read.parquet(f"{vdir}/fact_sales")
-    s = M.slice_sales(fact.filter(F.col("year").between(1996, 1997)), date_from="1996-01-01", date_to="1997-12-31",
-                      channels=["1-urgent"])
+    fact = R.read_published(spark, root, "fact_sales")
+    s = M.slice_sales(fact, date_from="1996-01-01", date_to="1997-12-31", channels=["1-urgent"])
     txt = s._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in txt
     assert "PushedFilters" in txt and "order_date" in txt and "channel" in txt
+    dim = R.read_published(spark, root, "dim_customer")
+    for df in (kpis.kpi_channel(fact), kpis.kpi_top_customers(fact, dim)):
+        df.collect()
+        # the total's branch reuses the exchange of the groups: one scan of the fact runs
+        assert "ReusedExchange" in plan(df)
+    checks = quality.ref_integrity(fact, dim, R.read_published(spark, root, "dim_product"), R.read_published(spark, root, "dim_date"))
+    lines = [line.strip(" :+-") for line in optimized(checks).splitlines()]
+    at = next(i for i, line in enumerate(lines) if line.startswith("Join LeftOuter, (customer_id"))
+    assert lines[at + 1].startswith("Aggregate [customer_id")
 
 
 def test_intake_keep_first_is_group_limited_and_scalars_are_subqueries(spark):
