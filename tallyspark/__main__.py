@@ -1,9 +1,14 @@
 """Command line.
 
   python -m tallyspark refresh --orders O.csv --customers C.csv --products P.csv --out ROOT [--version V]
+                               [--mode full|incremental] [--web INTAKE_STORE]
   python -m tallyspark kpi NAME --root ROOT            (NAME: scorecard, monthly_trend, channel, ...)
   python -m tallyspark sql "SELECT ..." --root ROOT    (published tables as views)
   python -m tallyspark intake --input DIR --out DIR [--as-of YYYY-MM-DD]
+  python -m tallyspark delete --store INTAKE_STORE ORDER_ID ...
+
+An incremental refresh adds the rows that the current version has not seen; --web adds the stored web orders
+after the order files.
 
 Inputs are CSV files (or folders of them) with a header row, read as text.
 """
@@ -53,6 +58,8 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--products", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--version", default=None)
+    r.add_argument("--mode", choices=["full", "incremental"], default="full")
+    r.add_argument("--web", default=None, help="store of the order intake")
     k = sub.add_parser("kpi")
     k.add_argument("name")
     k.add_argument("--root", required=True)
@@ -65,6 +72,9 @@ def main(argv: list[str] | None = None) -> None:
     i.add_argument("--as-of", default=None)
     i.add_argument("--customer-pattern", default=r"^C[0-9]{4}$")
     i.add_argument("--sku-pattern", default=r"^SKU[0-9]{4}$")
+    d = sub.add_parser("delete")
+    d.add_argument("--store", required=True)
+    d.add_argument("order_id", nargs="+")
     for p in sub.choices.values():
         p.add_argument("--profile", choices=["cluster"], default=None, help="settings for a large cluster, where the cluster sets none")
     a = ap.parse_args(argv)
@@ -76,7 +86,13 @@ def main(argv: list[str] | None = None) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
         raw = S.scan_landing(spark, {"orders": a.orders, "customers": a.customers, "products": a.products}, now)
         version = a.version or now.strftime("v%Y%m%dT%H%M%S")
-        counts = R.refresh(spark, raw, a.out, version, now)
+        orders = [raw["orders"]]
+        if a.web:
+            from tallyspark.streaming.stream import read_store
+            orders.append(S.web_orders_as_raw(spark, read_store(spark, a.web), f"{a.out}/_web/{version}", now))
+        raw["orders"] = S.in_sequence(orders)
+        base = R.current_version(spark, a.out) if a.mode == "incremental" else None
+        counts = R.refresh(spark, raw, a.out, version, now, base)
         print(json.dumps({"version": version, "rows": counts}))
     elif a.cmd == "kpi":
         from tallyspark.plans import refresh as R
@@ -85,6 +101,9 @@ def main(argv: list[str] | None = None) -> None:
         from tallyspark.plans import refresh as R
         R.register_views(spark, a.root)
         _show(spark.sql(a.query))
+    elif a.cmd == "delete":
+        from tallyspark.streaming.stream import delete_stored
+        _show(delete_stored(spark, a.store, spark.createDataFrame([(o,) for o in a.order_id], "order_id string")))
     elif a.cmd == "intake":
         from tallyspark.streaming import intake as J
         from tallyspark.streaming.stream import run_intake_stream

@@ -765,6 +765,49 @@ def q_orders_delete(spark, sf_dir):
     return J.response(remaining).select(*_STORE_COLS)
 
 
+@register("orders_delete_report", O.with_ctes(f"""
+SELECT k AS order_id, count(s.order_id) AS deleted
+FROM (SELECT DISTINCT k FROM ({_LOOKUP_KEYS_SQL})) LEFT JOIN intake_store s ON s.order_id = k
+GROUP BY k""", "intake_store", "cand"))
+def q_orders_delete_report(spark, sf_dir):
+    """The stored orders are written as a store of the intake; the delete is kept beside it."""
+    from tallyspark.streaming.stream import create_store, delete_stored
+    path = scratch_path(spark, "delete-store") + "/store"
+    create_store(spark, path)
+    _store(spark, sf_dir).write.parquet(f"{path}/batch_id=first")
+    return delete_stored(spark, path, _lookup_keys(spark, sf_dir))
+
+
+def _dropped(spark, sf_dir, src, copies):
+    """Drop files with the seven fields of the form; their names follow the order of submission."""
+    c = adapter.intake_candidates(spark, sf_dir).filter(F.col("_ord.src").isin(copies))
+    c.orderBy("_ord").drop("_ord").write.mode("append").json(src)
+
+
+@register("intake_rejected", O.with_ctes(f"""
+SELECT {', '.join(J.CANDIDATE_COLUMNS)}, CASE WHEN is_valid THEN 1 ELSE n_errors END AS n_errors
+FROM cand_valid c WHERE NOT EXISTS (SELECT 1 FROM intake_accepted a WHERE a.s1 = c.s1 AND a.s2 = c.s2)""",
+                                         "cand_valid", "intake_accepted"))
+def q_intake_rejected(spark, sf_dir):
+    """Invalid and conflicting submissions of the stream, every value as submitted."""
+    from tallyspark.streaming.stream import run_intake_stream
+    base = scratch_path(spark, "intake-rejected")
+    _dropped(spark, sf_dir, base + "/incoming", [1, 2])
+    paths = run_intake_stream(spark, base + "/incoming", base + "/out", INTAKE_RULES, _dt.datetime(1970, 1, 1))
+    return spark.read.parquet(paths["rejected"]).select(*J.CANDIDATE_COLUMNS, F.size("errors").alias("n_errors"))
+
+
+@register("intake_stream_multi", O.with_ctes(f"SELECT {O.STORE_OUT} FROM intake_store", "intake_store"))
+def q_intake_stream_multi(spark, sf_dir):
+    """Three drops into one folder, each a run of its own; the last one sends all submissions again."""
+    from tallyspark.streaming.stream import read_store, run_intake_stream
+    base = scratch_path(spark, "intake-multi")
+    for copies in ([1], [2], [1, 2]):
+        _dropped(spark, sf_dir, base + "/incoming", copies)
+        paths = run_intake_stream(spark, base + "/incoming", base + "/out", INTAKE_RULES, _dt.datetime(1970, 1, 1))
+    return J.response(read_store(spark, paths["store"])).select(*_STORE_COLS)
+
+
 @register("intake_stream", O.with_ctes(f"SELECT {O.STORE_OUT} FROM intake_store", "intake_store"))
 def q_intake_stream(spark, sf_dir):
     """Candidates are dropped as JSON files into a shared folder and consumed
@@ -899,3 +942,33 @@ SELECT {_dbl(_STG0_COLS, {'quantity', 'unit_price', 'revenue'})} FROM (
 def q_web_merge(spark, sf_dir):
     merged = S.union_in_order([_p(spark, sf_dir).raw_orders, _web_raw(spark, sf_dir)])
     return present(cleaning.stage_orders(merged))
+
+
+_WITH_WEB = {
+    "stg_base": O.CTES["stg_orders0"],
+    "stg_orders0": (["stg_base", "intake_store"], """
+SELECT * FROM stg_base UNION ALL
+SELECT order_id, customer_id, sku, quantity, unit_price, order_date, channel, coalesce(quantity < 0, false) AS is_return,
+  quantity * unit_price AS revenue FROM intake_store"""),
+}
+_FACT_WITH_WEB_SQL = O.with_ctes(f"SELECT {_dbl(_FACT_COLS, _FACT_MONEY)} FROM fact", "fact", **_WITH_WEB)
+
+
+@register("refresh_with_web", _FACT_WITH_WEB_SQL)
+def q_refresh_with_web(spark, sf_dir):
+    """A full refresh that takes the stored web orders after the order files."""
+    raw = _landed_raw(spark, sf_dir, "web-refresh-landing")
+    raw["orders"] = S.in_sequence([raw["orders"], _web_raw(spark, sf_dir)])
+    root = scratch_path(spark, "web-refresh")
+    R.refresh(spark, raw, root, "v1")
+    return present(R.read_published(spark, root, "fact_sales").drop("year"))
+
+
+@register("refresh_incremental", _FACT_WITH_WEB_SQL)
+def q_refresh_incremental(spark, sf_dir):
+    """A full refresh of the files, then an incremental one of the same files and the stored web orders."""
+    raw = _landed_raw(spark, sf_dir, "incremental-landing")
+    root = scratch_path(spark, "incremental")
+    R.refresh(spark, raw | {"orders": S.in_sequence([raw["orders"]])}, root, "v1")
+    R.refresh(spark, raw | {"orders": S.in_sequence([raw["orders"], _web_raw(spark, sf_dir)])}, root, "v2", base="v1")
+    return present(R.read_published(spark, root, "fact_sales").drop("year"))

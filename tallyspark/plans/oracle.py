@@ -229,19 +229,21 @@ cte("dim_customer", ["stg_customers"], "SELECT customer_id, name, country, segme
 cte("dim_product", ["stg_products"], "SELECT sku, category, cost, active FROM stg_products")
 
 
-def with_ctes(body: str, *needed: str) -> str:
+def with_ctes(body: str, *needed: str, **other: tuple[list[str], str]) -> str:
+    """``body`` after the expressions it needs; ``other`` replaces or adds some."""
+    ctes = CTES | other
     order: list[str] = []
 
     def visit(n: str) -> None:
         if n in order:
             return
-        for d in CTES[n][0]:
+        for d in ctes[n][0]:
             visit(d)
         order.append(n)
 
     for n in needed:
         visit(n)
-    parts = [f"{n} AS ({CTES[n][1].strip()})" for n in order]
+    parts = [f"{n} AS ({ctes[n][1].strip()})" for n in order]
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
 
 

@@ -10,6 +10,11 @@ nothing is overwritten), so readers never see a half-built set or a missing
 pointer.  The current version is the latest log entry.  Running the refresh again
 on the same input gives equal tables (``run_ts`` is a parameter, not the
 clock).
+
+An incremental refresh names the version it builds on.  Its folder holds only
+the raw rows that version has not seen; the raw layer is then the folders of
+all loads in sequence (the publish log has each version's base), so the raw
+history is read but never copied.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from tallyspark.operators.cleaning import ORDER_STAGE_COLUMNS
 from tallyspark.operators.quality import ref_integrity
 from tallyspark.operators.star import FACT_COLUMNS
 from tallyspark.plans.pipeline import EPOCH, Pipeline
+from tallyspark.sources.store import in_sequence, incremental_append
 
 PUBLISH_LOG = "_published"
 
@@ -55,10 +61,16 @@ def check_keys(p: Pipeline) -> None:
 
 
 def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version: str,
-            run_ts: _dt.datetime = EPOCH) -> dict[str, int]:
+            run_ts: _dt.datetime = EPOCH, base: str | None = None) -> dict[str, int]:
     """Write all layers of ``raw`` (keys orders/customers/products) into
     ``root/version`` and publish that version.  Returns the row count of
-    every published table, observed during the writes (the run log)."""
+    every published table, observed during the writes (the run log).
+
+    With ``base``, a published version, only the rows of ``raw`` that are new
+    to it are added, after its own; the counts of the raw tables are those of
+    the added rows.  ``_ord`` of a load must have the type of its base's."""
+    if " " in version:
+        raise ValueError("a version name has no blanks")
     vdir = f"{root}/{version}"
     folder = spark._jvm.org.apache.hadoop.fs.Path(vdir)
     if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
@@ -66,8 +78,15 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version:
     counts: dict[str, int] = {}
     st = lambda name, df, part=None: _stage(spark, df, f"{vdir}/{name}", part, counts, name)
 
-    p = Pipeline(st("raw_orders", raw["orders"]), st("raw_customers", raw["customers"]),
-                 st("raw_products", raw["products"]), run_ts)
+    loads = load_chain(spark, root, base) if base else []
+
+    def raw_layer(name: str) -> DataFrame:
+        if not base:
+            return st(name, raw[name.removeprefix("raw_")])
+        st(name, incremental_append(_read_loads(spark, root, name, loads), raw[name.removeprefix("raw_")]))
+        return _read_loads(spark, root, name, [*loads, version])
+
+    p = Pipeline(raw_layer("raw_orders"), raw_layer("raw_customers"), raw_layer("raw_products"), run_ts)
     loaded = lambda df: df.withColumn("_stg_loaded_at", F.lit(run_ts))
     p = p.override(stg_customers=st("stg_customers", loaded(p.stg_customers)),
                    stg_products=st("stg_products", loaded(p.stg_products)))
@@ -101,7 +120,7 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version:
     last = 0
     if log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
         last = spark.read.text(f"{root}/{PUBLISH_LOG}").agg(F.max(F.substring_index("value", " ", 1).cast("long"))).first()[0] or 0
-    (spark.createDataFrame([(f"{last + 1:012d} {version}",)], "value string").coalesce(1)
+    (spark.createDataFrame([(f"{last + 1:012d} {version} {base or ''}".rstrip(),)], "value string").coalesce(1)
           .write.mode("append").text(f"{root}/{PUBLISH_LOG}"))
     return counts
 
@@ -114,11 +133,34 @@ PUBLISHED = ["raw_customers", "raw_products", "raw_orders", "stg_customers", "st
 def current_version(spark: SparkSession, root: str) -> str:
     """Latest entry of the publish log (one short line per publish)."""
     latest = spark.read.text(f"{root}/{PUBLISH_LOG}").agg(F.max("value")).first()[0]
-    return latest.split(" ", 1)[1]
+    return latest.split(" ")[1]
+
+
+def load_chain(spark: SparkSession, root: str, version: str) -> list[str]:
+    """The versions whose folders make up the raw layer of ``version``, oldest first."""
+    base = {}
+    for r in spark.read.text(f"{root}/{PUBLISH_LOG}").collect():  # one line per publish
+        _, name, *before = r.value.split(" ")
+        base[name] = before[0] if before else None
+    if version not in base:
+        raise ValueError(f"version {version} is not published in {root}")
+    chain = []
+    while version:
+        chain.insert(0, version)
+        version = base[version]
+    return chain
+
+
+def _read_loads(spark: SparkSession, root: str, name: str, loads: list[str]) -> DataFrame:
+    parts = [spark.read.parquet(f"{root}/{v}/{name}") for v in loads]
+    return in_sequence(parts) if len(parts) > 1 else parts[0]
 
 
 def read_published(spark: SparkSession, root: str, name: str, version: str | None = None) -> DataFrame:
-    vdir = f"{root}/{version or current_version(spark, root)}"
+    version = version or current_version(spark, root)
+    vdir = f"{root}/{version}"
+    if name.startswith("raw_"):
+        return _read_loads(spark, root, name, load_chain(spark, root, version))
     if name == "fact_sales":
         return read_fact(spark, f"{vdir}/fact_sales")
     return spark.read.parquet(f"{vdir}/{name}")

@@ -76,6 +76,17 @@ def union_in_order(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def in_sequence(frames: list[DataFrame]) -> DataFrame:
+    """Concatenate inputs of one kind, earlier frames first.  Their ``_ord``
+    have one type, and that of the result is the same for any number of
+    frames, so loads of different times can be put in sequence again."""
+    out = None
+    for i, f in enumerate(frames):
+        g = f.withColumn("_ord", F.struct(F.lit(i).alias("source"), F.col("_ord").alias("at")))
+        out = g if out is None else out.unionByName(g)
+    return out
+
+
 def web_export(store: DataFrame) -> DataFrame:
     """Stored web orders in the raw order layout (7 text columns), ordered by id."""
     return store.select(

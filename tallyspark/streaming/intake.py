@@ -195,12 +195,13 @@ def accept(validated: DataFrame, store: DataFrame | None = None, order: str = "_
 
 
 def insert(accepted: DataFrame, store: DataFrame | None, created_at: _dt.datetime,
-           order: str = "_ord") -> DataFrame:
-    """New store rows: ids continue after the stored maximum, in submission
-    order; ``created_at`` is the batch time (one value per run)."""
+           order: str = "_ord", numbered: DataFrame | None = None) -> DataFrame:
+    """New store rows: ids continue after the maximum ever given, in submission
+    order; ``created_at`` is the batch time (one value per run).  ``numbered``
+    holds the ids ever given where that is more than the store (deleted rows)."""
     start = None
     if store is not None:
-        start = store.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()
+        start = (store if numbered is None else numbered).agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()
     rows = with_sequence(accepted, [order], "id", start)
     return rows.select("id", "order_id", "customer_id", "sku", "quantity", "unit_price", "order_date", "channel",
                        F.lit(created_at).cast("timestamp").alias("created_at"))
@@ -218,15 +219,20 @@ def response(store_rows: DataFrame) -> DataFrame:
         "order_date", "channel", "created_at")
 
 
-def list_orders(store: DataFrame, limit: int = 50, offset: int = 0, channel: str | None = None) -> DataFrame:
+def list_orders(store: DataFrame, limit: int = 50, offset: int = 0, channel: str | None = None,
+                before: int | None = None) -> DataFrame:
     """Newest first; 1 <= limit <= 500, offset >= 0; exact channel filter
     when given (empty string = no filter).  Planned as a top-k, so only
-    offset + limit rows per task reach the final sort."""
+    offset + limit rows per task reach the final sort.  For deep pages pass
+    the last id of the page before as ``before``: its cost stays that of the
+    first page, with the bound pushed into the scan."""
     if not 1 <= limit <= 500:
         raise ValueError("limit must be between 1 and 500")
     if offset < 0:
         raise ValueError("offset must be >= 0")
     s = store.filter(F.col("channel") == channel) if channel else store
+    if before is not None:
+        s = s.filter(F.col("id") < before)
     return response(s.orderBy(F.col("id").desc()).offset(offset).limit(limit))
 
 
@@ -241,6 +247,10 @@ def delete_orders(store: DataFrame, keys: DataFrame, key_col: str = "order_id")
     requested id how many rows were removed (0 = not found)."""
     k = keys.select(F.upper(F.col(key_col)).alias("order_id")).distinct()
     remaining = store.join(k, "order_id", "left_anti")
-    hits = store.groupBy("order_id").agg(F.count(F.lit(1)).alias("deleted"))
-    report = k.join(hits, "order_id", "left").select("order_id", F.coalesce("deleted", F.lit(0)).alias("deleted"))
-    return remaining, report
+    return remaining, delete_report(k, store.join(k, "order_id", "left_semi"))
+
+
+def delete_report(keys: DataFrame, removed: DataFrame) -> DataFrame:
+    """Per requested id the number of removed rows; 0 = not found."""
+    hits = removed.groupBy("order_id").agg(F.count(F.lit(1)).alias("deleted"))
+    return keys.join(hits, "order_id", "left").select("order_id", F.coalesce("deleted", F.lit(0)).alias("deleted"))

@@ -15,6 +15,10 @@ overwrites it; when it is replayed after a failure it reads the store without
 that folder, so both tables end up as after one run.  One writer (this query)
 decides ids, which keeps them dense and ordered.  Rejected rows keep every
 submitted value as it came.
+
+A delete adds the ids of the removed rows to a table beside the store, and
+readers of the store leave those rows out.  A deleted order id can be submitted
+again; it gets a new id, since ids count on from the highest one ever given.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import os
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,13 +40,35 @@ CANDIDATE_SCHEMA = T.StructType(
 BATCH = "batch_id"
 
 
-def read_store(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
-    """The stored orders (of all batches but ``without``).  The store is created before the stream starts,
-    so a path that cannot be read is an error, never an empty store."""
+def deleted_path(store_path: str) -> str:
+    return store_path.rstrip("/") + "_deleted"
+
+
+def create_store(spark: SparkSession, path: str) -> None:
+    """An empty batch of its own in the store and in its table of deleted rows; changes nothing where they are."""
+    empty = intake.empty_store(spark)
+    empty.write.mode("ignore").parquet(f"{path}/{BATCH}=none")
+    empty.select("id", "order_id").write.mode("ignore").parquet(f"{deleted_path(path)}/{BATCH}=none")
+
+
+def delete_stored(spark: SparkSession, path: str, keys: DataFrame, key_col: str = "order_id") -> DataFrame:
+    """Remove orders from the store by order id; (order_id, deleted) per requested id, 0 = not found."""
+    k = keys.select(F.upper(key_col).alias("order_id")).distinct()
+    folder = f"{deleted_path(path)}/{BATCH}={uuid.uuid4()}"
+    read_store(spark, path).join(k, "order_id", "left_semi").select("id", "order_id").write.parquet(folder)
+    return intake.delete_report(k, spark.read.schema("id long, order_id string").parquet(folder))
+
+
+def read_store(spark: SparkSession, path: str, without: str | None = None, deleted: bool = False) -> DataFrame:
+    """The stored orders (of all batches but ``without``), with the deleted ones if asked.  The store is created
+    before the stream starts, so a path that cannot be read is an error, never an empty store."""
     rows = spark.read.schema(T.StructType([*intake.STORE_SCHEMA.fields, T.StructField(BATCH, T.StringType())])).parquet(path)
     if without is not None:
         rows = rows.where(F.col(BATCH) != without)
-    return rows.select(*intake.STORE_SCHEMA.names)
+    rows = rows.select(*intake.STORE_SCHEMA.names)
+    if deleted:
+        return rows
+    return rows.join(spark.read.schema("id long").parquet(deleted_path(path)), "id", "left_anti").select(*rows.columns)
 
 
 def scanned(rows: DataFrame) -> DataFrame:
@@ -72,7 +99,7 @@ def make_batch_writer(store_path: str, rejected_path: str, checkpoint: str, rule
         store = read_store(spark, store_path, without=folder)
         validated = intake.validate(stamped(batch), rules if rules.as_of else replace(rules, as_of=now.date())).persist()
         accepted, conflicts = intake.accept(validated, store)
-        new_rows = intake.insert(accepted, store, created_at or now)
+        new_rows = intake.insert(accepted, store, created_at or now, numbered=read_store(spark, store_path, folder, deleted=True))
         new_rows.write.mode("overwrite").parquet(f"{store_path}/{BATCH}={folder}")
         rejected = (validated.filter(~F.col("is_valid")).unionByName(conflicts)
                     .select(*[F.col(f"_raw.{c}").alias(c) for c in intake.CANDIDATE_COLUMNS], "errors",
@@ -95,9 +122,7 @@ def run_intake_stream(spark: SparkSession, source_dir: str, out_dir: str, rules:
     paths as ``(query, paths)``.
     """
     paths = {k: os.path.join(out_dir, k) for k in ("store", "rejected", "checkpoint")}
-    # An empty batch of its own creates the store on the first run and changes
-    # nothing on later runs, so every micro-batch can read it.
-    intake.empty_store(spark).write.mode("ignore").parquet(f"{paths['store']}/{BATCH}=none")
+    create_store(spark, paths["store"])
     reader = spark.readStream.schema(CANDIDATE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

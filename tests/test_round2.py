@@ -6,12 +6,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tallyspark import __main__ as cli
 from tallyspark.functions.parse import to_date_lenient
 from tallyspark.operators.star import FLAGS, fact_sales
 from tallyspark.plans import refresh as R
 from tallyspark.sources.raw import scan_csv
 from tallyspark.streaming import intake as J
-from tallyspark.streaming.stream import make_batch_writer, read_store, run_intake_stream, scanned
+from tallyspark.streaming.stream import delete_stored, make_batch_writer, read_store, run_intake_stream, scanned
 
 RULES = J.IntakeRules(as_of=dt.date(2026, 1, 1))
 FORM = [
@@ -82,3 +83,44 @@ def test_version_is_written_once(spark, tmp_path):
     (tmp_path / "v").mkdir()
     with pytest.raises(FileExistsError):
         R.refresh(spark, {}, str(tmp_path), "v")
+
+
+def test_delete_is_kept_and_ids_are_not_given_again(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.json").write_text("\n".join(map(json.dumps, FORM)))
+    run = lambda: run_intake_stream(spark, str(src), str(tmp_path / "out"), RULES, dt.datetime(2025, 2, 1))
+    paths = run()
+    report = delete_stored(spark, paths["store"], spark.createDataFrame([("o2",), ("O2",), ("zz",)], "order_id string"))
+    assert sorted(tuple(r) for r in report.collect()) == [("O2", 1), ("ZZ", 0)]
+    store = lambda: sorted((r.id, r.order_id) for r in read_store(spark, paths["store"]).collect())
+    assert store() == [(1, "O1")]
+    (src / "b.json").write_text(json.dumps(FORM[1]))
+    run()
+    assert store() == [(1, "O1"), (3, "O2")]
+
+
+def test_listing_before_an_id(spark):
+    rows = spark.range(1, 10).selectExpr("id", "'O' || id order_id", "'C' customer_id", "'S' sku", "1 quantity", "1.00BD unit_price",
+                                         "DATE'2025-01-01' order_date", "'retail' channel", "TIMESTAMP'2025-01-01' created_at")
+    assert [r.id for r in J.list_orders(rows, limit=3, before=5).collect()] == [4, 3, 2]
+
+
+def test_incremental_loads_add_only_unseen_rows_in_sequence(spark, tmp_path, capsys):
+    (tmp_path / "c.csv").write_text("customer_id,name,country,segment,created_at\nC1,Ann,Peru,Retail,2020-01-01\n")
+    (tmp_path / "p.csv").write_text("sku,category,cost,active\nS1,Roses,1,True\n")
+    head = "order_id,customer_id,sku,quantity,unit_price,order_date,channel\n"
+    loads = ["O1,C1,S1,1,5,2024-01-02,retail\n", "O1,C1,S1,9,5,2024-01-02,retail\nO2,C1,S1,2,5,2024-01-03,retail\n",
+             "O2,C1,S1,2,5,2024-01-03,retail\nO3,C1,S1,3,5,2024-01-04,retail\n"]
+    out, files = str(tmp_path / "out"), ["b.csv", "a.csv", "c0.csv"]  # the second load's name sorts before the first's
+    for i, (rows, name) in enumerate(zip(loads, files, strict=True)):
+        (tmp_path / name).write_text(head + rows)
+        cli.main(["refresh", "--orders", str(tmp_path / name), "--customers", str(tmp_path / "c.csv"), "--products", str(tmp_path / "p.csv"),
+                  "--out", out, "--version", f"v{i}", "--mode", "incremental" if i else "full"])
+    capsys.readouterr()
+    assert R.load_chain(spark, out, "v2") == ["v0", "v1", "v2"]
+    assert sorted(r.order_id for r in R.read_published(spark, out, "raw_orders").collect()) == ["O1", "O1", "O2", "O3"]
+    assert R.read_published(spark, out, "raw_customers").count() == 1
+    got = sorted((r.order_id, int(r.quantity)) for r in R.read_published(spark, out, "fact_sales").collect())
+    assert got == [("O1", 1), ("O2", 2), ("O3", 3)]
+    assert R.read_published(spark, out, "fact_sales", "v0").count() == 1
