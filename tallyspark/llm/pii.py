@@ -216,8 +216,12 @@ class Field:
 
 
 def fit_field(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Field:
-    rows = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where((F.char_length("text") <= SAMPLE_CHARS) & F.col("text").rlike("[0-9@]"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample).collect())
+    held = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where((F.char_length("text") <= SAMPLE_CHARS) & F.col("text").rlike("[0-9@]"))
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    # only the lowest hashes, about 4 * sample rows of all tasks together: a limit alone would bring ``sample`` texts of every task to the driver
+    share = min(1.0, 4 * sample / max(held.count(), 1))
+    highest = min(int(share * 2**64) - 2**63, 2**63 - 1)
+    rows = held.where(key <= F.lit(highest).cast("long")).orderBy(key, "doc_id", "text").limit(sample).collect()
     return Field().fit([r.text for r in rows])
 
 
