@@ -366,6 +366,59 @@ def test_decontamination_finds_planted(spark):
     assert decontaminate.find_leaks(df.limit(0), bench).count() == 0
 
 
+def _holds(words, item, idf, buckets):
+    """Brute force: the rule of acceptance at every place of a text."""
+    masks, m = {}, len(item)
+    for i, w in enumerate(item):
+        masks[w] = masks.get(w, 0) | 1 << i
+    rare = sorted(set(item), key=lambda w: (-idf[buckets[w]], w))[:decontaminate.ANSWER_WORDS]
+    for at in range(0, max(1, len(words) - m + 1), max(1, m // 8)):
+        near = words[max(0, at - m // 2):at + m + m // 2]
+        common = decontaminate.lcs(masks, m, near)
+        if common >= decontaminate.EXACT * m or common >= decontaminate.PARAPHRASE * m and sum(w in near for w in rare) >= decontaminate.ANSWER * len(rare):
+            return True
+    return False
+
+
+def test_decontamination_recall_of_planted(spark):
+    """Short, long and common items, unchanged and with 30 and 40 of 100 words replaced, planted in texts of the corpus."""
+    rng = random.Random(12)
+    texts = [w for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect() if len(w := decontaminate.words_of(r.text)) >= 64]
+    asked = [decontaminate.words_of(r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    joined = [w for words in asked for w in words]
+    items = asked + [w[:n] for w in asked[:12] for n in (2, 3, 5, 8, 10)] + [joined[k * 90:k * 90 + 400] for k in range(4)]
+    other = [w for words in texts for w in words[:50]]
+    docs, planted = [], []
+    for share in (0, *(0.3, 0.4) * 3):
+        for k, item in enumerate(items[:len(asked)] if share else items):
+            host = list(rng.choice(texts))[:300]
+            at = rng.randrange(len(host))
+            host[at:at] = [rng.choice(other) if rng.random() < share else w for w in item]
+            docs.append((len(docs), b" ".join(host).decode()))
+            planted.append((share, k, host))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, b" ".join(w).decode()) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(df, bench).collect()}
+    assert not [(d, k) for d, (share, k, _) in enumerate(planted) if share == 0 and (d, k) not in got]
+    seen, total = decontaminate.document_frequencies(df)
+    idf, buckets = np.log((total + 1) / (seen + 1)) + 0.1, decontaminate.Buckets()
+    due = [(d, k) for d, (share, k, host) in enumerate(planted) if share and _holds(host, items[k], idf, buckets)]
+    assert len(due) > 80 and sum(p in got for p in due) >= 0.95 * len(due)
+
+
+def test_decontamination_bound_drops_no_match(spark, monkeypatch):
+    rng = random.Random(3)
+    words = [f"w{k}".encode() for k in range(300)]
+    texts = [[rng.choice(words) for _ in range(n)] for n in (5, 40, 700, 900)]
+    items = [(k, texts[k % 4][3 * k % 5:][:rng.randint(2, 60)]) for k in range(12)] + [(20, texts[3][330:450])]
+    basis = np.random.default_rng(1).normal(size=(decontaminate.BUCKETS, 8)).astype(np.float32)
+    monkeypatch.setattr(decontaminate, "CHUNK", 128)  # pieces within a text
+    search = decontaminate.Search(items, basis, np.ones(decontaminate.BUCKETS))
+    with_bound = search.matches(texts, decontaminate.Buckets())
+    monkeypatch.setattr(search, "possible", lambda ids, edges, t, *_: np.ones(len(t), bool))
+    assert sorted(with_bound) == sorted(search.matches(texts, decontaminate.Buckets())) and len(with_bound) >= 13
+
+
 def test_lcs_by_bits():
     rng = random.Random(1)
     for _ in range(200):
