@@ -406,6 +406,25 @@ def test_decontamination_recall_of_planted(spark):
     assert len(due) > 80 and sum(p in got for p in due) >= 0.95 * len(due)
 
 
+def test_decontamination_blocks_share_one_basis(spark):
+    """Items of later blocks are found as in one block: the same pairs, at the same cosine."""
+    rng = random.Random(21)
+    texts = [w for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect() if len(w := decontaminate.words_of(r.text)) >= 64]
+    items = [["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8))).encode() for _ in range(rng.randint(16, 56))] for _ in range(24)]
+    docs, want = [], set()
+    for d in range(96):
+        words, k = list(rng.choice(texts))[:300], d % len(items)
+        at = rng.randrange(len(words))
+        words[at:at] = [rng.choice(texts)[0] if j % 6 == 3 and d % 2 else w for j, w in enumerate(items[k])]  # every second a paraphrase
+        docs.append((d, b" ".join(words).decode()))
+        want.add((d, k))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, b" ".join(w).decode()) for k, w in enumerate(items)], "item_id long, text string")
+    whole, blocks = ({(r.doc_id, r.item_id): (r.lcs, r.cosine) for r in decontaminate.find_leaks(df, bench, block=b).collect()} for b in (4096, 7))
+    assert whole.keys() >= want and blocks.keys() == whole.keys()
+    assert all(blocks[p] == (whole[p][0], pytest.approx(whole[p][1], abs=1e-3)) for p in whole)
+
+
 def test_decontamination_bound_drops_no_match(spark, monkeypatch):
     rng = random.Random(3)
     words = [f"w{k}".encode() for k in range(300)]
