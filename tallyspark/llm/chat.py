@@ -9,8 +9,10 @@ conversation into turn-aligned spans: turns whose token sum ends in the same
 ``stride`` belong together.  A window is the system turn (when the span does not
 hold it), at most ``history`` tokens of whole turns before the span, and the
 span.  Only assistant turns of the span are under the loss mask, so a repeated
-turn is never a target twice.  A window is above ``budget`` only where it holds a
-turn of more than ``budget - history - stride`` tokens, system turn included.
+turn is never a target twice.  With a ``budget`` the system turn and the span
+are charged first and the history is filled up to what is left, so a window is
+above it only where those two are.  Without one, as in the query, whose SQL fixes
+the history, it can exceed ``BUDGET`` by long turns and by its system turn.
 
 Edge cases: NULL text or role is empty; turns are ordered by (turn, role,
 text) with NULL turns first, so ties and repeated rows have a fixed order; a
@@ -48,7 +50,7 @@ def unescape_role(role: Column) -> Column:
 
 
 def format_chats(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
-                 history: int = HISTORY, stride: int = STRIDE) -> DataFrame:
+                 history: int = HISTORY, stride: int = STRIDE, budget: int | None = None) -> DataFrame:
     """conv_id, window, text and one entry of ``turns`` per block of the text: (at, role_chars, text_chars, loss, repeated).
 
     ``at`` is the 1-based code point where the block begins.
@@ -65,13 +67,25 @@ def format_chats(conversations: DataFrame, conv_id: str = "conv_id", turn: str =
             .withColumn("char_at", F.sum("chars").over(upto) - F.col("chars")).withColumn("span", F.floor((F.col("ends") - 1) / stride)))
     near = Window.partitionBy("conv_id").orderBy("starts").rangeBetween(-history, -1)
     rows = rows.withColumn("back", F.count(F.lit(1)).over(near))
-    turn_of = F.struct("i", "span", "back", "role", F.char_length("head").alias("head_n"), F.char_length("body").alias("body_n"), "char_at", "chars", "block")
+    turn_of = F.struct("i", "span", "back", "role", F.char_length("head").alias("head_n"), F.char_length("body").alias("body_n"), "char_at", "chars", "block",
+                       *(["starts", "ends"] if budget is not None else []))
     whole = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn_of)).alias("turns"))
     # the first turn of each span, with the index where the next span begins
     firsts = F.filter("turns", lambda t, k: F.coalesce(F.get("turns", k - 1)["span"] != t["span"], F.lit(True)))
     whole = whole.withColumn("firsts", F.transform(firsts, lambda t: F.struct(t["i"].alias("i"), t["back"].alias("back"))))
     whole = whole.withColumn("cuts", F.transform("firsts", lambda f, k: F.struct(
         k.alias("window"), f["i"].alias("first"), (f["i"] - f["back"]).cast("int").alias("low"), F.coalesce(F.get("firsts", k + 1)["i"], F.size("turns")).alias("stop"))))
+    if budget is not None:
+        top = F.get("turns", F.lit(0))
+        system = F.when(top["role"] == "system", top["ends"]).otherwise(F.lit(0))
+
+        def fitted(c: Column) -> Column:
+            # a history that reaches the first turn holds the system turn already
+            stop = F.get("turns", c["stop"] - 1)["ends"]
+            kept = F.filter(F.slice("turns", c["low"] + 1, c["first"] - c["low"]), lambda t: stop - t["starts"] + F.when(t["i"] > 0, system).otherwise(F.lit(0)) <= budget)
+            return F.struct(c["window"].alias("window"), c["first"].alias("first"), (c["first"] - F.size(kept)).cast("int").alias("low"), c["stop"].alias("stop"))
+
+        whole = whole.withColumn("cuts", F.transform("cuts", fitted))
 
     def window(c: Column) -> Column:
         held = F.slice("turns", c["low"] + 1, c["stop"] - c["low"])

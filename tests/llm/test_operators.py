@@ -212,6 +212,35 @@ def test_chat_windows_keep_system_and_budget(spark):
     assert sum(t.loss for w in out for t in w.turns) == 14
 
 
+@pytest.mark.parametrize("system", [0, 2, 150, 220, 300])
+def test_chat_budget_charges_system_turn_and_span(spark, system):
+    rng = random.Random(system)
+    size = [system] + [rng.choice([3, 20, 60, 150, 185, 260]) for _ in range(60)]
+    rows = [(1, t, "system" if t == 0 and system else "user" if t % 2 else "assistant", " ".join(f"t{t}" for _ in range(n))) for t, n in enumerate(size)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    loose, windows = (sorted(chat.format_chats(df, budget=b).collect(), key=lambda w: w.window) for b in (None, chat.BUDGET))
+    tokens = [n + chat.MARK_TOKENS for n in size]
+
+    def turns(w):  # which turns a window holds; a turn without words is turn 0
+        return [int(m[1:]) if m else 0 for m in (re.sub(" .*", "", b[1]) for b in re.findall(chat.BLOCK, w.text))]
+
+    if system >= 150:
+        assert any(sum(tokens[t] for t in turns(w)) > chat.BUDGET for w in loose)
+    assert len(windows) == len(loose)
+    for w, old in zip(windows, loose, strict=True):
+        held, fresh = turns(w), [t for t, m in zip(turns(w), w.turns, strict=True) if not m.repeated]
+        assert fresh == [t for t, m in zip(turns(old), old.turns, strict=True) if not m.repeated]
+        top = [0] if system and fresh[0] else []
+        fixed = sum(tokens[t] for t in top + fresh)
+        want = [t for t in turns(old) if t not in top + fresh]  # the history, newest turns first as far as they fit
+        while want and fixed + sum(tokens[t] for t in want) > chat.BUDGET:
+            want = want[1:]
+        assert held == top + want + fresh
+        assert sum(tokens[t] for t in held) <= max(chat.BUDGET, fixed)
+    got = chat.read_back(chat.format_chats(df, budget=chat.BUDGET)).first()
+    assert (got.n_turns, got.turns_sha256, got.loss_sha256) == (lambda r: (r.n_turns, r.turns_sha256, r.loss_sha256))(chat.read_back(chat.format_chats(df)).first())
+
+
 # Quality, mixing, URLs ---------------------------------------------------------------------------------
 
 
