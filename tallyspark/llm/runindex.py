@@ -5,8 +5,10 @@ bucket.  There a suffix array over them gives a Burrows-Wheeler transform,
 which is kept as runs: head symbol, start, the LF target of its first row, and
 a sample at each run (cut where neighbours stop sharing ``window`` bytes): the
 smallest document of its rows.  Each fragment is streamed backwards through the
-index by LF steps, which gives the row of every position; a position is marked
-when the matching statistic reaches ``window`` in a smaller document.  Marked
+index by LF steps, which gives the row of every position.  No matching statistic
+is computed: a position is marked when the class of its row, the rows whose
+suffixes share ``window`` bytes by the ranks of the uncompressed suffix array,
+holds a smaller document.  Marked
 windows and fragments that whole earlier documents repeat are removed.
 
 Anchors with more than ``HOT_FRAGMENTS`` different fragments are not gathered;
