@@ -1,8 +1,10 @@
 """Substring dedup: seed and extend over words.
 
 Windows of 20 consecutive words are seeded by winnowed anchors (see
-``anchors``); documents that share an anchor are extended from it both ways
-window by window, and runs of repeated windows are the maximal repeats.  A
+``anchors``).  No match is extended from its anchor: where an anchor has two or
+more different fragments, all windows of its blocks are compared by hash over
+all buckets (``spread_always``), and runs of repeated windows are the maximal
+repeats.  A
 window is a repeat when its words also start earlier: in a document with a
 smaller id, or earlier in the same document.
 
