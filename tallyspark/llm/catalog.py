@@ -1,6 +1,6 @@
 """Queries of this package by name, with DuckDB SQL where SQL can express them."""
 
-from tallyspark.llm import chat, decontaminate, jaccard, mixing, pii, quality, runindex, substring, toxicity, urls
+from tallyspark.llm import chat, decontaminate, jaccard, mixing, packing, pii, prefixtrie, quality, runindex, substring, toxicity, urls, whitening
 
 QUERIES = {
     "op3_benchmark_decontamination": decontaminate.query,
@@ -13,6 +13,9 @@ QUERIES = {
     "op4_quality_rules": quality.query,
     "op8_mixing": mixing.query,
     "op9_url_filters": urls.query,
+    "op11_best_fit_packing": packing.query,
+    "op12_conversation_prefix_trie": prefixtrie.query,
+    "op13_embedding_whitening": whitening.query,
 }
 
 ORACLE = {
@@ -22,4 +25,5 @@ ORACLE = {
     "op4_quality_rules": quality.SQL,
     "op8_mixing": mixing.SQL,
     "op9_url_filters": urls.SQL,
+    "op12_conversation_prefix_trie": prefixtrie.SQL,
 }
