@@ -14,9 +14,8 @@ hold about ``SHARD_TOKENS`` tokens and ``SHARD_PIECES`` pieces whatever the
 input, so that what stays open at the end of a shard is about one
 sequence in thousands.
 
-Tokenising works by chunks between blanks, which the vocabulary's splitting never
-crosses; each worker keeps ids of chunks it has seen, up to ``SEEN``
-of them.
+Tokenising works by words between blanks, which the vocabulary's splitting never
+crosses; each worker keeps the ids of up to about ``SEEN`` words.
 
 Edge cases: a NULL or empty text is one piece with the end id alone; a NULL id
 is kept; repeated rows are packed each on its own; a text of one run without blanks is
@@ -26,10 +25,15 @@ read.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
+import sys
+import types
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyspark.llm.common import cut, table
@@ -37,112 +41,138 @@ from tallyspark.llm.common import cut, table
 LENGTH = 2048
 END_ID = 0
 SHARD_TOKENS, SHARD_PIECES = 16_000_000, 65_536
-SEEN = 1 << 19           # chunks whose ids a worker keeps
-TOGETHER = 500           # unseen chunks encoded at once
-SLICE = 1 << 20          # characters of a text cut into chunks at once
-BLANKS = re.compile(r"[ \t\r\n]+")
+SEEN = 1 << 20           # words whose ids a worker keeps
+TOGETHER = 500           # unseen words encoded at once
+SLICE = 1 << 22          # bytes of text taken at once; a longer text is taken alone
 TAIL = re.compile(r"[.,]+\Z")
+SIMPLE = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")
 
 
-class Chunks:
-    """Ids of texts, as little-endian unsigned 32-bit words."""
+class Words:
+    """Ids of words between ASCII blanks, as little-endian unsigned 32-bit numbers.
+
+    Splitting never crosses a blank, so a text's ids are those of its words.  A word of plain lower-case letters is one
+    unit that normalising leaves as it is; such words skip normalising and splitting.  Others are encoded in full,
+    with a special token between them."""
 
     def __init__(self, vocabulary: str, separator: str = "<|endoftext|>"):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.separator, self.seen = Tokenizer.from_str(vocabulary), separator, {"": b""}
-        self.separator_id = self.tokenizer.token_to_id(separator)
-
-    def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def learn(self, chunks) -> None:
-        """Ids of unseen chunks, many at once with a special token between them."""
-        plain = []
-        for c in chunks:
-            if "<|" in c:
-                self.seen[c] = self.whole(c).tobytes()
+        parts = json.loads(vocabulary)
+        self.full, self.separator, self.seen = Tokenizer.from_str(vocabulary), separator, {"": b""}
+        self.separator_id = self.full.token_to_id(separator)
+        level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        self.plain = Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, level]}}))
+        self.last = np.zeros(max(parts["model"]["vocab"].values()) + 1, bool)
+        suffix = parts["model"]["end_of_word_suffix"]
+        self.last[[i for token, i in parts["model"]["vocab"].items() if token.endswith(suffix)]] = True
+
+    def ids(self, tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def store(self, words: list[str], ids: np.ndarray, starts: list[int], ends: list[int]) -> None:
+        data = ids.tobytes()
+        for w, a, b in zip(words, starts, ends, strict=True):
+            self.seen[w] = data[4 * a:4 * b]
+
+    def learn(self, words) -> None:
+        simple, other = [], []
+        for w in words:
+            if SIMPLE.fullmatch(w):
+                simple.append(w)
+            elif "<|" in w:
+                self.seen[w] = self.ids(self.full, w).tobytes()
             else:
-                plain.append(c)
-        for a in range(0, len(plain), TOGETHER):
-            part = plain[a:a + TOGETHER]
-            ids = self.whole(self.separator.join(part))
-            ends = [*np.flatnonzero(ids == self.separator_id).tolist(), len(ids)]
-            data, at = ids.tobytes(), 0
-            for c, end in zip(part, ends, strict=True):
-                self.seen[c] = data[4 * at:4 * end]
-                at = end + 1
-
-    def chunk(self, text: str):
-        """Chunks of a text, in lists that together are the text."""
-        at = 0
-        while len(text) - at > SLICE:
-            end = text.rfind(" ", at, at + SLICE)
-            if end <= at:
-                m = BLANKS.search(text, at + SLICE)
-                end = m.start() if m else len(text)
-            yield BLANKS.split(text[at:end])
-            at = end
-        yield BLANKS.split(text[at:])
-
-    def meet(self, chunks: set[str]) -> None:
-        """Ids of all these chunks are there afterwards.  Plain ones are learnt in lower case and without the
-        stops and commas after their last letter, where splitting cuts them as well."""
+                other.append(w)
+        for at in range(0, len(simple), TOGETHER):
+            part = simple[at:at + TOGETHER]
+            ids = self.ids(self.plain, " ".join(part))
+            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+            self.store(part, ids, [0, *ends[:-1]], ends)
+        for at in range(0, len(other), TOGETHER):
+            part = other[at:at + TOGETHER]
+            ids = self.ids(self.full, self.separator.join(part))
+            ends = np.flatnonzero(ids == self.separator_id).tolist()
+            self.store(part, ids, [0, *[e + 1 for e in ends]], [*ends, len(ids)])
+
+    def meet(self, words: list[str]) -> list[bytes]:
+        """Ids of every word.  Unseen ones are learnt in lower case and without the stops and commas after their last letter, where splitting cuts them as well."""
         if len(self.seen) > SEEN:
             self.seen = {"": b""}
         parts = {}
-        for c in chunks.difference(self.seen):
-            end = m.start() if c.isascii() and (m := TAIL.search(c)) and c[:m.start()][-1:].isalpha() else len(c)
-            parts[c] = (c[:end].lower() if c.isascii() and "<|" not in c else c[:end], c[end:])
+        for w in words:
+            if w not in self.seen:
+                end = m.start() if w[-1:] in ".," and w.isascii() and (m := TAIL.search(w)) and w[:m.start()][-1:].isalpha() else len(w)
+                core = w[:end]
+                parts[w] = (core.lower() if core.isascii() and "<|" not in core else core, w[end:])
         self.learn({p for both in parts.values() for p in both}.difference(self.seen))
-        for c, (core, tail) in parts.items():
-            self.seen[c] = self.seen[core] + self.seen[tail]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        lists = [[c for c in self.chunk(t)] for t in texts]
-        self.meet(set().union(*[c for parts in lists for c in parts]))
-        return [b"".join([b"".join(map(self.seen.__getitem__, c)) for c in parts]) for parts in lists]
-
-
-def slices(texts: list[str | None]):
-    """Texts in groups of up to SLICE characters, or one longer text."""
-    held, size = [], 0
-    for t in texts:
-        t = t or ""
-        if held and size + len(t) > SLICE:
-            yield held
-            held, size = [], 0
-        held.append(t)
-        size += len(t)
-    if held:
-        yield held
+        for w, (core, tail) in parts.items():
+            if tail or core != w:
+                self.seen[w] = self.seen[core] + self.seen[tail]
+        return [self.seen[w] for w in words]
+
+    def encode(self, texts: pa.Array, end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (no NULLs), each followed by ``end``, and where each text's ids end."""
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        known = [*self.meet(words.dictionary.to_pylist()), end]
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first = np.cumsum(size) - size
+        ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+        word = np.insert(words.indices.to_numpy(zero_copy_only=False).astype(np.int64), ends, len(known) - 1)
+        each = size[word]
+        done = np.cumsum(each)
+        at = np.repeat(first[word] - (done - each), each) + np.arange(done[-1] if len(done) else 0)
+        return np.frombuffer(b"".join(known), "<u4")[at], done[ends + np.arange(len(ends))]
+
+
+def worker_words(vocabulary) -> Words:
+    """The words this worker process knows, kept between tasks; ``vocabulary`` is a broadcast text."""
+    kept = sys.modules.setdefault("_words_of_worker", types.ModuleType("_words_of_worker")).__dict__.setdefault("known", {})
+    key = (hashlib.sha256(vocabulary.value.encode()).hexdigest(), SEEN)
+    if key not in kept:
+        kept.clear()
+        kept[key] = Words(vocabulary.value)
+    return kept[key]
+
+
+def slices(texts: pa.Array):
+    """(first, one past last) of runs of up to SLICE bytes, or of one longer text."""
+    done = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(done, (done[a - 1] if a else 0) + SLICE, "right")))
+        yield a, b
+        a = b
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids: the ids of every document and its end id, cut where they exceed ``length``.
 
-    ``ids`` are little-endian unsigned 32-bit words.  ``tokenizer`` is the path of the vocabulary on the driver."""
-    spark = docs.sparkSession
+    ``ids`` are little-endian unsigned 32-bit numbers.  ``tokenizer`` is the path of the vocabulary on the driver."""
     with open(tokenizer, encoding="utf-8") as f:
-        vocabulary = spark.sparkContext.broadcast(f.read())  # one file of fixed size
+        vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())  # one file of fixed size
     stop = np.array([end_id], "<u4").tobytes()
-    step = 4 * length
 
     def run(batches):
-        chunks = Chunks(vocabulary.value)
+        words = worker_words(vocabulary)
         for batch in batches:
-            at = 0
-            for texts in slices(batch.column("text").to_pylist()):
-                rows = []
-                for k, ids in enumerate(chunks.encode(texts), at):
-                    ids += stop
-                    rows += [(k, n, n * length, (min(a + step, len(ids)) - a) // 4, ids[a:a + step]) for n, a in enumerate(range(0, len(ids), step))]
-                at += len(texts)
-                k, n, start, size, ids = zip(*rows)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(k)), pa.array(n, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(ids, pa.binary())],
+            texts = batch.column("text").cast(pa.large_string())
+            for a, b in slices(texts):
+                ids, ends = words.encode(texts.slice(a, b - a), stop)
+                begins = np.concatenate([[0], ends[:-1]])
+                n = -(-(ends - begins) // length)
+                row = np.repeat(np.arange(b - a), n)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                at = begins[row] + piece * length
+                size = np.minimum(ends[row] - at, length)
+                offsets = np.append(at, ends[-1]).astype(np.int64) * 4
+                data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(offsets), pa.py_buffer(ids.tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(a + row)), pa.array(piece, pa.int32()), pa.array(piece * length, pa.int64()), pa.array(size, pa.int64()), data],
                                                  ["doc_id", "piece", "start", "length", "ids"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
 
 
 def best_fit(length: np.ndarray, capacity: tuple[int, int, int], weights=(1.0, 1.0, 1.0), rule: str = "norm") -> tuple[np.ndarray, np.ndarray]:

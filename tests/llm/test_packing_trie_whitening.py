@@ -18,7 +18,7 @@ from tests.conftest import SF_SMALL
 # -- packing ----------------------------------------------------------------------------------------
 
 HARD = ["it's 'S I'LL don't,", "a.,b., ,. x.. 3., 4.5", "Σίσυφος ΟΔΟΣ. É é ﬁ", "a b c\x0bd\x0ce\x1cf\x85g", "x<|endoftext|>y <|startoftext|> <|endoftext <|",
-        "ÑANDÚ, ñandú. 你好，世界 ١٢٣ 12345", "\n\t ", "word. Word, WORD., wOrd'll.", "😀😀 🇩🇪 a🙂b"]
+        "ÑANDÚ, ñandú. 你好，世界 ١٢٣ 12345", "\n\t ", "word. Word, WORD., wOrd'll. ýÿ ßÄö÷ İıſŉ e\u0301 \u0301 a\xa0b\u2003c\u3000d\ufeffe", "😀😀 🇩🇪 a🙂b"]
 
 
 def expected_pieces(docs, length):
