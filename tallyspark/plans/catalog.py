@@ -771,10 +771,10 @@ FROM (SELECT DISTINCT k FROM ({_LOOKUP_KEYS_SQL})) LEFT JOIN intake_store s ON s
 GROUP BY k""", "intake_store", "cand"))
 def q_orders_delete_report(spark, sf_dir):
     """The stored orders are written as a store of the intake; the delete is kept beside it."""
-    from tallyspark.streaming.stream import create_store, delete_stored
+    from tallyspark.streaming.orderstore import create_store, current, delete_stored, write_batch
     path = scratch_path(spark, "delete-store") + "/store"
     create_store(spark, path)
-    _store(spark, sf_dir).write.parquet(f"{path}/batch_id=first")
+    write_batch(spark, current(spark, path), "first", _store(spark, sf_dir))
     return delete_stored(spark, path, _lookup_keys(spark, sf_dir))
 
 

@@ -195,13 +195,13 @@ def accept(validated: DataFrame, store: DataFrame | None = None, order: str = "_
 
 
 def insert(accepted: DataFrame, store: DataFrame | None, created_at: _dt.datetime,
-           order: str = "_ord", numbered: DataFrame | None = None) -> DataFrame:
-    """New store rows: ids continue after the maximum ever given, in submission
-    order; ``created_at`` is the batch time (one value per run).  ``numbered``
-    holds the ids ever given where that is more than the store (deleted rows)."""
-    start = None
+           order: str = "_ord", after: int = 0) -> DataFrame:
+    """New store rows: ids continue after the maximum of ``store``, or after
+    ``after`` where that is known already, in submission order; ``created_at``
+    is the batch time (one value per run)."""
+    start = F.lit(after).cast("bigint")
     if store is not None:
-        start = (store if numbered is None else numbered).agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()
+        start = store.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()
     rows = with_sequence(accepted, [order], "id", start)
     return rows.select("id", "order_id", "customer_id", "sku", "quantity", "unit_price", "order_date", "channel",
                        F.lit(created_at).cast("timestamp").alias("created_at"))

@@ -9,15 +9,16 @@ The JSON holds the seven form fields only; the order of submissions is
 stamped at the scan (file path, position in the file) before any shuffle.
 
 Uniqueness lives in the stored table, not in streaming state, so the key set
-can grow without bound.  Every micro-batch writes a folder of its own in the
-store and in the rejected table, named by the query's id and the epoch, and
+can grow without bound; ``orderstore`` finds a batch's ids there and knows the
+highest id given without reading the history.  Every micro-batch is a batch of its own in the
+store and a folder of its own in the rejected table, named by the query's id and the epoch, and
 overwrites it; when it is replayed after a failure it reads the store without
-that folder, so both tables end up as after one run.  One writer (this query)
+that batch, so both tables end up as after one run.  One writer (this query)
 decides ids, which keeps them dense and ordered.  Rejected rows keep every
-submitted value as it came.
+submitted value as it came.  After ``orderstore.BATCHES`` batches the store is compacted.
 
-A delete adds the ids of the removed rows to a table beside the store, and
-readers of the store leave those rows out.  A deleted order id can be submitted
+A delete adds the ids of the removed rows to a table in the store, and
+readers of the store leave those rows out until a compaction drops them.  A deleted order id can be submitted
 again; it gets a new id, since ids count on from the highest one ever given.
 """
 
@@ -26,50 +27,19 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import os
-import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspark.streaming import intake
+from tallyspark.streaming import intake, orderstore
+from tallyspark.streaming.orderstore import BATCH, create_store, delete_stored, read_store
+
+__all__ = ["create_store", "delete_stored", "make_batch_writer", "read_store", "run_intake_stream"]
 
 CANDIDATE_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in intake.CANDIDATE_COLUMNS])
-BATCH = "batch_id"
-
-
-def deleted_path(store_path: str) -> str:
-    return store_path.rstrip("/") + "_deleted"
-
-
-def create_store(spark: SparkSession, path: str) -> None:
-    """An empty batch of its own in the store and in its table of deleted rows; changes nothing where they are."""
-    empty = intake.empty_store(spark)
-    empty.write.mode("ignore").parquet(f"{path}/{BATCH}=none")
-    empty.select("id", "order_id").write.mode("ignore").parquet(f"{deleted_path(path)}/{BATCH}=none")
-
-
-def delete_stored(spark: SparkSession, path: str, keys: DataFrame, key_col: str = "order_id") -> DataFrame:
-    """Remove orders from the store by order id; (order_id, deleted) per requested id, 0 = not found."""
-    k = keys.select(F.upper(key_col).alias("order_id")).distinct()
-    folder = f"{deleted_path(path)}/{BATCH}={uuid.uuid4()}"
-    read_store(spark, path).join(k, "order_id", "left_semi").select("id", "order_id").write.parquet(folder)
-    return intake.delete_report(k, spark.read.schema("id long, order_id string").parquet(folder))
-
-
-def read_store(spark: SparkSession, path: str, without: str | None = None, deleted: bool = False) -> DataFrame:
-    """The stored orders (of all batches but ``without``), with the deleted ones if asked.  The store is created
-    before the stream starts, so a path that cannot be read is an error, never an empty store."""
-    rows = spark.read.schema(T.StructType([*intake.STORE_SCHEMA.fields, T.StructField(BATCH, T.StringType())])).parquet(path)
-    if without is not None:
-        rows = rows.where(F.col(BATCH) != without)
-    rows = rows.select(*intake.STORE_SCHEMA.names)
-    if deleted:
-        return rows
-    return rows.join(spark.read.schema("id long").parquet(deleted_path(path)), "id", "left_anti").select(*rows.columns)
-
 
 def scanned(rows: DataFrame) -> DataFrame:
     """Submitted fields with the file and split they come from."""
@@ -88,7 +58,7 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def make_batch_writer(store_path: str, rejected_path: str, checkpoint: str, rules: intake.IntakeRules,
-                      created_at: _dt.datetime | None = None):
+                      created_at: _dt.datetime | None = None, compact_after: int | None = orderstore.BATCHES):
     """``rules.as_of`` and ``created_at`` are fixed where given; otherwise each micro-batch takes its own day and time."""
     def process(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
@@ -96,22 +66,25 @@ def make_batch_writer(store_path: str, rejected_path: str, checkpoint: str, rule
         spark = batch.sparkSession
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
         folder = f"{query_id(spark, checkpoint)}-{epoch_id}"
-        store = read_store(spark, store_path, without=folder)
+        g = orderstore.current(spark, store_path)
         validated = intake.validate(stamped(batch), rules if rules.as_of else replace(rules, as_of=now.date())).persist()
-        accepted, conflicts = intake.accept(validated, store)
-        new_rows = intake.insert(accepted, store, created_at or now, numbered=read_store(spark, store_path, folder, deleted=True))
-        new_rows.write.mode("overwrite").parquet(f"{store_path}/{BATCH}={folder}")
+        known = orderstore.stored(spark, g, validated.where("is_valid").select("order_id"), without=folder)
+        accepted, conflicts = intake.accept(validated, known)
+        new_rows = intake.insert(accepted, None, created_at or now, after=orderstore.high_water(spark, g, without=folder))
         rejected = (validated.filter(~F.col("is_valid")).unionByName(conflicts)
                     .select(*[F.col(f"_raw.{c}").alias(c) for c in intake.CANDIDATE_COLUMNS], "errors",
                             F.lit(epoch_id).cast("bigint").alias("epoch_id")))
-        rejected.write.mode("overwrite").parquet(f"{rejected_path}/{BATCH}={folder}")
+        orderstore.write_batch(spark, g, folder, new_rows,
+                               before_commit=lambda: rejected.write.mode("overwrite").parquet(f"{rejected_path}/{BATCH}={folder}"))
         validated.unpersist()
+        if compact_after and len(orderstore.batches(spark, g)) > compact_after:
+            orderstore.compact(spark, store_path)
     return process
 
 
 def run_intake_stream(spark: SparkSession, source_dir: str, out_dir: str, rules: intake.IntakeRules,
                       created_at: _dt.datetime | None = None, max_files_per_trigger: int | None = None,
-                      processing_time: str | None = None):
+                      processing_time: str | None = None, compact_after: int | None = orderstore.BATCHES):
     """Consume order files from ``source_dir``.
 
     By default every file present is processed (``availableNow``) and the
@@ -128,7 +101,7 @@ def run_intake_stream(spark: SparkSession, source_dir: str, out_dir: str, rules:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = scanned(reader.json(source_dir))
     writer = (stream.writeStream
-              .foreachBatch(make_batch_writer(paths["store"], paths["rejected"], paths["checkpoint"], rules, created_at))
+              .foreachBatch(make_batch_writer(paths["store"], paths["rejected"], paths["checkpoint"], rules, created_at, compact_after))
               .option("checkpointLocation", paths["checkpoint"]))
     if processing_time:
         return writer.trigger(processingTime=processing_time).start(), paths
