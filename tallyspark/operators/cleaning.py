@@ -63,8 +63,12 @@ def typed_products(raw: DataFrame) -> DataFrame:
 def stage_products(raw: DataFrame) -> DataFrame:
     """Dedupe, fill category, cost to number, |cost|, NULL cost -> exact median."""
     typed = typed_products(raw)
-    med = exact_median(typed, "cost", out="_median").select(F.col("_median").cast(NUMBER_TYPE)).scalar()
-    return typed.select("sku", "category", F.coalesce(F.col("cost"), med).cast(NUMBER_TYPE).alias("cost"), "active")
+    return fill_cost(typed, exact_median(typed, "cost", out="_median").select(F.col("_median").cast(NUMBER_TYPE)).scalar())
+
+
+def fill_cost(typed: DataFrame, median) -> DataFrame:
+    """Typed products with their missing costs filled."""
+    return typed.select("sku", "category", F.coalesce(F.col("cost"), median).cast(NUMBER_TYPE).alias("cost"), "active")
 
 
 # -- orders (B18) ----------------------------------------------------------------

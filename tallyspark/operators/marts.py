@@ -60,3 +60,17 @@ def mart_product_performance(fact: DataFrame, dim_product: DataFrame) -> DataFra
                     _zero_sum("gross_margin").alias("total_margin")))
     dims = dim_product.filter(F.col("sku").isNotNull())
     return agg.join(dims, "sku", "left")
+
+
+def customer_lifetime_of(state: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """``mart_customer_lifetime`` from the kept state of customers (and its folder column)."""
+    dims = dim_customer.filter(F.col("customer_id").isNotNull()).select("customer_id", "name", "country", "segment")
+    agg = state.select("customer_id", F.col("orders").alias("total_orders"), F.col("revenue").alias("total_revenue"), F.col("margin").alias("total_margin"),
+                       ratio("revenue", "revenue_n").alias("avg_order_value"), F.col("first").alias("first_order"), F.col("last").alias("last_order"), "part")
+    return agg.join(dims, "customer_id", "left")
+
+
+def product_performance_of(state: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """``mart_product_performance`` from the kept state of products (and its folder column)."""
+    agg = state.select("sku", F.col("orders").alias("total_orders"), F.col("units").alias("total_units"), F.col("revenue").alias("total_revenue"), F.col("margin").alias("total_margin"), "part")
+    return agg.join(dim_product.filter(F.col("sku").isNotNull()), "sku", "left")

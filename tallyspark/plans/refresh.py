@@ -1,175 +1,172 @@
-"""Full refresh: build every layer, write it, publish a version (A5-A10).
+"""Full and incremental refresh: build every layer, write it, publish a version.
 
-Each layer is written as Parquet into a new version folder and read back
-before the next layer is built.  A written layer is a lineage cut: a lost
+Each layer is written as Parquet into the folder of a new version and read
+back before the next layer is built.  A written layer is a lineage cut: a lost
 executor recomputes from the last written table rather than from the raw
-files, and later layers never recompute dedupes or joins.  The version is
-published only after every table is written, by appending one line to a
-publish log (a new file, committed atomically by the file commit protocol;
-nothing is overwritten), so readers never see a half-built set or a missing
-pointer.  The current version is the latest log entry.  Running the refresh again
+files, and later layers never recompute dedupes or joins.  Finished layers
+have markers, so a run that failed is taken up after them by running it again
+(``layers.Run``).  The version is
+published only after every table is written, by a numbered entry in a
+publish log that exactly one writer can create, so readers never see a half-built set and two
+refreshes never share a number.  Running the refresh again
 on the same input gives equal tables (``run_ts`` is a parameter, not the
 clock).
 
-An incremental refresh names the version it builds on.  Its folder holds only
-the raw rows that version has not seen; the raw layer is then the folders of
-all loads in sequence (the publish log has each version's base), so the raw
-history is read but never copied.
+Orders, flags, fact and day and month marts are kept by year, customer and product marts and the
+aggregates they come from by a hash of the key.  An incremental refresh
+(``delta``) names the version it builds on and writes only what its load
+changes.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.functions.parse import NUMBER_TYPE
+from tallyspark.operators import cleaning, marts, state
 from tallyspark.operators.cleaning import ORDER_STAGE_COLUMNS
 from tallyspark.operators.quality import ref_integrity
 from tallyspark.operators.star import FACT_COLUMNS
+from tallyspark.plans import layers
+from tallyspark.plans.layers import Run, Table, current_version, load_chain
 from tallyspark.plans.pipeline import EPOCH, Pipeline
-from tallyspark.sources.store import in_sequence, incremental_append
 
-PUBLISH_LOG = "_published"
+__all__ = ["PUBLISHED", "current_version", "load_chain", "published_pipeline", "read_published", "refresh", "register_views"]
 
+KEYS_PER_PART = 1_000_000
+FEWEST_PARTS, MOST_PARTS = 8, 4096
 
-def _stage(spark: SparkSession, df: DataFrame, path: str, partition_by: str | None = None,
-           counts: dict | None = None, name: str | None = None) -> DataFrame:
-    """Write ``df`` and read it back.  The row count is observed while the
-    write runs (no second pass over the data)."""
-    obs = Observation(name or path)
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-    if counts is not None and name and not name.startswith("_"):
-        counts[name] = obs.get["rows"]
-    return spark.read.parquet(path)
-
-
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """The fact and its folder column ``year``, which date slices prune by."""
-    return spark.read.parquet(path).select(*FACT_COLUMNS, "year")
+PUBLISHED = ["raw_customers", "raw_products", "raw_orders", "stg_customers", "stg_products", "stg_orders",
+             "orders_quarantine", "dim_customer", "dim_product", "dim_date", "fact_sales",
+             "mart_monthly_summary", "mart_monthly_channel", "mart_customer_lifetime", "mart_product_performance"]
 
 
-def check_keys(p: Pipeline) -> None:
+def check_keys(fact: DataFrame, p: Pipeline) -> None:
     """Refuse a set whose keys are not unique: counts of orders, customers and products rely on them."""
-    broken = ref_integrity(p.fact_sales, p.dim_customer, p.dim_product, p.dim_date).where(
+    broken = ref_integrity(fact, p.dim_customer, p.dim_product, p.dim_date).where(
         F.col("check_name").endswith("_duplicates") & (F.col("violations") > 0)).collect()
     if broken:
         raise ValueError("keys are not unique: " + ", ".join(f"{r.check_name}={r.violations}" for r in broken))
 
 
+# -- layers both kinds of refresh write --------------------------------------------
+
+def loaded(run: Run, df: DataFrame) -> DataFrame:
+    return df.withColumn("_stg_loaded_at", F.lit(run.run_ts))
+
+
+def median_cost(counts: Table) -> DataFrame:
+    return state.median_of_counts(counts.read(), "cost").select(F.col("median").cast(NUMBER_TYPE))
+
+
+def by_year(spark: SparkSession, flagged: DataFrame) -> DataFrame:
+    """Flagged orders dealt by year and, within a year, by a hash of the order, each file in order of date; nothing is sampled, and a hot year spans many tasks."""
+    spread = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+    year = flagged.withColumn("year", F.year("order_date"))
+    return year.repartition("year", F.pmod(F.xxhash64("order_id"), F.lit(spread))).sortWithinPartitions("year", "order_date")
+
+
+def order_layers(run: Run, p: Pipeline, flagged: Table, typed: DataFrame) -> dict[str, Table]:
+    """The tables that follow from flagged orders, for the years these hold; no row is shuffled."""
+    rows = flagged.read(hidden=True)
+    p = p.override(flagged_orders=rows, stg_orders_unflagged=rows.select(*ORDER_STAGE_COLUMNS))
+    year = lambda df: df.withColumn("year", F.year("order_date"))
+    # orders whose customer or cost is not known: a later customer, product or median touches their years
+    known = typed.where("cost IS NOT NULL").select(F.col("sku").alias("_known"))
+    sku = rows.select("sku", "year").distinct()
+    watch = (rows.where("created_at IS NULL").select(F.lit("customer").alias("kind"), F.col("customer_id").alias("key"), "year").distinct()
+             .unionByName(sku.join(known, sku["sku"].eqNullSafe(known["_known"]), "left_anti").select(F.lit("sku").alias("kind"), F.col("sku").alias("key"), "year")))
+    found = run.together(("fact_sales", year(p.fact_sales), "year"), ("stg_orders", year(loaded(run, p.stg_orders)), "year"),
+                         ("orders_quarantine", year(p.orders_quarantine), "year"), ("_watch", watch.repartition("year"), "year"))
+    return dict(zip(("fact_sales", "stg_orders", "orders_quarantine", "_watch"), found))
+
+
+def date_marts(fact: DataFrame) -> list[tuple]:
+    daily = marts.mart_daily_channel(fact).withColumn("year", F.floor(F.col("date_id") / 10000).cast("int"))
+    return [("mart_monthly_summary", daily.repartition("year"), "year"), ("mart_monthly_channel", marts.mart_monthly_channel(fact).repartition("year"), "year")]
+
+
+def in_parts(df: DataFrame, key: str, parts: int) -> DataFrame:
+    return df.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
+
+
+def parts_for(rows: int) -> int:
+    parts = FEWEST_PARTS
+    while parts < MOST_PARTS and parts * KEYS_PER_PART < rows:
+        parts *= 2
+    return parts
+
+
+STATES = (("customer", "customer_id", "mart_customer_lifetime", "dim_customer", marts.customer_lifetime_of),
+          ("product", "sku", "mart_product_performance", "dim_product", marts.product_performance_of))
+
+
+# -- full refresh ------------------------------------------------------------------
+
+def _full(run: Run, raw: dict[str, DataFrame]) -> dict[str, Table]:
+    raws = run.together(*[(f"raw_{k}", raw[k]) for k in ("orders", "customers", "products")])
+    p = Pipeline(*[t.read() for t in raws], run.run_ts)
+    t = dict(zip(("raw_orders", "raw_customers", "raw_products"), raws))
+    t["stg_customers"], t["_typed_products"] = run.together(("stg_customers", loaded(run, p.stg_customers)), ("_typed_products", cleaning.typed_products(p.raw_products)))
+    typed = t["_typed_products"].read()
+    t["_cost_counts"] = run.layer("_cost_counts", state.value_counts(typed, "cost"))
+    t["stg_products"] = run.layer("stg_products", loaded(run, cleaning.fill_cost(typed, median_cost(t["_cost_counts"]).scalar())))
+    p = p.override(stg_customers=t["stg_customers"].read(), stg_products=t["stg_products"].read())
+    # staged orders, flags and looked-up columns, written once; staging, the quarantine, the calendar and the fact all read it
+    t["_flagged_orders"] = run.layer("_flagged_orders", by_year(run.spark, p.flagged_orders), "year")
+    t |= order_layers(run, p, t["_flagged_orders"], typed)
+    p = p.override(stg_orders_unflagged=t["_flagged_orders"].read().select(*ORDER_STAGE_COLUMNS))
+    t["dim_customer"], t["dim_product"], t["dim_date"] = run.together(("dim_customer", p.dim_customer), ("dim_product", p.dim_product), ("dim_date", p.dim_date))
+    fact = t["fact_sales"].read()
+    check_keys(fact, p.override(**{d: t[d].read() for d in ("dim_customer", "dim_product", "dim_date")}))
+    summaries = [(f"_state_{k}", in_parts(state.summarise(fact, key), key, parts_for(t[dim].rows)).repartition("part"), "part") for k, key, _, dim, _ in STATES]
+    dated = date_marts(fact)
+    t |= dict(zip([x[0] for x in (*summaries, *dated)], run.together(*summaries, *dated)))
+    keyed = [(mart, of(t[f"_state_{k}"].read(hidden=True), t[dim].read()).repartition("part"), "part") for k, _, mart, dim, of in STATES]
+    return t | dict(zip([x[0] for x in keyed], run.together(*keyed)))
+
+
 def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version: str,
             run_ts: _dt.datetime = EPOCH, base: str | None = None) -> dict[str, int]:
     """Write all layers of ``raw`` (keys orders/customers/products) into
     ``root/version`` and publish that version.  Returns the row count of
-    every published table, observed during the writes (the run log).
+    every published table (the run log); those of the raw tables count the rows of this load.
+
+    A version that was begun and not published goes on after its last finished
+    layer when it is run again with the same arguments; a published one is refused.
 
     With ``base``, a published version, only the rows of ``raw`` that are new
-    to it are added, after its own; the counts of the raw tables are those of
-    the added rows.  ``_ord`` of a load must have the type of its base's."""
-    if " " in version:
-        raise ValueError("a version name has no blanks")
-    vdir = f"{root}/{version}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(vdir)
-    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-        raise FileExistsError(f"version {version} exists in {root}; a version is written once")
-    counts: dict[str, int] = {}
-    st = lambda name, df, part=None: _stage(spark, df, f"{vdir}/{name}", part, counts, name)
-
-    loads = load_chain(spark, root, base) if base else []
-
-    def raw_layer(name: str) -> DataFrame:
-        if not base:
-            return st(name, raw[name.removeprefix("raw_")])
-        st(name, incremental_append(_read_loads(spark, root, name, loads), raw[name.removeprefix("raw_")]))
-        return _read_loads(spark, root, name, [*loads, version])
-
-    p = Pipeline(raw_layer("raw_orders"), raw_layer("raw_customers"), raw_layer("raw_products"), run_ts)
-    loaded = lambda df: df.withColumn("_stg_loaded_at", F.lit(run_ts))
-    p = p.override(stg_customers=st("stg_customers", loaded(p.stg_customers)),
-                   stg_products=st("stg_products", loaded(p.stg_products)))
-    # Staged orders + flags + looked-up columns, written once; stg_orders,
-    # the quarantine, the calendar and the fact all read it.
-    flagged = st("_work/flagged_orders", p.flagged_orders)
-    p = p.override(flagged_orders=flagged, stg_orders_unflagged=flagged.select(*ORDER_STAGE_COLUMNS))
-    st("stg_orders", loaded(p.stg_orders))
-    st("orders_quarantine", p.orders_quarantine)
-    p = p.override(dim_customer=st("dim_customer", p.dim_customer), dim_product=st("dim_product", p.dim_product))
-    p = p.override(dim_date=st("dim_date", p.dim_date))
-    # Range-sorted on the date first so each write task covers few years and
-    # the year folders get few files; date slices then prune folders.  The
-    # order id as a second range key lets a hot date span several tasks.
-    fact = p.fact_sales.withColumn("year", F.year("order_date")).repartitionByRange("order_date", "order_id")
-    st("fact_sales", fact, "year")
-    p = p.override(fact_sales=read_fact(spark, f"{vdir}/fact_sales"))
-    check_keys(p)
-    st("mart_monthly_summary", p.mart_daily_channel)
-    st("mart_monthly_channel", p.mart_monthly_channel)
-    st("mart_customer_lifetime", p.mart_customer_lifetime)
-    st("mart_product_performance", p.mart_product_performance)
-
-    # The run log: observed row count per published table (a handful of
-    # rows built on the driver from the observations), kept with the version.
-    (spark.createDataFrame([(k, int(v)) for k, v in counts.items()], "table_name string, rows long")
-          .withColumn("run_ts", F.lit(run_ts)).withColumn("version", F.lit(version))
-          .coalesce(1).write.mode("overwrite").parquet(f"{vdir}/_run_log"))
-    # a sequence number, not the clock, orders the versions
-    log = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{PUBLISH_LOG}")
-    last = 0
-    if log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
-        last = spark.read.text(f"{root}/{PUBLISH_LOG}").agg(F.max(F.substring_index("value", " ", 1).cast("long"))).first()[0] or 0
-    (spark.createDataFrame([(f"{last + 1:012d} {version} {base or ''}".rstrip(),)], "value string").coalesce(1)
-          .write.mode("append").text(f"{root}/{PUBLISH_LOG}"))
+    to it are added, after its own.  ``_ord`` of a load must have the type of its base's."""
+    run = Run(spark, root, version, run_ts, base)
+    if base:
+        from tallyspark.plans.delta import delta
+        tables = delta(run, raw, layers.manifest(spark, root, base))
+    else:
+        tables = _full(run, raw)
+    counts = {name: run.done[name].rows if name.startswith("raw_") else tables[name].rows for name in PUBLISHED}
+    run.publish(tables, counts)
     return counts
 
 
-PUBLISHED = ["raw_customers", "raw_products", "raw_orders", "stg_customers", "stg_products", "stg_orders",
-             "orders_quarantine", "dim_customer", "dim_product", "dim_date", "fact_sales",
-             "mart_monthly_summary", "mart_monthly_channel", "mart_customer_lifetime", "mart_product_performance"]
-
-
-def current_version(spark: SparkSession, root: str) -> str:
-    """Latest entry of the publish log (one short line per publish)."""
-    latest = spark.read.text(f"{root}/{PUBLISH_LOG}").agg(F.max("value")).first()[0]
-    return latest.split(" ")[1]
-
-
-def load_chain(spark: SparkSession, root: str, version: str) -> list[str]:
-    """The versions whose folders make up the raw layer of ``version``, oldest first."""
-    base = {}
-    for r in spark.read.text(f"{root}/{PUBLISH_LOG}").collect():  # one line per publish
-        _, name, *before = r.value.split(" ")
-        base[name] = before[0] if before else None
-    if version not in base:
-        raise ValueError(f"version {version} is not published in {root}")
-    chain = []
-    while version:
-        chain.insert(0, version)
-        version = base[version]
-    return chain
-
+# -- readers -----------------------------------------------------------------------
 
-def _read_loads(spark: SparkSession, root: str, name: str, loads: list[str]) -> DataFrame:
-    parts = [spark.read.parquet(f"{root}/{v}/{name}") for v in loads]
-    return in_sequence(parts) if len(parts) > 1 else parts[0]
+def _published(tables: dict[str, Table], name: str) -> DataFrame:
+    df = tables[name].read()
+    return df.select(*FACT_COLUMNS, "year") if name == "fact_sales" else df
 
 
 def read_published(spark: SparkSession, root: str, name: str, version: str | None = None) -> DataFrame:
-    version = version or current_version(spark, root)
-    vdir = f"{root}/{version}"
-    if name.startswith("raw_"):
-        return _read_loads(spark, root, name, load_chain(spark, root, version))
-    if name == "fact_sales":
-        return read_fact(spark, f"{vdir}/fact_sales")
-    return spark.read.parquet(f"{vdir}/{name}")
+    """A published table; the fact with its folder column ``year``, which date slices prune by."""
+    return _published(layers.manifest(spark, root, version or current_version(spark, root)), name)
 
 
 def published_pipeline(spark: SparkSession, root: str, version: str | None = None) -> Pipeline:
     """A Pipeline whose layers are the published tables (KPIs read these)."""
-    v = version or current_version(spark, root)
-    rd = lambda n: read_published(spark, root, n, v)
+    tables = layers.manifest(spark, root, version or current_version(spark, root))
+    rd = lambda n: _published(tables, n)
     p = Pipeline(rd("raw_orders"), rd("raw_customers"), rd("raw_products"))
     return p.override(stg_customers=rd("stg_customers"), stg_products=rd("stg_products"),
                       stg_orders=rd("stg_orders"), orders_quarantine=rd("orders_quarantine"),
@@ -183,7 +180,7 @@ def published_pipeline(spark: SparkSession, root: str, version: str | None = Non
 def register_views(spark: SparkSession, root: str, version: str | None = None) -> list[str]:
     """Expose the published tables as temporary views for ``spark.sql``
     (the BI/SQL client path).  Returns the view names."""
-    v = version or current_version(spark, root)
+    tables = layers.manifest(spark, root, version or current_version(spark, root))
     for name in PUBLISHED:
-        read_published(spark, root, name, v).createOrReplaceTempView(name)
+        _published(tables, name).createOrReplaceTempView(name)
     return list(PUBLISHED)

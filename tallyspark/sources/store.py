@@ -8,7 +8,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.sources.raw import RAW_COLUMNS, scan_csv, to_raw
+from tallyspark.sources.raw import RAW_COLUMNS, business_columns, scan_csv, to_raw
 
 def write_csv(df: DataFrame, path: str, order: str | None = "_ord") -> None:
     """Write text columns as CSV with a header, keeping whitespace as is.
@@ -51,13 +51,19 @@ def incremental_append(existing_raw: DataFrame, incoming_raw: DataFrame) -> Data
     batch in the anti-join; the whole history is never shuffled.
 
     The fingerprint covers business columns only; the reference's also
-    covers the load time, which changes every run and so never matches.
+    covers the load time, which changes every run and so never matches.  Two
+    different rows can have one fingerprint (its parts are only joined), so
+    rows are equal when their business columns are, NULL like NULL.
     """
     from tallyspark.operators.dedupe import keep_first
+    columns = business_columns(incoming_raw)
     batch_hashes = incoming_raw.select("_row_hash").distinct()
-    seen = existing_raw.select("_row_hash").join(batch_hashes, "_row_hash", "left_semi")
-    new = incoming_raw.join(seen, "_row_hash", "left_anti")
-    return keep_first(new, "_row_hash")
+    seen = existing_raw.select("_row_hash", *columns).join(batch_hashes, "_row_hash", "left_semi")
+    seen = seen.select(*[F.col(c).alias(f"_seen_{c}") for c in seen.columns])
+    same = incoming_raw["_row_hash"] == seen["_seen__row_hash"]
+    for c in columns:
+        same = same & incoming_raw[c].eqNullSafe(seen[f"_seen_{c}"])
+    return keep_first(incoming_raw.join(seen, same, "left_anti"), ["_row_hash", *columns])
 
 
 def union_in_order(frames: list[DataFrame]) -> DataFrame:

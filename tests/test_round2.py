@@ -79,12 +79,6 @@ def test_missing_flag_column_is_false(spark):
     assert all(out[f] is False for f in FLAGS)
 
 
-def test_version_is_written_once(spark, tmp_path):
-    (tmp_path / "v").mkdir()
-    with pytest.raises(FileExistsError):
-        R.refresh(spark, {}, str(tmp_path), "v")
-
-
 def test_delete_is_kept_and_ids_are_not_given_again(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
