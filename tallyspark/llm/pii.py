@@ -10,7 +10,7 @@ sample of at most ``SAMPLE`` texts of up to ``SAMPLE_CHARS`` characters; every
 whole text is then decoded.  Added spans never touch base spans.
 
 Edge cases: NULL and empty texts have no spans; long digit or word runs are
-scanned in linear time; repeated rows give repeated results; an empty table
+scanned in linear time, and lines full of numbers in pieces of ``STRETCH`` tokens; repeated rows give repeated results; an empty table
 gives an empty result; other columns are not read by ``find_pii``.
 """
 
@@ -22,19 +22,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyspark.llm.common import table
+from tallyspark.llm.common import slices, table
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, SAMPLE_CHARS = 400, 20_000
+SLICE = 1 << 20       # bytes of texts that a worker has as strings at once, or one longer text
 LONGEST = 16          # tokens of a span of the field
+LONGEST_CHARS = 320   # characters of a span of the field, as long as an address may be
 REACH = 3             # tokens of context on both sides of a trigger
+STRETCH = 512         # tokens decoded at once
 FLOOR = 3.0           # log-odds against "no entity" that an added span needs
 
 TRIGGER = re.compile(r"[0-9@]")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")  # a start inside a run of digits would end alike
-CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
+CARD = re.compile(r"[0-9]++(?:[ -][0-9]++)*+")  # nothing to go back to in long runs; one digit alone is not a card anyway
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\n]|_")
 
@@ -52,7 +55,7 @@ def digits_of(text: str) -> str:
 
 
 def valid_ip(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
+    return all(len(p) <= 3 and int(p or "0") <= 255 for p in (q.lstrip("0") for q in text.split(".")))
 
 
 def valid_card(text: str) -> bool:
@@ -109,24 +112,35 @@ def features(text: str, start: int, end: int) -> list[float]:
         before.isalpha(), before.isdigit(), after.isalpha(), after.isdigit(), before in (".", "@", "-", "+") and before != "", not (s[:1].isalnum() or s[:1] in "+(") or not s[-1:].isalnum(), len(s) < 2)]
 
 
-def stretches(text: str) -> list[list[tuple[int, int]]]:
-    """Tokens around triggers, as separate lists; a line feed ends a stretch, and so does its length of LONGEST tokens past a trigger."""
-    out = []
+def stretches(text: str):
+    """Tokens around triggers, as separate lists (whether more of the stretch follows, tokens).
+
+    A line feed ends a stretch, and so do tokens without a trigger beyond REACH on both sides.  A stretch of
+    more than STRETCH tokens comes in pieces that overlap by LONGEST tokens; no more than a piece is held."""
     for line in re.finditer(r"[^\n]+", text):
-        if not TRIGGER.search(line.group()):
+        if not TRIGGER.search(text, line.start(), line.end()):
             continue
-        tokens = [(m.start() + line.start(), m.end() + line.start()) for m in TOKEN.finditer(line.group())]
-        hot = [i for i, (a, _) in enumerate(tokens) if "0" <= text[a] <= "9" or text[a] == "@"]
-        lo = hi = None
-        for i in hot:
-            if lo is not None and i - REACH <= hi:
-                hi = min(i + REACH, len(tokens) - 1)
+        near, held, since = [], [], 0
+        for m in TOKEN.finditer(text, line.start(), line.end()):
+            a = m.start()
+            hot = "0" <= text[a] <= "9" or text[a] == "@"
+            if not held:
+                near.append(m.span())
+                if hot:
+                    held, near, since = near, [], 0
+                else:
+                    near = near[-REACH:]
                 continue
-            if lo is not None:
-                out.append(tokens[lo:hi + 1])
-            lo, hi = max(i - REACH, 0 if lo is None else hi + 1), min(i + REACH, len(tokens) - 1)
-        out.append(tokens[lo:hi + 1])
-    return out
+            held.append(m.span())
+            since = 0 if hot else since + 1
+            if since == 2 * REACH:
+                yield False, held[:-REACH]
+                near, held = held[-REACH:], []
+            elif len(held) == STRETCH + 2 * REACH:  # what is left is longer than the context that may have to be cut off
+                yield True, held[:STRETCH]
+                held = held[STRETCH - LONGEST:]
+        if held:
+            yield False, held[:len(held) - max(since - REACH, 0)]
 
 
 def candidates(text: str, tokens: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,6 +153,8 @@ def candidates(text: str, tokens: list[tuple[int, int]]) -> tuple[np.ndarray, np
         shown = False
         for j in range(i + 1, min(i + LONGEST, len(tokens)) + 1):
             b, e = tokens[j - 1]
+            if e - a > LONGEST_CHARS:
+                break
             shown = shown or "0" <= text[b] <= "9" or text[b] == "@"
             if shown and text[b].isalnum():
                 at.append((i, j))
@@ -153,11 +169,12 @@ class Field:
         self.weights = np.zeros((len(KINDS), len(FEATURES)))
 
     def decode(self, text: str) -> list[tuple[str, int, int]]:
-        out = []
-        for tokens in stretches(text):
+        out, free = [], 0
+        for more, tokens in stretches(text):
             at, rows = candidates(text, tokens)
             if not len(at):
                 continue
+            found = []
             score = rows @ self.weights.T
             kind, value = score.argmax(1), score.max(1)
             good = np.flatnonzero(value > FLOOR)
@@ -176,8 +193,12 @@ class Field:
                     j -= 1
                 else:
                     i, e = at[back[j]]
-                    out.append((KINDS[kind[back[j]]], tokens[i][0], tokens[e - 1][1]))
+                    found.append((KINDS[kind[back[j]]], tokens[i][0], tokens[e - 1][1]))
                     j = int(i)
+            # spans that begin in the overlap belong to the next piece
+            last = tokens[-LONGEST][0] if more else tokens[-1][1]
+            out += [s for s in reversed(found) if free <= s[1] < last]
+            free = max([free, *(s[2] for s in out[-LONGEST:])])
         return out
 
     def gradient(self, n: int, at: np.ndarray, rows: np.ndarray, gold: dict[tuple[int, int], int]):
@@ -202,7 +223,7 @@ class Field:
         jobs = []
         for text in texts:
             spans = {(a, b): KINDS.index(k) for k, a, b in base_spans(text)}
-            for tokens in stretches(text):
+            for _, tokens in stretches(text):
                 at, rows = candidates(text, tokens)
                 if len(at):
                     jobs.append((len(tokens), at, rows, {(i, j): spans[p] for i, j in at.tolist() if (p := (tokens[i][0], tokens[j - 1][1])) in spans}))
@@ -248,7 +269,7 @@ def find_pii(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str =
 
     def run(batches):
         for batch in batches:
-            found = [spans_of(t, field) for t in batch["text"].to_pylist()]
+            found = [spans_of(t, field) for _, texts in slices(batch["text"], SLICE) for t in texts]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *[pa.array([named(f[i]) for f in found], kind) for i in (0, 1)]], ["doc_id", "base", "spans"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id long, base {one}, spans {one}")
@@ -272,7 +293,7 @@ def redact(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
     def run(batches):
         for batch in batches:
             i = batch.schema.get_field_index(text)
-            column = pa.array([masked(v) for v in batch.column(i).to_pylist()], batch.schema.field(i).type)
+            column = pa.array([masked(v) for _, texts in slices(batch.column(i), SLICE) for v in texts], batch.schema.field(i).type)
             yield pa.RecordBatch.from_arrays([column if k == i else c for k, c in enumerate(batch.columns)], schema=batch.schema)
 
     return docs.mapInArrow(run, schema)

@@ -56,7 +56,7 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", fetched: str = "fetched_on") -> DataFrame:
-    """Columns of ``captures`` plus n_active, matched (smallest pattern) and blocked."""
+    """Columns of ``captures`` plus n_active, matched (smallest pattern) and blocked, which replace columns of these names."""
     ask = captures.select(F.col(url).alias("__u_url"), F.col(fetched).alias("__u_on")).where(F.col("__u_url").isNotNull() & F.col("__u_on").isNotNull()).distinct()
     held = intervals(entries)
     depth, last = entries.agg(F.max(F.when(F.col("pattern").startswith("p:"), F.size(F.split("pattern", "/")) - 1)), F.max("at")).first()
@@ -69,7 +69,8 @@ def filter_urls(captures: DataFrame, entries: DataFrame, url: str = "url", fetch
     hits = probes.join(pieces, ["pattern", "month"]).where(active)
     judged = hits.groupBy("__u_url", "__u_on").agg(F.count(F.lit(1)).alias("n_active"), F.min("pattern").alias("matched"))
     joined = captures.join(judged, (captures[url] == judged["__u_url"]) & (captures[fetched] == judged["__u_on"]), "left")
-    return joined.select(*[captures[c] for c in captures.columns], F.coalesce(judged["n_active"], F.lit(0)).alias("n_active"), judged["matched"], judged["n_active"].isNotNull().alias("blocked"))
+    own = [c for c in captures.columns if c not in ("n_active", "matched", "blocked")]  # columns of these names are replaced
+    return joined.select(*[captures[c] for c in own], F.coalesce(judged["n_active"], F.lit(0)).alias("n_active"), judged["matched"], judged["n_active"].isNotNull().alias("blocked"))
 
 
 def _number(value: Column, at: int, mod: int) -> Column:
