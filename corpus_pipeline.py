@@ -2,8 +2,10 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor
 kept.  All but the last return the columns of ``documents``.  Rows without a
-doc_id pass the stages that need one to name a row; rows that share a doc_id
-are one document to them.
+doc_id are judged by their text.  Rows that share a doc_id are copies of one
+document: quality rules and decontamination judge each by its text, one of them stays after the Jaccard join and
+in the mix, that with the smallest text.  Columns of other names pass through;
+``copies`` and ``source_target`` of the mix replace columns of these names.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyspark.llm import decontaminate, jaccard, mixing, pii, quality
-from tallyspark.llm.common import cut, table
+from tallyspark.llm.common import cut, one_each, row_key, table, without
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,10 +22,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest id."""
-    members, _ = jaccard.jaccard_join(docs)
-    extra = members.where("doc_id <> component_id").select(F.col("doc_id").alias("__p_id"))
-    return docs.join(extra, docs["doc_id"] == extra["__p_id"], "left_anti")
+    """Of each group of linked documents, the one with the smallest key."""
+    key = row_key()
+    single = one_each(docs, key)
+    members, _ = jaccard.jaccard_join(single.select(key.alias("key"), "text"), "key")
+    return without(single, key, members.where("doc_id <> component_id").select("doc_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,13 +36,20 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind; n_chars follows."""
-    return pii.redact(docs, pii.fit_field(docs)).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    clean = pii.redact(docs, pii.fit_field(docs))
+    if "n_chars" not in docs.columns:
+        return clean
+    return clean.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of the mix with the number of copies it takes of each."""
-    taken = mixing.mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias("__p_id")).agg(F.max("copies").alias("copies"), F.max("target").alias("source_target"))
-    return docs.join(taken, docs["doc_id"].eqNullSafe(taken["__p_id"])).select(*[docs[c] for c in docs.columns], "copies", "source_target")
+    key = row_key()
+    docs = one_each(docs, key)
+    taken = mixing.mix(docs.select(key.alias("key"), "text", "source"), "key").where("copies > 0")
+    taken = taken.select(F.col("doc_id").alias("__p_key"), F.col("copies").alias("__p_copies"), F.col("target").alias("__p_target"))
+    mixed = docs.withColumn("__p_row", key).join(taken, F.col("__p_row") == F.col("__p_key"))
+    return mixed.withColumn("copies", F.col("__p_copies")).withColumn("source_target", F.col("__p_target")).drop("__p_row", "__p_key", "__p_copies", "__p_target")
 
 
 STAGES = [
