@@ -55,7 +55,14 @@ class RunIndex:
         symbols[inner] = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + self.m
         symbols[ends] = np.arange(self.m)
         self.starts, self.ends, self.lens = ends - lens, ends, lens
-        rank, width, half = ranked(symbols), 1, None
+        # first by as many symbols as a key holds (0: beyond the end), then by twice as many each time
+        bits = (self.m + 257).bit_length()
+        width, half = max(1, min(62 // bits, window)), None
+        key = np.zeros(n, np.int64)
+        for j in range(width):
+            key <<= bits
+            key[:n - j] += symbols[j:] + 1
+        rank = ranked(key)
         while True:
             if width * 2 > window and half is None:
                 half = (rank, width)  # ranks by the longest power of two of symbols that a window holds
