@@ -5,7 +5,8 @@ bucket.  There a suffix array over them gives a Burrows-Wheeler transform,
 which is kept as runs: head symbol, start, the LF target of its first row, and
 a sample at each run (cut where neighbours stop sharing ``window`` bytes): the
 smallest document of its rows.  Each fragment is streamed backwards through the
-index by LF steps, which gives the row of every position.  No matching statistic
+index by LF steps, which gives the row of every position; a bit per row and counts
+per 64 rows tell its run.  No matching statistic
 is computed: a position is marked when the class of its row, the rows whose
 suffixes share ``window`` bytes by the ranks of the uncompressed suffix array,
 holds a smaller document.  Marked
@@ -88,32 +89,40 @@ class RunIndex:
         size = np.diff(np.concatenate((self.run_start, [n])))
         of = np.repeat(docs, lens + 1)[order]
         self.run_low = np.minimum.reduceat(of, self.run_start)
-        self.class_low = np.minimum.reduceat(self.run_low, np.searchsorted(self.run_start, self.classes))
+        class_of = np.searchsorted(self.classes, self.run_start, side="right") - 1
+        self.low = np.minimum.reduceat(self.run_low, np.searchsorted(self.run_start, self.classes))[class_of]
+        # a bit per row where a run begins, and the runs before each word of 64 rows
+        self.words = np.packbits(np.pad(cut, (0, -n % 64)), bitorder="little").view(np.uint64)
+        self.before = np.cumsum(np.bitwise_count(self.words), dtype=np.int64) - np.bitwise_count(self.words) - 1
         # LF of the first row of each run: symbols before it, then equal symbols above it
         by = np.argsort(self.run_head, kind="stable")
         self.run_lf = np.empty(len(by), np.int64)
         self.run_lf[by] = np.cumsum(size[by]) - size[by]
 
-    def back(self, rows: np.ndarray) -> np.ndarray:
-        """Row of the suffix one symbol longer."""
-        run = np.searchsorted(self.run_start, rows, side="right") - 1
-        return self.run_lf[run] + rows - self.run_start[run]
+    def runs(self, rows: np.ndarray) -> np.ndarray:
+        """Run of each row."""
+        word = rows >> 6
+        upto = np.uint64(0xFFFFFFFFFFFFFFFF) >> (63 - (rows & 63)).astype(np.uint64)
+        return self.before[word] + np.bitwise_count(self.words[word] & upto)
 
-    def lowest(self, rows: np.ndarray) -> np.ndarray:
-        """Smallest document that has the first ``window`` symbols of each row's suffix."""
-        return self.class_low[np.searchsorted(self.classes, rows, side="right") - 1]
+    def back(self, rows: np.ndarray, run: np.ndarray) -> np.ndarray:
+        """Row of the suffix one symbol longer; ``run`` has the runs of ``rows``."""
+        return self.run_lf[run] + rows - self.run_start[run]
 
     def stream(self):
-        """For step 1, 2, ...: texts still running, their position from the end, and its row."""
+        """For step 1, 2, ...: texts still running, the row of their position that many from the end, and its run.
+        ``low`` of a run is the smallest document that has the first ``window`` symbols of its suffixes."""
         rows, live = np.arange(self.m), np.arange(self.m)  # the marks sort first, in text order
-        step = 0
+        run, step = self.runs(rows), 0
         while len(live):
             step += 1
             keep = self.lens[live] >= step
-            live, rows = live[keep], rows[keep]
+            if not keep.all():
+                live, rows, run = live[keep], rows[keep], run[keep]
             if len(live):
-                rows = self.back(rows)
-                yield step, live, rows
+                rows = self.back(rows, run)
+                run = self.runs(rows)
+                yield step, live, rows, run
 
 
 def repeated_windows(texts: list[bytes], docs: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
@@ -122,9 +131,9 @@ def repeated_windows(texts: list[bytes], docs: np.ndarray, window: int = WINDOW)
     marks = [np.zeros(max(0, int(n) - window + 1), np.uint8) for n in index.lens]
     flat = np.concatenate(marks) if marks else np.zeros(0, np.uint8)
     edge = np.concatenate(([0], np.cumsum([len(m) for m in marks])))
-    for step, live, rows in index.stream():
+    for step, live, _, run in index.stream():
         if step >= window:
-            flat[edge[live] + index.lens[live] - step] = index.lowest(rows) < docs[live]
+            flat[edge[live] + index.lens[live] - step] = index.low[run] < docs[live]
     return [flat[edge[i]:edge[i + 1]] for i in range(len(marks))]
 
 

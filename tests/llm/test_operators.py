@@ -134,7 +134,7 @@ def test_run_index_marks_windows():
 def test_run_index_is_a_transform():
     index = runindex.RunIndex([b"banana", b"bandana", b""], np.array([0, 1, 2]), 3)
     seen = [{} for _ in range(3)]
-    for step, live, rows in index.stream():
+    for step, live, rows, _ in index.stream():
         for j, r in zip(live, rows, strict=True):
             seen[j][step] = int(r)
     assert sorted(r for s in seen for r in s.values()) == list(range(3, 16))  # every row but the three marks, once
