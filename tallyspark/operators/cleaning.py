@@ -8,6 +8,8 @@ up as ''), and counters are taken at the step where the loader takes them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,13 @@ from tallyspark.operators.stats import exact_median
 UNKNOWN = "Unknown"
 UNCATEGORIZED = "Uncategorized"
 
+# sees the deduped rows at the step where the loader counts its issues, and passes them on
+Watch = Callable[[DataFrame], DataFrame]
+
+
+def unwatched(df: DataFrame) -> DataFrame:
+    return df
+
 
 # -- single-column operators (B2-B10) -----------------------------------------
 
@@ -37,8 +46,8 @@ def normalize_channel(c: str = "channel"):
 
 # -- customers (B16) -------------------------------------------------------------
 
-def stage_customers(raw: DataFrame) -> DataFrame:
-    first = keep_first(raw, "customer_id")
+def stage_customers(raw: DataFrame, watch: Watch = unwatched) -> DataFrame:
+    first = watch(keep_first(raw, "customer_id"))
     return first.select(
         "customer_id",
         strip_ws("name").alias("name"),
@@ -50,8 +59,8 @@ def stage_customers(raw: DataFrame) -> DataFrame:
 
 # -- products (B17) --------------------------------------------------------------
 
-def typed_products(raw: DataFrame) -> DataFrame:
-    first = keep_first(raw, "sku")
+def typed_products(raw: DataFrame, watch: Watch = unwatched) -> DataFrame:
+    first = watch(keep_first(raw, "sku"))
     return first.select(
         "sku",
         impute_constant("category", UNCATEGORIZED).alias("category"),
@@ -89,8 +98,8 @@ def typed_orders(raw: DataFrame) -> DataFrame:
     )
 
 
-def stage_orders(raw: DataFrame) -> DataFrame:
-    t = typed_orders(raw)
+def stage_orders(raw: DataFrame, watch: Watch = unwatched) -> DataFrame:
+    t = watch(typed_orders(raw))
     return (t.filter(F.col("order_date").isNotNull())
              .filter(F.col("unit_price").isNotNull())
              .select(

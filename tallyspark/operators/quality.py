@@ -8,7 +8,7 @@ row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.numeric import pct
@@ -27,37 +27,54 @@ def _with_raw_counts(after: DataFrame, raw: DataFrame, key: str, dup_name: str)
                  .select(F.col("_rc.r").alias("raw_rows"), F.col("_rc.d").alias(dup_name), *after.columns))
 
 
+def customer_counters() -> list[Column]:
+    """On the first raw row of every customer."""
+    return [F.count_if(F.col("country").isNull()).alias("null_country"),
+            F.count_if(F.col("segment").isNull()).alias("null_segment"),
+            F.count_if(to_date_lenient("created_at").isNull()).alias("invalid_created_at"),
+            F.count(F.lit(1)).alias("staged_rows")]
+
+
+def product_counters() -> list[Column]:
+    """On the first raw row of every product."""
+    cost = to_number("cost")
+    return [F.count_if(F.col("category").isNull()).alias("null_category"),
+            F.count_if(cost < 0).alias("negative_cost"),
+            F.count_if(cost.isNull()).alias("null_cost"),
+            F.count(F.lit(1)).alias("staged_rows")]
+
+
+def order_counters() -> list[Column]:
+    """On deduped orders with parsed values, before rows are dropped."""
+    dated = F.col("order_date").isNotNull()
+    return [F.count_if(~dated).alias("invalid_order_date"),
+            F.count_if(dated & (F.col("quantity") < 0)).alias("negative_quantity"),
+            F.count_if(dated & F.col("unit_price").isNull()).alias("null_unit_price"),
+            F.count_if(dated & F.col("unit_price").isNotNull()).alias("staged_rows")]
+
+
+def flag_counters() -> list[Column]:
+    """On flagged orders: rows and flags of all, then of those that become facts (no returns)."""
+    flags = ("pre_signup", "inactive_sale", "below_cost")
+    sold = ~F.col("is_return")
+    return [F.count(F.lit(1)).alias("staged_rows"), *[F.count_if(f"is_{f}").alias(f"staged_{f}") for f in flags],
+            F.count_if(sold).alias("fact_rows"), *[F.count_if(sold & F.col(f"is_{f}")).alias(f"fact_{f}") for f in flags]]
+
+
 def dq_customers(raw_customers: DataFrame) -> DataFrame:
-    first = keep_first(raw_customers, "customer_id")
-    after = first.agg(
-        F.count_if(F.col("country").isNull()).alias("null_country"),
-        F.count_if(F.col("segment").isNull()).alias("null_segment"),
-        F.count_if(to_date_lenient("created_at").isNull()).alias("invalid_created_at"),
-        F.count(F.lit(1)).alias("staged_rows"))
+    after = keep_first(raw_customers, "customer_id").agg(*customer_counters())
     return _with_raw_counts(after, raw_customers, "customer_id", "duplicate_customer_id")
 
 
 def dq_products(raw_products: DataFrame) -> DataFrame:
-    first = keep_first(raw_products, "sku")
-    cost = to_number("cost")
-    after = first.agg(
-        F.count_if(F.col("category").isNull()).alias("null_category"),
-        F.count_if(cost < 0).alias("negative_cost"),
-        F.count_if(cost.isNull()).alias("null_cost"),
-        F.count(F.lit(1)).alias("staged_rows"))
+    after = keep_first(raw_products, "sku").agg(*product_counters())
     return _with_raw_counts(after, raw_products, "sku", "duplicate_sku")
 
 
 def dq_orders(raw_orders: DataFrame) -> DataFrame:
     """Counters in the loader's sequence: duplicates, then invalid dates, then
     negative quantities among dated rows, then missing prices among dated rows."""
-    t = typed_orders(raw_orders)
-    dated = F.col("order_date").isNotNull()
-    after = t.agg(
-        F.count_if(~dated).alias("invalid_order_date"),
-        F.count_if(dated & (F.col("quantity") < 0)).alias("negative_quantity"),
-        F.count_if(dated & F.col("unit_price").isNull()).alias("null_unit_price"),
-        F.count_if(dated & F.col("unit_price").isNotNull()).alias("staged_rows"))
+    after = typed_orders(raw_orders).agg(*order_counters())
     return _with_raw_counts(after, raw_orders, "order_id", "duplicate_order_id")
 
 

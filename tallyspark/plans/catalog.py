@@ -964,6 +964,32 @@ def q_refresh_with_web(spark, sf_dir):
     return present(R.read_published(spark, root, "fact_sales").drop("year"))
 
 
+_COUNTED = {"customers": ("raw_rows", "duplicate_customer_id", "null_country", "null_segment", "invalid_created_at", "staged_rows"),
+            "products": ("raw_rows", "duplicate_sku", "null_category", "negative_cost", "null_cost", "staged_rows"),
+            "orders": ("raw_rows", "duplicate_order_id", "invalid_order_date", "negative_quantity", "null_unit_price", "staged_rows")}
+
+
+def _refresh_counters_sql() -> str:
+    """The counter reports of their own queries, one row per counter."""
+    parts, reports = [], []
+    for name, counters in _COUNTED.items():
+        reports.append(f"{name}_r AS (SELECT * FROM ({ORACLE[f'dq_{name}']}) x)")
+        parts += [f"SELECT '{name}' AS report, '{c}' AS counter, {c}::BIGINT AS total FROM {name}_r" for c in counters]
+    reports.append(f"flags_r AS (SELECT * FROM ({ORACLE['dq_semantic']}) x)")
+    for scope, prefix in (("stg_orders", "staged"), ("fact_sales", "fact")):
+        parts += [f"SELECT 'flags', '{prefix}_{c}', {c}::BIGINT FROM flags_r WHERE scope = '{scope}'" for c in ("rows", "pre_signup", "inactive_sale", "below_cost")]
+    return "WITH " + ", ".join(reports) + " " + " UNION ALL ".join(parts)
+
+
+@register("refresh_counters", _refresh_counters_sql())
+def q_refresh_counters(spark, sf_dir):
+    """Counters that a full refresh took while it wrote its layers."""
+    p = _p(spark, sf_dir)
+    root = scratch_path(spark, "counters")
+    R.refresh(spark, {"orders": p.raw_orders, "customers": p.raw_customers, "products": p.raw_products}, root, "v1")
+    return R.read_counters(spark, root, "v1").select("report", "counter", "total")
+
+
 @register("refresh_incremental", _FACT_WITH_WEB_SQL)
 def q_refresh_incremental(spark, sf_dir):
     """A full refresh of the files, then an incremental one of the same files and the stored web orders."""

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.plans import counters
+from tallyspark.plans.counters import Counted
 from tallyspark.sources import commitlog
 from tallyspark.sources.store import in_sequence
 
@@ -134,7 +136,7 @@ class Run:
         if version in known:
             raise FileExistsError(f"version {version} is published in {root}; a version is written once")
         self.spark, self.root, self.version, self.run_ts, self.base = spark, root, version, run_ts, base
-        self.dir, self.done = f"{root}/{version}", {}
+        self.dir, self.done, self.seen = f"{root}/{version}", {}, {}
         given = json.dumps({"run_ts": run_ts.isoformat(), "base": base})
         begun = self._marker("_run")
         if begun is None:
@@ -146,8 +148,8 @@ class Run:
         path = f"{self.dir}/_layers/{name}"
         return commitlog.read_text(self.spark, path) if commitlog.exists(self.spark, path) else None
 
-    def layer(self, name: str, df: DataFrame, part: str | None = None) -> Table:
-        """Write ``df`` unless it has been, and say where it lies.  A written layer is a lineage cut."""
+    def layer(self, name: str, df: DataFrame, part: str | None = None, seen: dict[str, Counted] | None = None) -> Table:
+        """Write ``df`` unless it has been, and say where it lies.  A written layer is a lineage cut.  ``seen`` are counters its plan observes."""
         marker = self._marker(name)
         if marker is None:
             path = f"{self.dir}/{name}"
@@ -157,10 +159,12 @@ class Run:
                 parts = sorted((self.version, f"{part}={r[0]}", r[1]) for r in rows.groupBy(part).count().collect())
             else:
                 parts = [(self.version, "", rows.count())]
-            marker = json.dumps({"parts": parts, "schema": df.schema.json()})
+            values = {k: c.values(sum(p[2] for p in parts)) for k, c in (seen or {}).items()}
+            marker = json.dumps({"parts": parts, "schema": df.schema.json(), "seen": values})
             commitlog.write_text(self.spark, f"{self.dir}/_layers/{name}", marker)
         t = json.loads(marker)
         self.done[name] = Table(self.spark, self.root, name, t["parts"], t["schema"])
+        self.seen |= t.get("seen", {})
         return self.done[name]
 
     def together(self, *layers: tuple) -> list[Table]:
@@ -168,9 +172,10 @@ class Run:
         with ThreadPoolExecutor(AT_ONCE) as pool:
             return list(pool.map(lambda a: self.layer(*a), layers))
 
-    def publish(self, tables: dict[str, Table], counts: dict[str, int]) -> None:
+    def publish(self, tables: dict[str, Table], counts: dict[str, int], quality: list[tuple]) -> None:
         log = [(k, int(v)) for k, v in counts.items()]
         (self.spark.createDataFrame(log, "table_name string, rows long").withColumn("run_ts", F.lit(self.run_ts))
          .withColumn("version", F.lit(self.version)).coalesce(1).write.mode("overwrite").parquet(f"{self.dir}/_run_log"))
+        self.spark.createDataFrame(quality, counters.SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{self.dir}/{counters.FOLDER}")
         commitlog.write_text(self.spark, f"{self.dir}/_manifest", json.dumps({n: {"parts": t.parts, "schema": t.json} for n, t in tables.items()}))
         commitlog.append(self.spark, f"{self.root}/{PUBLISH_LOG}", f"{self.version} {self.base or ''}".rstrip())

@@ -26,15 +26,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions.parse import NUMBER_TYPE
-from tallyspark.operators import cleaning, marts, state
-from tallyspark.operators.cleaning import ORDER_STAGE_COLUMNS
+from tallyspark.operators import cleaning, marts, quality, state
+from tallyspark.operators.cleaning import ORDER_STAGE_COLUMNS, Watch
 from tallyspark.operators.quality import ref_integrity
 from tallyspark.operators.star import FACT_COLUMNS
-from tallyspark.plans import layers
+from tallyspark.plans import counters, layers
+from tallyspark.plans.counters import Counted, read_counters
 from tallyspark.plans.layers import Run, Table, current_version, load_chain
 from tallyspark.plans.pipeline import EPOCH, Pipeline
 
-__all__ = ["PUBLISHED", "current_version", "load_chain", "published_pipeline", "read_published", "refresh", "register_views"]
+__all__ = ["PUBLISHED", "current_version", "load_chain", "published_pipeline", "read_counters", "read_published", "refresh", "register_views"]
 
 KEYS_PER_PART = 1_000_000
 FEWEST_PARTS, MOST_PARTS = 8, 4096
@@ -58,15 +59,24 @@ def loaded(run: Run, df: DataFrame) -> DataFrame:
     return df.withColumn("_stg_loaded_at", F.lit(run.run_ts))
 
 
+def watches() -> dict[str, Counted]:
+    return {"customers": Counted(quality.customer_counters()), "products": Counted(quality.product_counters()),
+            "orders": Counted(quality.order_counters()), "flags": Counted(quality.flag_counters())}
+
+
+def only(seen: dict[str, Counted], *reports: str) -> dict[str, Counted]:
+    return {r: seen[r] for r in reports}
+
+
 def median_cost(counts: Table) -> DataFrame:
     return state.median_of_counts(counts.read(), "cost").select(F.col("median").cast(NUMBER_TYPE))
 
 
-def by_year(spark: SparkSession, flagged: DataFrame) -> DataFrame:
+def by_year(spark: SparkSession, flagged: DataFrame, watch: Watch) -> DataFrame:
     """Flagged orders dealt by year and, within a year, by a hash of the order, each file in order of date; nothing is sampled, and a hot year spans many tasks."""
     spread = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
     year = flagged.withColumn("year", F.year("order_date"))
-    return year.repartition("year", F.pmod(F.xxhash64("order_id"), F.lit(spread))).sortWithinPartitions("year", "order_date")
+    return watch(year.repartition("year", F.pmod(F.xxhash64("order_id"), F.lit(spread)))).sortWithinPartitions("year", "order_date")
 
 
 def order_layers(run: Run, p: Pipeline, flagged: Table, typed: DataFrame) -> dict[str, Table]:
@@ -110,13 +120,16 @@ def _full(run: Run, raw: dict[str, DataFrame]) -> dict[str, Table]:
     raws = run.together(*[(f"raw_{k}", raw[k]) for k in ("orders", "customers", "products")])
     p = Pipeline(*[t.read() for t in raws], run.run_ts)
     t = dict(zip(("raw_orders", "raw_customers", "raw_products"), raws))
-    t["stg_customers"], t["_typed_products"] = run.together(("stg_customers", loaded(run, p.stg_customers)), ("_typed_products", cleaning.typed_products(p.raw_products)))
+    seen = watches()
+    t["stg_customers"], t["_typed_products"] = run.together(
+        ("stg_customers", loaded(run, cleaning.stage_customers(p.raw_customers, seen["customers"])), None, only(seen, "customers")),
+        ("_typed_products", cleaning.typed_products(p.raw_products, seen["products"]), None, only(seen, "products")))
     typed = t["_typed_products"].read()
     t["_cost_counts"] = run.layer("_cost_counts", state.value_counts(typed, "cost"))
     t["stg_products"] = run.layer("stg_products", loaded(run, cleaning.fill_cost(typed, median_cost(t["_cost_counts"]).scalar())))
-    p = p.override(stg_customers=t["stg_customers"].read(), stg_products=t["stg_products"].read())
+    p = p.override(stg_customers=t["stg_customers"].read(), stg_products=t["stg_products"].read(), stg_orders_unflagged=cleaning.stage_orders(p.raw_orders, seen["orders"]))
     # staged orders, flags and looked-up columns, written once; staging, the quarantine, the calendar and the fact all read it
-    t["_flagged_orders"] = run.layer("_flagged_orders", by_year(run.spark, p.flagged_orders), "year")
+    t["_flagged_orders"] = run.layer("_flagged_orders", by_year(run.spark, p.flagged_orders, seen["flags"]), "year", only(seen, "orders", "flags"))
     t |= order_layers(run, p, t["_flagged_orders"], typed)
     p = p.override(stg_orders_unflagged=t["_flagged_orders"].read().select(*ORDER_STAGE_COLUMNS))
     t["dim_customer"], t["dim_product"], t["dim_date"] = run.together(("dim_customer", p.dim_customer), ("dim_product", p.dim_product), ("dim_date", p.dim_date))
@@ -146,8 +159,17 @@ def refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, version:
         tables = delta(run, raw, layers.manifest(spark, root, base))
     else:
         tables = _full(run, raw)
+    values = {report: counters.staged(report, run.seen[report], run.done[raw_name].rows) for report, (raw_name, *_) in counters.STAGED.items()}
+    if "flags" in run.seen:
+        values["flags"] = run.seen["flags"]
+    kept, replaced = {}, {}
+    if base:
+        before = layers.manifest(spark, root, base)
+        kept = counters.totals(spark, root, base, before)
+        if "flags" in values:  # only the years that were written again are read
+            replaced = counters.count(before["_flagged_orders"].where([f for _, f, _ in run.done["_flagged_orders"].parts]).read(), quality.flag_counters())
     counts = {name: run.done[name].rows if name.startswith("raw_") else tables[name].rows for name in PUBLISHED}
-    run.publish(tables, counts)
+    run.publish(tables, counts, counters.report(values, kept, replaced))
     return counts
 
 
