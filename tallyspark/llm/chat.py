@@ -9,10 +9,9 @@ conversation into turn-aligned spans: turns whose token sum ends in the same
 ``stride`` belong together.  A window is the system turn (when the span does not
 hold it), at most ``history`` tokens of whole turns before the span, and the
 span.  Only assistant turns of the span are under the loss mask, so a repeated
-turn is never a target twice.  With a ``budget`` the system turn and the span
+turn is never a target twice.  With a ``budget``, as in the query, the system turn and the span
 are charged first and the history is filled up to what is left, so a window is
-above it only where those two are.  Without one, as in the query, whose SQL fixes
-the history, it can exceed ``BUDGET`` by long turns and by its system turn.
+above it only where those two are.  Without one it can exceed ``BUDGET`` by long turns and by its system turn.
 
 Edge cases: NULL text or role is empty; turns are ordered by (turn, role,
 text) with NULL turns first, so ties and repeated rows have a fixed order; a
@@ -127,7 +126,7 @@ def with_probe(conversations: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_back(format_chats(with_probe(table(spark, sf_dir, "conversations"))))
+    return read_back(format_chats(with_probe(table(spark, sf_dir, "conversations")), budget=BUDGET))
 
 
 SQL = r"""
@@ -143,10 +142,11 @@ o AS (
   FROM t),
 p AS (SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY i) AS ends FROM o),
 s AS (SELECT *, ends - tokens AS starts, (ends - 1) // 192 AS span FROM p),
-first AS (SELECT conv_id, span, min(starts) AS at, min(i) AS i FROM s GROUP BY conv_id, span),
+sys AS (SELECT conv_id, CASE WHEN role = 'system' THEN tokens ELSE 0 END AS system FROM s WHERE i = 0),
+first AS (SELECT conv_id, span, min(starts) AS at, max(ends) AS stop, min(i) AS i, any_value(system) AS system FROM s JOIN sys USING (conv_id) GROUP BY conv_id, span),
 again AS (
   SELECT first.conv_id, sum(s.chars) AS chars FROM first JOIN s ON first.conv_id = s.conv_id AND s.i < first.i
-    AND (s.starts >= first.at - 128 OR (s.i = 0 AND s.role = 'system'))
+    AND ((s.starts >= first.at - 128 AND first.stop - s.starts + CASE WHEN s.i > 0 THEN system ELSE 0 END <= 512) OR (s.i = 0 AND s.role = 'system'))
   GROUP BY first.conv_id),
 d AS (
   SELECT conv_id, count(*)::BIGINT AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY i) AS said,

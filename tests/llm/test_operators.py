@@ -241,6 +241,26 @@ def test_chat_budget_charges_system_turn_and_span(spark, system):
     assert (got.n_turns, got.turns_sha256, got.loss_sha256) == (lambda r: (r.n_turns, r.turns_sha256, r.loss_sha256))(chat.read_back(chat.format_chats(df)).first())
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_chat_query_keeps_its_budget_and_matches_sql(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    rows = []
+    for c in range(12):
+        system = rng.choice([0, 2, 150, 300, 600])
+        size = [system] + [rng.choice([0, 3, 60, 100, 185, 400]) for _ in range(rng.randint(0, 25))]
+        rows += [(c, t, "system" if t == 0 and system else "user" if t % 2 else "assistant", " ".join(f"t{t}" for _ in range(n))) for t, n in enumerate(size)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    got = chat.query(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == sorted(con.execute(f"SELECT {', '.join(got.columns)} FROM ({chat.SQL})").fetchall())
+    for w in chat.format_chats(spark.read.parquet(f"{tmp_path}/conversations.parquet"), budget=chat.BUDGET).collect():
+        tokens = [len(b[1].split()) + chat.MARK_TOKENS for b in re.findall(chat.BLOCK, w.text)]
+        roles = [b[0] for b in re.findall(chat.BLOCK, w.text)]
+        fixed = sum(n for n, r, t in zip(tokens, roles, w.turns, strict=True) if not t.repeated or r == "system")
+        assert sum(tokens) <= max(chat.BUDGET, fixed)
+
+
 # Quality, mixing, URLs ---------------------------------------------------------------------------------
 
 
@@ -252,6 +272,32 @@ def test_quality_verdict_does_not_depend_on_order(spark, edge):
     assert quality.keep_quality(edge).columns == edge.columns
 
 
+def test_quality_costly_weak_rules_come_last(spark):
+    rng = random.Random(5)
+    texts = [(" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "rho"]) + str(rng.randint(0, 999)) for _ in range(rng.choice([5, 600, 900]))),) for _ in range(600)]
+    docs = spark.createDataFrame(texts, "text string").repartition(4)
+    slow = quality.Rule("slow", lambda t, w: F.size(F.array_distinct(F.transform(w, lambda x: F.sha2(F.repeat(x, 200), 512)))) < 0)
+    idle = quality.Rule("idle", lambda t, w: F.size(w) < 0)
+    few = quality.RULES[0]
+    for rules in ([slow, idle, few], [few, slow, idle], [idle, slow, few]):
+        cost, rejected = quality.measure_rules(docs, rules)
+        assert cost["slow"] > 5 * max(cost["few_words"], cost["idle"])  # jobs' own time is not in the cost
+        assert rejected["slow"] == rejected["idle"] == 0 and 0.2 < rejected["few_words"] < 0.5
+        assert quality.rank_rules(docs, rules)[0].name == "few_words"
+    mild = quality.Rule("slow_mild", lambda t, w: slow.rejects(t, w) | (F.size(w) == 600))
+    assert [r.name for r in quality.rank_rules(docs, [mild, few])] == ["few_words", "slow_mild"]
+    assert quality.rank_rules(docs.limit(0), [mild, few]) == [mild, few]
+
+
+def test_quality_report_says_what_the_cascade_keeps(spark):
+    texts = [(i, t) for i, t in enumerate(["plain words that read like a text " * 4, "one two three four five six seven eight nine ten eleven", "# | # | " * 20, "# | # $ % & a b c d e f g h", "SHOUTING ALL THE TIME NOW AND THEN OR NOT SO MUCH AS HERE",
+             "same line\nsame line\nsame line\na b c d e f g h i j k", "", None, "w" * 400, " ".join(f"{'x' * 30}{i}" for i in range(12)), "\n\n".join(f"l{i} a" for i in range(9))])]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    report = {r.doc_id: r.kept for r in quality.quality_report(df).collect()}
+    assert {i for i, kept in report.items() if kept} == {r.doc_id for r in quality.keep_quality(df).collect()}
+    assert {True, False} == set(report.values())
+
+
 def test_mixing_targets_and_bounds(spark, edge):
     rng = random.Random(1)
     rows = [(i, "w " * rng.randint(0, 80), rng.choices(["a", "b", None, "d"], [8, 4, 2, 0.3])[0]) for i in range(1500)]
