@@ -6,7 +6,9 @@ stretch around every digit or at-sign into whole spans, so features see a
 span at once (shape, digit count, checksum, neighbours), and bounded-entity
 dynamic programming picks boundaries and kinds jointly.  Its weights maximise
 the conditional likelihood of base spans (and of their absence) on a bounded
-sample of at most ``SAMPLE`` texts of up to ``SAMPLE_CHARS`` characters; every
+sample of at most ``SAMPLE`` texts of up to ``SAMPLE_CHARS`` characters, each with ``COPIES`` copies
+in which base spans are rewritten in forms that the patterns miss (other marks, brackets, no plus sign)
+or replaced by dates, prices, counts and other numbers that are nobody's; every
 whole text is then decoded.  Added spans never touch base spans.
 
 Edge cases: NULL and empty texts have no spans; long digit or word runs are
@@ -16,6 +18,7 @@ gives an empty result; other columns are not read by ``find_pii``.
 
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
@@ -29,9 +32,10 @@ SAMPLE, SAMPLE_CHARS = 400, 20_000
 SLICE = 1 << 20       # bytes of texts that a worker has as strings at once, or one longer text
 LONGEST = 16          # tokens of a span of the field
 LONGEST_CHARS = 320   # characters of a span of the field, as long as an address may be
-REACH = 3             # tokens of context on both sides of a trigger
+REACH = 8             # tokens of context on both sides of a trigger, as an address with blanks needs
 STRETCH = 512         # tokens decoded at once
-FLOOR = 3.0           # log-odds against "no entity" that an added span needs
+COPIES = 3            # rewritten copies of a text of the sample
+FLOOR = 2.0           # log-odds against "no entity" that an added span needs
 
 TRIGGER = re.compile(r"[0-9@]")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -39,6 +43,14 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")  # a start inside a run of digits would end alike
 CARD = re.compile(r"[0-9]++(?:[ -][0-9]++)*+")  # nothing to go back to in long runs; one digit alone is not a card anyway
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
+SPACED = re.compile(r"[0-9]+(?:\s?\.\s?[0-9]+){3}")
+AT_WORDS = re.compile(r"[A-Za-z0-9._%+-]+ ?@ ?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
+SPACED_ADDRESS = re.compile(r"[A-Za-z][A-Za-z0-9._%+-]* ?@ [A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+HOST_ADDRESS = re.compile(r"[A-Za-z][A-Za-z0-9._%+-]*@[A-Za-z][A-Za-z0-9-]*")
+MARKED_PHONE = re.compile(r"[0-9]{3}([-./])[0-9]{3}\1[0-9]{4}")
+BRACKET_PHONE = re.compile(r"\([0-9]{2,5}\) ?[0-9]{3,4}[ -]?[0-9]{3,4}")
+ZEROS_PHONE = re.compile(r"00[1-9][0-9]{0,2}(?:[ -][0-9]{1,4}){2,5}")
+YEAR = re.compile(r"(?<![0-9])(?:19|20)[0-9]{2}(?![0-9])")
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\n]|_")
 
 
@@ -93,7 +105,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 # Semi-Markov field ---------------------------------------------------------------------------------
 
 FEATURES = ("bias", "at", "one_at_then_dot", "plus_first", "digits_1_6", "digits_7_8", "digits_9_12", "digits_13_19", "digits_20", "luhn", "four_parts", "octets", "letters",
-            "blank", "bracket", "mixed", "left_word", "left_digit", "right_word", "right_digit", "left_dot", "edge_mark", "one_token")
+            "blank", "bracket", "mixed", "left_word", "left_digit", "right_word", "right_digit", "left_dot", "edge_mark", "one_token",
+            "phone_groups", "zeros_first", "fours", "spaced_octets", "at_words", "one_run", "comma", "colon", "year", "spaced_address", "host_address", "slashed_plus", "marked_phone", "zeros_phone", "bracket_phone")
 
 
 def features(text: str, start: int, end: int) -> list[float]:
@@ -106,10 +119,61 @@ def features(text: str, start: int, end: int) -> list[float]:
     parts = s.split(".")
     four = len(parts) == 4 and all(p.isascii() and p.isdigit() for p in parts)
     at = s.count("@")
+    groups = [len(g) for g in re.findall(r"[0-9]+", s)] if n else []
+    plain = n > 0 and not letters and at == 0
+    # nothing beside it that could belong to it
+    whole = not (before.isalnum() or (before != "" and before in "._%+-/@")) and not (after.isalnum() or (after != "" and after in "-/@") or (after == "." and text[end + 1:end + 2].isalnum()))
     return [float(x) for x in (
         1, at > 0, at == 1 and 0 < s.index("@") < len(s) - 3 and "." in s[s.index("@") + 2:-1], s[:1] == "+", 1 <= n <= 6, 7 <= n <= 8, 9 <= n <= 12, 13 <= n <= 19, n > 19,
         13 <= n <= 19 and luhn(d), four, four and valid_ip(s), letters, any(c.isspace() for c in s), "(" in s, letters and n > 0 and at == 0,
-        before.isalpha(), before.isdigit(), after.isalpha(), after.isdigit(), before in (".", "@", "-", "+") and before != "", not (s[:1].isalnum() or s[:1] in "+(") or not s[-1:].isalnum(), len(s) < 2)]
+        before.isalpha(), before.isdigit(), after.isalpha(), after.isdigit(), before in (".", "@", "-", "+") and before != "", not (s[:1].isalnum() or s[:1] in "+(") or not s[-1:].isalnum(), len(s) < 2,
+        plain and groups[-3:] == [3, 3, 4], plain and s[:2] == "00" and len(groups) > 2, plain and len(groups) >= 4 and set(groups[:-1]) == {4} and groups[-1] <= 4,
+        plain and len(groups) == 4 and bool(SPACED.fullmatch(s)) and valid_ip(re.sub(r"\s", "", s)), at == 1 and bool(AT_WORDS.fullmatch(s)), plain and len(groups) == 1, "," in s, ":" in s or ";" in s,
+        plain and bool(YEAR.search(s)), at == 1 and whole and bool(SPACED_ADDRESS.fullmatch(s)), at == 1 and whole and bool(HOST_ADDRESS.fullmatch(s)), plain and whole and s[:1] == "+" and "/" in s and 9 <= n <= 15,
+        plain and whole and bool(MARKED_PHONE.fullmatch(s)), plain and whole and bool(ZEROS_PHONE.fullmatch(s)), plain and whole and bool(BRACKET_PHONE.fullmatch(s)))]
+
+
+def rewritten(kind: str, span: str, rng: random.Random) -> str:
+    """The same data in a form that the base patterns do not take."""
+    d = digits_of(span)
+    if kind == "email":
+        name, domain = span.split("@", 1)
+        return rng.choice([f"{name} @ {domain}", f"{name}@ {domain}", f"{name}@{domain.split('.')[0]}"])
+    if kind == "ip":
+        return rng.choice([" . ", ". "]).join(span.split("."))
+    if kind == "card":
+        return rng.choice("./").join(d[i:i + 4] for i in range(0, len(d), 4))
+    if len(d) >= 10 and rng.random() < 0.7:
+        a, b, c = d[-10:-7], d[-7:-4], d[-4:]
+        return rng.choice([f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a}/{b}/{c}", f"({a}) {b}-{c}", f"({a}) {b} {c}", f"+{d[:-10] or 1}/{a}/{b}{c}"])
+    first = rng.randint(2, 4)
+    return f"00{d[:2].lstrip('0') or 1} {d[2:2 + first]} " + rng.choice(" -").join(d[i:i + 4] for i in range(2 + first, len(d), 4))
+
+
+def harmless(rng: random.Random) -> str:
+    """A number that is nobody's: date, time, price, version, range, plain number, list of numbers."""
+    n = rng.randint
+    year = n(1900, 2035)
+    return rng.choice([f"{year}-{n(1, 12):02}-{n(1, 28):02}", f"{n(1, 28)}/{n(1, 12)}/{year}", f"{year}-{n(1, 12):02}-{n(1, 28):02} {n(0, 23):02}:{n(0, 59):02}:{n(0, 59):02}", f"{n(0, 23)}:{n(0, 59):02}",
+                       f"{n(1, 999)},{n(0, 999):03}.{n(0, 99):02}", f"{n(0, 20)}.{n(0, 20)}.{n(0, 99)}", f"{n(1, 500)}-{n(500, 999)}", f"{year}-{year + n(1, 9)}", str(n(10, 10 ** n(2, 12))), f"{n(0, 999)}.{n(0, 99999)}",
+                       " ".join(str(n(0, 10 ** n(1, 5))) for _ in range(n(2, 6))), ", ".join(str(n(0, 10 ** n(1, 5))) for _ in range(n(2, 6))), f"{n(0, 99)} @ {n(0, 99)}.{n(0, 99)}", f"@{rng.choice(['home', 'team', 'noon'])}{n(1, 99)}"])
+
+
+def perturbed(text: str, rng: random.Random) -> tuple[str, list[tuple[str, int, int]]]:
+    """A copy of ``text`` with other spans, and the spans there are to find in it."""
+    out, gold, at, size = [], [], 0, 0
+    for kind, a, b in sorted(base_spans(text), key=lambda s: s[1:]):
+        if a < at:
+            continue
+        real = rng.random() < 0.6
+        new = rewritten(kind, text[a:b], rng) if real else harmless(rng)
+        out += [text[at:a], new]
+        size += a - at
+        if real:
+            gold.append((kind, size, size + len(new)))
+        size, at = size + len(new), b
+    copy = "".join([*out, text[at:]])
+    return copy, gold + [s for s in base_spans(copy) if all(s[2] <= a or b <= s[1] for _, a, b in gold)]
 
 
 def stretches(text: str):
@@ -219,10 +283,13 @@ class Field:
                 expected[k, gold[i, j]] -= 1
         return -expected.T @ rows
 
-    def fit(self, texts: list[str], epochs: int = 12, rate: float = 0.5) -> "Field":
+    def fit(self, texts: list[str], epochs: int = 30, rate: float = 0.5) -> "Field":
         jobs = []
-        for text in texts:
-            spans = {(a, b): KINDS.index(k) for k, a, b in base_spans(text)}
+        rng = random.Random(29)
+        known = [(t, base_spans(t)) for t in texts]
+        known += [perturbed(t, rng) for t, found in known if found for _ in range(COPIES)]
+        for text, found in known:
+            spans = {(a, b): KINDS.index(k) for k, a, b in found}
             for _, tokens in stretches(text):
                 at, rows = candidates(text, tokens)
                 if len(at):
@@ -230,7 +297,7 @@ class Field:
         seen = np.full(self.weights.shape, 1e-6)
         for _ in range(epochs):
             for lo in range(0, len(jobs), 16):
-                g = sum(self.gradient(*job) for job in jobs[lo:lo + 16]) - 0.01 * self.weights
+                g = sum(self.gradient(*job) for job in jobs[lo:lo + 16]) - 0.001 * self.weights
                 seen += g**2
                 self.weights += rate * g / np.sqrt(seen)
         return self

@@ -149,3 +149,48 @@ def test_pipeline_by_hand(spark, crowd):
         took = sum(r.copies * len(r.text.split()) for r in rows if r.source == s)
         assert all(1 <= r.copies <= 3 for r in rows) and abs(took - next(r.source_target for r in rows if r.source == s)) <= 2 * 130
     assert len({(r.doc_id, r.text) for r in rows}) == len(rows)
+
+
+def _card(rng):
+    while True:
+        d = rng.choice("3456") + "".join(rng.choice("0123456789") for _ in range(15))
+        if pii.luhn(d):
+            return d
+
+
+FORMS = {
+    "marks": ("phone", lambda r: f"{r(3)}-{r(3)}-{r(4)}"), "bracket": ("phone", lambda r: f"({r(3)}) {r(3)}-{r(4)}"), "zeros": ("phone", lambda r: f"0044 {r(2)} {r(4)} {r(4)}"),
+    "slashes": ("phone", lambda r: f"+1/{r(3)}/{r(7)}"), "card": ("card", lambda r: "./"[int(r(1)) % 2].join(re.findall("....", _card(random.Random(r(9)))))),
+    "spaced": ("email", lambda r: f"ann.{r(1)} @ site{r(1)}.com"), "host": ("email", lambda r: f"bob_{r(1)}@localhost"), "ip": ("ip", lambda r: f"{r(2)} . {r(1)} . {r(2)} . 7"),
+}
+
+
+def test_field_finds_forms_that_the_patterns_miss():
+    rng = random.Random(11)
+    digit = lambda n: str(rng.randint(1, 9)) + "".join(str(rng.randint(0, 9)) for _ in range(n - 1))
+    word = lambda: "".join(rng.choice("abcdeilmnorst") for _ in range(rng.randint(2, 8)))
+    said = lambda n: " ".join(word() for _ in range(n))
+    plain = lambda: rng.choice([f"{word()}.{digit(2)}@{word()}{digit(1)}.example.com", f"+1 ({digit(3)}) {digit(3)}-{digit(4)}", " ".join(re.findall("....", _card(rng))), f"{rng.randint(1, 255)}.{rng.randint(0, 255)}.{rng.randint(0, 255)}.9"])
+    field = pii.Field().fit([f"{said(9)} {plain()} {said(8)} {digit(rng.randint(1, 6))} {said(4)}" for _ in range(240)])
+    for name, (kind, form) in FORMS.items():
+        found = 0
+        for _ in range(50):
+            before, span = said(7) + " ", form(digit)
+            assert pii.base_spans(before + span) == [], span
+            found += (kind, len(before), len(before) + len(span)) in pii.spans_of(f"{before}{span} {said(6)}", field)[1]
+        assert found >= 40, (name, found)
+    clean = [f"{said(6)} {pii.harmless(rng)} {said(6)}" for _ in range(400)]
+    wrong = [t for t in clean if len(pii.spans_of(t, field)[1]) > len(pii.base_spans(t))]
+    assert len(wrong) <= 8, wrong
+
+
+def test_rewritten_copies_say_where_their_spans_are():
+    rng = random.Random(2)
+    text = "mail ann.5@site.com or +44 20 1234 5678, pay 4111 1111 1111 1111 from 10.0.0.1 now"
+    assert len(pii.base_spans(text)) == 4
+    for _ in range(50):
+        copy, gold = pii.perturbed(text, rng)
+        ordered = sorted(gold, key=lambda s: s[1])
+        assert all(a[2] <= b[1] for a, b in zip(ordered, ordered[1:]))
+        assert all(0 <= a < b <= len(copy) and pii.TRIGGER.search(copy[a:b]) for _, a, b in gold)
+    assert pii.perturbed("nothing here", rng) == ("nothing here", []) and pii.perturbed("", rng) == ("", [])
