@@ -121,14 +121,16 @@ def features(text: str, start: int, end: int) -> list[float]:
     at = s.count("@")
     groups = [len(g) for g in re.findall(r"[0-9]+", s)] if n else []
     plain = n > 0 and not letters and at == 0
+    # an address says nothing by its number of digits
+    quad = plain and len(groups) == 4 and bool(SPACED.fullmatch(s)) and valid_ip(re.sub(r"\s", "", s))
     # nothing beside it that could belong to it
     whole = not (before.isalnum() or (before != "" and before in "._%+-/@")) and not (after.isalnum() or (after != "" and after in "-/@") or (after == "." and text[end + 1:end + 2].isalnum()))
     return [float(x) for x in (
-        1, at > 0, at == 1 and 0 < s.index("@") < len(s) - 3 and "." in s[s.index("@") + 2:-1], s[:1] == "+", 1 <= n <= 6, 7 <= n <= 8, 9 <= n <= 12, 13 <= n <= 19, n > 19,
+        1, at > 0, at == 1 and 0 < s.index("@") < len(s) - 3 and "." in s[s.index("@") + 2:-1], s[:1] == "+", 1 <= n <= 6 and not quad, 7 <= n <= 8 and not quad, 9 <= n <= 12 and not quad, 13 <= n <= 19, n > 19,
         13 <= n <= 19 and luhn(d), four, four and valid_ip(s), letters, any(c.isspace() for c in s), "(" in s, letters and n > 0 and at == 0,
         before.isalpha(), before.isdigit(), after.isalpha(), after.isdigit(), before in (".", "@", "-", "+") and before != "", not (s[:1].isalnum() or s[:1] in "+(") or not s[-1:].isalnum(), len(s) < 2,
         plain and groups[-3:] == [3, 3, 4], plain and s[:2] == "00" and len(groups) > 2, plain and len(groups) >= 4 and set(groups[:-1]) == {4} and groups[-1] <= 4,
-        plain and len(groups) == 4 and bool(SPACED.fullmatch(s)) and valid_ip(re.sub(r"\s", "", s)), at == 1 and bool(AT_WORDS.fullmatch(s)), plain and len(groups) == 1, "," in s, ":" in s or ";" in s,
+        quad, at == 1 and bool(AT_WORDS.fullmatch(s)), plain and len(groups) == 1, "," in s, ":" in s or ";" in s,
         plain and bool(YEAR.search(s)), at == 1 and whole and bool(SPACED_ADDRESS.fullmatch(s)), at == 1 and whole and bool(HOST_ADDRESS.fullmatch(s)), plain and whole and s[:1] == "+" and "/" in s and 9 <= n <= 15,
         plain and whole and bool(MARKED_PHONE.fullmatch(s)), plain and whole and bool(ZEROS_PHONE.fullmatch(s)), plain and whole and bool(BRACKET_PHONE.fullmatch(s)))]
 

@@ -175,8 +175,9 @@ def test_field_finds_forms_that_the_patterns_miss():
     for name, (kind, form) in FORMS.items():
         found = 0
         for _ in range(50):
-            before, span = said(7) + " ", form(digit)
-            assert pii.base_spans(before + span) == [], span
+            before = said(7) + " "
+            while pii.base_spans(before + (span := form(digit))):
+                pass  # digits that pass as a card by chance
             found += (kind, len(before), len(before) + len(span)) in pii.spans_of(f"{before}{span} {said(6)}", field)[1]
         assert found >= 40, (name, found)
     clean = [f"{said(6)} {pii.harmless(rng)} {said(6)}" for _ in range(400)]
