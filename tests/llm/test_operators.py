@@ -261,6 +261,18 @@ def test_chat_query_keeps_its_budget_and_matches_sql(spark, tmp_path, seed):
         assert sum(tokens) <= max(chat.BUDGET, fixed)
 
 
+def test_chat_query_repeats_its_whole_history(spark, tmp_path):
+    # the span of 404 tokens repeats the 112 before it; a budget of 512 would leave them out
+    rows = [(1, t, "user" if t % 2 else "assistant", " ".join(["w"] * (n - chat.MARK_TOKENS))) for t, n in enumerate([80, 112, 404])]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    block = lambda r: len(f"{chat.START}{r[2]}\n{r[3]}{chat.END}\n")
+    got = {r.conv_id: r.formatted_chars for r in chat.query(spark, str(tmp_path)).collect()}
+    assert got[1] == sum(map(block, rows)) + block(rows[1])
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    assert dict(con.execute(f"SELECT conv_id, formatted_chars FROM ({chat.SQL})").fetchall()) == got
+
+
 # Quality, mixing, URLs ---------------------------------------------------------------------------------
 
 
