@@ -4,8 +4,8 @@
 2. A randomised SVD of TF-IDF passages: tasks multiply their passages with a
    random matrix and back (one power step), the sums give an orthonormal
    basis, and a second sum its rotation and singular values.  The basis is fitted
-   on a bounded sample of passages (``SAMPLE``, by hash of the document id)
-   and the passages of all benchmark items, whatever their block; every passage of every text is then searched.
+   on every passage of all texts
+   and of all benchmark items, whatever their block; every passage of every text is then searched.
 3. Passages of the lengths near those of the items (``LENGTHS``), each a quarter
    apart, are projected (whitened by the singular values) and compared by cosine
    with all items of that length.
@@ -31,15 +31,16 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyspark.llm.common import row_key, slices, table, without
 
 BUCKETS = 1 << 15
 RANK, OVER = 64, 16
-SAMPLE = 20_000
 PASSAGE = 32
+TOGETHER = 32  # passages multiplied at once
+PART = 1 << 19  # passages a task sums, at least; it sends BUCKETS x (RANK + OVER) numbers however few they are
 LENGTHS = (1, 2, 4, 8, 16, 32, 48, 96, 192, 384)
 BLOCK = 4096
 COSINE = 0.4
@@ -78,36 +79,54 @@ def lcs(masks: dict[bytes, int], m: int, words: list[bytes]) -> int:
     return m - v.bit_count()
 
 
-def passages(ids: np.ndarray) -> list[np.ndarray]:
-    return [ids[i:i + PASSAGE] for i in range(0, max(len(ids) - PASSAGE // 2, min(len(ids), 1)), PASSAGE)]
+def cut_up(docs: DataFrame, text: str = "text") -> DataFrame:
+    """ids: per text with words the buckets of its words as 16-bit numbers, in passages of PASSAGE; the last one is filled up with BUCKETS."""
+    def run(batches):
+        buckets = Buckets()
+        for batch in batches:
+            for _, texts in slices(batch["text"], SLICE):
+                out = []
+                for words in filter(None, map(words_of, texts)):
+                    ids = np.full(-(-len(words) // PASSAGE) * PASSAGE, BUCKETS, np.uint16)
+                    ids[:len(words)] = buckets.of(words)
+                    out.append(ids.tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "ids binary")
+
+
+def passages(batches):
+    """Arrays (passages, PASSAGE) of buckets, of up to TOGETHER passages."""
+    for batch in batches:
+        ids = np.frombuffer(b"".join(batch["ids"].to_pylist()), np.uint16).reshape(-1, PASSAGE)
+        yield from (ids[a:a + TOGETHER] for a in range(0, len(ids), TOGETHER))
+
+
+def counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of some passages and how often each passage has them."""
+    at, place = np.unique(ids, return_inverse=True)
+    place = place.reshape(ids.shape) + np.arange(len(ids))[:, None] * len(at)
+    return at, np.bincount(place.ravel(), minlength=len(ids) * len(at)).reshape(len(ids), -1)
 
 
 def weights(ids: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct words of a passage and their TF-IDF, of length 1."""
-    at, tf = np.unique(ids, return_counts=True)
-    w = tf * idf[at]
-    return at, w / max(np.linalg.norm(w), 1e-9)
+    """Buckets of some passages and the TF-IDF of each passage, of length 1."""
+    at, tf = counts(ids)
+    w = (tf * idf[at]).astype(np.float32)
+    return at, w / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-9)
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
+def frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     def run(batches):
-        buckets, found, n = Buckets(), np.zeros(BUCKETS, np.int64), 0
-        held, size = [], 0
-        for text in (t for batch in batches for _, texts in slices(batch["text"], SLICE) for t in texts):
-            ids = buckets.of(words_of(text))
-            if len(ids):
-                held.append(np.unique(np.arange(len(ids)) // PASSAGE * BUCKETS + ids) % BUCKETS)
-                size += len(held[-1])
-                n += -(-len(ids) // PASSAGE)
-            if size > 1 << 20:  # counted together: one pass over the buckets for many texts
-                found += np.bincount(np.concatenate(held), minlength=BUCKETS)
-                held, size = [], 0
-        if held:
-            found += np.bincount(np.concatenate(held), minlength=BUCKETS)
-        at = np.flatnonzero(found)
+        found, n = np.zeros(BUCKETS + 1, np.int64), 0
+        for ids in passages(batches):
+            at, tf = counts(ids)
+            found[at] += np.count_nonzero(tf, axis=0)
+            n += len(ids)
+        at = np.flatnonzero(found[:BUCKETS])
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(found[at], n))], ["bucket", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # at most BUCKETS + 1 rows
+    rows = rows.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()  # at most BUCKETS + 1 rows
     df = np.zeros(BUCKETS, np.int64)
     total = 0
     for r in rows:
@@ -118,14 +137,19 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return df, total
 
 
+def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many passages each bucket occurs, and the number of passages."""
+    return frequencies(cut_up(docs))
+
+
 def summed(rows: DataFrame, product, shape: tuple[int, int]) -> np.ndarray:
-    """Sum over tasks of ``product(passages)``, added up in slices of rows."""
-    step = 1024
+    """Sum over tasks of the matrices that ``product(total, passages)`` adds to, added up in slices of rows."""
+    step = 256
 
     def run(batches):
         total = np.zeros(shape, np.float64)
-        for batch in batches:
-            total += product([np.frombuffer(v, np.int64) for v in batch["ids"].to_pylist()])
+        for ids in passages(batches):
+            product(total, ids)
         for lo in range(0, shape[0], step):
             yield pa.RecordBatch.from_arrays([pa.array([lo], pa.int64()), pa.array([total[lo:lo + step].tobytes()], pa.binary())], ["lo", "part"])
 
@@ -140,47 +164,29 @@ def summed(rows: DataFrame, product, shape: tuple[int, int]) -> np.ndarray:
     return out
 
 
-def latent_basis(docs: DataFrame, items: DataFrame, idf: np.ndarray, n_docs: int, sample: int = SAMPLE) -> np.ndarray:
-    """Words to latent coordinates: right singular vectors over singular values, rows scaled by IDF."""
-    share = min(1.0, 2 * sample / max(n_docs, 1) / 8)  # about 16 passages a text
-    picked = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) <= int(share * (1 << 20)))
-
-    def cut_up(batches):
-        buckets = Buckets()
-        for batch in batches:
-            for _, texts in slices(batch["text"], SLICE):
-                out = [p.tobytes() for t in texts for p in passages(buckets.of(words_of(t)))]
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
-
-    rows = picked.select("text").mapInArrow(cut_up, "ids binary").orderBy(F.xxhash64("ids"), "ids").limit(sample)
-    own = items.select("text").mapInArrow(cut_up, "ids binary")
-    parts = 8 + items.count() * 8 // sample  # a part has about sample / 8 passages however many items there are
-    rows = rows.unionAll(own).where(F.octet_length("ids") > 0).repartition(parts, F.xxhash64("ids")).persist()
-    try:
-        width = RANK + OVER
-        omega = np.random.default_rng(11).normal(size=(BUCKETS, width))
+def latent_basis(rows: DataFrame, idf: np.ndarray, total: int) -> np.ndarray:
+    """Words to latent coordinates: right singular vectors over singular values, rows scaled by IDF.  ``rows`` are those of ``cut_up``, of about ``total`` passages."""
+    rows = rows.coalesce(8 + total // PART)
+    width = RANK + OVER
+    idf = np.append(idf, 0)  # words that fill a passage up weigh nothing
+    omega = np.random.default_rng(11).normal(size=(BUCKETS + 1, width)).astype(np.float32)
 
-        def there_and_back(matrix):
-            def product(ps):
-                out = np.zeros((BUCKETS, width))
-                for p in ps:
-                    at, w = weights(p, idf)
-                    out[at] += w[:, None] * (w @ matrix[at])
-                return out
-            return product
+    def there_and_back(out, ids):
+        at, w = weights(ids, idf)
+        out[at] += w.T @ (w @ omega[at])
 
-        basis, _ = np.linalg.qr(summed(rows, there_and_back(omega), (BUCKETS, width)))
+    basis, _ = np.linalg.qr(summed(rows, there_and_back, (BUCKETS + 1, width))[:BUCKETS])
+    flat = np.vstack([basis, np.zeros(width)]).astype(np.float32)
 
-        def gram(ps):
-            b = np.array([w @ basis[at] for at, w in (weights(p, idf) for p in ps)]).reshape(-1, width)
-            return b.T @ b
+    def gram(out, ids):
+        at, w = weights(ids, idf)
+        b = w @ flat[at]
+        out += b.T @ b
 
-        value, vector = np.linalg.eigh(summed(rows, gram, (width, width)))
-    finally:
-        rows.unpersist()
+    value, vector = np.linalg.eigh(summed(rows, gram, (width, width)))
     top = np.argsort(-value)[:RANK]
     scale = np.where(value[top] > 1e-9, 1 / np.sqrt(np.maximum(value[top], 1e-9)), 0)
-    return (idf[:, None] * (basis @ vector[:, top] * scale)).astype(np.float32)
+    return (idf[:BUCKETS, None] * (basis @ vector[:, top] * scale)).astype(np.float32)
 
 
 class Search:
@@ -289,10 +295,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
     asked = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).where("id IS NOT NULL")
     queue = asked.orderBy("id", "text")
-    df, total = document_frequencies(docs)
-    idf = np.log((total + 1) / (df + 1)) + 0.1
+    ids = cut_up(docs).persist(StorageLevel.DISK_ONLY)  # two bytes a word, read by the frequencies and the sums of the basis
+    try:
+        df, total = frequencies(ids)
+        idf = np.log((total + 1) / (df + 1)) + 0.1
+        basis = latent_basis(ids.unionAll(cut_up(asked)), idf, total) if asked.where("text <> ''").limit(1).count() else None  # of the items of all blocks
+    finally:
+        ids.unpersist()
     schema = "doc_id long, item_id long, lcs long, item_words long, cosine double"
-    out, basis, after = None, None, None
+    out, after = None, None
     while True:
         # the next block of whole ids
         rows = queue.where(F.col("id") > after if after is not None else F.lit(True)).limit(block).collect()
@@ -302,8 +313,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
         items = [(r.id, w) for r in queue.where(F.col("id").between(rows[0].id, after)).collect() if (w := words_of(r.text))]
         if not items:
             continue
-        if basis is None:
-            basis = latent_basis(docs, asked, idf, total // 8 + 1)  # of the items of all blocks
         search = Search(items, basis, idf)
         shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(search))  # BUCKETS x RANK numbers and one block of items; its class travels along
 

@@ -512,6 +512,26 @@ def test_decontamination_blocks_share_one_basis(spark):
     assert all(blocks[p] == (whole[p][0], pytest.approx(whole[p][1], abs=1e-3)) for p in whole)
 
 
+def test_decontamination_basis_is_fitted_on_every_passage(spark):
+    """More passages than a sample of 20,000 would hold: whitened coordinates of all of them have the identity as their second moment."""
+    rng = random.Random(4)
+    vocabulary = [[f"w{d}x{k}" for k in range(30)] for d in range(90)]  # each topic in a few texts
+    texts = [" ".join(rng.choices(vocabulary[d % 90], k=100 * decontaminate.PASSAGE)) for d in range(230)]
+    df = spark.createDataFrame([(d, t) for d, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    rows = decontaminate.cut_up(df)
+    seen, total = decontaminate.frequencies(rows)
+    assert total == 23_000 and seen.sum() == sum(len(set(w[i:i + decontaminate.PASSAGE])) for t in texts for w in [t.split()] for i in range(0, len(w), decontaminate.PASSAGE))
+    idf = np.log((total + 1) / (seen + 1)) + 0.1
+    basis = decontaminate.latent_basis(rows, idf, total)
+    buckets, moment = decontaminate.Buckets(), np.zeros((decontaminate.RANK, decontaminate.RANK))
+    for t in texts:
+        ids = buckets.of([w.encode() for w in t.split()]).reshape(-1, decontaminate.PASSAGE)
+        at, w = decontaminate.weights(ids, idf)
+        b = (w / idf[at]) @ basis[at]
+        moment += b.T @ b
+    assert np.abs(moment - np.eye(decontaminate.RANK)).max() < 1e-3
+
+
 def test_decontamination_bound_drops_no_match(spark, monkeypatch):
     rng = random.Random(3)
     words = [f"w{k}".encode() for k in range(300)]
