@@ -53,6 +53,14 @@ def _p(spark: SparkSession, sf_dir: str) -> Pipeline:
     return Pipeline.from_tables(spark, sf_dir)
 
 
+def _once(spark: SparkSession, sf_dir: str, purpose: str, *layers: str) -> Pipeline:
+    """A pipeline whose staged dimensions, ``layers`` and flagged orders are written once, as a refresh does, and read by every layer that follows."""
+    p, root = _p(spark, sf_dir), scratch_path(spark, purpose)
+    for name in ("stg_customers", "stg_products", *layers, "flagged_orders"):
+        p = p.override(**{name: S.written(getattr(p, name), f"{root}/{name}")})
+    return p.override(stg_orders_unflagged=p.flagged_orders.select(*cleaning.ORDER_STAGE_COLUMNS))
+
+
 def _dbl(cols: list[str], money: set[str]) -> str:
     return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in money else c for c in cols)
 
@@ -529,7 +537,7 @@ _LAYER_SQL = "\nUNION ALL\n".join(f"SELECT {O.q(name)} AS table_name, count(*) A
 @register("layer_counts", O.with_ctes(_LAYER_SQL, "raw_customers", "raw_products", "raw_orders", "stg_orders",
                                       "orders_quarantine", "dim_date", "mart_daily", "mart_month", "mart_clv", "mart_prod"))
 def q_layer_counts(spark, sf_dir):
-    return quality.layer_counts(_p(spark, sf_dir).tables())
+    return quality.layer_counts(_once(spark, sf_dir, "layer-counts").tables())
 
 
 @register("ref_integrity", O.with_ctes(f"""

@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 
 from tallyspark.sources.raw import RAW_COLUMNS, business_columns, scan_csv, to_raw
 
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to a fresh shared folder and read back: what reads it several times computes it once."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, order: str | None = "_ord") -> None:
     """Write text columns as CSV with a header, keeping whitespace as is.
 
