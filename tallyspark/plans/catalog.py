@@ -553,7 +553,7 @@ UNION ALL SELECT 'dim_product_key_duplicates', {O.dup_count_sql('sku', 'dim_prod
 UNION ALL SELECT 'dim_date_key_duplicates', {O.dup_count_sql('date_id', 'dim_date')} FROM dim_date""",
                                        "fact", "dim_customer", "dim_product", "dim_date"))
 def q_ref_integrity(spark, sf_dir):
-    p = _p(spark, sf_dir)
+    p = _once(spark, sf_dir, "ref-integrity")
     return quality.ref_integrity(p.fact_sales, p.dim_customer, p.dim_product, p.dim_date)
 
 
