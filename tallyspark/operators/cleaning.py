@@ -99,7 +99,11 @@ def typed_orders(raw: DataFrame) -> DataFrame:
 
 
 def stage_orders(raw: DataFrame, watch: Watch = unwatched) -> DataFrame:
-    t = watch(typed_orders(raw))
+    return stage_typed(watch(typed_orders(raw)))
+
+
+def stage_typed(t: DataFrame) -> DataFrame:
+    """Typed orders without the rows that have no date or no price."""
     return (t.filter(F.col("order_date").isNotNull())
              .filter(F.col("unit_price").isNotNull())
              .select(

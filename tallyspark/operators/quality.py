@@ -71,10 +71,11 @@ def dq_products(raw_products: DataFrame) -> DataFrame:
     return _with_raw_counts(after, raw_products, "sku", "duplicate_sku")
 
 
-def dq_orders(raw_orders: DataFrame) -> DataFrame:
+def dq_orders(raw_orders: DataFrame, typed: DataFrame | None = None) -> DataFrame:
     """Counters in the loader's sequence: duplicates, then invalid dates, then
-    negative quantities among dated rows, then missing prices among dated rows."""
-    after = typed_orders(raw_orders).agg(*order_counters())
+    negative quantities among dated rows, then missing prices among dated rows.
+    ``typed`` are the typed orders of ``raw_orders`` where they are written already."""
+    after = (typed_orders(raw_orders) if typed is None else typed).agg(*order_counters())
     return _with_raw_counts(after, raw_orders, "order_id", "duplicate_order_id")
 
 
@@ -93,10 +94,10 @@ def dq_semantic(stg_orders: DataFrame, fact: DataFrame) -> DataFrame:
     return _flag_counts(stg_orders, "stg_orders").unionByName(_flag_counts(fact, "fact_sales"))
 
 
-def dq_waterfall(raw_orders: DataFrame, stg_orders: DataFrame, fact: DataFrame) -> DataFrame:
+def dq_waterfall(raw_orders: DataFrame, stg_orders: DataFrame, fact: DataFrame, typed: DataFrame | None = None) -> DataFrame:
     """raw − duplicates − bad dates − no price = staging − returns = fact,
     then the flag shares of the fact, as one long table."""
-    d = dq_orders(raw_orders).select("raw_rows", "duplicate_order_id", "invalid_order_date", "null_unit_price")
+    d = dq_orders(raw_orders, typed).select("raw_rows", "duplicate_order_id", "invalid_order_date", "null_unit_price")
     s = stg_orders.agg(F.struct(F.count(F.lit(1)).alias("stg_rows"), F.count_if("is_return").alias("returns"),
                                 F.count_if("is_pre_signup").alias("quarantined"))).scalar()
     f = fact.agg(F.struct(F.count(F.lit(1)).alias("fact_rows"), F.count_if("is_pre_signup").alias("f_pre"),

@@ -522,8 +522,8 @@ SELECT * FROM (
 
 @register("dq_waterfall", O.with_ctes(_waterfall_sql(), "raw_orders", "ord_typed", "stg_orders", "fact"))
 def q_dq_waterfall(spark, sf_dir):
-    p = _p(spark, sf_dir)
-    return quality.dq_waterfall(p.raw_orders, p.stg_orders, p.fact_sales)
+    p = _once(spark, sf_dir, "dq-waterfall", "typed_orders")
+    return quality.dq_waterfall(p.raw_orders, p.stg_orders, p.fact_sales, p.typed_orders)
 
 
 _LAYER_SQL = "\nUNION ALL\n".join(f"SELECT {O.q(name)} AS table_name, count(*) AS rows FROM {cte}" for name, cte in [

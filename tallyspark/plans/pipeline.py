@@ -68,9 +68,13 @@ class Pipeline:
     def stg_products(self) -> DataFrame:
         return cleaning.stage_products(self.raw_products)
 
+    @cached_property
+    def typed_orders(self) -> DataFrame:
+        return cleaning.typed_orders(self.raw_orders)
+
     @cached_property
     def stg_orders_unflagged(self) -> DataFrame:
-        return cleaning.stage_orders(self.raw_orders)
+        return cleaning.stage_typed(self.typed_orders)
 
     # -- validation ---------------------------------------------------------
     @cached_property
