@@ -64,12 +64,14 @@ def incremental_append(existing_raw: DataFrame, incoming_raw: DataFrame) -> Data
     """
     from tallyspark.operators.dedupe import keep_first
     columns = business_columns(incoming_raw)
-    batch_hashes = incoming_raw.select("_row_hash").distinct()
+    batch_hashes = incoming_raw.select("_row_hash")
     seen = existing_raw.select("_row_hash", *columns).join(batch_hashes, "_row_hash", "left_semi")
     seen = seen.select(*[F.col(c).alias(f"_seen_{c}") for c in seen.columns])
-    same = incoming_raw["_row_hash"] == seen["_seen__row_hash"]
+    # the fingerprint alone is the join key, by which ``seen`` lies already; a sum of both sides' columns is no key
+    equal = F.lit(0)
     for c in columns:
-        same = same & incoming_raw[c].eqNullSafe(seen[f"_seen_{c}"])
+        equal = equal + incoming_raw[c].eqNullSafe(seen[f"_seen_{c}"]).cast("int")
+    same = (incoming_raw["_row_hash"] == seen["_seen__row_hash"]) & (equal == len(columns))
     return keep_first(incoming_raw.join(seen, same, "left_anti"), ["_row_hash", *columns])
 
 
