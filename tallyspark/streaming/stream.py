@@ -33,6 +33,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyspark.session import scratch_path
+from tallyspark.sources import commitlog
+from tallyspark.sources.store import written
 from tallyspark.streaming import intake, orderstore
 from tallyspark.streaming.orderstore import BATCH, create_store, delete_stored, read_store
 
@@ -67,16 +70,21 @@ def make_batch_writer(store_path: str, rejected_path: str, checkpoint: str, rule
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
         folder = f"{query_id(spark, checkpoint)}-{epoch_id}"
         g = orderstore.current(spark, store_path)
-        validated = intake.validate(stamped(batch), rules if rules.as_of else replace(rules, as_of=now.date())).persist()
-        known = orderstore.stored(spark, g, validated.where("is_valid").select("order_id"), without=folder)
-        accepted, conflicts = intake.accept(validated, known)
-        new_rows = intake.insert(accepted, None, created_at or now, after=orderstore.high_water(spark, g, without=folder))
-        rejected = (validated.filter(~F.col("is_valid")).unionByName(conflicts)
-                    .select(*[F.col(f"_raw.{c}").alias(c) for c in intake.CANDIDATE_COLUMNS], "errors",
-                            F.lit(epoch_id).cast("bigint").alias("epoch_id")))
-        orderstore.write_batch(spark, g, folder, new_rows,
-                               before_commit=lambda: rejected.write.mode("overwrite").parquet(f"{rejected_path}/{BATCH}={folder}"))
-        validated.unpersist()
+        # written, not cached: each reader takes the columns it needs, and no place among the files is told twice
+        held = scratch_path(spark, "validated")
+        try:
+            validated = written(intake.validate(stamped(batch), rules if rules.as_of else replace(rules, as_of=now.date())), held)
+            known = orderstore.stored(spark, g, validated.where("is_valid").select("order_id"), without=folder)
+            accepted, conflicts = intake.accept(validated, known)
+            new_rows = intake.insert(accepted, None, created_at or now, after=orderstore.high_water(spark, g, without=folder))
+            rejected = (validated.filter(~F.col("is_valid")).unionByName(conflicts)
+                        .select(*[F.col(f"_raw.{c}").alias(c) for c in intake.CANDIDATE_COLUMNS], "errors",
+                                F.lit(epoch_id).cast("bigint").alias("epoch_id")))
+            orderstore.write_batch(spark, g, folder, new_rows,
+                                   before_commit=lambda: rejected.write.mode("overwrite").parquet(f"{rejected_path}/{BATCH}={folder}"))
+        finally:
+            fs, p = commitlog.hadoop_path(spark, held)
+            fs.delete(p, True)
         if compact_after and len(orderstore.batches(spark, g)) > compact_after:
             orderstore.compact(spark, store_path)
     return process
