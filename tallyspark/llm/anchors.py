@@ -18,6 +18,9 @@ arrays of hashes between parts and buckets, one row per (part, bucket).  Each
 part sends a key once, however often it holds it, so a hot anchor costs one
 entry per part.  Keys are spread by hash; the size of a part and of a bucket
 depends on the bytes of all texts, not on groups.
+
+A part's documents are read in chunks of ``TOGETHER`` bytes, or of one longer
+document, laid end to end; windows never cross a border.
 """
 
 from __future__ import annotations
@@ -27,12 +30,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallyspark.llm.common import text_bytes
+from tallyspark.llm.common import slices, text_bytes
 
 LAST = np.iinfo(np.int64).max  # order of a NULL document id: after all others
 BASE = 0x9E3779B97F4A7C15 | 1
 WIRE = "part int, bucket int, kind int, x binary, y binary, z binary, w binary"
 HOT_FRAGMENTS = 4096  # an anchor with more fragments is compared by window hash instead of being gathered
+TOGETHER = 1 << 16  # bytes of documents that are hashed at once, or one longer document
 KEEP, EXTEND, SPREAD = 0, 1, 2
 
 
@@ -85,48 +89,71 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:-rest], x[rest:]) if rest else x
 
 
-class Words:
-    """Word tokens: 64-bit hashes of the words of a UTF-8 text."""
+LETTERS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))  # a 64-bit number for each byte
+IN_WORD = np.ones(256, bool)
+IN_WORD[[9, 10, 11, 12, 13, 32]] = False  # where bytes.split() parts: TAB, LF, VT, FF, CR and space
+LONG_WORD = 64  # bytes; longer words are hashed one by one, as sums modulo 2**64 are weak over long stretches
 
-    def __init__(self):
-        class Cache(dict):
-            def __missing__(self, word):
-                value = self[word] = xxhash.xxh3_64_intdigest(word)
-                return value
+WORDS_TOGETHER = 1 << 14
 
-        self.cache = Cache()
 
-    def __call__(self, body: bytes) -> np.ndarray:
-        words = body.split()  # bytes.split() parts at space, TAB, LF, VT, FF and CR
-        return np.fromiter(map(self.cache.__getitem__, words), np.uint64, len(words))
+class Words:
+    """Word tokens: 64-bit hashes of the words of a UTF-8 text, from sums over its bytes."""
+
+    def __init__(self):
+        self.powers = Powers()
+
+    def __call__(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all bodies, end to end, and how many each has."""
+        blob = b" ".join([*bodies, b""])
+        letters = np.frombuffer(blob, np.uint8)
+        turn = np.flatnonzero(np.diff(np.concatenate(([False], IN_WORD[letters])).view(np.int8)))  # the blob ends with a space
+        starts, ends = turn[::2], turn[1::2]
+        tokens = np.empty(len(starts), np.uint64)
+        for w in range(0, len(starts), WORDS_TOGETHER):  # eight bytes a letter are held for these only
+            a, z = starts[w:w + WORDS_TOGETHER], ends[w:w + WORDS_TOGETHER]
+            tokens[w:w + WORDS_TOGETHER] = Sums(LETTERS[letters[a[0]:z[-1]]], self.powers).of(a - a[0], z - a[0])
+        tokens = mixed(tokens + np.uint64(BASE))
+        for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+            tokens[i] = xxhash.xxh3_64_intdigest(blob[starts[i]:ends[i]])
+        borders = np.cumsum(np.fromiter((len(body) + 1 for body in bodies), np.int64, len(bodies)))
+        return tokens, np.diff(np.searchsorted(starts, borders), prepend=0)
 
 
 class Bytes:
-    def __init__(self):
-        self.table = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+    def __call__(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return LETTERS[np.frombuffer(b"".join(bodies), np.uint8)], np.fromiter(map(len, bodies), np.int64, len(bodies))
 
-    def __call__(self, body: bytes) -> np.ndarray:
-        return self.table[np.frombuffer(body, np.uint8)]
+
+def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The numbers from each start up to its end (exclusive), laid end to end."""
+    size = ends - starts
+    done = np.cumsum(size)
+    return np.repeat(starts - (done - size), size) + np.arange(int(done[-1]) if len(done) else 0)
 
 
 class Blocks:
-    """The blocks of one document: windows [first, stop) share the anchor at ``at``."""
+    """The blocks of documents laid end to end: windows [first, stop) of document ``owner`` share the anchor at ``at``."""
 
-    def __init__(self, tokens: np.ndarray, window: int, gram: int, powers: Powers):
-        self.n, self.window = len(tokens), window
+    def __init__(self, tokens: np.ndarray, sizes: np.ndarray, window: int, gram: int, powers: Powers):
+        self.n, self.window, self.sizes = len(tokens), window, sizes
+        self.edges = np.concatenate(([0], np.cumsum(sizes)))
         m = len(tokens) - window + 1
         self.m = max(m, 0)
         if m <= 0:
-            self.first = self.stop = self.at = np.zeros(0, np.int64)
+            self.first = self.stop = self.at = self.owner = np.zeros(0, np.int64)
             self.anchor = self.fragment = np.zeros(0, np.uint64)
             return
         self.sums = Sums(tokens, powers)
         grams = mixed(self.sums.grams(gram))
         order = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=np.uint64)
         at = (sliding_min(order, window - gram + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        cuts = np.flatnonzero(at[1:] != at[:-1]) + 1
-        self.first = np.concatenate(([0], cuts))
-        self.stop = np.concatenate((cuts, [m]))
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        inner = owner[:m] == owner[window - 1:]  # windows within one document
+        cut = at[1:] != at[:-1]
+        self.first = np.flatnonzero(inner & np.concatenate(([True], cut | ~inner[:-1])))
+        self.stop = np.flatnonzero(inner & np.concatenate((cut | ~inner[1:], [True]))) + 1
+        self.owner = owner[self.first]
         self.at = at[self.first]
         self.anchor = grams[self.at]
         # the anchor's own high half was picked as a minimum, so it is mixed again before it serves as a key
@@ -135,24 +162,25 @@ class Blocks:
         shift = (self.at - self.first).astype(np.uint64)
         self.fragment = mixed(self.sums.of(self.first, self.stop + window - 1) ^ mixed(width * np.uint64(BASE) + shift))
 
-    def windows(self, i: int) -> np.ndarray:
-        """Hashes of the windows of block i."""
-        at = np.arange(self.first[i], self.stop[i])
-        return mixed(self.sums.of(at, at + self.window) + np.uint64(1))
+    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the windows of some blocks, block by block."""
+        at = ranges(self.first[which], self.stop[which])
+        return at, mixed(self.sums.of(at, at + self.window) + np.uint64(1)) if len(at) else np.zeros(0, np.uint64)
 
 
-def runs(flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends (exclusive) of the stretches of True."""
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], flag.astype(np.int8), [0]))))
-    return edge[::2], edge[1::2]
+def runs(flag: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends (exclusive) of the stretches of True, cut at ``edges``."""
+    cut = np.zeros(len(flag) + 1, bool)
+    cut[edges] = True
+    return np.flatnonzero(flag & (cut[:-1] | np.concatenate(([True], ~flag[:-1])))), np.flatnonzero(flag & (cut[1:] | np.concatenate((~flag[1:], [True])))) + 1
 
 
 def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     """Mask of n tokens under windows of ``width`` that begin where ``starts`` (a mask) is set."""
-    step = np.zeros(n + 1, np.int64)
-    at = np.flatnonzero(starts)
+    step = np.zeros(n + 1, np.int32)
+    at = np.flatnonzero(starts)  # each once, so plain indexing adds
     step[at] += 1
-    np.subtract.at(step, at + width, 1)
+    step[at + width] -= 1
     return np.cumsum(step[:n]) > 0
 
 
@@ -215,16 +243,29 @@ class Repeats:
     # Documents of a part -----------------------------------------------------------------------
 
     def documents(self, table: pa.Table):
+        """(ids, order of each id, bodies, blocks) of up to TOGETHER bytes of documents, or of one longer document."""
         powers, tokens = Powers(), self.tokens()
-        for d, body in zip(table["doc_id"].to_pylist(), table["body"].to_pylist(), strict=True):
-            yield (LAST if d is None else d), d, body, Blocks(tokens(body), self.window, self.gram, powers)
+        for batch in table.select(["doc_id", "body"]).to_batches():
+            for a, bodies in slices(batch["body"], TOGETHER):
+                ids = batch["doc_id"].slice(a, len(bodies))
+                yield ids, pa.compute.fill_null(ids, LAST).to_numpy(), bodies, Blocks(*tokens(bodies), self.window, self.gram, powers)
 
     def anchors_out(self, table: pa.Table) -> pa.Table:
         """Round 1: each anchor of the part, twice when two of its documents have it."""
         part = table["part"][0].as_py()
-        keys = [np.unique(b.anchor) for *_, b in self.documents(table)]
-        keys, n = np.unique(np.concatenate(keys), return_counts=True)
-        keys = np.repeat(keys, np.minimum(n, 2))
+        keys, owners, done = [], [], 0
+        for ids, _, _, b in self.documents(table):
+            keys.append(b.anchor)
+            owners.append(b.owner + done)
+            done += len(ids)
+        keys, owners = np.concatenate(keys), np.concatenate(owners)
+        if not len(keys):
+            return as_table([])
+        order = np.argsort(keys)
+        keys, owners = keys[order], owners[order]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        two = np.minimum.reduceat(owners, first) != np.maximum.reduceat(owners, first)
+        keys = np.repeat(keys[first], 1 + two)
         return as_table(dealt(part, 1, self.buckets, keys, (keys >> np.uint64(32)).astype(np.uint32)))
 
     def anchors_in(self, table: pa.Table) -> pa.Table:
@@ -250,12 +291,12 @@ class Repeats:
             known[bucket] = np.frombuffer(x, np.uint32).astype(np.uint64)
         table_of = np.sort(np.concatenate([(v << np.uint64(32)) | np.uint64(b) for b, v in known.items()]))
         anchors, frags, docs = [], [], []
-        for order, _, _, b in self.documents(table):
+        for _, order, _, b in self.documents(table):
             key = (b.anchor & np.uint64(0xFFFFFFFF00000000)) | ((b.anchor & np.uint64(0xFFFFFFFF)) % np.uint64(self.buckets))
             hit = inside(key, table_of) >= 0
             anchors.append(b.anchor[hit])
             frags.append(b.fragment[hit])
-            docs.append(np.full(int(hit.sum()), order, np.int64))
+            docs.append(order[b.owner[hit]])
         anchors, frags, docs = np.concatenate(anchors), np.concatenate(frags), np.concatenate(docs)
         order = np.lexsort((docs, frags))
         anchors, frags, docs = anchors[order], frags[order], docs[order]
@@ -305,17 +346,19 @@ class Repeats:
             return as_table([])
         frags, low, act = self.known_fragments(replies)
         keys, docs, whole = [], [], {}
-        for order, _, body, b in self.documents(table):
+        for _, order, bodies, b in self.documents(table):
             at = inside(b.fragment, frags)
-            for i in np.flatnonzero((at >= 0) & (low[at] == order) & (act[at] != KEEP)):
-                if act[at[i]] == SPREAD:
-                    keys.append(b.windows(i))
-                    docs.append(np.full(len(keys[-1]), order, np.int64))
-                else:
-                    whole[int(b.fragment[i])] = (int(b.anchor[i]), order, self.cut_out(body, b, i))
+            mine = np.flatnonzero(at >= 0)
+            mine = mine[low[at[mine]] == order[b.owner[mine]]]
+            spread = mine[act[at[mine]] == SPREAD]
+            keys.append(b.windows(spread)[1])
+            docs.append(np.repeat(order[b.owner[spread]], b.stop[spread] - b.first[spread]))
+            gather = mine[act[at[mine]] == EXTEND]
+            if len(gather):
+                whole |= zip(b.fragment[gather].tolist(), zip(b.anchor[gather].tolist(), order[b.owner[gather]].tolist(), self.cut_out(bodies, b, gather), strict=True), strict=True)
         out = []
-        if keys:
-            keys, docs = np.concatenate(keys), np.concatenate(docs)
+        keys, docs = np.concatenate(keys), np.concatenate(docs)
+        if len(keys):
             order = np.lexsort((docs, keys))
             keys, docs = keys[order], docs[order]
             first = np.concatenate(([True], keys[1:] != keys[:-1]))
@@ -326,9 +369,10 @@ class Repeats:
             anchor, doc = (np.array([v[j] for v in whole.values()], k) for j, k in ((0, np.uint64), (1, np.int64)))
             texts = [v[2] for v in whole.values()]
             to = (anchor & np.uint64(0xFFFFFFFF)) % np.uint64(self.buckets)
+            size = np.fromiter(map(len, texts), np.int64, len(texts))
             for bucket in np.unique(to):
                 at = np.flatnonzero(to == bucket)
-                out.append(row(part, int(bucket), 4, frag[at], doc[at], np.array([len(texts[i]) for i in at], np.int64), b"".join(texts[i] for i in at)))
+                out.append(row(part, int(bucket), 4, frag[at], doc[at], size[at], b"".join(texts[i] for i in at.tolist())))
         return as_table(out)
 
     def extend_in(self, table: pa.Table) -> pa.Table:
@@ -353,7 +397,7 @@ class Repeats:
             out += self.matched(bucket, gather)
         return as_table(out)
 
-    def cut_out(self, body: bytes, b: Blocks, i: int) -> bytes:
+    def cut_out(self, bodies: list[bytes], b: Blocks, which: np.ndarray) -> list[bytes]:
         raise NotImplementedError
 
     def matched(self, bucket: int, table: pa.Table) -> list[tuple]:
@@ -361,19 +405,24 @@ class Repeats:
 
     # Result -------------------------------------------------------------------------------------
 
-    def repeated_windows(self, order: int, b: Blocks, frags, low, act, keys, key_low, marks) -> np.ndarray:
+    def repeated_windows(self, order: np.ndarray, b: Blocks, frags, low, act, keys, key_low, marked, mark_at, marks) -> np.ndarray:
         """Mask of the windows that a smaller document has too."""
         mark = np.zeros(b.m, bool)
         at = inside(b.fragment, frags)
-        for i in np.flatnonzero(at >= 0):
-            s = slice(b.first[i], b.stop[i])
-            if low[at[i]] < order:
-                mark[s] = True
-            elif act[at[i]] == SPREAD:
-                w = inside(b.windows(i), keys)
-                mark[s] = (w >= 0) & (key_low[w] < order)
-            elif act[at[i]] == EXTEND and (got := marks.get(int(b.fragment[i]))) is not None:
-                mark[s] = got
+        held = np.flatnonzero(at >= 0)
+        at, order = at[held], order[b.owner]
+        earlier = low[at] < order[held]
+        whole = held[earlier]
+        mark[ranges(b.first[whole], b.stop[whole])] = True
+        spread = held[~earlier & (act[at] == SPREAD)]
+        place, key = b.windows(spread)
+        w = inside(key, keys)
+        known = w >= 0
+        mark[place[known]] = key_low[w[known]] < np.repeat(order[spread], b.stop[spread] - b.first[spread])[known]
+        gather = held[~earlier & (act[at] == EXTEND)]
+        got = inside(b.fragment[gather], marked)
+        gather, got = gather[got >= 0], got[got >= 0]
+        mark[ranges(b.first[gather], b.stop[gather])] = marks[ranges(mark_at[got], mark_at[got] + b.stop[gather] - b.first[gather])]
         return mark
 
     def finish(self, table: pa.Table, replies: pa.Table) -> pa.Table:
@@ -381,31 +430,35 @@ class Repeats:
         keys, key_low = held_by_kind(replies, 3, np.uint64, np.int64)
         by = np.argsort(keys)
         keys, key_low = keys[by], key_low[by]
-        marks = {}
-        for x, y, z in ((np.frombuffer(r["x"], np.uint64), np.frombuffer(r["y"], np.int64), np.frombuffer(r["z"], np.uint8)) for r in replies.select(["kind", "x", "y", "z"]).to_pylist() if r["kind"] == 4):
-            at = np.concatenate(([0], np.cumsum(y)))
-            marks |= {int(f): z[at[i]:at[i + 1]].astype(bool) for i, f in enumerate(x)}
-        ids, n, gone, starts, ends, kept = [], [], [], [], [], []
-        for order, doc_id, body, b in self.documents(table):
-            mark = self.repeated_windows(order, b, frags, low, act, keys, key_low, marks)
+        marked, size, marks = held_by_kind(replies, 4, np.uint64, np.int64, np.uint8)
+        by = np.argsort(marked)
+        marked, mark_at, marks = marked[by], (np.cumsum(size) - size)[by], marks.astype(bool)
+        ids, n, gone, starts, ends, spans, kept = [pa.array([], pa.int64())], [], [], [], [], [], []
+        for doc_id, order, bodies, b in self.documents(table):
+            mark = self.repeated_windows(order, b, frags, low, act, keys, key_low, marked, mark_at, marks)
             mark |= self.repeated_here(b)
-            drop = covered(mark, self.window, b.n) if mark.any() else np.zeros(b.n, bool)
-            a, z = runs(drop)
+            drop = covered(mark, self.window, b.n)
+            a, z = runs(drop, b.edges)
+            owner = np.searchsorted(b.edges, a, "right") - 1
             ids.append(doc_id)
-            n.append(b.n)
-            gone.append(int(drop.sum()))
-            starts.append(a.tolist())
-            ends.append(z.tolist())
-            kept.append(self.keep(body, drop))
+            n.append(b.sizes)
+            gone.append(np.diff(np.concatenate(([0], np.cumsum(drop)))[b.edges]))
+            starts.append(a - b.edges[owner])
+            ends.append(z - b.edges[owner])
+            spans.append(np.bincount(owner, minlength=len(bodies)))
+            kept += [self.keep(body, drop[lo:hi] if some else None) for body, lo, hi, some in zip(bodies, b.edges[:-1].tolist(), b.edges[1:].tolist(), spans[-1].tolist(), strict=True)]
+        n, gone, starts, ends, spans = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (n, gone, starts, ends, spans))
+        offsets = pa.array(np.concatenate(([0], np.cumsum(spans))), pa.int32())
         return pa.table({
-            "doc_id": pa.array(ids, pa.int64()), "n_tokens": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()),
-            "span_starts": pa.array(starts, pa.list_(pa.int64())), "span_ends": pa.array(ends, pa.list_(pa.int64())), "kept": pa.array(kept, pa.binary())})
+            "doc_id": pa.concat_arrays(ids), "n_tokens": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()),
+            "span_starts": pa.ListArray.from_arrays(offsets, pa.array(starts, pa.int64())), "span_ends": pa.ListArray.from_arrays(offsets, pa.array(ends, pa.int64())), "kept": pa.array(kept, pa.binary())})
 
     def repeated_here(self, b: Blocks) -> np.ndarray:
         """Windows repeated inside the document that count as repeats; none by default."""
         return np.zeros(b.m, bool)
 
-    def keep(self, body: bytes, drop: np.ndarray) -> bytes:
+    def keep(self, body: bytes, drop: np.ndarray | None) -> bytes:
+        """What is left of a body without the tokens of ``drop`` (None: all stay)."""
         raise NotImplementedError
 
 

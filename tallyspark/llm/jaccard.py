@@ -43,7 +43,7 @@ COUNT, CLASS, MEMBER, ENTRY, ASK, SHIP, WANT, SET, LIST, LINK = range(10)
 
 def shingles(body: bytes, tokens: Words, powers: Powers, width: int = SHINGLE) -> np.ndarray:
     """Sorted distinct shingle hashes of a text whose A-Z are lower-cased."""
-    words = tokens(body.lower())  # bytes.lower() changes A-Z alone
+    words, _ = tokens([body.lower()])  # bytes.lower() changes A-Z alone
     if not len(words):
         return words
     sums = Sums(words, powers)

@@ -141,8 +141,9 @@ class ByteRepeats(Repeats):
     # a long gram: short ones repeat by chance as a corpus grows
     tokens, window, gram = Bytes, WINDOW, 28
 
-    def cut_out(self, body: bytes, b: Blocks, i: int) -> bytes:
-        return body[int(b.first[i]):int(b.stop[i]) + self.window - 1]
+    def cut_out(self, bodies: list[bytes], b: Blocks, which: np.ndarray) -> list[bytes]:
+        blob = b"".join(bodies)
+        return [blob[lo:hi] for lo, hi in zip(b.first[which].tolist(), (b.stop[which] + self.window - 1).tolist(), strict=True)]
 
     def matched(self, bucket: int, table: pa.Table) -> list[tuple]:
         parts, edges, (frags, docs, lens) = gathered(table, np.uint64, np.int64, np.int64)
@@ -156,8 +157,8 @@ class ByteRepeats(Repeats):
                 out.append(row(part, bucket, 4, frags[mine], np.array([len(marks[j]) for j in mine], np.int64), np.concatenate([marks[j] for j in mine])))
         return out
 
-    def keep(self, body: bytes, drop: np.ndarray) -> bytes:
-        return np.frombuffer(body, np.uint8)[~drop].tobytes() if drop.any() else body
+    def keep(self, body: bytes, drop: np.ndarray | None) -> bytes:
+        return body if drop is None else np.frombuffer(body, np.uint8)[~drop].tobytes()
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

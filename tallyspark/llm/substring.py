@@ -16,6 +16,8 @@ other columns are not read.
 
 from __future__ import annotations
 
+from itertools import compress
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -30,15 +32,24 @@ class WordRepeats(Repeats):
     spread_always = True
 
     def repeated_here(self, b: Blocks) -> np.ndarray:
-        mark = np.ones(b.m, bool)
-        if b.m:
-            _, first = np.unique(b.sums.grams(self.window), return_index=True)
-            mark[first] = False
+        """Windows that also start earlier in their document.  Equal windows select equal anchors, so only blocks whose
+        anchor comes twice in the document are compared."""
+        mark = np.zeros(b.m, bool)
+        order = np.lexsort((b.anchor, b.owner))
+        same = (b.anchor[order[1:]] == b.anchor[order[:-1]]) & (b.owner[order[1:]] == b.owner[order[:-1]])
+        twice = np.zeros(len(order), bool)
+        twice[order[1:][same]] = twice[order[:-1][same]] = True
+        which = np.flatnonzero(twice)
+        at, key = b.windows(which)
+        owner = np.repeat(b.owner[which], b.stop[which] - b.first[which])
+        order = np.lexsort((at, key, owner))
+        again = (key[order[1:]] == key[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]])
+        mark[at[order[1:][again]]] = True
         return mark
 
-    def keep(self, body: bytes, drop: np.ndarray) -> bytes:
+    def keep(self, body: bytes, drop: np.ndarray | None) -> bytes:
         words = body.split()
-        return b" ".join(words if not drop.any() else [w for w, gone in zip(words, drop.tolist(), strict=True) if not gone])
+        return b" ".join(words if drop is None else compress(words, (~drop).tolist()))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +110,30 @@ def test_substring_dedup_brute_force(spark, part_bytes):
     assert all(sum(r.span_ends) - sum(r.span_starts) == r.n_removed for r in found)
 
 
+def test_documents_are_hashed_together(monkeypatch):
+    """Many small documents are one run of arrays, with the blocks that each has alone."""
+    rng = random.Random(11)
+    bodies = [" ".join(rng.choice(["a", "bb", "ccc", "d" * 70, "é", "a\t"]) for _ in range(rng.choice([0, 3, 19, 20, 21, 60]))).encode() for _ in range(150)]
+    made = []
+    monkeypatch.setattr(anchors, "Blocks", lambda *a, real=anchors.Blocks: made.append(real(*a)) or made[-1])
+    search = substring.WordRepeats(1, 1)
+    table = pa.table({"doc_id": pa.array([None, *range(1, 150)], pa.int64()), "body": pa.array(bodies, pa.binary())})
+    (ids, order, _, b), = search.documents(table)
+    assert len(made) == 1 and order[0] == anchors.LAST and ids.to_pylist()[1:] == list(range(1, 150))
+    assert b.sizes.tolist() == [len(body.split()) for body in bodies]
+    words = {}
+    for word, token in zip((w for body in bodies for w in body.split()), search.tokens()(bodies)[0].tolist(), strict=True):
+        assert words.setdefault(word, token) == token
+    assert len(set(words.values())) == len(words)
+    monkeypatch.setattr(anchors, "TOGETHER", 1)
+    alone = [c for *_, c in search.documents(table)]
+    assert sum(len(c.sizes) for c in alone) == 150 and len(alone) > 100
+    owner = np.cumsum([0, *(len(c.sizes) for c in alone)])
+    assert np.array_equal(b.owner, np.concatenate([c.owner + o for c, o in zip(alone, owner, strict=False)]))
+    for name in ("anchor", "fragment"):
+        assert np.array_equal(getattr(b, name), np.concatenate([getattr(c, name) for c in alone]))
+
+
 @pytest.mark.parametrize("hot", [4096, 1])
 def test_byte_dedup_brute_force(spark, hot, monkeypatch):
     monkeypatch.setattr(anchors.Repeats.__init__, "__defaults__", (hot,))
