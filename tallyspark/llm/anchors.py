@@ -372,7 +372,7 @@ class Repeats:
             size = np.fromiter(map(len, texts), np.int64, len(texts))
             for bucket in np.unique(to):
                 at = np.flatnonzero(to == bucket)
-                out.append(row(part, int(bucket), 4, frag[at], doc[at], size[at], b"".join(texts[i] for i in at.tolist())))
+                out.append(row(part, int(bucket), 4, frag[at], doc[at], size[at] | (anchor[at] >> np.uint64(33) << np.uint64(32)).view(np.int64), b"".join(texts[i] for i in at.tolist())))
         return as_table(out)
 
     def extend_in(self, table: pa.Table) -> pa.Table:
@@ -401,6 +401,7 @@ class Repeats:
         raise NotImplementedError
 
     def matched(self, bucket: int, table: pa.Table) -> list[tuple]:
+        """Replies to fragments (x), their documents (y), sizes and, above 32 bits, 31 bits of their anchors (z) and texts (w)."""
         raise NotImplementedError
 
     # Result -------------------------------------------------------------------------------------

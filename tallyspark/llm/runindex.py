@@ -1,7 +1,7 @@
 """Suffix-array dedup over bytes with a run-length index.
 
 Fragments that share an anchor but differ (see ``anchors``) meet in one
-bucket.  There a suffix array over them gives a Burrows-Wheeler transform,
+bucket, and there in one index of about ``INDEX_BYTES``.  A suffix array over them gives a Burrows-Wheeler transform,
 which is kept as runs: head symbol, start, the LF target of its first row, and
 a sample at each run (cut where neighbours stop sharing ``window`` bytes): the
 smallest document of its rows.  Each fragment is streamed backwards through the
@@ -27,19 +27,28 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyspark.llm.anchors import Blocks, Bytes, Repeats, find_repeats, gathered, row
+from tallyspark.llm.anchors import Blocks, Bytes, Repeats, find_repeats, gathered, ranges, row
 from tallyspark.llm.common import table
 
 WINDOW = 50
 
 
-def ranked(key: np.ndarray) -> np.ndarray:
-    """Dense rank of each entry; equal entries share one, so the sort need not be stable."""
-    order = np.argsort(key)
-    k = key[order]
-    rank = np.empty(len(k), np.int64)
-    rank[order] = np.cumsum(np.concatenate(([0], k[1:] != k[:-1])))
-    return rank
+INDEX_BYTES = 1 << 18  # text that one index is meant to have; only fragments of one anchor make it larger
+
+
+def in_order(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of keys of up to ``bits`` bits, equal ones by place, and the sorted keys."""
+    place = len(key).bit_length()
+    if bits + place > 64:
+        order = np.argsort(key, kind="stable")
+        return order, key[order]
+    packed = np.sort(key << np.uint64(place) | np.arange(len(key), dtype=np.uint64))
+    return (packed & np.uint64((1 << place) - 1)).astype(np.int64), packed >> np.uint64(place)
+
+
+def last_true(flag: np.ndarray) -> np.ndarray:
+    """Place of the last True up to each place."""
+    return np.maximum.accumulate(np.where(flag, np.arange(len(flag)), 0))
 
 
 class RunIndex:
@@ -56,23 +65,36 @@ class RunIndex:
         symbols[inner] = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64) + self.m
         symbols[ends] = np.arange(self.m)
         self.starts, self.ends, self.lens = ends - lens, ends, lens
-        # first by as many symbols as a key holds (0: beyond the end), then by twice as many each time
-        bits = (self.m + 257).bit_length()
-        width, half = max(1, min(62 // bits, window)), None
-        key = np.zeros(n, np.int64)
+        letters = np.frombuffer(b"".join(texts), np.uint8)
+        seen = np.zeros(256, bool)
+        seen[letters] = True
+        codes = np.zeros(n, np.uint64)  # 0: a mark
+        codes[inner] = np.cumsum(seen).astype(np.uint64)[letters]
+        left = np.repeat(ends, lens + 1) - np.arange(n)  # symbols before the mark
+        # first by as many symbols as a key holds beside its place, nothing after a mark
+        bits, place = int(np.count_nonzero(seen)).bit_length() or 1, n.bit_length()
+        width, half = max(1, min((64 - place) // bits, window, n)), None
+        key = np.zeros(n, np.uint64)
         for j in range(width):
-            key <<= bits
-            key[:n - j] += symbols[j:] + 1
-        rank = ranked(key)
+            key <<= np.uint64(bits)
+            key[:n - j] |= np.where(left[:n - j] >= j, codes[j:], 0)
+        at, key = in_order(key, width * bits)
+        # equal up to a mark: in text order, so settled; others share the rank of their first
+        new = np.concatenate(([True], key[1:] != key[:-1])) | (left[at] < width)
+        rank = np.empty(n, np.int64)
+        rank[at] = last_true(new)
         while True:
-            if width * 2 > window and half is None:
-                half = (rank, width)  # ranks by the longest power of two of symbols that a window holds
-            top = int(rank.max()) + 1
-            if top == n and half is not None:
+            at = at[~(new & np.concatenate((new[1:], [True])))]  # those that share a rank, in order
+            if half is None and (width * 2 > window or not len(at)):
+                half = (rank.copy(), width)  # ranks by the longest power of two of symbols that a window holds
+            if not len(at):
                 break
-            later = np.zeros(n, np.int64)
-            later[:-width] = rank[width:] + 1
-            rank = ranked(rank * (top + 1) + later)
+            # twice as many symbols: by the rank of what follows
+            old = rank[at]
+            by, key = in_order(old.astype(np.uint64) << np.uint64(place) | rank[at + width].astype(np.uint64), 2 * place)
+            at = at[by]  # stays within its old rank, so ``old`` needs no new order
+            new = np.concatenate(([True], key[1:] != key[:-1]))
+            rank[at] = old + last_true(new) - last_true(np.concatenate(([True], old[1:] != old[:-1])))
             width *= 2
         order = np.empty(n, np.int64)
         order[rank] = np.arange(n)
@@ -125,16 +147,21 @@ class RunIndex:
                 yield step, live, rows, run
 
 
-def repeated_windows(texts: list[bytes], docs: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
-    """Per text, a mask of its windows that a text of a smaller document has too."""
+def marked_windows(texts: list[bytes], docs: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """A mask of the windows of all texts, end to end, that a text of a smaller document has too, and its edges."""
     index = RunIndex(texts, docs, window)
-    marks = [np.zeros(max(0, int(n) - window + 1), np.uint8) for n in index.lens]
-    flat = np.concatenate(marks) if marks else np.zeros(0, np.uint8)
-    edge = np.concatenate(([0], np.cumsum([len(m) for m in marks])))
+    edge = np.concatenate(([0], np.cumsum(np.maximum(index.lens - window + 1, 0))))
+    flat = np.zeros(edge[-1], np.uint8)
     for step, live, _, run in index.stream():
         if step >= window:
             flat[edge[live] + index.lens[live] - step] = index.low[run] < docs[live]
-    return [flat[edge[i]:edge[i + 1]] for i in range(len(marks))]
+    return flat, edge
+
+
+def repeated_windows(texts: list[bytes], docs: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
+    """Per text, a mask of its windows that a text of a smaller document has too."""
+    flat, edge = marked_windows(texts, docs, window)
+    return np.split(flat, edge[1:-1])
 
 
 class ByteRepeats(Repeats):
@@ -146,15 +173,25 @@ class ByteRepeats(Repeats):
         return [blob[lo:hi] for lo, hi in zip(b.first[which].tolist(), (b.stop[which] + self.window - 1).tolist(), strict=True)]
 
     def matched(self, bucket: int, table: pa.Table) -> list[tuple]:
+        """Fragments of one anchor are in one index; small anchors share one of about INDEX_BYTES."""
         parts, edges, (frags, docs, lens) = gathered(table, np.uint64, np.int64, np.int64)
+        anchor, lens = lens >> 32, lens & 0xFFFFFFFF
         blob = b"".join(table["w"].to_pylist())
-        at = np.concatenate(([0], np.cumsum(lens)))
-        marks = repeated_windows([blob[at[i]:at[i + 1]] for i in range(len(lens))], docs, self.window)
+        start = np.cumsum(lens) - lens
+        size = lens - self.window + 1
+        edge = np.concatenate(([0], np.cumsum(size)))
+        marks = np.zeros(edge[-1], np.uint8)
+        to = anchor % max(1, len(blob) // INDEX_BYTES)
+        by = np.argsort(to, kind="stable")
+        for mine in np.split(by, np.flatnonzero(np.diff(to[by])) + 1):
+            texts = [blob[a:z] for a, z in zip(start[mine].tolist(), (start + lens)[mine].tolist(), strict=True)]
+            marks[ranges(edge[mine], edge[mine + 1])] = marked_windows(texts, docs[mine], self.window)[0]
+        some = np.diff(np.concatenate(([0], np.cumsum(marks, dtype=np.int64)))[edge]) > 0
         out = []
         for i, part in enumerate(parts):
-            mine = [j for j in range(edges[i], edges[i + 1]) if marks[j].any()]
-            if mine:
-                out.append(row(part, bucket, 4, frags[mine], np.array([len(marks[j]) for j in mine], np.int64), np.concatenate([marks[j] for j in mine])))
+            mine = np.arange(edges[i], edges[i + 1])[some[edges[i]:edges[i + 1]]]
+            if len(mine):
+                out.append(row(part, bucket, 4, frags[mine], size[mine], marks[ranges(edge[mine], edge[mine + 1])]))
         return out
 
     def keep(self, body: bytes, drop: np.ndarray | None) -> bytes:

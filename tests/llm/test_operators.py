@@ -167,6 +167,21 @@ def test_run_index_is_a_transform():
     assert len(repetitive.run_start) < 40 * 118 / 20
 
 
+def test_fragments_of_many_anchors_take_small_indexes(spark, monkeypatch):
+    """A bucket is cut by anchor into indexes of about INDEX_BYTES; the marks do not change."""
+    sizes = []
+    made = runindex.RunIndex.__init__
+    monkeypatch.setattr(runindex.RunIndex, "__init__", lambda self, texts, *a: sizes.append(sum(map(len, texts))) or made(self, texts, *a))
+    monkeypatch.setattr(runindex, "INDEX_BYTES", 2000)
+    rows = passages(3)
+    search = runindex.ByteRepeats(1, 1)
+    table = pa.table({"part": pa.array([0] * len(rows), pa.int32()), "doc_id": pa.array([r[0] for r in rows], pa.int64()), "body": pa.array([(r[1] or "").encode() for r in rows], pa.binary())})
+    told = search.fragments_in(search.fragments_out(table, search.anchors_in(search.anchors_out(table))))
+    found = search.finish(table, pa.concat_tables([told, search.extend_in(search.extend_out(table, told))]))
+    assert {r["doc_id"]: (r["n_tokens"], r["n_removed"], r["kept"]) for r in found.to_pylist()} == brute_bytes(rows)
+    assert len(sizes) > 1 and max(sizes) < sum(sizes) / 2
+
+
 def jaccard_brute(rows):
     def shingles(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", (t or ""))
