@@ -28,18 +28,21 @@ from __future__ import annotations
 
 import pickle
 import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyspark.llm.anchors import ranges
 from tallyspark.llm.common import row_key, slices, table, without
 
 BUCKETS = 1 << 15
 RANK, OVER = 64, 16
 PASSAGE = 32
 TOGETHER = 32  # passages multiplied at once
+FLUSH = 256  # products added up in single precision
 PART = 1 << 19  # passages a task sums, at least; it sends BUCKETS x (RANK + OVER) numbers however few they are
 LENGTHS = (1, 2, 4, 8, 16, 32, 48, 96, 192, 384)
 BLOCK = 4096
@@ -54,8 +57,42 @@ KNOWN = 1 << 16  # words whose bucket a worker keeps
 PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return text.encode().translate(PLAIN).split() if text else []
+# CRC-32 is linear: a byte adds the same bits wherever it stands that far from the end of its word, beside those of so many zero bytes
+FAR = 64  # longest word whose bucket is found from arrays
+ZEROS = np.array([zlib.crc32(bytes(n)) & 0xFFFF for n in range(FAR + 1)], np.uint16)
+ADDS = np.array([(zlib.crc32(bytes([b]) + bytes(d)) ^ zlib.crc32(bytes(d + 1))) & 0xFFFF for d in range(FAR) for b in range(256)], np.uint16)
+
+
+def words_of(text: str | bytes | None) -> list[bytes]:
+    return (text.encode() if isinstance(text, str) else text).translate(PLAIN).split() if text else []
+
+
+def buckets_of(texts: list[bytes | None]) -> list[np.ndarray]:
+    """Per text the buckets of its words, as ``Buckets`` has them."""
+    blob = b" ".join([*(t or b"" for t in texts), b""]).translate(PLAIN)
+    borders = np.cumsum(np.fromiter((len(t or b"") + 1 for t in texts), np.int64, len(texts)))
+    ids, places, lo = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)], 0
+    while lo < len(blob):  # whole words of SLICE bytes at a time
+        hi = blob.rfind(b" ", lo, lo + SLICE) + 1 or blob.index(b" ", lo) + 1
+        letters = np.frombuffer(blob, np.uint8, hi - lo, lo)
+        inner = letters != 32
+        turn = np.flatnonzero(np.diff(np.concatenate(([False], inner)).view(np.int8)))
+        starts, size = turn[::2], turn[1::2] - turn[::2]
+        done = np.cumsum(size)
+        letters = letters[inner]
+        left = np.repeat(done - 1, size) - np.arange(len(letters))  # bytes of the word after each
+        long = np.flatnonzero(size > FAR).tolist()
+        if long:
+            left = np.minimum(left, FAR - 1)
+        sums = np.zeros(len(letters) + 1, np.uint16)
+        np.bitwise_xor.accumulate(ADDS[left << 8 | letters], out=sums[1:])
+        found = sums[done] ^ sums[done - size] ^ ZEROS[np.minimum(size, FAR)]
+        for i in long:
+            found[i] = zlib.crc32(blob[lo + starts[i]:lo + starts[i] + size[i]]) & 0xFFFF
+        ids.append(found % np.uint16(BUCKETS))
+        places.append(starts + lo)
+        lo = hi
+    return np.split(np.concatenate(ids), np.searchsorted(np.concatenate(places), borders[:-1]))
 
 
 class Buckets(dict):
@@ -82,46 +119,45 @@ def lcs(masks: dict[bytes, int], m: int, words: list[bytes]) -> int:
 def cut_up(docs: DataFrame, text: str = "text") -> DataFrame:
     """ids: per text with words the buckets of its words as 16-bit numbers, in passages of PASSAGE; the last one is filled up with BUCKETS."""
     def run(batches):
-        buckets = Buckets()
         for batch in batches:
             for _, texts in slices(batch["text"], SLICE):
                 out = []
-                for words in filter(None, map(words_of, texts)):
-                    ids = np.full(-(-len(words) // PASSAGE) * PASSAGE, BUCKETS, np.uint16)
-                    ids[:len(words)] = buckets.of(words)
-                    out.append(ids.tobytes())
+                for words in buckets_of(texts):
+                    if len(words):
+                        ids = np.full(-(-len(words) // PASSAGE) * PASSAGE, BUCKETS, np.uint16)
+                        ids[:len(words)] = words
+                        out.append(ids.tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(run, "ids binary")
+    return docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(run, "ids binary")
 
 
-def passages(batches):
-    """Arrays (passages, PASSAGE) of buckets, of up to TOGETHER passages."""
+def passages(batches, together: int = TOGETHER):
+    """Arrays (passages, PASSAGE) of buckets, of up to ``together`` passages."""
     for batch in batches:
         ids = np.frombuffer(b"".join(batch["ids"].to_pylist()), np.uint16).reshape(-1, PASSAGE)
-        yield from (ids[a:a + TOGETHER] for a in range(0, len(ids), TOGETHER))
-
-
-def counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of some passages and how often each passage has them."""
-    at, place = np.unique(ids, return_inverse=True)
-    place = place.reshape(ids.shape) + np.arange(len(ids))[:, None] * len(at)
-    return at, np.bincount(place.ravel(), minlength=len(ids) * len(at)).reshape(len(ids), -1)
+        yield from (ids[a:a + together] for a in range(0, len(ids), together))
 
 
 def weights(ids: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of some passages and the TF-IDF of each passage, of length 1."""
-    at, tf = counts(ids)
-    w = (tf * idf[at]).astype(np.float32)
-    return at, w / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-9)
+    seen = np.zeros(BUCKETS + 1, bool)
+    seen[ids] = True
+    at = np.flatnonzero(seen)
+    place = np.empty(BUCKETS + 1, np.int64)
+    place[at] = np.arange(0, len(at) * len(ids), len(ids))
+    # a row for each bucket, as both products take them
+    w = np.bincount((place[ids] + np.arange(len(ids))[:, None]).ravel(), idf[ids].ravel(), len(ids) * len(at)).astype(np.float32).reshape(len(at), len(ids))
+    w /= np.maximum(np.sqrt(np.einsum("ij,ij->j", w, w)), 1e-9)
+    return at, w.T
 
 
 def frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     def run(batches):
         found, n = np.zeros(BUCKETS + 1, np.int64), 0
-        for ids in passages(batches):
-            at, tf = counts(ids)
-            found[at] += np.count_nonzero(tf, axis=0)
+        for ids in passages(batches, CHUNK // PASSAGE):
+            ids = np.sort(ids, axis=1)  # each bucket of a passage once
+            found += np.bincount(ids[:, 0], minlength=BUCKETS + 1) + np.bincount(ids[:, 1:][ids[:, 1:] != ids[:, :-1]], minlength=BUCKETS + 1)
             n += len(ids)
         at = np.flatnonzero(found[:BUCKETS])
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(found[at], n))], ["bucket", "n"])
@@ -147,9 +183,13 @@ def summed(rows: DataFrame, product, shape: tuple[int, int]) -> np.ndarray:
     step = 256
 
     def run(batches):
-        total = np.zeros(shape, np.float64)
-        for ids in passages(batches):
-            product(total, ids)
+        total, part = np.zeros(shape, np.float64), np.zeros(shape, np.float32)
+        for n, ids in enumerate(passages(batches), 1):
+            product(part, ids)
+            if n % FLUSH == 0:
+                total += part
+                part[:] = 0
+        total += part
         for lo in range(0, shape[0], step):
             yield pa.RecordBatch.from_arrays([pa.array([lo], pa.int64()), pa.array([total[lo:lo + step].tobytes()], pa.binary())], ["lo", "part"])
 
@@ -189,11 +229,19 @@ def latent_basis(rows: DataFrame, idf: np.ndarray, total: int) -> np.ndarray:
     return (idf[:BUCKETS, None] * (basis @ vector[:, top] * scale)).astype(np.float32)
 
 
+def bits_of(ids: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """Bits: the buckets of each row."""
+    bits = np.zeros((rows, BUCKETS // 8), np.uint8)
+    np.bitwise_or.at(bits, (row, ids >> 3), (1 << (ids & 7)).astype(np.uint8))
+    return bits
+
+
 class Search:
     """Items of one block, ready to be compared with texts."""
 
     def __init__(self, items: list[tuple[int, list[bytes]]], basis: np.ndarray, idf: np.ndarray):
-        self.basis, self.items = basis, []
+        self.rows = np.vstack([basis, np.zeros((1, basis.shape[1]), basis.dtype)])  # words that fill a unit up add nothing
+        self.basis, self.items = self.rows[:-1], []
         buckets = Buckets()
         for item_id, words in items:
             masks: dict[bytes, int] = {}
@@ -206,6 +254,7 @@ class Search:
         for row, (_, words) in zip(self.held, items, strict=True):
             at = buckets.of(words)
             np.bitwise_or.at(row, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        self.buckets = np.concatenate([buckets.of(words) for _, words in items])
         group = np.array([int(np.argmin([abs(n - m) for m in LENGTHS])) for _, n, _, _ in self.items], np.int64)
         self.groups = []
         for g, length in enumerate(LENGTHS):
@@ -216,17 +265,28 @@ class Search:
 
     def candidates(self, ids: np.ndarray, edges: np.ndarray):
         """Arrays (text, item, first word, last word, cosine) of passages near an item in the latent space; text t is ids[edges[t]:edges[t + 1]]."""
-        sums = np.zeros((len(ids) + 1, self.basis.shape[1]), np.float32)
-        np.cumsum(self.basis[ids], axis=0, out=sums[1:])
         size = np.diff(edges)
+        # sums up to every unit of words, counted from the beginning of each text; the last unit is filled up with nothing
+        unit = int(np.gcd.reduce([max(length // 4, 1) for length, _, _ in self.groups]))
+        units = -(-size // unit)
+        begin = np.cumsum(units) - units
+        filled = np.full(int(units.sum()) * unit, BUCKETS, np.int64)
+        filled[np.arange(len(ids)) + np.repeat(begin * unit - edges[:-1], size)] = ids
+        sums = np.zeros((len(filled) // unit + 1, self.basis.shape[1]), np.float32)
+        np.cumsum(self.rows.take(filled, axis=0).reshape(-1, unit, self.basis.shape[1]).sum(axis=1), axis=0, out=sums[1:])
         for length, at, vec in self.groups:
             step = max(length // 4, 1)
             count = np.maximum(size - length, 0) // step + 1 + (np.maximum(size - length, 0) % step > 0)  # the last one ends with the text
             owner = np.repeat(np.arange(len(size)), count)
             nth = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-            start = edges[owner] + np.minimum(nth * step, np.maximum(size - length, 0)[owner])
+            first = np.minimum(nth * step, np.maximum(size - length, 0)[owner])
+            start = edges[owner] + first
             stop = np.minimum(start + length, edges[owner + 1])
-            here = sums[stop] - sums[start]
+            lo = begin[owner] + first // unit
+            here = sums[np.minimum(lo + -(-length // unit), (begin + units)[owner])] - sums[lo]
+            odd = np.flatnonzero(first % unit)  # the last of a text, between units
+            for a in range(0, len(odd), TOGETHER):
+                here[odd[a:a + TOGETHER]] = self.rows.take(ids[start[odd[a:a + TOGETHER], None] + np.arange(length)], axis=0).sum(axis=1)
             norm = np.sqrt(np.einsum("ij,ij->i", here, here))
             cosine = here @ vec.T
             near = np.flatnonzero(cosine.max(axis=1) > COSINE * np.maximum(norm, 1e-9))
@@ -234,6 +294,29 @@ class Search:
             h = near[hit]
             yield owner[h], at[which], start[h] - edges[owner[h]], stop[h] - edges[owner[h]], cosine[h, which] / norm[h]
 
+    def close(self, ids: np.ndarray, edges: np.ndarray, t: np.ndarray, i: np.ndarray, lo: np.ndarray, hi: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Which candidates have half of the item's words near, by bucket; those that reach into another piece of their text all may."""
+        half, size = self.size[i] // 2, edges[t + 1] - edges[t]
+        first, last = np.maximum(lo - half, 0), np.minimum(hi + half, size)
+        more = (lo < half) & (before[t] > 0) | (hi + half > size) & (after[t] > 0)
+        found = np.zeros(len(t), bool)
+        for a in range(0, len(t), 256):
+            part = slice(a, a + 256)
+            n = np.arange(len(t[part]))
+            near = ids[ranges((edges[t] + first)[part], (edges[t] + last)[part])]
+            found[part] = self.present(bits_of(near, np.repeat(n, (last - first)[part]), len(n)), n, i[part], more[part])
+        return found
+
+    def present(self, bits: np.ndarray, t: np.ndarray, i: np.ndarray, more: np.ndarray) -> np.ndarray:
+        """Which candidates have half of the item's words, by bucket, in row t of ``bits``, a bound of the LCS; rows with ``more`` words around all may."""
+        pair, of = np.unique(t * len(self.size) + i, return_inverse=True)
+        text, item = pair // len(self.size), pair % len(self.size)
+        stop = np.cumsum(self.size)
+        word = self.buckets[ranges((stop - self.size)[item], stop[item])]
+        held = bits[np.repeat(text, self.size[item]), word >> 3] >> (word & 7).astype(np.uint8) & 1
+        count = np.diff(np.concatenate(([0], np.cumsum(held, dtype=np.int64)))[np.concatenate(([0], np.cumsum(self.size[item])))])
+        return ((count >= PARAPHRASE * self.size[item]) | more[text])[of]
+
     def possible(self, ids: np.ndarray, edges: np.ndarray, t: np.ndarray, i: np.ndarray, lo: np.ndarray, hi: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         """Which candidates have enough words near whose bucket is one of the item's, a bound of the LCS; words of the text before or after its piece count as such."""
         half = self.size[i] // 2
@@ -248,7 +331,12 @@ class Search:
         return found >= PARAPHRASE * self.size[i]
 
     def matches(self, texts: list[list[bytes]], buckets: Buckets):
-        """(text, item id, LCS, words of the item, cosine) of the items that texts hold; a text above CHUNK words is taken in overlapping pieces."""
+        """``found`` for texts in words."""
+        return self.found([buckets.of(words) for words in texts], texts.__getitem__)
+
+    def found(self, texts: list[np.ndarray], words):
+        """(text, item id, LCS, words of the item, cosine) of the items that texts hold, given by their buckets; ``words(t)`` has
+        the words of text t, asked for only where an item may be.  A text above CHUNK words is taken in overlapping pieces."""
         best: dict[tuple[int, int], tuple[int, float]] = {}
         pieces, held = [], 0
 
@@ -257,18 +345,23 @@ class Search:
             ids = np.concatenate([i for _, _, i in pieces])
             before = np.array([shift for _, shift, _ in pieces])
             after = np.array([len(texts[owner]) - shift - len(i) for owner, shift, i in pieces])
+            bits = bits_of(ids, np.repeat(np.arange(len(pieces)), np.diff(edges)), len(pieces))
             for found in self.candidates(ids, edges):
                 for at in range(0, len(found[0]), CHUNK):
                     part = [column[at:at + CHUNK] for column in found]
-                    left = self.possible(ids, edges, *part[:4], before, after)
-                    verify(*(column[left].tolist() for column in part))
+                    left = self.present(bits, *part[:2], before + after > 0)
+                    part = [column[left] for column in part]
+                    for bound in (self.possible, self.close):
+                        left = bound(ids, edges, *part[:4], before, after)
+                        part = [column[left] for column in part]
+                    verify(*(column.tolist() for column in part))
             pieces.clear()
 
         def verify(*columns):
             for t, i, lo, hi, cosine in zip(*columns, strict=True):
                 owner, shift, _ = pieces[t]
                 _, m, masks, rare = self.items[i]
-                near = texts[owner][max(0, shift + lo - m // 2):shift + hi + m // 2]
+                near = words(owner)[max(0, shift + lo - m // 2):shift + hi + m // 2]
                 # places of the item whose word is near at all: a bound of the LCS that costs a tenth of it
                 if sum(masks[w].bit_count() for w in masks.keys() & set(near)) < PARAPHRASE * m:
                     continue
@@ -277,8 +370,7 @@ class Search:
                 if enough and (common, cosine) > best.get((owner, i), (0, 0.0)):
                     best[owner, i] = (common, cosine)
 
-        for owner, words in enumerate(texts):
-            ids = buckets.of(words)
+        for owner, ids in enumerate(texts):
             for lo in range(0, max(len(ids) - LENGTHS[-1], min(len(ids), 1)), CHUNK):
                 pieces.append((owner, lo, ids[lo:lo + CHUNK + LENGTHS[-1]]))
                 held += len(pieces[-1][2])
@@ -317,10 +409,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
         shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(search))  # BUCKETS x RANK numbers and one block of items; its class travels along
 
         def run(batches, shared=shared):
-            search, buckets = pickle.loads(shared.value), Buckets()
+            search = pickle.loads(shared.value)
             for batch in batches:
                 ids = batch["doc_id"].to_pylist()
-                found = [(ids[a + t], *m) for a, texts in slices(batch["text"], SLICE) for t, *m in search.matches([words_of(t) for t in texts], buckets)]
+                found = []
+                for a, texts in slices(batch["text"].cast(pa.binary()), SLICE):
+                    words = cache(lambda t, texts=texts: words_of(texts[t]))
+                    found += [(ids[a + t], *m) for t, *m in search.found(buckets_of(texts), words)]
                 columns = list(zip(*found, strict=True)) if found else [[]] * 5
                 kinds = [pa.int64()] * 4 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "lcs", "item_words", "cosine"])

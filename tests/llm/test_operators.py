@@ -585,6 +585,36 @@ def test_decontamination_bound_drops_no_match(spark, monkeypatch):
     assert sorted(with_bound) == sorted(search.matches(texts, decontaminate.Buckets())) and len(with_bound) >= 13
 
 
+def test_buckets_from_arrays(monkeypatch):
+    """Words hashed together have the buckets that they have one by one."""
+    rng = random.Random(6)
+    texts = [None, b"", b"   ", b"x" * 63, b"y" * 64, b"z" * 65, b"q" * 40_000, b" a\tB-c " + b"w" * 300 + b" ", "Ü é-Z 12,5".encode(), bytes(rng.randrange(256) for _ in range(5000)), b"end"]
+    for most in (decontaminate.SLICE, 50, 1):
+        monkeypatch.setattr(decontaminate, "SLICE", most)
+        got = decontaminate.buckets_of(texts)
+        for text, ids in zip(texts, got, strict=True):
+            assert np.array_equal(ids, decontaminate.Buckets().of(decontaminate.words_of(text)))
+
+
+def test_decontamination_bounds_spare_words(spark, monkeypatch):
+    """Texts are cut into words only where the bounds leave a candidate; no match is lost to a bound."""
+    rng = random.Random(9)
+    words = [f"w{k}".encode() for k in range(400)]
+    texts = [[rng.choice(words) for _ in range(n)] for n in (1, 7, 60, 61, 300, 900)] + [[b"other"] * 50]
+    items = [(k, texts[k % 6][2 * k % 7:][:rng.randint(1, 50)] or [b"w1"]) for k in range(18)]
+    search = decontaminate.Search(items, np.random.default_rng(2).normal(size=(decontaminate.BUCKETS, 8)).astype(np.float32), np.ones(decontaminate.BUCKETS))
+    ids, asked = [decontaminate.Buckets().of(t) for t in texts], set()
+    found = {}
+    for chunk in (decontaminate.CHUNK, 128):
+        monkeypatch.setattr(decontaminate, "CHUNK", chunk)
+        found[chunk] = sorted(search.found(ids, lambda t: asked.add(t) or texts[t]))
+        assert len(texts) - 1 not in asked and {(t, i) for t, i, *_ in found[chunk]} >= {(k % 6, k) for k in range(18) if k % 6 or k < 6}
+    for bound in ("possible", "close"):
+        monkeypatch.setattr(search, bound, lambda ids, edges, t, *_: np.ones(len(t), bool))
+    monkeypatch.setattr(search, "present", lambda bits, t, *_: np.ones(len(t), bool))
+    assert sorted(search.found(ids, texts.__getitem__)) == found[128]
+
+
 def test_lcs_by_bits():
     rng = random.Random(1)
     for _ in range(200):
