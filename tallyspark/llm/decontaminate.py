@@ -41,8 +41,9 @@ from tallyspark.llm.common import row_key, slices, table, without
 BUCKETS = 1 << 15
 RANK, OVER = 64, 16
 PASSAGE = 32
-TOGETHER = 32  # passages multiplied at once
-FLUSH = 256  # products added up in single precision
+TOGETHER = 2048  # passages multiplied at once
+MANY = 64  # occurrences in so many passages from which a bucket is summed by counts
+FLUSH = 4  # products added up in single precision
 PART = 1 << 19  # passages a task sums, at least; it sends BUCKETS x (RANK + OVER) numbers however few they are
 LENGTHS = (1, 2, 4, 8, 16, 32, 48, 96, 192, 384)
 BLOCK = 4096
@@ -117,7 +118,7 @@ def lcs(masks: dict[bytes, int], m: int, words: list[bytes]) -> int:
 
 
 def cut_up(docs: DataFrame, text: str = "text") -> DataFrame:
-    """ids: per text with words the buckets of its words as 16-bit numbers, in passages of PASSAGE; the last one is filled up with BUCKETS."""
+    """ids: per text with words the buckets of its words as 16-bit numbers, in passages of PASSAGE, each in order; the last one is filled up with BUCKETS."""
     def run(batches):
         for batch in batches:
             for _, texts in slices(batch["text"], SLICE):
@@ -126,7 +127,7 @@ def cut_up(docs: DataFrame, text: str = "text") -> DataFrame:
                     if len(words):
                         ids = np.full(-(-len(words) // PASSAGE) * PASSAGE, BUCKETS, np.uint16)
                         ids[:len(words)] = words
-                        out.append(ids.tobytes())
+                        out.append(np.sort(ids.reshape(-1, PASSAGE), axis=1).tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
     return docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(run, "ids binary")
@@ -140,7 +141,7 @@ def passages(batches, together: int = TOGETHER):
 
 
 def weights(ids: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of some passages and the TF-IDF of each passage, of length 1."""
+    """Buckets of some passages and the TF-IDF of each passage, of length 1: what ``lengths``, ``projected`` and ``spread`` multiply with, written out."""
     seen = np.zeros(BUCKETS + 1, bool)
     seen[ids] = True
     at = np.flatnonzero(seen)
@@ -152,11 +153,50 @@ def weights(ids: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, w.T
 
 
+def lengths(ids: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Length of the TF-IDF of each passage; its buckets are in order."""
+    new = np.ones(ids.shape, bool)
+    np.not_equal(ids[:, 1:], ids[:, :-1], out=new[:, 1:])
+    first = np.flatnonzero(new)
+    weight = np.diff(first, append=ids.size) * idf[ids.ravel()[first]]
+    return np.maximum(np.sqrt(np.bincount(first // ids.shape[1], weight * weight, len(ids))), 1e-9)
+
+
+def projected(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Per passage the sum of the rows of its buckets, CHUNK words at a time."""
+    out, step = np.empty((len(ids), table.shape[1]), table.dtype), max(CHUNK // ids.shape[1], 1)
+    for a in range(0, len(ids), step):
+        table.take(ids[a:a + step], axis=0).sum(axis=1, out=out[a:a + step])
+    return out
+
+
+def spread(out: np.ndarray, ids: np.ndarray, values: np.ndarray) -> None:
+    """Adds the row of each passage to the rows of its buckets, as often as these occur in it; each row of ``out`` is touched once."""
+    order = np.argsort(ids, axis=None, kind="stable")
+    word, owner = ids.ravel()[order], order // ids.shape[1]
+    first = np.flatnonzero(np.diff(word, prepend=np.uint16(word[0] ^ 1)))
+    count = np.diff(first, append=len(word))
+    most = np.argsort(-count, kind="stable")
+    first, count = first[most], count[most]
+    total = np.empty((len(first), values.shape[1]), values.dtype)
+    many = int(np.searchsorted(-count, -MANY))
+    # the n-th occurrence of each bucket
+    total[many:] = values.take(owner[first[many:]], axis=0)
+    for n in range(1, int(count[many]) if many < len(count) else 0):
+        upto = int(np.searchsorted(-count, -n))
+        total[many:upto] += values.take(owner[first[many:upto] + n], axis=0)
+    if many:
+        own = owner[ranges(first[:many], first[:many] + count[:many])]
+        times = np.bincount(np.repeat(np.arange(many) * len(ids), count[:many]) + own, minlength=many * len(ids))
+        total[:many] = times.astype(values.dtype).reshape(many, len(ids)) @ values
+    out[word[first]] += total
+
+
 def frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
     def run(batches):
         found, n = np.zeros(BUCKETS + 1, np.int64), 0
         for ids in passages(batches, CHUNK // PASSAGE):
-            ids = np.sort(ids, axis=1)  # each bucket of a passage once
+            # each bucket of a passage once
             found += np.bincount(ids[:, 0], minlength=BUCKETS + 1) + np.bincount(ids[:, 1:][ids[:, 1:] != ids[:, :-1]], minlength=BUCKETS + 1)
             n += len(ids)
         at = np.flatnonzero(found[:BUCKETS])
@@ -209,18 +249,17 @@ def latent_basis(rows: DataFrame, idf: np.ndarray, total: int) -> np.ndarray:
     rows = rows.coalesce(8 + total // PART)
     width = RANK + OVER
     idf = np.append(idf, 0)  # words that fill a passage up weigh nothing
-    omega = np.random.default_rng(11).normal(size=(BUCKETS + 1, width)).astype(np.float32)
+    scaled = lambda matrix: (idf[:, None] * matrix.astype(np.float32)).astype(np.float32)
+    omega = scaled(np.random.default_rng(11).normal(size=(BUCKETS + 1, width)))
 
     def there_and_back(out, ids):
-        at, w = weights(ids, idf)
-        out[at] += w.T @ (w @ omega[at])
+        spread(out, ids, projected(ids, omega) / np.square(lengths(ids, idf)).astype(np.float32)[:, None])
 
-    basis, _ = np.linalg.qr(summed(rows, there_and_back, (BUCKETS + 1, width))[:BUCKETS])
-    flat = np.vstack([basis, np.zeros(width)]).astype(np.float32)
+    basis, _ = np.linalg.qr((idf[:, None] * summed(rows, there_and_back, (BUCKETS + 1, width)))[:BUCKETS])
+    flat = scaled(np.vstack([basis, np.zeros(width)]))
 
     def gram(out, ids):
-        at, w = weights(ids, idf)
-        b = w @ flat[at]
+        b = projected(ids, flat) / lengths(ids, idf).astype(np.float32)[:, None]
         out += b.T @ b
 
     value, vector = np.linalg.eigh(summed(rows, gram, (width, width)))
@@ -232,7 +271,7 @@ def latent_basis(rows: DataFrame, idf: np.ndarray, total: int) -> np.ndarray:
 def bits_of(ids: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     """Bits: the buckets of each row."""
     bits = np.zeros((rows, BUCKETS // 8), np.uint8)
-    np.bitwise_or.at(bits, (row, ids >> 3), (1 << (ids & 7)).astype(np.uint8))
+    np.bitwise_or.at(bits.reshape(-1), row * (BUCKETS // 8) + (ids >> 3), (1 << (ids & 7)).astype(np.uint8))
     return bits
 
 
@@ -266,14 +305,24 @@ class Search:
     def candidates(self, ids: np.ndarray, edges: np.ndarray):
         """Arrays (text, item, first word, last word, cosine) of passages near an item in the latent space; text t is ids[edges[t]:edges[t + 1]]."""
         size = np.diff(edges)
-        # sums up to every unit of words, counted from the beginning of each text; the last unit is filled up with nothing
+        # sums of units of words, counted from the beginning of each text, and of 2, 4, 8 ... units; the last unit is filled up with nothing
         unit = int(np.gcd.reduce([max(length // 4, 1) for length, _, _ in self.groups]))
         units = -(-size // unit)
         begin = np.cumsum(units) - units
         filled = np.full(int(units.sum()) * unit, BUCKETS, np.int64)
         filled[np.arange(len(ids)) + np.repeat(begin * unit - edges[:-1], size)] = ids
-        sums = np.zeros((len(filled) // unit + 1, self.basis.shape[1]), np.float32)
-        np.cumsum(self.rows.take(filled, axis=0).reshape(-1, unit, self.basis.shape[1]).sum(axis=1), axis=0, out=sums[1:])
+        sums = [self.rows.take(filled[::unit], axis=0)]
+        for n in range(1, unit):
+            sums[0] += self.rows.take(filled[n::unit], axis=0)
+        longest = self.groups[-1][0]
+        while 2 << len(sums) - 1 <= min(longest // unit, len(sums[0])):
+            half = 1 << len(sums) - 1
+            sums.append(sums[-1][half:] + sums[-1][:-half])
+        # texts shorter than a passage are one passage
+        short = np.flatnonzero(size < longest)
+        whole = np.zeros((len(size), self.basis.shape[1]), np.float32)
+        if len(short):
+            whole[short] = np.add.reduceat(sums[0].take(ranges(begin[short], (begin + units)[short]), axis=0), np.cumsum(units[short]) - units[short], axis=0)
         for length, at, vec in self.groups:
             step = max(length // 4, 1)
             count = np.maximum(size - length, 0) // step + 1 + (np.maximum(size - length, 0) % step > 0)  # the last one ends with the text
@@ -282,11 +331,23 @@ class Search:
             first = np.minimum(nth * step, np.maximum(size - length, 0)[owner])
             start = edges[owner] + first
             stop = np.minimum(start + length, edges[owner + 1])
-            lo = begin[owner] + first // unit
-            here = sums[np.minimum(lo + -(-length // unit), (begin + units)[owner])] - sums[lo]
-            odd = np.flatnonzero(first % unit)  # the last of a text, between units
-            for a in range(0, len(odd), TOGETHER):
-                here[odd[a:a + TOGETHER]] = self.rows.take(ids[start[odd[a:a + TOGETHER], None] + np.arange(length)], axis=0).sum(axis=1)
+            part = size[owner] < length
+            lo = np.where(part, 0, begin[owner] - -first // unit)
+            here = None
+            for k in range(len(sums)):
+                if length // unit >> k & 1:
+                    some = sums[k].take(lo, axis=0, mode="clip")  # what is clipped is set below
+                    here = some if here is None else np.add(here, some, out=here)
+                    lo += 1 << k
+            if here is None or part.any():
+                here = whole[owner] if here is None else here
+                here[part] = whole[owner[part]]
+            odd = np.flatnonzero(first % unit)  # the last of a text, from before a unit
+            for a in range(0, len(odd), max(CHUNK // unit, 1)):
+                some = odd[a:a + max(CHUNK // unit, 1)]
+                place = start[some, None] + np.arange(unit - 1)
+                before = place < (start[some] + -first[some] % unit)[:, None]
+                here[some] += self.rows.take(np.where(before, ids[np.minimum(place, len(ids) - 1)], BUCKETS), axis=0).sum(axis=1)
             norm = np.sqrt(np.einsum("ij,ij->i", here, here))
             cosine = here @ vec.T
             near = np.flatnonzero(cosine.max(axis=1) > COSINE * np.maximum(norm, 1e-9))
@@ -309,13 +370,17 @@ class Search:
 
     def present(self, bits: np.ndarray, t: np.ndarray, i: np.ndarray, more: np.ndarray) -> np.ndarray:
         """Which candidates have half of the item's words, by bucket, in row t of ``bits``, a bound of the LCS; rows with ``more`` words around all may."""
-        pair, of = np.unique(t * len(self.size) + i, return_inverse=True)
+        of = t * len(self.size) + i
+        enough = np.zeros(len(bits) * len(self.size), bool)
+        enough[of] = True
+        pair = np.flatnonzero(enough)
         text, item = pair // len(self.size), pair % len(self.size)
         stop = np.cumsum(self.size)
         word = self.buckets[ranges((stop - self.size)[item], stop[item])]
         held = bits[np.repeat(text, self.size[item]), word >> 3] >> (word & 7).astype(np.uint8) & 1
         count = np.diff(np.concatenate(([0], np.cumsum(held, dtype=np.int64)))[np.concatenate(([0], np.cumsum(self.size[item])))])
-        return ((count >= PARAPHRASE * self.size[item]) | more[text])[of]
+        enough[pair] = (count >= PARAPHRASE * self.size[item]) | more[text]
+        return enough[of]
 
     def possible(self, ids: np.ndarray, edges: np.ndarray, t: np.ndarray, i: np.ndarray, lo: np.ndarray, hi: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         """Which candidates have enough words near whose bucket is one of the item's, a bound of the LCS; words of the text before or after its piece count as such."""
@@ -324,10 +389,13 @@ class Search:
         size = edges[t + 1] - edges[t]
         found = np.minimum(np.maximum(-first, 0), before[t]) + np.minimum(np.maximum(last - size, 0), after[t])
         first, last = edges[t] + np.maximum(first, 0), edges[t] + np.minimum(last, size)
+        byte, bit = (ids >> 3).astype(np.int64), (1 << (ids & 7)).astype(np.uint8)
+        held, row = self.held.reshape(-1), i * self.held.shape[1]
         for at in range(0, int((last - first).max(initial=0)), 32):
             place = (first + at)[:, None] + np.arange(32)
-            word = ids[np.minimum(place, len(ids) - 1)]
-            found += ((self.held[i[:, None], word >> 3] >> (word & 7).astype(np.uint8) & 1).astype(bool) & (place < last[:, None])).sum(axis=1)
+            within = held.take(row[:, None] + byte.take(place, mode="clip")) & bit.take(place, mode="clip") != 0
+            within &= place < last[:, None]
+            found += np.count_nonzero(within, axis=1)
         return found >= PARAPHRASE * self.size[i]
 
     def matches(self, texts: list[list[bytes]], buckets: Buckets):

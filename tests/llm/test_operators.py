@@ -572,6 +572,48 @@ def test_decontamination_basis_is_fitted_on_every_passage(spark):
     assert np.abs(moment - np.eye(decontaminate.RANK)).max() < 1e-3
 
 
+def test_decontamination_sums_by_bucket():
+    """The products with TF-IDF passages are those of the matrix written out, with repeated, frequent and missing words."""
+    rng = np.random.default_rng(7)
+    ids = np.sort(np.minimum(rng.zipf(1.2, (700, decontaminate.PASSAGE)), decontaminate.BUCKETS).astype(np.uint16), axis=1)
+    ids[3], ids[4, 1:] = 9, decontaminate.BUCKETS  # one word again and again; one word, filled up
+    idf = np.append(rng.uniform(0.1, 9, decontaminate.BUCKETS), 0)
+    at, w = decontaminate.weights(ids, idf)
+    matrix = rng.normal(size=(decontaminate.BUCKETS + 1, 5)).astype(np.float32)
+    long = decontaminate.lengths(ids, idf)[:, None]
+    there = decontaminate.projected(ids, (idf[:, None] * matrix).astype(np.float32)) / long
+    assert np.allclose(there, w @ matrix[at], rtol=1e-3, atol=1e-4)
+    back = np.zeros((decontaminate.BUCKETS + 1, 5), np.float32)
+    decontaminate.spread(back, ids, (there / long).astype(np.float32))
+    want = np.zeros_like(back)
+    want[at] = w.T @ there
+    assert np.allclose(idf[:, None] * back, want, rtol=1e-3, atol=1e-4)
+
+
+@pytest.mark.parametrize("lengths", [(1,), (3, 30), (40, 20, 50), (100, 400), (2, 400), (390,)])
+def test_decontamination_windows(monkeypatch, lengths):
+    """Every passage of every text has the sum of its own words, whatever the lengths of the items."""
+    monkeypatch.setattr(decontaminate, "COSINE", -2.0)  # every pair is a candidate
+    rng = np.random.default_rng(sum(lengths))
+    basis = rng.normal(size=(decontaminate.BUCKETS, 6)).astype(np.float32)
+    items = [(k, [b"w%d" % x for x in rng.integers(0, 500, n)]) for k, n in enumerate(lengths)]
+    search = decontaminate.Search(items, basis, np.ones(decontaminate.BUCKETS))
+    texts = [rng.integers(0, decontaminate.BUCKETS, n).astype(np.uint16) for n in (1, 2, 5, 1, 31, 32, 33, 47, 50, 97, 384, 385, 700, 3)]
+    got = {}
+    for t, i, lo, hi, cosine in search.candidates(np.concatenate(texts), np.cumsum([0, *map(len, texts)])):
+        for k, c in zip(zip(t.tolist(), i.tolist(), lo.tolist(), hi.tolist()), cosine.tolist()):
+            assert k not in got
+            got[k] = c
+    want = {}
+    for length, at, vec in search.groups:
+        for t, ids in enumerate(texts):
+            last = max(len(ids) - length, 0)
+            for lo in sorted({*range(0, last + 1, max(length // 4, 1)), last}):
+                here = basis[ids[lo:lo + length]].sum(0)
+                want |= {(t, int(i), lo, min(lo + length, len(ids))): float(here @ v / np.linalg.norm(here)) for i, v in zip(at, vec)}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-4 for k in want)
+
+
 def test_decontamination_bound_drops_no_match(spark, monkeypatch):
     rng = random.Random(3)
     words = [f"w{k}".encode() for k in range(300)]
