@@ -50,7 +50,9 @@ BLOCK = 4096
 COSINE = 0.4
 EXACT, PARAPHRASE, ANSWER = 0.8, 0.5, 0.6   # shares of an item's words: in order; in order with its answer; of its answer
 ANSWER_WORDS = 5
-CHUNK = 8192  # words projected at once
+CHUNK = 8192  # words projected at once by the fit, and of a piece of a long text
+GATHER = 1 << 14  # words of texts searched at once, at least
+COSINES = 1 << 21  # cosines held at once
 SLICE = 300_000  # bytes of texts, or one longer text, that a worker has in words at once
 KNOWN = 1 << 16  # words whose bucket a worker keeps
 
@@ -61,7 +63,7 @@ PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <
 # CRC-32 is linear: a byte adds the same bits wherever it stands that far from the end of its word, beside those of so many zero bytes
 FAR = 64  # longest word whose bucket is found from arrays
 ZEROS = np.array([zlib.crc32(bytes(n)) & 0xFFFF for n in range(FAR + 1)], np.uint16)
-ADDS = np.array([(zlib.crc32(bytes([b]) + bytes(d)) ^ zlib.crc32(bytes(d + 1))) & 0xFFFF for d in range(FAR) for b in range(256)], np.uint16)
+ADDS = np.array([(zlib.crc32(bytes([b]) + bytes(d)) ^ zlib.crc32(bytes(d + 1))) & 0xFFFF for d in range(FAR) for b in range(256)], np.uint16).reshape(FAR, 256)
 
 
 def words_of(text: str | bytes | None) -> list[bytes]:
@@ -76,20 +78,19 @@ def buckets_of(texts: list[bytes | None]) -> list[np.ndarray]:
     while lo < len(blob):  # whole words of SLICE bytes at a time
         hi = blob.rfind(b" ", lo, lo + SLICE) + 1 or blob.index(b" ", lo) + 1
         letters = np.frombuffer(blob, np.uint8, hi - lo, lo)
-        inner = letters != 32
-        turn = np.flatnonzero(np.diff(np.concatenate(([False], inner)).view(np.int8)))
-        starts, size = turn[::2], turn[1::2] - turn[::2]
-        done = np.cumsum(size)
-        letters = letters[inner]
-        left = np.repeat(done - 1, size) - np.arange(len(letters))  # bytes of the word after each
-        long = np.flatnonzero(size > FAR).tolist()
-        if long:
-            left = np.minimum(left, FAR - 1)
-        sums = np.zeros(len(letters) + 1, np.uint16)
-        np.bitwise_xor.accumulate(ADDS[left << 8 | letters], out=sums[1:])
-        found = sums[done] ^ sums[done - size] ^ ZEROS[np.minimum(size, FAR)]
-        for i in long:
-            found[i] = zlib.crc32(blob[lo + starts[i]:lo + starts[i] + size[i]]) & 0xFFFF
+        inner = np.concatenate(([False], letters != 32))
+        turn = np.flatnonzero(inner[1:] != inner[:-1])
+        starts, stops = turn[::2], turn[1::2]
+        size = np.minimum(stops - starts, FAR)
+        # the longest first, so that words with a byte so far from their end are the first ones
+        order = np.argsort((-size).astype(np.int8), kind="stable")
+        last, sums = stops[order] - 1, ZEROS[size[order]]
+        for far, n in enumerate(len(size) - np.cumsum(np.bincount(size, minlength=1))[:-1]):
+            sums[:n] ^= ADDS[far].take(letters.take(last[:n] - far))
+        found = np.empty_like(sums)
+        found[order] = sums
+        for i in np.flatnonzero(stops - starts > FAR).tolist():
+            found[i] = zlib.crc32(blob[lo + starts[i]:lo + stops[i]]) & 0xFFFF
         ids.append(found % np.uint16(BUCKETS))
         places.append(starts + lo)
         lo = hi
@@ -280,7 +281,7 @@ class Search:
 
     def __init__(self, items: list[tuple[int, list[bytes]]], basis: np.ndarray, idf: np.ndarray):
         self.rows = np.vstack([basis, np.zeros((1, basis.shape[1]), basis.dtype)])  # words that fill a unit up add nothing
-        self.basis, self.items = self.rows[:-1], []
+        self.items = []
         buckets = Buckets()
         for item_id, words in items:
             masks: dict[bytes, int] = {}
@@ -320,7 +321,7 @@ class Search:
             sums.append(sums[-1][half:] + sums[-1][:-half])
         # texts shorter than a passage are one passage
         short = np.flatnonzero(size < longest)
-        whole = np.zeros((len(size), self.basis.shape[1]), np.float32)
+        whole = np.zeros((len(size), self.rows.shape[1]), np.float32)
         if len(short):
             whole[short] = np.add.reduceat(sums[0].take(ranges(begin[short], (begin + units)[short]), axis=0), np.cumsum(units[short]) - units[short], axis=0)
         for length, at, vec in self.groups:
@@ -348,12 +349,16 @@ class Search:
                 place = start[some, None] + np.arange(unit - 1)
                 before = place < (start[some] + -first[some] % unit)[:, None]
                 here[some] += self.rows.take(np.where(before, ids[np.minimum(place, len(ids) - 1)], BUCKETS), axis=0).sum(axis=1)
-            norm = np.sqrt(np.einsum("ij,ij->i", here, here))
-            cosine = here @ vec.T
-            near = np.flatnonzero(cosine.max(axis=1) > COSINE * np.maximum(norm, 1e-9))
-            hit, which = np.nonzero(cosine[near] > COSINE * np.maximum(norm[near], 1e-9)[:, None])
-            h = near[hit]
-            yield owner[h], at[which], start[h] - edges[owner[h]], stop[h] - edges[owner[h]], cosine[h, which] / norm[h]
+            norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", here, here)), 1e-9)
+            most = max(COSINES // len(at), 1)
+            for a in range(0, len(here), most):
+                cosine, long = here[a:a + most] @ vec.T, norm[a:a + most]
+                near = np.flatnonzero(cosine.max(axis=1) > COSINE * long)
+                hit, which = np.nonzero(cosine[near] > COSINE * long[near, None])
+                h = near[hit]
+                cosine = cosine[h, which] / long[h]
+                h += a
+                yield owner[h], at[which], first[h], stop[h] - edges[owner[h]], cosine
 
     def close(self, ids: np.ndarray, edges: np.ndarray, t: np.ndarray, i: np.ndarray, lo: np.ndarray, hi: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
         """Which candidates have half of the item's words near, by bucket; those that reach into another piece of their text all may."""
@@ -442,7 +447,7 @@ class Search:
             for lo in range(0, max(len(ids) - LENGTHS[-1], min(len(ids), 1)), CHUNK):
                 pieces.append((owner, lo, ids[lo:lo + CHUNK + LENGTHS[-1]]))
                 held += len(pieces[-1][2])
-                if held >= CHUNK:
+                if held >= GATHER:
                     flush()
                     held = 0
         if pieces:
@@ -455,13 +460,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id IS NOT NULL")
     asked = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).where("id IS NOT NULL")
     queue = asked.orderBy("id", "text")
-    ids = cut_up(docs).persist(StorageLevel.DISK_ONLY)  # two bytes a word, read by the frequencies and the sums of the basis
+    # two bytes a word, read by the frequencies and the sums of the basis; items too are cut up before, so that no task of a sum needs two workers
+    ids, more = (cut_up(rows).persist(StorageLevel.DISK_ONLY) for rows in (docs, asked))
     try:
         df, total = frequencies(ids)
         idf = np.log((total + 1) / (df + 1)) + 0.1
-        basis = latent_basis(ids.unionAll(cut_up(asked)), idf, total) if asked.where("text <> ''").limit(1).count() else None  # of the items of all blocks
+        basis = latent_basis(ids.unionAll(more), idf, total) if more.count() else None  # of the items of all blocks
     finally:
         ids.unpersist()
+        more.unpersist()
     schema = "doc_id long, item_id long, lcs long, item_words long, cosine double"
     out, after = None, None
     while True:

@@ -330,6 +330,13 @@ def spans_of(text: str | None, field: Field) -> tuple[list, list]:
     return base, sorted(base + extra, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
+def pieces(batches, text: str):
+    """(rows, their texts as strings) of SLICE bytes of texts or one longer text, so that a worker holds neither the strings nor the results of a whole batch."""
+    for batch in batches:
+        for a, texts in slices(batch[text], SLICE):
+            yield batch.slice(a, len(texts)), texts
+
+
 def find_pii(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, base and spans (arrays of kind, start, end; code points, end exclusive)."""
     one = "array<struct<kind:string,start:long,end:long>>"
@@ -337,35 +344,37 @@ def find_pii(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str =
     named = lambda spans: [{"kind": k, "start": a, "end": b} for k, a, b in spans]
 
     def run(batches):
-        for batch in batches:
-            found = [spans_of(t, field) for _, texts in slices(batch["text"], SLICE) for t in texts]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *[pa.array([named(f[i]) for f in found], kind) for i in (0, 1)]], ["doc_id", "base", "spans"])
+        for rows, texts in pieces(batches, "text"):
+            found = [spans_of(t, field) for t in texts]
+            yield pa.RecordBatch.from_arrays([rows["doc_id"], *[pa.array([named(f[i]) for f in found], kind) for i in (0, 1)]], ["doc_id", "base", "spans"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id long, base {one}, spans {one}")
 
 
-def redact(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
-    """The same rows and columns with every span of ``text`` replaced by its kind in angle brackets; touching or overlapping spans become one."""
-    schema = docs.schema
-
-    def masked(value: str | None) -> str | None:
-        _, spans = spans_of(value, field)
-        if not spans:
-            return value
-        out, at = [], 0
-        for k, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
-            if a >= at:
-                out += [value[at:a], f"<{k.upper()}>"]
-            at = max(at, b)
-        return "".join([*out, value[at:]])
+def masked(value: str | None, field: Field) -> str | None:
+    """``value`` with every span replaced by its kind."""
+    _, spans = spans_of(value, field)
+    if not spans:
+        return value
+    out, at = [], 0
+    for k, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if a >= at:
+            out += [value[at:a], f"<{k.upper()}>"]
+        at = max(at, b)
+    return "".join([*out, value[at:]])
 
-    def run(batches):
-        for batch in batches:
-            i = batch.schema.get_field_index(text)
-            column = pa.array([masked(v) for _, texts in slices(batch.column(i), SLICE) for v in texts], batch.schema.field(i).type)
-            yield pa.RecordBatch.from_arrays([column if k == i else c for k, c in enumerate(batch.columns)], schema=batch.schema)
 
-    return docs.mapInArrow(run, schema)
+def redacted(batches, field: Field, text: str):
+    """Batches of SLICE bytes of texts, or of one longer text, with ``text`` masked."""
+    for rows, texts in pieces(batches, text):
+        i = rows.schema.get_field_index(text)
+        column = pa.array([masked(v, field) for v in texts], rows.schema.field(i).type)
+        yield pa.RecordBatch.from_arrays([column if k == i else c for k, c in enumerate(rows.columns)], schema=rows.schema)
+
+
+def redact(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
+    """The same rows and columns with every span of ``text`` replaced by its kind in angle brackets; touching or overlapping spans become one."""
+    return docs.mapInArrow(lambda batches: redacted(batches, field, text), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators of the training-data package: SQL oracles, brute force and edge cases on small inputs."""
 
 import hashlib
+import pickle
 import random
 import re
 import zlib
@@ -614,6 +615,25 @@ def test_decontamination_windows(monkeypatch, lengths):
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-4 for k in want)
 
 
+def test_decontamination_search_travels_once():
+    """What workers get holds the table of words once."""
+    basis = np.ones((decontaminate.BUCKETS, decontaminate.RANK), np.float32)
+    search = decontaminate.Search([(1, [b"a", b"b"])], basis, np.ones(decontaminate.BUCKETS))
+    assert len(pickle.dumps(search)) < 1.2 * basis.nbytes
+
+
+def test_pii_workers_hold_slices(monkeypatch):
+    """Masked texts leave a worker in batches of SLICE bytes, or of one longer text, and stay in order beside their other columns."""
+    monkeypatch.setattr(pii, "SLICE", 100)
+    texts = ["call +44 20 7946 0958 now", None, "", "x" * 300, "a@b.org and c@d.org", *["plain words " * 3] * 20]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["n", "text"])
+    field = pii.Field()
+    got = list(pii.redacted([batch, batch.slice(0, 0), batch.slice(3, 4)], field, "text"))
+    assert all(len(b) == 1 or b["text"].nbytes <= 100 + 8 * len(b) for b in got) and len(got) > 8
+    assert [r for b in got for r in b.to_pylist()] == [{"n": n, "text": pii.masked(texts[n], field)} for n in [*range(len(texts)), 3, 4, 5, 6]]
+    assert got[0]["text"][0].as_py() == "call <PHONE> now"
+
+
 def test_decontamination_bound_drops_no_match(spark, monkeypatch):
     rng = random.Random(3)
     words = [f"w{k}".encode() for k in range(300)]
