@@ -250,14 +250,20 @@ def latent_basis(rows: DataFrame, idf: np.ndarray, total: int) -> np.ndarray:
     rows = rows.coalesce(8 + total // PART)
     width = RANK + OVER
     idf = np.append(idf, 0)  # words that fill a passage up weigh nothing
-    scaled = lambda matrix: (idf[:, None] * matrix.astype(np.float32)).astype(np.float32)
-    omega = scaled(np.random.default_rng(11).normal(size=(BUCKETS + 1, width)))
+    single = idf.astype(np.float32)[:, None]
+    omega = np.random.default_rng(11).normal(size=(BUCKETS + 1, width)).astype(np.float32)
+    omega *= single
 
     def there_and_back(out, ids):
         spread(out, ids, projected(ids, omega) / np.square(lengths(ids, idf)).astype(np.float32)[:, None])
 
-    basis, _ = np.linalg.qr((idf[:, None] * summed(rows, there_and_back, (BUCKETS + 1, width)))[:BUCKETS])
-    flat = scaled(np.vstack([basis, np.zeros(width)]))
+    back = summed(rows, there_and_back, (BUCKETS + 1, width))[:BUCKETS]
+    back *= idf[:BUCKETS, None]
+    basis, _ = np.linalg.qr(back)
+    del back, omega  # the driver holds few of these at once
+    flat = np.zeros((BUCKETS + 1, width), np.float32)
+    flat[:BUCKETS] = basis
+    flat *= single
 
     def gram(out, ids):
         b = projected(ids, flat) / lengths(ids, idf).astype(np.float32)[:, None]
