@@ -123,8 +123,10 @@ def web_orders_as_raw(spark: SparkSession, store: DataFrame, landing: str, loade
 
 
 def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows in one and not the other (multiset), as one count."""
-    cols = [c for c in a.columns]
-    return (a.select(*cols).exceptAll(b.select(*cols))
-             .unionByName(b.select(*cols).exceptAll(a.select(*cols)))
-             .agg(F.count(F.lit(1)).alias("diff_rows")))
+    """Rows in one and not the other (multiset), as one count.
+
+    Each distinct row counts by how many more times one side has it; both sides are shuffled once."""
+    cols = a.columns
+    signed = a.select(*cols, F.lit(1).alias("_side")).union(b.select(*cols, F.lit(-1).alias("_side")))
+    more = signed.groupBy(*cols).agg(F.abs(F.sum("_side")).alias("_more"))
+    return more.agg(F.coalesce(F.sum("_more"), F.lit(0)).cast("bigint").alias("diff_rows"))

@@ -52,3 +52,16 @@ def test_session_keeps_its_setting_after_a_failure(spark):
     except KeyError:
         pass
     assert spark.conf.get(SHUFFLE_CLEANUP, None) == was
+
+
+def test_difference_by_definition_with_one_shuffle_of_the_rows(spark):
+    rng = random.Random(3)
+    rows = lambda n: [(rng.choice([None, 1, 2]), rng.choice([None, "x", "", "y"]), rng.choice([0.0, float("nan"), None])) for _ in range(n)]
+    schema = "a int, b string, c double"
+    for one, two in ((rows(40), rows(55)), (rows(9), []), ([], []), ((r := rows(30)), r[::-1])):
+        diff = S.table_diff(spark.createDataFrame(one, schema), spark.createDataFrame(two, schema))
+        x, y = Counter(map(str, one)), Counter(map(str, two))
+        assert [r.diff_rows for r in diff.collect()] == [sum(((x - y) + (y - x)).values())]
+        assert diff.schema["diff_rows"].dataType.typeName() == "long"
+    planned = S.table_diff(spark.createDataFrame(one, schema), spark.createDataFrame(two, schema))
+    assert planned._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
