@@ -934,9 +934,10 @@ SELECT {', '.join(ORDER_COLUMNS)}, h AS _row_hash FROM (
   WHERE NOT EXISTS (SELECT 1 FROM raw_orders r WHERE {O._hash(['r.' + c for c in ORDER_COLUMNS])} = w.h))
 WHERE rn = 1""", "intake_store", "raw_orders"))
 def q_incremental_append(spark, sf_dir):
-    hist = S.written(_p(spark, sf_dir).raw_orders, scratch_path(spark, "append-history"))
-    incoming = S.union_in_order([hist, _web_raw(spark, sf_dir)])
-    return S.incremental_append(hist, incoming).select(*ORDER_COLUMNS, "_row_hash")
+    with shuffles_dropped(spark):
+        hist = S.written(_p(spark, sf_dir).raw_orders, scratch_path(spark, "append-history"))
+        incoming = S.union_in_order([hist, _web_raw(spark, sf_dir)])
+    return S.appended(hist, incoming, scratch_path(spark, "append-new")).select(*ORDER_COLUMNS, "_row_hash")
 
 
 _STG0_COLS = ["order_id", "customer_id", "sku", "quantity", "unit_price", "order_date", "channel", "is_return",

@@ -12,6 +12,9 @@ from tallyspark.session import shuffles_dropped
 from tallyspark.sources.raw import RAW_COLUMNS, business_columns, scan_csv, to_raw
 
 
+SLICES = 4  # of a whole history that is appended to
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     """``df`` written to a fresh shared folder and read back: what reads it several times computes it once."""
     df.write.option("compression", "zstd").parquet(path)
@@ -77,6 +80,20 @@ def incremental_append(existing_raw: DataFrame, incoming_raw: DataFrame) -> Data
     return keep_first(incoming_raw.join(seen, same, "left_anti"), ["_row_hash", *columns])
 
 
+def appended(existing_raw: DataFrame, incoming_raw: DataFrame, path: str, slices: int = SLICES) -> DataFrame:
+    """``incremental_append`` of whole inputs, one slice of the fingerprints after the other, written below ``path``.
+
+    Equal rows have one fingerprint and so lie in one slice.  Only one slice at a time is in shuffle files; the inputs are read once per slice."""
+    spark = incoming_raw.sparkSession
+    at = F.pmod(F.xxhash64("_row_hash"), F.lit(slices))
+    out = None
+    with shuffles_dropped(spark):
+        for i in range(slices):
+            part = written(incremental_append(existing_raw.where(at == i), incoming_raw.where(at == i)), f"{path}/{i}")
+            out = part if out is None else out.unionAll(part)
+    return out
+
+
 def union_in_order(frames: list[DataFrame]) -> DataFrame:
     """Concatenate sources in priority order (earlier frame = earlier in the
     file).  ``_ord`` becomes (source index, each source's own order), so a

@@ -65,3 +65,15 @@ def test_difference_by_definition_with_one_shuffle_of_the_rows(spark):
         assert diff.schema["diff_rows"].dataType.typeName() == "long"
     planned = S.table_diff(spark.createDataFrame(one, schema), spark.createDataFrame(two, schema))
     assert planned._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_slices_append_the_same_rows(spark, tmp_path):
+    rng = random.Random(5)
+    some = lambda n: [tuple(rng.choice([None, "a", "b|c", "nan"]) if c in (1, 6) else v for c, v in enumerate(rng.choice(ORDERS))) for _ in range(n)]
+    old, new = raw(spark, some(80), ORDER_COLUMNS), raw(spark, some(150), ORDER_COLUMNS)
+    columns = [*ORDER_COLUMNS, "_row_hash", "_ord"]
+    want = sorted(map(str, S.incremental_append(old, new).select(*columns).collect()))
+    before = shuffle_files(spark)
+    got = S.appended(old, new, str(tmp_path / "new"))
+    assert not shuffle_files(spark) - before
+    assert len(want) > 10 and sorted(map(str, got.select(*columns).collect())) == want
